@@ -32,7 +32,7 @@ def stockout_days(
     snapshots: DataFrame, cancellations: DataFrame, branches: DataFrame, products: DataFrame
 ) -> DataFrame:
     """Days with no recorded stock, or with any cancelled sale whatever the stock."""
-    cancelled = by_series(cancelled_by_day(cancellations).withColumnRenamed("cancellation_date", "snapshot_date"))
+    cancelled = by_series(cancelled_by_day(cancellations), "cancellation_date", "snapshot_date")
     days = left_join_zero(snapshots, cancelled, "snapshot_date", ["cancelled_quantity"]).where(
         (F.col("recorded_closing_stock") == 0) | (F.col("cancelled_quantity") > 0)
     )

@@ -6,7 +6,7 @@ group: groups are counted with partial sums, and the copies of a large group are
 in slices of the id range, whose sizes the primary key bounds.
 """
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from stockrecon.functions import expressions as X
@@ -15,21 +15,17 @@ from stockrecon.operators.series import SERIES
 # A window sees at most 2**SLICE_BITS ids of one group.
 SLICE_BITS = 21
 
-_COPY_KEYS = [*SERIES, "movement_time", "movement_type", "quantity", "copy_reference"]
-
 
 def _keyed(movements: DataFrame) -> DataFrame:
-    return movements.withColumn("copy_reference", F.coalesce("reference_id", F.lit("")))
+    """Add the columns that copies share as one struct; its fields compare NULL as equal."""
+    same = [*SERIES, "movement_time", "movement_type", "quantity"]
+    reference = F.coalesce("reference_id", F.lit("")).alias("reference")
+    return movements.withColumn("copy_key", F.struct(*same, reference))
 
 
 def copy_groups(movements: DataFrame) -> DataFrame:
-    """Groups of equal movements with more than one row: keys, copies, first_movement_id."""
-    return (
-        _keyed(movements)
-        .groupBy(*_COPY_KEYS)
-        .agg(F.count(F.lit(1)).alias("copies"), F.min("movement_id").alias("first_movement_id"))
-        .where(F.col("copies") > 1)
-    )
+    """Groups of equal movements with more than one row, as ``copy_key, copies``."""
+    return _keyed(movements).groupBy("copy_key").agg(F.count(F.lit(1)).alias("copies")).where(F.col("copies") > 1)
 
 
 def duplicate_days(movements: DataFrame) -> DataFrame:
@@ -37,36 +33,43 @@ def duplicate_days(movements: DataFrame) -> DataFrame:
 
     The count needs no numbering: a group of n copies has n - 1 surplus rows.
     """
-    return (
-        copy_groups(movements)
-        .groupBy(*SERIES, X.day_of(F.col("movement_time")).alias("issue_date"))
-        .agg(F.sum(F.col("copies") - 1).alias("duplicate_count"))
-    )
+    day = X.day_of(F.col("copy_key.movement_time")).alias("issue_date")
+    series = [F.col(f"copy_key.{name}").alias(name) for name in SERIES]
+    return copy_groups(movements).groupBy(*series, day).agg(F.sum(F.col("copies") - 1).alias("duplicate_count"))
 
 
 def duplicate_movements(movements: DataFrame, slice_bits: int = SLICE_BITS) -> DataFrame:
     """Every copy after the first, numbered from 2 in the order of movement_id."""
-    keyed = _keyed(movements)
-    groups = copy_groups(movements)
-    size = 1 << slice_bits
-
-    # Most groups have a handful of copies and form one slice. A group that could overfill
-    # a window is cut along its ids, so that it spreads over many tasks.
-    copies = _join_null_safe(keyed, groups)
-    sliced = copies.withColumn(
-        "slice", F.when(F.col("copies") > size, F.shiftright("movement_id", slice_bits)).otherwise(X.zero())
-    )
-    in_slice = Window.partitionBy(*_COPY_KEYS, "slice").orderBy("movement_id")
-    numbered = sliced.withColumn("number_in_slice", F.row_number().over(in_slice))
+    return _numbered_copies(movements, slice_bits).where(F.col("duplicate_number") > 1)
+
+
+def number_duplicates(movements: DataFrame, slice_bits: int = SLICE_BITS) -> DataFrame:
+    """All movements with their number among equal ones; only actual copies are sorted."""
+    first = F.lit(1).cast("bigint").alias("duplicate_number")
+    single = _keyed(movements).join(copy_groups(movements), "copy_key", "left_anti")
+    return single.select(*movements.columns, first).unionByName(_numbered_copies(movements, slice_bits))
 
-    # At most rows / 2**slice_bits groups are that large.
-    large = groups.where(F.col("copies") > size)
-    offsets = _slice_offsets(_join_null_safe(keyed, F.broadcast(large)), slice_bits)
-    placed = _join_null_safe(numbered, offsets, "slice", how="left")
-    return placed.select(
-        *[F.col(name) for name in movements.columns],
-        (F.col("number_in_slice") + X.or_zero(F.col("offset"))).cast("bigint").alias("duplicate_number"),
-    ).where(F.col("duplicate_number") > 1)
+
+def _numbered_copies(movements: DataFrame, slice_bits: int) -> DataFrame:
+    """Rows that have copies, numbered from 1 within their group.
+
+    Most groups have a handful of copies and form one slice. A group that could overfill a
+    window is cut along its ids, so that it spreads over many tasks.
+    """
+    keyed, groups, size = _keyed(movements), copy_groups(movements), 1 << slice_bits
+    cut = F.when(F.col("copies") > size, F.shiftright("movement_id", slice_bits)).otherwise(X.zero())
+    copies = keyed.join(groups, "copy_key").withColumn("slice", cut)
+    in_slice = Window.partitionBy("copy_key", "slice").orderBy("movement_id")
+    numbered = copies.withColumn("number_in_slice", F.row_number().over(in_slice))
+
+    # At most rows / 2**slice_bits groups are that large, usually none: then the broadcast
+    # is empty and the movements are not read again.
+    large = F.broadcast(groups.where(F.col("copies") > size))
+    offsets = _slice_offsets(keyed.join(large, "copy_key"), slice_bits)
+    number = F.col("number_in_slice") + X.or_zero(F.col("offset"))
+    return numbered.join(offsets, ["copy_key", "slice"], "left").select(
+        *movements.columns, number.cast("bigint").alias("duplicate_number")
+    )
 
 
 def _slice_offsets(large: DataFrame, slice_bits: int) -> DataFrame:
@@ -76,30 +79,18 @@ def _slice_offsets(large: DataFrame, slice_bits: int) -> DataFrame:
     a block, the second over the blocks of a group, so each sees a bounded number of rows
     however the ids are spread.
     """
-    slices = large.groupBy(*_COPY_KEYS, F.shiftright("movement_id", slice_bits).alias("slice")).agg(
-        F.count(F.lit(1)).alias("rows")
+    slices = (
+        large.groupBy("copy_key", F.shiftright("movement_id", slice_bits).alias("slice"))
+        .agg(F.count(F.lit(1)).alias("rows"))
+        .withColumn("block", F.shiftright("slice", slice_bits))
     )
-    slices = slices.withColumn("block", F.shiftright("slice", slice_bits))
-    in_block = _running_before(_COPY_KEYS + ["block"], "slice")
-    inside = slices.withColumn("inside", X.or_zero(F.sum("rows").over(in_block)))
-
-    blocks = slices.groupBy(*_COPY_KEYS, "block").agg(F.sum("rows").alias("rows"))
-    before = blocks.withColumn("before", X.or_zero(F.sum("rows").over(_running_before(_COPY_KEYS, "block"))))
-    return _join_null_safe(inside, before.drop("rows"), "block").select(
-        *_COPY_KEYS, "slice", (F.col("inside") + F.col("before")).alias("offset")
+    inside = slices.withColumn("inside", X.or_zero(F.sum("rows").over(_before("slice", "copy_key", "block"))))
+    blocks = slices.groupBy("copy_key", "block").agg(F.sum("rows").alias("rows"))
+    ahead = blocks.withColumn("ahead", X.or_zero(F.sum("rows").over(_before("block", "copy_key"))))
+    return inside.join(ahead.drop("rows"), ["copy_key", "block"]).select(
+        "copy_key", "slice", (F.col("inside") + F.col("ahead")).alias("offset")
     )
 
 
-def _running_before(keys: list[str], order: str):
+def _before(order: str, *keys: str) -> WindowSpec:
     return Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-
-
-def _join_null_safe(left: DataFrame, right: DataFrame, *more: str, how: str = "inner") -> DataFrame:
-    """Join on the copy keys (and ``more``), NULL matching NULL; keeps the left key columns."""
-    keys = [*_COPY_KEYS, *more]
-    renamed = right.withColumnsRenamed({name: f"_{name}" for name in keys})
-    same: Column | None = None
-    for name in keys:
-        pair = F.col(name).eqNullSafe(F.col(f"_{name}"))
-        same = pair if same is None else same & pair
-    return left.join(renamed, same, how).drop(*[f"_{name}" for name in keys])

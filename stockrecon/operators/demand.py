@@ -22,9 +22,10 @@ def demand_by_day(daily_sales: DataFrame) -> DataFrame:
     first, so the carried rows are summed where they are made.
     """
     forward = F.explode(F.array(*[F.lit(days) for days in (0, *lookback_days())]))
-    carried = by_series(daily_sales.select(*SERIES, "sale_date", "units_sold")).withColumn("ahead", forward)
+    sold = by_series(daily_sales.select(*SERIES, "sale_date", "units_sold"), "sale_date", "sold_on")
     today = F.col("ahead") == 0
-    return carried.groupBy(*SERIES, F.date_add("sale_date", F.col("ahead")).alias("stockout_date")).agg(
+    carried = sold.withColumn("ahead", forward)
+    return carried.groupBy(*SERIES, F.date_add("sold_on", F.col("ahead")).alias("stockout_date")).agg(
         F.sum(F.when(today, F.col("units_sold"))).alias("actual_units_sold"),
         F.sum(F.when(~today, F.col("units_sold"))).alias("lookback_units"),
     )

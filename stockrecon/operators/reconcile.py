@@ -30,7 +30,7 @@ def inventory_reconciliation(
     error shows on the day it happens and is not carried on. Names are joined last, so that
     a filter on the difference runs before them.
     """
-    ledger = by_series(daily_movements.withColumnRenamed("movement_date", "snapshot_date"))
+    ledger = by_series(daily_movements, "movement_date", "snapshot_date")
     compared = (
         left_join_zero(previous_stock(snapshots), ledger, "snapshot_date", _LEDGER_MEASURES)
         .withColumn(
@@ -48,10 +48,10 @@ def inventory_reconciliation(
 def reconciliation_issues(recon: DataFrame, movements: DataFrame, orders: DataFrame) -> DataFrame:
     """Snapshots that differ from the ledger, with severity and probable cause."""
     differing = recon.where(F.col("stock_difference") != 0)
-    surplus = duplicate_days(movements).withColumnRenamed("issue_date", "snapshot_date")
-    deliveries = delivery_days(orders).withColumnRenamed("issue_date", "snapshot_date")
-    explained = left_join_zero(differing, by_series(surplus), "snapshot_date", ["duplicate_count"])
-    explained = left_join_zero(explained, by_series(deliveries), "snapshot_date", ["delivery_count"])
+    surplus = by_series(duplicate_days(movements), "issue_date", "snapshot_date")
+    deliveries = by_series(delivery_days(orders), "issue_date", "snapshot_date")
+    explained = left_join_zero(differing, surplus, "snapshot_date", ["duplicate_count"])
+    explained = left_join_zero(explained, deliveries, "snapshot_date", ["delivery_count"])
     difference = F.col("stock_difference")
     return explained.select(
         *recon.columns,

@@ -17,13 +17,15 @@ BRANCH_COLUMNS = ["branch_id", "branch_name"]
 PRODUCT_COLUMNS = ["product_id", "sku", "product_name", "category"]
 
 
-def by_series(daily: DataFrame) -> DataFrame:
-    """Lay a daily aggregate out by series.
+def by_series(daily: DataFrame, day: str, as_day: str) -> DataFrame:
+    """Lay a daily aggregate out by series and name its day for a join.
 
-    The snapshot side of a join then follows this layout (one shuffle, or none if the
-    snapshots are stored bucketed by series), and later windows reuse it.
+    The renaming comes last on purpose: a join prefers the layout of a side that does not
+    end in a shuffle of its own, so the other side is shuffled by series as well (or not at
+    all if it is stored that way), and later windows and groupings reuse that layout.
     """
-    return daily.repartition(*SERIES)
+    laid_out = daily.repartition(*SERIES)
+    return laid_out.select(*[F.col(name).alias(as_day if name == day else name) for name in daily.columns])
 
 
 def join_bpd(left: DataFrame, right: DataFrame, day: str, how: str = "inner") -> DataFrame:

@@ -16,13 +16,15 @@ from pyspark.sql import functions as F
 
 from stockrecon import labels as L
 from stockrecon.operators.ledger import daily_movements
-from stockrecon.operators.series import SERIES, by_series
+from stockrecon.operators.series import SERIES, by_series, join_bpd
 from stockrecon.schemas import KNOWN_ISSUES, MONEY, TABLES
 from stockrecon.session import new_folder, tune
 from stockrecon.sources.tables import load_tables
 
 # Fixed values of the mapping.
 PARTS_PER_PRODUCT = 100
+# A prime above any line number: ids are unique, and their remainders mix orders and lines.
+LINES_PER_ORDER = 1009
 NEVER_BOOKED = 37
 BOOKED_TWICE = 41
 BOOKED_THRICE = 82
@@ -72,7 +74,7 @@ def lines(spark: SparkSession, folder: str) -> DataFrame:
     customers = star(spark, folder, "customer").select("c_custkey", "c_nationkey")
     homes = orders.join(customers, F.col("o_custkey") == F.col("c_custkey"))
     return booked.join(homes, F.col("l_orderkey") == F.col("o_orderkey")).select(
-        (F.col("l_orderkey") * 1000 + F.col("l_linenumber")).alias("line_id"),
+        (F.col("l_orderkey") * LINES_PER_ORDER + F.col("l_linenumber")).alias("line_id"),
         (F.col("c_nationkey") + 1).cast("bigint").alias("branch_id"),
         (_whole(F.col("part"), PARTS_PER_PRODUCT) + 1).alias("product_id"),
         "supplier_id",
@@ -240,14 +242,13 @@ def snapshots(booked: DataFrame) -> DataFrame:
         .select(*SERIES, F.date_add("day", F.col("ahead")).alias("snapshot_date"))
         .distinct()
     )
-    net = daily_movements(true_movements(booked)).select(
-        *SERIES, F.col("movement_date").alias("snapshot_date"), "net_movement"
-    )
+    net = daily_movements(true_movements(booked)).select(*SERIES, "movement_date", "net_movement")
+    net = by_series(net, "movement_date", "snapshot_date")
     number = F.datediff("snapshot_date", F.lit("1970-01-01").cast("date")).cast("bigint")
     loses = (31 * F.col("branch_id") + 17 * F.col("product_id") + number) % SHRINK_CYCLE == 0
     change = F.coalesce("net_movement", F.lit(0)) - F.when(loses, SHRINK_UNITS).otherwise(0)
     so_far = Window.partitionBy(*SERIES).orderBy("snapshot_date").rowsBetween(Window.unboundedPreceding, 0)
-    return by_series(counted).join(by_series(net), [*SERIES, "snapshot_date"], "left").select(
+    return join_bpd(counted, net, "snapshot_date", "left").select(
         ((F.col("product_id") * 1000 + F.col("branch_id")) * 100000 + number).alias("snapshot_id"),
         *SERIES,
         "snapshot_date",
