@@ -14,6 +14,8 @@ SETTINGS = {
     # A join on (branch, product, day) may use a partitioning by (branch, product), so that
     # windows, joins and groupings over one series share a single shuffle.
     "spark.sql.requireAllClusterKeysForCoPartition": "false",
+    # Sizes of Parquet files understate rows in memory; judge broadcasts by the larger figure.
+    "spark.sql.sources.fileCompressionFactor": "3.0",
 }
 
 

@@ -15,8 +15,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from stockrecon import labels as L
-from stockrecon.operators.ledger import daily_movements
-from stockrecon.operators.series import SERIES, by_series, join_bpd
+from stockrecon.functions import expressions as X
+from stockrecon.operators.series import SERIES
 from stockrecon.schemas import KNOWN_ISSUES, MONEY, TABLES
 from stockrecon.session import new_folder, tune
 from stockrecon.sources.tables import load_tables
@@ -38,6 +38,11 @@ def _whole(value: Column, divisor: int) -> Column:
     return F.floor(value / divisor).cast("bigint")
 
 
+def _hundredths(value: Column) -> Column:
+    """A double with two decimals as a whole number of hundredths."""
+    return F.round(value * 100).cast("bigint")
+
+
 def _at(day: Column, hour: int) -> Column:
     return day.cast("timestamp_ntz") + F.expr(f"INTERVAL {hour} HOURS")
 
@@ -61,12 +66,13 @@ def lines(spark: SparkSession, folder: str) -> DataFrame:
         .groupBy("l_orderkey", "l_linenumber")
         .agg(
             F.sum("l_quantity").cast("bigint").alias("units"),
-            F.sum(F.col("l_extendedprice").cast(MONEY)).alias("price"),
-            F.max((F.col("l_discount") * 100).cast("decimal(9,0)").cast("bigint")).alias("discount"),
+            F.sum(_hundredths(F.col("l_extendedprice"))).alias("cents"),
+            F.max(_hundredths(F.col("l_discount"))).alias("discount"),
             F.min("l_partkey").alias("part"),
             F.min("l_suppkey").alias("supplier_id"),
-            F.min("l_returnflag").alias("flag"),
-            F.min("l_linestatus").alias("status"),
+            # One-letter flags as numbers: a minimum of strings would need a sort.
+            F.min(F.ascii("l_returnflag")).alias("flag"),
+            F.min(F.ascii("l_linestatus")).alias("status"),
             F.min("l_shipdate").cast("date").alias("day"),
         )
     )
@@ -79,10 +85,10 @@ def lines(spark: SparkSession, folder: str) -> DataFrame:
         (_whole(F.col("part"), PARTS_PER_PRODUCT) + 1).alias("product_id"),
         "supplier_id",
         "units",
-        "price",
+        "cents",
         "discount",
-        "flag",
-        "status",
+        F.char("flag").alias("flag"),
+        F.char("status").alias("status"),
         "day",
     )
 
@@ -128,7 +134,7 @@ def sales(booked: DataFrame) -> DataFrame:
         *SERIES,
         _at(F.col("day"), 12).alias("sale_time"),
         _at_least_one(_whole(F.col("units"), 5)).alias("quantity"),
-        F.round(F.col("price") * F.expr("0.2BD"), 2).cast(MONEY).alias("revenue"),
+        (F.round(F.col("cents") / 5) * F.expr("0.01BD")).cast(MONEY).alias("revenue"),
     )
 
 
@@ -233,22 +239,32 @@ def movements(booked: DataFrame) -> DataFrame:
 
 
 def snapshots(booked: DataFrame) -> DataFrame:
-    """Recorded closing stock: the running true stock less the running loss, never negative."""
-    ahead = F.explode(F.sequence(F.lit(0), F.lit(COUNTED_DAYS - 1)))
+    """Recorded closing stock: the running true stock less the running loss, never negative.
+
+    A change of stock counts on its own day; it and a cancelled sale make their day and the
+    next six counted days.
+    """
+    moved, quantity = F.col("movement_type"), F.col("quantity")
+    changes = (
+        true_movements(booked)
+        .select(*SERIES, X.day_of(F.col("movement_time")).alias("day"), X.signed_quantity(moved, quantity).alias("net"))
+        .unionByName(
+            cancellations(booked).select(
+                *SERIES, X.day_of(F.col("cancellation_time")).alias("day"), X.zero().alias("net")
+            )
+        )
+    )
+    ahead = F.explode(F.array(*[F.lit(days) for days in range(COUNTED_DAYS)]))
     counted = (
-        booked.select(*SERIES, "day")
-        .distinct()
-        .withColumn("ahead", ahead)
-        .select(*SERIES, F.date_add("day", F.col("ahead")).alias("snapshot_date"))
-        .distinct()
+        changes.withColumn("ahead", ahead)
+        .groupBy(*SERIES, F.date_add("day", F.col("ahead")).alias("snapshot_date"))
+        .agg(F.sum(F.when(F.col("ahead") == 0, F.col("net")).otherwise(0)).alias("net"))
     )
-    net = daily_movements(true_movements(booked)).select(*SERIES, "movement_date", "net_movement")
-    net = by_series(net, "movement_date", "snapshot_date")
     number = F.datediff("snapshot_date", F.lit("1970-01-01").cast("date")).cast("bigint")
     loses = (31 * F.col("branch_id") + 17 * F.col("product_id") + number) % SHRINK_CYCLE == 0
-    change = F.coalesce("net_movement", F.lit(0)) - F.when(loses, SHRINK_UNITS).otherwise(0)
+    change = F.col("net") - F.when(loses, SHRINK_UNITS).otherwise(0)
     so_far = Window.partitionBy(*SERIES).orderBy("snapshot_date").rowsBetween(Window.unboundedPreceding, 0)
-    return join_bpd(counted, net, "snapshot_date", "left").select(
+    return counted.select(
         ((F.col("product_id") * 1000 + F.col("branch_id")) * 100000 + number).alias("snapshot_id"),
         *SERIES,
         "snapshot_date",

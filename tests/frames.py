@@ -1,0 +1,76 @@
+"""Small input frames, written as short tuples."""
+
+from datetime import date, datetime
+from decimal import Decimal
+
+from stockrecon.schemas import KNOWN_ISSUES, TABLES
+
+
+def day(text):
+    return None if text is None else date.fromisoformat(text)
+
+
+def at(text):
+    return None if text is None else datetime.fromisoformat(text)
+
+
+def money(text):
+    return None if text is None else Decimal(text)
+
+
+def table(spark, name, rows):
+    return spark.createDataFrame(rows, KNOWN_ISSUES if name == "known_issues" else TABLES[name])
+
+
+def branches(spark, *ids):
+    return table(spark, "branches", [(i, f"Branch {i}", "North") for i in ids or (1, 2)])
+
+
+def products(spark, *prices):
+    """Products 1, 2, ... with the given (cost, price) pairs."""
+    prices = prices or (("1.00", "2.00"), ("3.00", "5.50"))
+    return table(
+        spark,
+        "products",
+        [(i, f"SKU-{i}", f"Item {i}", f"Kind {i}", 1, money(c), money(p), 10, 50) for i, (c, p) in enumerate(prices, 1)],
+    )
+
+
+def snapshots(spark, *rows):
+    """(branch, product, day, stock)"""
+    return table(spark, "snapshots", [(n, b, p, day(d), s) for n, (b, p, d, s) in enumerate(rows, 1)])
+
+
+def movements(spark, *rows):
+    """(branch, product, time, type, quantity, reference)"""
+    return table(spark, "movements", [(n, b, p, at(t), k, q, r) for n, (b, p, t, k, q, r) in enumerate(rows, 1)])
+
+
+def sales(spark, *rows):
+    """(branch, product, time, quantity, revenue)"""
+    return table(spark, "sales", [(n, b, p, at(t), q, money(r)) for n, (b, p, t, q, r) in enumerate(rows, 1)])
+
+
+def cancellations(spark, *rows):
+    """(branch, product, time, quantity, reason)"""
+    return table(spark, "cancellations", [(n, b, p, at(t), q, r) for n, (b, p, t, q, r) in enumerate(rows, 1)])
+
+
+def orders(spark, *rows):
+    """(id, branch, product, supplier, expected, actual, ordered, received)"""
+    return table(
+        spark,
+        "supplier_orders",
+        [(i, b, p, s, day("2025-01-01"), day(e), day(a), o, r) for i, b, p, s, e, a, o, r in rows],
+    )
+
+
+def rows(df, *columns):
+    """Sorted plain tuples of the chosen columns."""
+    picked = df.select(*columns) if columns else df
+    return sorted((tuple(row) for row in picked.collect()), key=lambda r: tuple((v is None, str(v)) for v in r))
+
+
+def one(df, *columns):
+    (row,) = df.select(*columns).collect()
+    return tuple(row)

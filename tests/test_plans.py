@@ -1,0 +1,84 @@
+"""What the physical plans must and must not contain."""
+
+import re
+
+import pytest
+
+from stockrecon.plans import analysis
+from stockrecon.sources import tables
+
+
+def plan(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def exchanges(df) -> list[str]:
+    """Hash shuffles, top first, by their keys."""
+    return re.findall(r"Exchange hashpartitioning\(([^)]*), \d+\)", re.sub(r"#\d+L?", "", plan(df)))
+
+
+@pytest.fixture()
+def cluster(spark):
+    """As on a cluster with large tables: only the dimensions are small enough to broadcast."""
+    keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    spark.conf.set(keys[0], "8000")
+    spark.conf.set(keys[1], "8000")
+    yield
+    for key in keys:
+        spark.conf.unset(key)
+
+
+def test_no_python_and_no_products(all_views, inventory):
+    for name, df in [*all_views.items(), ("validation", analysis.validation(inventory, all_views))]:
+        text = plan(df)
+        for word in ("Python", "CartesianProduct", "BroadcastNestedLoopJoin", "collect_list"):
+            assert word not in text, (name, word)
+
+
+def test_snapshots_are_shuffled_once_by_series(cluster, inventory):
+    views = analysis.views(inventory)
+    for name in ("inventory_reconciliation", "stockout_periods", "lost_sales_estimate"):
+        text = re.sub(r"#\d+L?", "", plan(views[name]))
+        # Everything above the daily sums is laid out by branch and product alone.
+        layouts = [keys for keys in exchanges(views[name]) if "_groupingexpression" not in keys]
+        assert layouts and set(layouts) == {"branch_id, product_id"}, (name, layouts)
+        assert text.count("recorded_closing_stock] Batched") == 1
+
+
+def test_facts_are_summed_before_they_are_shuffled(all_views):
+    for name in ("daily_sales", "daily_movements", "supplier_performance"):
+        text = plan(all_views[name])
+        assert "partial_sum" in text or "partial_count" in text
+        assert text.index("Exchange hashpartitioning") < text.index("partial_")
+
+
+def test_columns_and_filters_reach_the_scan(all_views):
+    text = plan(all_views["phantom_inventory"])
+    assert "EqualTo(reason,SYSTEM_SHOWED_AVAILABLE)" in text
+    assert "GreaterThan(recorded_closing_stock,0)" in text
+    assert "revenue" not in plan(all_views["lost_sales_estimate"].select("expected_units")).replace("lost_revenue", "")
+
+
+def test_missing_deliveries_use_an_anti_join(all_views):
+    assert "LeftAnti" in plan(all_views["data_quality_issues"])
+
+
+def test_dimensions_are_broadcast(cluster, inventory):
+    assert plan(analysis.views(inventory)["inventory_reconciliation"]).count("BroadcastHashJoin") == 2
+
+
+def test_difference_filter_runs_before_names_are_joined(all_views):
+    text = plan(all_views["reconciliation_issues"])
+    names = text.index("branch_name")
+    filter_line = next(line for line in text.splitlines() if "Filter" in line and "= 0)" in line)
+    assert names < text.index(filter_line)
+
+
+def test_bucketed_snapshots_are_not_shuffled(cluster, spark, inventory):
+    spark.sql("CREATE DATABASE IF NOT EXISTS layout")
+    stored = tables.load_bucketed({name: inventory[name] for name in ("snapshots", "movements")}, "layout", 4)
+    views = analysis.views({**inventory, **stored})
+    text = re.sub(r"#\d+L?", "", plan(views["inventory_reconciliation"]))
+    window = text[text.index("Window") :]
+    before_scan = window[: window.index("FileScan")]
+    assert "Exchange" not in before_scan

@@ -1,0 +1,111 @@
+from datetime import date, datetime
+from decimal import Decimal
+
+import pytest
+from frames import rows
+
+from stockrecon.plans import analysis
+from stockrecon.schemas import RESULTS, TABLES
+from stockrecon.session import new_folder
+from stockrecon.sources import exports, tables
+
+BASE = list(TABLES)
+
+
+@pytest.mark.parametrize("fmt", ["csv", "parquet", "orc"])
+def test_tables_round_trip(spark, inventory, fmt):
+    folder = new_folder(spark, "test")
+    tables.load_tables({name: inventory[name] for name in BASE}, folder, fmt=fmt)
+    again = tables.read_tables(spark, folder, fmt)
+    for name in BASE:
+        assert again[name].schema == TABLES[name]
+        assert again[name].exceptAll(inventory[name]).isEmpty() and inventory[name].exceptAll(again[name]).isEmpty()
+
+
+def test_load_replaces_older_rows(spark, inventory):
+    folder = new_folder(spark, "test")
+    for _ in range(2):
+        stored = tables.load_tables({"branches": inventory["branches"]}, folder)
+    assert stored["branches"].count() == inventory["branches"].count()
+
+
+def test_csv_text_is_typed_and_bad_fields_become_null(spark, tmp_path):
+    (tmp_path / "sales.csv").write_text(
+        "sale_id,branch_id,product_id,sale_time,quantity,revenue\n"
+        "1,1,1,2025-01-01 09:30:00,2,19.98\n2,1,1,yesterday,2,0.1\n3,1,1,,2,5\n"
+    )
+    found = tables.read_file(spark, str(tmp_path / "sales.csv"), TABLES["sales"], "csv")
+    assert rows(found, "sale_id", "sale_time", "revenue") == [
+        (1, datetime(2025, 1, 1, 9, 30), Decimal("19.98")),
+        (2, None, Decimal("0.10")),
+        (3, None, Decimal("5.00")),
+    ]
+
+
+def test_known_issues(spark, tmp_path):
+    path = tmp_path / "known_issues.csv"
+    path.write_text("issue_type,branch_id,product_id,issue_date\nPhantom inventory,1,2,2025-01-31\n")
+    assert rows(tables.read_known_issues(spark, str(path))) == [("Phantom inventory", 1, 2, date(2025, 1, 31))]
+
+
+def test_views_have_the_declared_columns(all_views):
+    for name, schema in RESULTS.items():
+        if name in all_views:
+            assert all_views[name].columns == schema.names
+            assert [f.dataType for f in all_views[name].schema] == [f.dataType for f in schema]
+
+
+def test_sql_over_registered_views(spark, inventory):
+    analysis.register(spark, {name: inventory[name] for name in BASE})
+    names = {view.name for view in spark.catalog.listTables()}
+    assert {f"vw_{name}" for name in ("daily_sales", "data_quality_issues", "branch_inventory_health")} <= names
+    worst = spark.sql("SELECT branch_id FROM vw_branch_inventory_health ORDER BY risk_rank LIMIT 3").count()
+    assert worst == 3
+
+
+def test_row_counts(spark, inventory):
+    counted = {r.name: r.rows for r in tables.row_counts({"branches": inventory["branches"]}).collect()}
+    assert counted == {"branches": 25}
+
+
+def test_full_run(spark, inventory):
+    source, target = new_folder(spark, "source"), new_folder(spark, "target")
+    tables.load_tables({name: inventory[name] for name in BASE}, source, fmt="csv")
+    labels = exports.write(inventory["known_issues"], source, "known_issues")
+    counts = {r.name: r.rows for r in analysis.run(spark, source, target, known_issues=labels).collect()}
+    assert counts["inventory_reconciliation"] == inventory["snapshots"].count()
+    assert set(counts) == {
+        "inventory_reconciliation", "reconciliation_issues", "phantom_inventory", "stockout_periods",
+        "lost_sales_estimate", "supplier_performance", "branch_inventory_health", "data_quality_issues",
+    }
+    for name, size in counts.items():
+        assert tables.read_result(spark, target, name, "csv").count() == size
+    assert tables.read_result(spark, target, "validation_summary", "csv").count() == 4
+    top = tables.read_result(spark, f"{target}/published", "branch_inventory_health", "csv")
+    assert [r.risk_rank for r in top.orderBy("risk_rank").collect()] == list(range(1, 13))
+    assert spark.read.csv(f"{target}/published/phantom_inventory_examples.csv", header=True).count() == 20
+
+
+def test_exports_keep_their_order(spark, all_views):
+    folder = new_folder(spark, "ordered")
+    exports.export_all({name: all_views[name] for name in all_views}, folder)
+    periods = tables.read_result(spark, folder, "stockout_periods", "csv").coalesce(1).collect()
+    lengths = [r.stockout_days for r in sorted(periods, key=lambda r: (-r.stockout_days, -r.cancelled_quantity))]
+    assert lengths == sorted(lengths, reverse=True) and lengths
+
+
+def test_bucketed_tables(spark, inventory):
+    spark.sql("CREATE DATABASE IF NOT EXISTS bucketed")
+    stored = tables.load_bucketed(
+        {name: inventory[name] for name in ("snapshots", "movements", "branches", "products", "cancellations")}, "bucketed", 4
+    )
+    assert stored["snapshots"].count() == inventory["snapshots"].count()
+    from stockrecon.operators import ledger, reconcile
+
+    recon = reconcile.inventory_reconciliation(
+        stored["snapshots"], stored["branches"], stored["products"], ledger.daily_movements(stored["movements"])
+    )
+    plain = reconcile.inventory_reconciliation(
+        inventory["snapshots"], inventory["branches"], inventory["products"], ledger.daily_movements(inventory["movements"])
+    )
+    assert recon.exceptAll(plain).isEmpty() and plain.exceptAll(recon).isEmpty()
