@@ -327,6 +327,7 @@ _BODIES = {
                estimated_lost_revenue::DOUBLE AS estimated_lost_revenue FROM v_health""",
     "O1_largest_differences": "SELECT * FROM v_issues",
     "O4_lost_by_value": f"SELECT {_LOST} FROM v_lost",
+    "O11_order_for_chart": "SELECT probable_issue, COUNT(*) AS issue_count FROM v_issues GROUP BY ALL",
     "O8_top_12_branches": f"SELECT {_HEALTH} FROM v_health ORDER BY risk_rank, branch_id LIMIT 12",
     "O9_top_20_phantom": f"""
         SELECT {_PHANTOM} FROM v_phantom

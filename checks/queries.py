@@ -277,13 +277,13 @@ def _(t, v):
 
 @query("J7_orders_without_movement")
 def _(t, v):
-    return integrity.orders_without_movement(t["supplier_orders"], t["movements"])
+    return v["orders_without_movement"]
 
 
 @query("J8_flag_matches")
 def _(t, v):
     detected = R.detected_issues(
-        v["phantom_inventory"], t["movements"], t["supplier_orders"], v["reconciliation_issues"]
+        v["phantom_inventory"], v["duplicate_days"], v["orders_without_movement"], v["reconciliation_issues"]
     )
     return R.flag_matches(t["known_issues"], detected, ["issue_type", *SERIES, "issue_date"]).withColumn(
         "detected", F.col("detected").cast("bigint")
@@ -305,7 +305,7 @@ def _(t, v):
 
 @query("A3_duplicate_days")
 def _(t, v):
-    return copies.duplicate_days(t["movements"])
+    return v["duplicate_days"]
 
 
 @query("A4_delivery_days")
@@ -373,26 +373,19 @@ def _(t, v):
 @query("U3_union_distinct")
 def _(t, v):
     return R.detected_issues(
-        v["phantom_inventory"], t["movements"], t["supplier_orders"], v["reconciliation_issues"]
+        v["phantom_inventory"], v["duplicate_days"], v["orders_without_movement"], v["reconciliation_issues"]
     )
 
 
 # ---- views --------------------------------------------------------------------------
 
-VIEWS = [
-    "daily_sales", "daily_movements", "duplicate_movements", "inventory_reconciliation", "reconciliation_issues",
-    "phantom_inventory", "stockout_days", "stockout_periods", "lost_sales_estimate", "supplier_performance",
-    "branch_inventory_health", "data_quality_issues",
-]
-
-
 def _register_view(number: int, name: str) -> None:
     @query(f"V{number}_{name}")
     def view(t, v):
         return v[name]
 
 
-for _number, _name in enumerate(VIEWS, 1):
+for _number, _name in enumerate(analysis.VIEWS, 1):
     _register_view(_number, _name)
 
 
@@ -452,7 +445,7 @@ def _(t, v):
 @query("R11_executive_kpis")
 def _(t, v):
     return R.executive_kpis(
-        t["snapshots"], v["reconciliation_issues"], v["phantom_inventory"], t["movements"], v["lost_sales_estimate"]
+        t["snapshots"], v["reconciliation_issues"], v["phantom_inventory"], v["duplicate_days"], v["lost_sales_estimate"]
     )
 
 
@@ -504,6 +497,11 @@ def _(t, v):
     return R.lost_by_value(v["lost_sales_estimate"])
 
 
+@query("O11_order_for_chart")
+def _(t, v):
+    return R.order_for_chart(R.cause_counts(v["reconciliation_issues"]), "issue_count", False, "probable_issue")
+
+
 @query("O8_top_12_branches")
 def _(t, v):
     return R.top_branches(v["branch_inventory_health"], 12)

@@ -6,21 +6,37 @@ group: groups are counted with partial sums, and the copies of a large group are
 in slices of the id range, whose sizes the primary key bounds.
 """
 
-from pyspark.sql import DataFrame, Window, WindowSpec
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from stockrecon.functions import expressions as X
 from stockrecon.operators.series import SERIES
 
 # A window sees at most 2**SLICE_BITS ids of one group.
-SLICE_BITS = 21
+SLICE_BITS = 24
+
+_SHARED = [*SERIES, "movement_time", "movement_type", "quantity"]
 
 
 def _keyed(movements: DataFrame) -> DataFrame:
-    """Add the columns that copies share as one struct; its fields compare NULL as equal."""
-    same = [*SERIES, "movement_time", "movement_type", "quantity"]
-    reference = F.coalesce("reference_id", F.lit("")).alias("reference")
-    return movements.withColumn("copy_key", F.struct(*same, reference))
+    """Movements as id and the columns that copies share, without repeating a column.
+
+    The shared columns are one struct, whose fields compare NULL as equal. A missing and an
+    empty reference are the same key, so which one it was is kept beside it.
+    """
+    reference = F.coalesce("reference_id", F.lit("")).alias("reference_id")
+    return movements.select(
+        "movement_id",
+        F.struct(*_SHARED, reference).alias("copy_key"),
+        F.col("reference_id").isNotNull().alias("has_reference"),
+    )
+
+
+def _unkeyed(number: Column) -> list[Column]:
+    """The movement columns again, and the number."""
+    reference = F.when(F.col("has_reference"), F.col("copy_key.reference_id")).alias("reference_id")
+    shared = [F.col(f"copy_key.{name}").alias(name) for name in _SHARED]
+    return [F.col("movement_id"), *shared, reference, number.cast("bigint").alias("duplicate_number")]
 
 
 def copy_groups(movements: DataFrame) -> DataFrame:
@@ -45,9 +61,8 @@ def duplicate_movements(movements: DataFrame, slice_bits: int = SLICE_BITS) -> D
 
 def number_duplicates(movements: DataFrame, slice_bits: int = SLICE_BITS) -> DataFrame:
     """All movements with their number among equal ones; only actual copies are sorted."""
-    first = F.lit(1).cast("bigint").alias("duplicate_number")
     single = _keyed(movements).join(copy_groups(movements), "copy_key", "left_anti")
-    return single.select(*movements.columns, first).unionByName(_numbered_copies(movements, slice_bits))
+    return single.select(_unkeyed(F.lit(1))).unionByName(_numbered_copies(movements, slice_bits))
 
 
 def _numbered_copies(movements: DataFrame, slice_bits: int) -> DataFrame:
@@ -62,14 +77,12 @@ def _numbered_copies(movements: DataFrame, slice_bits: int) -> DataFrame:
     in_slice = Window.partitionBy("copy_key", "slice").orderBy("movement_id")
     numbered = copies.withColumn("number_in_slice", F.row_number().over(in_slice))
 
-    # At most rows / 2**slice_bits groups are that large, usually none: then the broadcast
-    # is empty and the movements are not read again.
+    # At most rows / 2**slice_bits groups are that large (60,000 per 10**12 movements),
+    # usually none: then the broadcast is empty and the movements are not read again.
     large = F.broadcast(groups.where(F.col("copies") > size))
     offsets = _slice_offsets(keyed.join(large, "copy_key"), slice_bits)
     number = F.col("number_in_slice") + X.or_zero(F.col("offset"))
-    return numbered.join(offsets, ["copy_key", "slice"], "left").select(
-        *movements.columns, number.cast("bigint").alias("duplicate_number")
-    )
+    return numbered.join(offsets, ["copy_key", "slice"], "left").select(_unkeyed(number))
 
 
 def _slice_offsets(large: DataFrame, slice_bits: int) -> DataFrame:

@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 
 from stockrecon import labels as L
 from stockrecon.functions import expressions as X
-from stockrecon.operators.copies import duplicate_movements
 from stockrecon.schemas import RESULTS, TABLES
 
 # Primary key of each table.
@@ -227,21 +226,21 @@ def orders_without_movement(orders: DataFrame, movements: DataFrame) -> DataFram
     return orders.join(booked, X.supplier_reference(F.col("supplier_order_id")) == F.col("_booked"), "left_anti")
 
 
-def data_quality_issues(movements: DataFrame, orders: DataFrame) -> DataFrame:
+def data_quality_issues(duplicates: DataFrame, unbooked: DataFrame) -> DataFrame:
     """Surplus movements and orders without a movement, in one list."""
     columns = RESULTS["data_quality_issues"].names
-    surplus = duplicate_movements(movements).select(
+    surplus = duplicates.select(
         F.lit(L.DUPLICATE_MOVEMENT).alias("issue_type"),
         F.col("movement_id").alias("record_id"),
         "branch_id",
         "product_id",
         X.day_of(F.col("movement_time")).alias("issue_date"),
     )
-    unbooked = orders_without_movement(orders, movements).select(
+    missing = unbooked.select(
         F.lit(L.ORDER_WITHOUT_MOVEMENT).alias("issue_type"),
         F.col("supplier_order_id").alias("record_id"),
         "branch_id",
         "product_id",
         F.col("actual_delivery_date").alias("issue_date"),
     )
-    return surplus.select(*columns).unionByName(unbooked.select(*columns))
+    return surplus.select(*columns).unionByName(missing.select(*columns))

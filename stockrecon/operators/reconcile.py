@@ -4,7 +4,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from stockrecon.functions import expressions as X
-from stockrecon.operators.copies import duplicate_days
 from stockrecon.operators.ledger import delivery_days
 from stockrecon.operators.series import SERIES, by_series, left_join_zero, with_dims
 from stockrecon.schemas import RESULTS
@@ -45,10 +44,13 @@ def inventory_reconciliation(
     return with_dims(compared, branches, products).select(*RESULTS["inventory_reconciliation"].names)
 
 
-def reconciliation_issues(recon: DataFrame, movements: DataFrame, orders: DataFrame) -> DataFrame:
-    """Snapshots that differ from the ledger, with severity and probable cause."""
+def reconciliation_issues(recon: DataFrame, surplus: DataFrame, orders: DataFrame) -> DataFrame:
+    """Snapshots that differ from the ledger, with severity and probable cause.
+
+    ``surplus`` holds the surplus copies per day, as from ``copies.duplicate_days``.
+    """
     differing = recon.where(F.col("stock_difference") != 0)
-    surplus = by_series(duplicate_days(movements), "issue_date", "snapshot_date")
+    surplus = by_series(surplus, "issue_date", "snapshot_date")
     deliveries = by_series(delivery_days(orders), "issue_date", "snapshot_date")
     explained = left_join_zero(differing, surplus, "snapshot_date", ["duplicate_count"])
     explained = left_join_zero(explained, deliveries, "snapshot_date", ["delivery_count"])

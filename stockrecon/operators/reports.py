@@ -11,8 +11,6 @@ from pyspark.sql import functions as F
 
 from stockrecon import labels as L
 from stockrecon.functions import expressions as X
-from stockrecon.operators.copies import duplicate_days
-from stockrecon.operators.integrity import orders_without_movement
 from stockrecon.operators.series import SERIES
 
 _CASE = [*SERIES, "snapshot_date"]
@@ -145,18 +143,21 @@ def flag_matches(known: DataFrame, detected: DataFrame, keys: list[str]) -> Data
 
 
 def detected_issues(
-    phantom: DataFrame, movements: DataFrame, orders: DataFrame, issues: DataFrame
+    phantom: DataFrame, surplus: DataFrame, unbooked: DataFrame, issues: DataFrame
 ) -> DataFrame:
-    """What the four detectors report, each branch, product and day once."""
-    surplus = duplicate_days(movements).withColumn("issue_type", F.lit(L.DUPLICATE_MOVEMENT))
-    missing = orders_without_movement(orders, movements).select(
+    """What the four detectors report, each branch, product and day once.
+
+    A missing delivery is an order without a movement, whatever the stock looks like.
+    """
+    copied = surplus.withColumn("issue_type", F.lit(L.DUPLICATE_MOVEMENT))
+    missing = unbooked.select(
         F.lit(L.MISSING_DELIVERY).alias("issue_type"), *SERIES, F.col("actual_delivery_date").alias("issue_date")
     )
     shown = phantom.select(F.lit(L.PHANTOM).alias("issue_type"), *SERIES, F.col("snapshot_date").alias("issue_date"))
     shrunk = issues.where(F.col("probable_issue") == L.SHRINKAGE).select(
         F.col("probable_issue").alias("issue_type"), *SERIES, F.col("snapshot_date").alias("issue_date")
     )
-    return union_distinct([shown, surplus, missing, shrunk], _ISSUE)
+    return union_distinct([shown, copied, missing, shrunk], _ISSUE)
 
 
 def recall(known: DataFrame, detected: DataFrame) -> DataFrame:
@@ -179,9 +180,9 @@ def recall(known: DataFrame, detected: DataFrame) -> DataFrame:
 
 
 def validation_summary(
-    known: DataFrame, phantom: DataFrame, movements: DataFrame, orders: DataFrame, issues: DataFrame
+    known: DataFrame, phantom: DataFrame, surplus: DataFrame, unbooked: DataFrame, issues: DataFrame
 ) -> DataFrame:
-    return recall(known, detected_issues(phantom, movements, orders, issues))
+    return recall(known, detected_issues(phantom, surplus, unbooked, issues))
 
 
 # ---- key figures --------------------------------------------------------------------
@@ -207,14 +208,13 @@ def _revenue() -> Column:
 
 
 def executive_kpis(
-    snapshots: DataFrame, issues: DataFrame, phantom: DataFrame, movements: DataFrame, lost: DataFrame
+    snapshots: DataFrame, issues: DataFrame, phantom: DataFrame, surplus: DataFrame, lost: DataFrame
 ) -> DataFrame:
-    surplus = F.coalesce(F.sum("duplicate_count"), X.zero())
     return one_row(
         snapshots=(snapshots, _rows()),
         issues=(issues, _rows()),
         phantom=(phantom, _rows()),
-        duplicates=(duplicate_days(movements), surplus),
+        duplicates=(surplus, F.coalesce(F.sum("duplicate_count"), X.zero())),
         lost_revenue=(lost, _revenue()),
     )
 

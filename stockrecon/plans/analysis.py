@@ -13,55 +13,81 @@ Keep = Callable[[str, DataFrame], DataFrame]
 
 
 def views(t: Mapping[str, DataFrame], keep: Keep = lambda name, df: df) -> dict[str, DataFrame]:
-    """The twelve views over the eight tables.
+    """The twelve views over the eight tables, and two lists several of them read.
 
-    ``keep`` may store a view that others read, so that it is computed once.
+    ``keep`` may store a frame that others read or that is exported, so that it is computed
+    once. Without it every view is one lazy plan over the tables.
     """
     dims = (t["branches"], t["products"])
     v: dict[str, DataFrame] = {}
-    v["daily_sales"] = ledger.daily_sales(t["sales"])
-    v["daily_movements"] = ledger.daily_movements(t["movements"])
-    v["duplicate_movements"] = copies.duplicate_movements(t["movements"])
-    v["inventory_reconciliation"] = keep(
+
+    def add(name: str, df: DataFrame, shared: bool = True) -> None:
+        v[name] = keep(name, df) if shared else df
+
+    add("daily_sales", ledger.daily_sales(t["sales"]), shared=False)
+    add("daily_movements", ledger.daily_movements(t["movements"]), shared=False)
+    add("duplicate_movements", copies.duplicate_movements(t["movements"]), shared=False)
+    add("duplicate_days", copies.duplicate_days(t["movements"]))
+    add("orders_without_movement", integrity.orders_without_movement(t["supplier_orders"], t["movements"]))
+    add(
         "inventory_reconciliation",
         reconcile.inventory_reconciliation(t["snapshots"], *dims, v["daily_movements"]),
     )
-    v["reconciliation_issues"] = keep(
+    add(
         "reconciliation_issues",
-        reconcile.reconciliation_issues(v["inventory_reconciliation"], t["movements"], t["supplier_orders"]),
-    )
-    v["phantom_inventory"] = keep(
-        "phantom_inventory", availability.phantom_inventory(t["snapshots"], t["cancellations"], *dims)
-    )
-    v["stockout_days"] = keep(
-        "stockout_days", availability.stockout_days(t["snapshots"], t["cancellations"], *dims)
+        reconcile.reconciliation_issues(v["inventory_reconciliation"], v["duplicate_days"], t["supplier_orders"]),
     )
-    v["stockout_periods"] = availability.stockout_periods(v["stockout_days"])
-    v["lost_sales_estimate"] = keep(
-        "lost_sales_estimate", demand.lost_sales_estimate(v["stockout_days"], v["daily_sales"], t["products"])
+    add("phantom_inventory", availability.phantom_inventory(t["snapshots"], t["cancellations"], *dims))
+    add("stockout_days", availability.stockout_days(t["snapshots"], t["cancellations"], *dims))
+    add("stockout_periods", availability.stockout_periods(v["stockout_days"]))
+    add(
+        "lost_sales_estimate",
+        demand.lost_sales_estimate(v["stockout_days"], v["daily_sales"], t["products"]),
     )
-    v["supplier_performance"] = keep(
-        "supplier_performance", performance.supplier_performance(t["supplier_orders"], t["suppliers"])
-    )
-    v["branch_inventory_health"] = keep(
+    add("supplier_performance", performance.supplier_performance(t["supplier_orders"], t["suppliers"]))
+    add(
         "branch_inventory_health",
         performance.branch_inventory_health(
             t["branches"], v["inventory_reconciliation"], v["phantom_inventory"], v["lost_sales_estimate"]
         ),
     )
-    v["data_quality_issues"] = integrity.data_quality_issues(t["movements"], t["supplier_orders"])
+    add(
+        "data_quality_issues",
+        integrity.data_quality_issues(v["duplicate_movements"], v["orders_without_movement"]),
+    )
     return v
 
 
 def validation(t: Mapping[str, DataFrame], v: Mapping[str, DataFrame]) -> DataFrame:
     return reports.validation_summary(
-        t["known_issues"], v["phantom_inventory"], t["movements"], t["supplier_orders"], v["reconciliation_issues"]
+        t["known_issues"],
+        v["phantom_inventory"],
+        v["duplicate_days"],
+        v["orders_without_movement"],
+        v["reconciliation_issues"],
     )
 
 
+VIEWS = (
+    "daily_sales",
+    "daily_movements",
+    "duplicate_movements",
+    "inventory_reconciliation",
+    "reconciliation_issues",
+    "phantom_inventory",
+    "stockout_days",
+    "stockout_periods",
+    "lost_sales_estimate",
+    "supplier_performance",
+    "branch_inventory_health",
+    "data_quality_issues",
+)
+
+
 def register(spark: SparkSession, t: Mapping[str, DataFrame]) -> list[str]:
     """Register the tables by name and the views with the prefix ``vw_`` for ``spark.sql``."""
-    return register_views(spark, t) + register_views(spark, views(t), "vw_")
+    v = views(t)
+    return register_views(spark, t) + register_views(spark, {name: v[name] for name in VIEWS}, "vw_")
 
 
 def run(

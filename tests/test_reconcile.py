@@ -1,6 +1,6 @@
 from frames import branches, day, movements, orders, products, rows, snapshots
 
-from stockrecon.operators import ledger, reconcile
+from stockrecon.operators import copies, ledger, reconcile
 
 
 def reconciled(spark, stock, moved):
@@ -46,7 +46,7 @@ def test_issue_causes(spark):
              (1, 1, "2025-01-07 08:00:00", "DELIVERY", 1, "SUP-8")]
     placed = [(2, 1, 1, 1, "2025-01-03", "2025-01-03", 8, 8), (3, 1, 1, 1, "2025-01-07", "2025-01-07", 2, 2)]
     recon = reconciled(spark, stock, moved)
-    issues = reconcile.reconciliation_issues(recon, movements(spark, *moved), orders(spark, *placed))
+    issues = reconcile.reconciliation_issues(recon, copies.duplicate_days(movements(spark, *moved)), orders(spark, *placed))
     assert rows(issues, "snapshot_date", "stock_difference", "duplicate_movement_count", "issue_severity", "probable_issue") == [
         (day("2025-01-02"), -24, 1, "High", "Duplicate inventory movement"),
         (day("2025-01-03"), 8, 0, "Medium", "Missing delivery movement"),
@@ -59,7 +59,7 @@ def test_issue_causes(spark):
 def test_duplicate_with_surplus_stock_is_no_duplicate_issue(spark):
     copy = (1, 1, "2025-01-01 07:00:00", "SALE", 2, "SALE-1")
     recon = reconciled(spark, [(1, 1, "2025-01-01", 0)], [copy, copy])
-    issues = reconcile.reconciliation_issues(recon, movements(spark, copy, copy), orders(spark))
+    issues = reconcile.reconciliation_issues(recon, copies.duplicate_days(movements(spark, copy, copy)), orders(spark))
     assert rows(issues, "stock_difference", "duplicate_movement_count", "probable_issue") == [
         (4, 1, "Possible unrecorded inflow or count error")
     ]

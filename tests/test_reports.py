@@ -3,6 +3,7 @@ from decimal import Decimal
 from frames import day, movements, one, orders, rows, snapshots, table
 from pyspark.sql import functions as F
 
+from stockrecon.operators import copies, integrity
 from stockrecon.operators import reports as R
 
 ISSUE = "branch_id bigint, product_id bigint, snapshot_date date, stock_difference bigint, issue_severity string, probable_issue string"
@@ -79,7 +80,9 @@ def test_detectors(spark):
     copy = (1, 1, "2025-01-01 07:00:00", "DELIVERY", 5, "SUP-1")
     phantom = spark.createDataFrame([(3, 3, d, Decimal("1"))], PHANTOM)
     placed = orders(spark, (1, 1, 1, 1, "2025-01-01", "2025-01-01", 5, 5), (2, 2, 2, 1, "2025-01-01", "2025-01-01", 5, 5))
-    found = R.detected_issues(phantom, movements(spark, copy, copy, copy), placed, issues(spark))
+    moved = movements(spark, copy, copy, copy)
+    unbooked = integrity.orders_without_movement(placed, moved)
+    found = R.detected_issues(phantom, copies.duplicate_days(moved), unbooked, issues(spark))
     assert rows(found) == [
         ("Duplicate inventory movement", 1, 1, d),
         ("Missing delivery movement", 2, 2, d),
@@ -91,7 +94,7 @@ def test_detectors(spark):
 
 def test_executive_kpis_on_empty(spark):
     empty = [spark.createDataFrame([], schema) for schema in (ISSUE, PHANTOM, LOST)]
-    found = R.executive_kpis(snapshots(spark), empty[0], empty[1], movements(spark), empty[2])
+    found = R.executive_kpis(snapshots(spark), empty[0], empty[1], copies.duplicate_days(movements(spark)), empty[2])
     assert rows(found) == [(0, 0, 0, 0, Decimal("0.00"))]
 
 

@@ -7,7 +7,7 @@ from datetime import date, datetime, timedelta
 import pytest
 from frames import branches, products, rows, table
 
-from stockrecon.operators import availability, demand, integrity, ledger, reconcile, reports
+from stockrecon.operators import availability, copies, demand, integrity, ledger, reconcile, reports
 
 START = date(2025, 1, 1)
 KINDS = ["DELIVERY", "POSITIVE_ADJUSTMENT", "SALE", "WASTE", "NEGATIVE_ADJUSTMENT"]
@@ -79,7 +79,7 @@ def test_reconciliation_and_causes(data):
     recon = reconcile.inventory_reconciliation(
         f["snapshots"], f["branches"], f["products"], ledger.daily_movements(f["movements"])
     )
-    issues = reconcile.reconciliation_issues(recon, f["movements"], f["supplier_orders"])
+    issues = reconcile.reconciliation_issues(recon, copies.duplicate_days(f["movements"]), f["supplier_orders"])
     picked = issues.select("snapshot_id", "stock_difference", "duplicate_movement_count", "probable_issue")
     assert sorted(map(tuple, picked.collect())) == sorted(expected)
 
