@@ -1,7 +1,7 @@
 """One SQL statement per checked query."""
 
 from checks.oracle_tables import TABLES_SQL
-from checks.oracle_views import VIEWS_SQL
+from checks.oracle_views import VIEWS_SQL, exact_ratios
 
 _PREFIX = f"WITH {TABLES_SQL}, {VIEWS_SQL}"
 
@@ -209,7 +209,7 @@ _BODIES = {
                (actual_delivery_date - to_days((supplier_order_id % 100)::INT))::DATE AS island,
                date_diff('day', expected_delivery_date, actual_delivery_date) AS delay,
                (delay > 0)::BIGINT AS late, (delay <= 0)::BIGINT AS on_time,
-               round(100.0::DOUBLE * received_quantity / ordered_quantity, 2) AS fill,
+               HALF_UP(100 * received_quantity, ordered_quantity) AS fill,
                round_even(received_quantity / 8, 2) AS eighths
         FROM supplier_orders""",
     # joins
@@ -343,4 +343,4 @@ _EXTRA = {
 
 
 def all_oracles() -> dict[str, str]:
-    return {name: f"{_PREFIX}{_EXTRA.get(name, '')}\n{body}" for name, body in _BODIES.items()}
+    return {name: f"{_PREFIX}{_EXTRA.get(name, '')}\n{exact_ratios(body)}" for name, body in _BODIES.items()}

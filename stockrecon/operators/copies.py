@@ -17,6 +17,9 @@ SLICE_BITS = 24
 
 _SHARED = [*SERIES, "movement_time", "movement_type", "quantity"]
 
+# The struct decides; its hash comes first so that sorts compare numbers.
+_KEY = ["copy_hash", "copy_key"]
+
 
 def _keyed(movements: DataFrame) -> DataFrame:
     """Movements as id and the columns that copies share, without repeating a column.
@@ -24,10 +27,11 @@ def _keyed(movements: DataFrame) -> DataFrame:
     The shared columns are one struct, whose fields compare NULL as equal. A missing and an
     empty reference are the same key, so which one it was is kept beside it.
     """
-    reference = F.coalesce("reference_id", F.lit("")).alias("reference_id")
+    key = F.struct(*_SHARED, F.coalesce("reference_id", F.lit("")).alias("reference_id"))
     return movements.select(
         "movement_id",
-        F.struct(*_SHARED, reference).alias("copy_key"),
+        F.xxhash64(key).alias("copy_hash"),
+        key.alias("copy_key"),
         F.col("reference_id").isNotNull().alias("has_reference"),
     )
 
@@ -40,8 +44,8 @@ def _unkeyed(number: Column) -> list[Column]:
 
 
 def copy_groups(movements: DataFrame) -> DataFrame:
-    """Groups of equal movements with more than one row, as ``copy_key, copies``."""
-    return _keyed(movements).groupBy("copy_key").agg(F.count(F.lit(1)).alias("copies")).where(F.col("copies") > 1)
+    """Groups of equal movements with more than one row, as ``copy_hash, copy_key, copies``."""
+    return _keyed(movements).groupBy(*_KEY).agg(F.count(F.lit(1)).alias("copies")).where(F.col("copies") > 1)
 
 
 def duplicate_days(movements: DataFrame) -> DataFrame:
@@ -61,7 +65,7 @@ def duplicate_movements(movements: DataFrame, slice_bits: int = SLICE_BITS) -> D
 
 def number_duplicates(movements: DataFrame, slice_bits: int = SLICE_BITS) -> DataFrame:
     """All movements with their number among equal ones; only actual copies are sorted."""
-    single = _keyed(movements).join(copy_groups(movements), "copy_key", "left_anti")
+    single = _keyed(movements).join(copy_groups(movements), _KEY, "left_anti")
     return single.select(_unkeyed(F.lit(1))).unionByName(_numbered_copies(movements, slice_bits))
 
 
@@ -73,16 +77,16 @@ def _numbered_copies(movements: DataFrame, slice_bits: int) -> DataFrame:
     """
     keyed, groups, size = _keyed(movements), copy_groups(movements), 1 << slice_bits
     cut = F.when(F.col("copies") > size, F.shiftright("movement_id", slice_bits)).otherwise(X.zero())
-    copies = keyed.join(groups, "copy_key").withColumn("slice", cut)
-    in_slice = Window.partitionBy("copy_key", "slice").orderBy("movement_id")
+    copies = keyed.join(groups, _KEY).withColumn("slice", cut)
+    in_slice = Window.partitionBy(*_KEY, "slice").orderBy("movement_id")
     numbered = copies.withColumn("number_in_slice", F.row_number().over(in_slice))
 
     # At most rows / 2**slice_bits groups are that large (60,000 per 10**12 movements),
     # usually none: then the broadcast is empty and the movements are not read again.
     large = F.broadcast(groups.where(F.col("copies") > size))
-    offsets = _slice_offsets(keyed.join(large, "copy_key"), slice_bits)
+    offsets = _slice_offsets(keyed.join(large, _KEY), slice_bits)
     number = F.col("number_in_slice") + X.or_zero(F.col("offset"))
-    return numbered.join(offsets, ["copy_key", "slice"], "left").select(_unkeyed(number))
+    return numbered.join(offsets, [*_KEY, "slice"], "left").select(_unkeyed(number))
 
 
 def _slice_offsets(large: DataFrame, slice_bits: int) -> DataFrame:
@@ -93,15 +97,15 @@ def _slice_offsets(large: DataFrame, slice_bits: int) -> DataFrame:
     however the ids are spread.
     """
     slices = (
-        large.groupBy("copy_key", F.shiftright("movement_id", slice_bits).alias("slice"))
+        large.groupBy(*_KEY, F.shiftright("movement_id", slice_bits).alias("slice"))
         .agg(F.count(F.lit(1)).alias("rows"))
         .withColumn("block", F.shiftright("slice", slice_bits))
     )
-    inside = slices.withColumn("inside", X.or_zero(F.sum("rows").over(_before("slice", "copy_key", "block"))))
-    blocks = slices.groupBy("copy_key", "block").agg(F.sum("rows").alias("rows"))
-    ahead = blocks.withColumn("ahead", X.or_zero(F.sum("rows").over(_before("block", "copy_key"))))
-    return inside.join(ahead.drop("rows"), ["copy_key", "block"]).select(
-        "copy_key", "slice", (F.col("inside") + F.col("ahead")).alias("offset")
+    inside = slices.withColumn("inside", X.or_zero(F.sum("rows").over(_before("slice", *_KEY, "block"))))
+    blocks = slices.groupBy(*_KEY, "block").agg(F.sum("rows").alias("rows"))
+    ahead = blocks.withColumn("ahead", X.or_zero(F.sum("rows").over(_before("block", *_KEY))))
+    return inside.join(ahead.drop("rows"), [*_KEY, "block"]).select(
+        *_KEY, "slice", (F.col("inside") + F.col("ahead")).alias("offset")
     )
 
 
