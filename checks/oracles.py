@@ -1,7 +1,7 @@
 """One SQL statement per checked query."""
 
 from checks.oracle_tables import TABLES_SQL
-from checks.oracle_views import VIEWS_SQL, exact_ratios
+from checks.oracle_views import VIEWS_SQL, half_up
 
 _PREFIX = f"WITH {TABLES_SQL}, {VIEWS_SQL}"
 
@@ -203,13 +203,13 @@ _BODIES = {
                CASE WHEN sign < 0 THEN quantity ELSE 0 END AS outflow, sign * quantity AS net
         FROM movements JOIN (VALUES ('INITIAL_STOCK', 1), ('DELIVERY', 1), ('POSITIVE_ADJUSTMENT', 1), ('SALE', -1),
           ('WASTE', -1), ('NEGATIVE_ADJUSTMENT', -1)) k(kind, sign) ON kind = movement_type""",
-    "X_order_expressions": """
-        SELECT supplier_order_id, format('SUP-{}', supplier_order_id) AS reference,
+    "X_order_expressions": f"""
+        SELECT supplier_order_id, 'SUP-' || supplier_order_id AS reference,
                (actual_delivery_date - INTERVAL 1 WEEK)::DATE AS week_before,
                (actual_delivery_date - to_days((supplier_order_id % 100)::INT))::DATE AS island,
                date_diff('day', expected_delivery_date, actual_delivery_date) AS delay,
                (delay > 0)::BIGINT AS late, (delay <= 0)::BIGINT AS on_time,
-               HALF_UP(100 * received_quantity, ordered_quantity) AS fill,
+               {half_up('100 * received_quantity', 'ordered_quantity')} AS fill,
                round_even(received_quantity / 8, 2) AS eighths
         FROM supplier_orders""",
     # joins
@@ -343,4 +343,4 @@ _EXTRA = {
 
 
 def all_oracles() -> dict[str, str]:
-    return {name: f"{_PREFIX}{_EXTRA.get(name, '')}\n{exact_ratios(body)}" for name, body in _BODIES.items()}
+    return {name: f"{_PREFIX}{_EXTRA.get(name, '')}\n{body}" for name, body in _BODIES.items()}

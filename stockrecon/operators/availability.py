@@ -18,14 +18,9 @@ def phantom_inventory(
         "cancellation_date", "snapshot_date"
     )
     shown = snapshots.where(F.col("recorded_closing_stock") > 0)
-    cases = with_dims(join_bpd(shown, refused, "snapshot_date"), branches, products)
-    prices = products.select("product_id", "selling_price")
+    cases = with_dims(join_bpd(shown, refused, "snapshot_date"), branches, products, "selling_price")
     value = X.round2(F.col("cancelled_quantity").cast(UNITS) * F.col("selling_price")).cast(MONEY)
-    return (
-        cases.join(prices, "product_id")
-        .withColumn("directly_observed_lost_revenue", value)
-        .select(*RESULTS["phantom_inventory"].names)
-    )
+    return cases.withColumn("directly_observed_lost_revenue", value).select(*RESULTS["phantom_inventory"].names)
 
 
 def stockout_days(

@@ -39,14 +39,14 @@ def left_join_zero(left: DataFrame, right: DataFrame, day: str, columns: list[st
     return joined.withColumns({name: or_zero(F.col(name)) for name in columns})
 
 
-def with_dims(fact: DataFrame, branches: DataFrame, products: DataFrame) -> DataFrame:
-    """Add branch and product names; rows of unknown branches or products drop out.
+def with_dims(fact: DataFrame, branches: DataFrame, products: DataFrame, *more: str) -> DataFrame:
+    """Add names, and ``more`` product columns; rows of unknown branches or products drop out.
 
-    No broadcast hint: Spark broadcasts a dimension only if its size is below
-    ``spark.sql.autoBroadcastJoinThreshold`` and sort-merges it otherwise.
+    No broadcast hint: Spark broadcasts a dimension if its estimated or, at run time, its
+    measured size is below the thresholds of the session, and sort-merges it otherwise.
     """
     return fact.join(branches.select(*BRANCH_COLUMNS), "branch_id").join(
-        products.select(*PRODUCT_COLUMNS), "product_id"
+        products.select(*PRODUCT_COLUMNS, *more), "product_id"
     )
 
 

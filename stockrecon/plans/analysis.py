@@ -103,7 +103,9 @@ def run(
     Shared views are stored once in the shared folder and read from there.
     """
     work = new_folder(spark, "run")
-    t = load_tables(read_tables(spark, source, source_fmt), work)
+    t = read_tables(spark, source, source_fmt)
+    if source_fmt == "csv":
+        t = load_tables(t, work)
     integrity.assert_integrity(t)
     v = views(t, lambda name, df: load_tables({name: df}, work)[name])
     exports.export_all(v, target, target_fmt)

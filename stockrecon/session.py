@@ -16,6 +16,9 @@ SETTINGS = {
     "spark.sql.requireAllClusterKeysForCoPartition": "false",
     # Sizes of Parquet files understate rows in memory; judge broadcasts by the larger figure.
     "spark.sql.sources.fileCompressionFactor": "3.0",
+    # A dimension found to be smaller than this at run time is broadcast before the snapshots
+    # would be shuffled for it.
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
 }
 
 

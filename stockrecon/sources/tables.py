@@ -55,25 +55,17 @@ def load_tables(
     return stored
 
 
-def load_bucketed(
-    dfs: Mapping[str, DataFrame], database: str, buckets: int, mode: str = "overwrite"
-) -> dict[str, DataFrame]:
-    """Store tables in a catalog database, those with a series bucketed and sorted by it.
+def store_snapshots(snapshots: DataFrame, table: str, buckets: int, mode: str = "overwrite") -> DataFrame:
+    """Store the snapshots as a catalog table in buckets by series, one file per bucket.
 
-    Daily runs over snapshots stored this way need no shuffle of the snapshots: windows and
-    joins on a series read the buckets as they lie.
+    Windows and joins on a series then read the buckets as they lie, without a shuffle.
+    Only the snapshots suit this: a series has one of them per day, while its sales and
+    movements have no bound and would make a bucket as hot as the product.
     """
-    stored = {}
-    for name, df in dfs.items():
-        table = f"{database}.{name}"
-        writer = df.write.mode(mode).format("parquet")
-        if set(SERIES) <= set(df.columns):
-            # One task per bucket writes one file per bucket.
-            writer = df.repartition(buckets, *SERIES).write.mode(mode).format("parquet")
-            writer = writer.bucketBy(buckets, *SERIES).sortBy(*SERIES)
-        writer.saveAsTable(table)
-        stored[name] = df.sparkSession.table(table)
-    return stored
+    laid_out = snapshots.repartition(buckets, *SERIES)
+    writer = laid_out.write.mode(mode).format("parquet")
+    writer.bucketBy(buckets, *SERIES).sortBy(*SERIES, "snapshot_date").saveAsTable(table)
+    return snapshots.sparkSession.table(table)
 
 
 def register_views(spark: SparkSession, dfs: Mapping[str, DataFrame], prefix: str = "") -> list[str]:

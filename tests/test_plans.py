@@ -5,6 +5,7 @@ import re
 import pytest
 
 from stockrecon.plans import analysis
+from stockrecon.session import tune
 from stockrecon.sources import tables
 
 
@@ -20,12 +21,11 @@ def exchanges(df) -> list[str]:
 @pytest.fixture()
 def cluster(spark):
     """As on a cluster with large tables: only the dimensions are small enough to broadcast."""
-    keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
-    spark.conf.set(keys[0], "8000")
-    spark.conf.set(keys[1], "8000")
+    for key in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"):
+        spark.conf.set(key, "8000")
     yield
-    for key in keys:
-        spark.conf.unset(key)
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    tune(spark)
 
 
 def test_no_python_and_no_products(all_views, inventory):
@@ -67,6 +67,22 @@ def test_dimensions_are_broadcast(cluster, inventory):
     assert plan(analysis.views(inventory)["inventory_reconciliation"]).count("BroadcastHashJoin") == 2
 
 
+def test_dimensions_measured_small_are_broadcast_at_run_time(spark, inventory):
+    """Estimated too large, found small: the snapshots are not shuffled by branch or product."""
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    spark.conf.set(key, "1")
+    try:
+        recon = analysis.views(inventory)["inventory_reconciliation"]
+        assert "hashpartitioning(product_id" in re.sub(r"#\d+L?", "", plan(recon))
+        recon.collect()
+        final = re.sub(r"#\d+L?", "", plan(recon)).split("Initial Plan")[0]
+    finally:
+        spark.conf.unset(key)
+    assert final.count("BroadcastHashJoin [product_id]") == final.count("BroadcastHashJoin [branch_id]") == 1
+    # What is left was materialized early: the dimension sides, not the snapshot side.
+    assert len(re.findall(r"Exchange hashpartitioning\(product_id, \d+\)", final)) == 1
+
+
 def test_difference_filter_runs_before_names_are_joined(all_views):
     text = plan(all_views["reconciliation_issues"])
     names = text.index("branch_name")
@@ -75,9 +91,8 @@ def test_difference_filter_runs_before_names_are_joined(all_views):
 
 
 def test_bucketed_snapshots_are_not_shuffled(cluster, spark, inventory):
-    spark.sql("CREATE DATABASE IF NOT EXISTS layout")
-    stored = tables.load_bucketed({name: inventory[name] for name in ("snapshots", "movements")}, "layout", 4)
-    views = analysis.views({**inventory, **stored})
+    stored = tables.store_snapshots(inventory["snapshots"], "plan_snapshots", 4)
+    views = analysis.views({**inventory, "snapshots": stored})
     text = re.sub(r"#\d+L?", "", plan(views["inventory_reconciliation"]))
     window = text[text.index("Window") :]
     before_scan = window[: window.index("FileScan")]

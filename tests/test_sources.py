@@ -94,18 +94,9 @@ def test_exports_keep_their_order(spark, all_views):
     assert lengths == sorted(lengths, reverse=True) and lengths
 
 
-def test_bucketed_tables(spark, inventory):
-    spark.sql("CREATE DATABASE IF NOT EXISTS bucketed")
-    stored = tables.load_bucketed(
-        {name: inventory[name] for name in ("snapshots", "movements", "branches", "products", "cancellations")}, "bucketed", 4
-    )
-    assert stored["snapshots"].count() == inventory["snapshots"].count()
-    from stockrecon.operators import ledger, reconcile
-
-    recon = reconcile.inventory_reconciliation(
-        stored["snapshots"], stored["branches"], stored["products"], ledger.daily_movements(stored["movements"])
-    )
-    plain = reconcile.inventory_reconciliation(
-        inventory["snapshots"], inventory["branches"], inventory["products"], ledger.daily_movements(inventory["movements"])
-    )
-    assert recon.exceptAll(plain).isEmpty() and plain.exceptAll(recon).isEmpty()
+def test_bucketed_snapshots(spark, inventory):
+    stored = tables.store_snapshots(inventory["snapshots"], "bucketed_snapshots", 4)
+    for name in ("inventory_reconciliation", "stockout_periods", "lost_sales_estimate"):
+        found = analysis.views({**inventory, "snapshots": stored})[name]
+        plain = analysis.views(inventory)[name]
+        assert found.exceptAll(plain).isEmpty() and plain.exceptAll(found).isEmpty()
