@@ -6,7 +6,7 @@ group: groups are counted with partial sums, and the copies of a large group are
 in slices of the id range, whose sizes the primary key bounds.
 """
 
-from pyspark.sql import Column, DataFrame, Window, WindowSpec
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stockrecon.functions import expressions as X
@@ -65,49 +65,72 @@ def duplicate_movements(movements: DataFrame, slice_bits: int = SLICE_BITS) -> D
 
 def number_duplicates(movements: DataFrame, slice_bits: int = SLICE_BITS) -> DataFrame:
     """All movements with their number among equal ones; only actual copies are sorted."""
-    single = _keyed(movements).join(copy_groups(movements), _KEY, "left_anti")
+    small, large = _split(copy_groups(movements), slice_bits)
+    single = _keyed(movements).join(large, _KEY, "left_anti").join(small, _KEY, "left_anti")
     return single.select(_unkeyed(F.lit(1))).unionByName(_numbered_copies(movements, slice_bits))
 
 
+def _split(groups: DataFrame, slice_bits: int) -> tuple[DataFrame, DataFrame]:
+    """Groups that fit one window, and the larger ones.
+
+    At most rows / 2**slice_bits groups are large (60,000 per 10**12 movements), so they can
+    be broadcast; usually there are none, and AQE drops what is joined to them.
+    """
+    size = 1 << slice_bits
+    large = groups.where(F.col("copies") > size).select(*_KEY)
+    return groups.where(F.col("copies") <= size), F.broadcast(large)
+
+
 def _numbered_copies(movements: DataFrame, slice_bits: int) -> DataFrame:
     """Rows that have copies, numbered from 1 within their group.
 
-    Most groups have a handful of copies and form one slice. A group that could overfill a
-    window is cut along its ids, so that it spreads over many tasks.
+    Rows of large groups leave before anything is shuffled by group, and are numbered in
+    slices of their ids instead.
     """
-    keyed, groups, size = _keyed(movements), copy_groups(movements), 1 << slice_bits
-    cut = F.when(F.col("copies") > size, F.shiftright("movement_id", slice_bits)).otherwise(X.zero())
-    copies = keyed.join(groups, _KEY).withColumn("slice", cut)
-    in_slice = Window.partitionBy(*_KEY, "slice").orderBy("movement_id")
-    numbered = copies.withColumn("number_in_slice", F.row_number().over(in_slice))
+    keyed = _keyed(movements)
+    small, large = _split(copy_groups(movements), slice_bits)
+    in_group = Window.partitionBy(*_KEY).orderBy("movement_id")
+    few = keyed.join(large, _KEY, "left_anti").join(small, _KEY).select(_unkeyed(F.row_number().over(in_group)))
+    many = _numbered_in_slices(keyed.join(large, _KEY), slice_bits).select(_unkeyed(F.col("number")))
+    return few.unionByName(many)
 
-    # At most rows / 2**slice_bits groups are that large (60,000 per 10**12 movements),
-    # usually none: then the broadcast is empty and the movements are not read again.
-    large = F.broadcast(groups.where(F.col("copies") > size))
-    offsets = _slice_offsets(keyed.join(large, _KEY), slice_bits)
-    number = F.col("number_in_slice") + X.or_zero(F.col("offset"))
-    return numbered.join(offsets, [*_KEY, "slice"], "left").select(_unkeyed(number))
+
+def _numbered_in_slices(rows: DataFrame, slice_bits: int) -> DataFrame:
+    """Add the number of each row of a large group.
+
+    The position in a slice of at most 2**slice_bits ids is added to the rows of earlier
+    slices. Group and slice form one key, so that no join can fall back to the group alone.
+    """
+    sliced = rows.withColumn("slice_key", F.struct(*_KEY, F.shiftright("movement_id", slice_bits).alias("slice")))
+    position = F.row_number().over(Window.partitionBy("slice_key").orderBy("movement_id"))
+    offsets = _slice_offsets(sliced, slice_bits)
+    return (
+        sliced.withColumn("position", position)
+        .join(offsets, "slice_key")
+        .withColumn("number", F.col("position") + F.col("offset"))
+    )
 
 
-def _slice_offsets(large: DataFrame, slice_bits: int) -> DataFrame:
-    """Copies that precede each slice of a large group, as a running sum on two levels.
+def _slice_offsets(sliced: DataFrame, slice_bits: int) -> DataFrame:
+    """Rows of a group that precede each of its slices, as a running sum on two levels.
 
     Slices are collected into blocks of 2**slice_bits slices: the first window runs inside
     a block, the second over the blocks of a group, so each sees a bounded number of rows
     however the ids are spread.
     """
+    block = F.shiftright("slice_key.slice", slice_bits).alias("block")
+    group = [F.col(f"slice_key.{name}").alias(name) for name in _KEY]
     slices = (
-        large.groupBy(*_KEY, F.shiftright("movement_id", slice_bits).alias("slice"))
-        .agg(F.count(F.lit(1)).alias("rows"))
-        .withColumn("block", F.shiftright("slice", slice_bits))
+        sliced.groupBy("slice_key").agg(F.count(F.lit(1)).alias("rows")).withColumn("block_key", F.struct(*group, block))
     )
-    inside = slices.withColumn("inside", X.or_zero(F.sum("rows").over(_before("slice", *_KEY, "block"))))
-    blocks = slices.groupBy(*_KEY, "block").agg(F.sum("rows").alias("rows"))
-    ahead = blocks.withColumn("ahead", X.or_zero(F.sum("rows").over(_before("block", *_KEY))))
-    return inside.join(ahead.drop("rows"), [*_KEY, "block"]).select(
-        *_KEY, "slice", (F.col("inside") + F.col("ahead")).alias("offset")
+    inside = _rows_before(slices, "inside", ["block_key"], "slice_key.slice")
+    blocks = slices.groupBy("block_key").agg(F.sum("rows").alias("rows"))
+    ahead = _rows_before(blocks, "ahead", [f"block_key.{name}" for name in _KEY], "block_key.block")
+    return inside.join(ahead.drop("rows"), "block_key").select(
+        "slice_key", (F.col("inside") + F.col("ahead")).alias("offset")
     )
 
 
-def _before(order: str, *keys: str) -> WindowSpec:
-    return Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+def _rows_before(df: DataFrame, name: str, keys: list[str], order: str) -> DataFrame:
+    earlier = Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    return df.withColumn(name, X.or_zero(F.sum("rows").over(earlier)))

@@ -4,6 +4,7 @@ import re
 
 import pytest
 
+from stockrecon.operators import copies
 from stockrecon.plans import analysis
 from stockrecon.session import tune
 from stockrecon.sources import tables
@@ -83,6 +84,16 @@ def test_dimensions_measured_small_are_broadcast_at_run_time(spark, inventory):
     assert len(re.findall(r"Exchange hashpartitioning\(product_id, \d+\)", final)) == 1
 
 
+def test_large_groups_of_copies_are_spread_by_slice(cluster, inventory):
+    """No row of a large group is shuffled or sorted by its group alone."""
+    numbered = copies._numbered_in_slices(copies._keyed(inventory["movements"]), 4)
+    layouts = exchanges(numbered)
+    assert layouts.count("slice_key") >= 2
+    # Grouping by other keys happens on counts only, never on rows with an id.
+    for keys, below in re.findall(r"Exchange hashpartitioning\(([^)]*), \d+\).*\n(.*)", re.sub(r"#\d+L?", "", plan(numbered))):
+        assert keys == "slice_key" or "movement_id" not in below, keys
+
+
 def test_difference_filter_runs_before_names_are_joined(all_views):
     text = plan(all_views["reconciliation_issues"])
     names = text.index("branch_name")
