@@ -7,7 +7,7 @@ from datetime import date, datetime, timedelta
 import pytest
 from frames import branches, products, rows, table
 
-from stockrecon.operators import availability, copies, demand, integrity, ledger, reconcile, reports
+from stockrecon.operators import availability, copies, demand, integrity, ledger, performance, reconcile, reports
 
 START = date(2025, 1, 1)
 KINDS = ["DELIVERY", "POSITIVE_ADJUSTMENT", "SALE", "WASTE", "NEGATIVE_ADJUSTMENT"]
@@ -104,6 +104,59 @@ def test_lost_sales(data):
     assert sorted(found) == sorted(expected)
 
 
+def test_stockout_periods(data):
+    raw, f = data
+    refused = daily(raw["cancellations"], 3, lambda r: r[4])
+    stock = {(b, p, d): s for _, b, p, d, s in raw["snapshots"]}
+    days = {key for key, s in stock.items() if s == 0 or refused.get(key, 0)}
+    expected = []
+    for b, p, d in days:
+        if (b, p, d - timedelta(days=1)) not in days:
+            length = 1
+            while (b, p, d + timedelta(days=length)) in days:
+                length += 1
+            run = [(b, p, d + timedelta(days=n)) for n in range(length)]
+            expected.append((b, p, d, run[-1][2], length, sum(refused.get(key, 0) for key in run)))
+    found = availability.stockout_periods(
+        availability.stockout_days(f["snapshots"], f["cancellations"], f["branches"], f["products"])
+    ).select("branch_id", "product_id", "stockout_start", "stockout_end", "stockout_days", "cancelled_quantity")
+    assert sorted(map(tuple, found.collect())) == sorted(expected)
+
+
+def test_phantom(data):
+    raw, f = data
+    shown = [r for r in raw["cancellations"] if r[5] == "SYSTEM_SHOWED_AVAILABLE"]
+    refused = daily(shown, 3, lambda r: r[4])
+    expected = [
+        (b, p, d, s, refused[b, p, d], round(refused[b, p, d] * 2.15, 2))
+        for _, b, p, d, s in raw["snapshots"]
+        if s > 0 and (b, p, d) in refused
+    ]
+    found = availability.phantom_inventory(f["snapshots"], f["cancellations"], f["branches"], f["products"])
+    picked = found.selectExpr(
+        "branch_id", "product_id", "snapshot_date", "recorded_closing_stock", "cancelled_quantity",
+        "CAST(directly_observed_lost_revenue AS DOUBLE) AS lost",
+    )
+    assert sorted(map(tuple, picked.collect())) == sorted(expected)
+
+
+def test_suppliers(data):
+    raw, f = data
+    placed = defaultdict(list)
+    for row in raw["supplier_orders"]:
+        placed[row[3]].append(row)
+    suppliers = f["products"].sparkSession.createDataFrame([(n, f"S{n}") for n in range(1, 6)], "supplier_id bigint, supplier_name string")
+    found = performance.supplier_performance(f["supplier_orders"], suppliers)
+    for row in found.collect():
+        mine = placed.pop(row.supplier_id)
+        late = sum(r[6] > r[5] for r in mine)
+        assert (row.total_orders, row.late_orders) == (len(mine), late)
+        assert row.on_time_delivery_rate == pytest.approx(100 * (len(mine) - late) / len(mine), abs=0.0051)
+        assert row.fill_rate == pytest.approx(100 * sum(r[8] for r in mine) / sum(r[7] for r in mine), abs=0.0051)
+        assert row.average_delay_days == pytest.approx(sum((r[6] - r[5]).days for r in mine) / len(mine), abs=0.0051)
+    assert not placed
+
+
 def test_missing_deliveries_with_a_hot_reference(data):
     raw, f = data
     booked = {r[6] for r in raw["movements"] if r[4] == "DELIVERY" and r[6]}
