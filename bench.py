@@ -38,6 +38,11 @@ def timed(action) -> float:
     return time.perf_counter() - start
 
 
+def scale_of(folder: str) -> float | str:
+    name = os.path.basename(folder.rstrip("/")).removeprefix("sf")
+    return float(name) if name.replace(".", "", 1).isdigit() else name
+
+
 def main() -> None:
     folder = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", str(os.cpu_count() or 4))
@@ -62,7 +67,7 @@ def main() -> None:
                 "value": total,
                 "unit": "sec",
                 "queries": queries,
-                "sf": os.path.basename(folder.rstrip("/")).removeprefix("sf"),
+                "sf": scale_of(folder),
             }
         )
     )

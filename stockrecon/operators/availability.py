@@ -14,9 +14,8 @@ def phantom_inventory(
     snapshots: DataFrame, cancellations: DataFrame, branches: DataFrame, products: DataFrame
 ) -> DataFrame:
     """Days on which sales were cancelled for lack of goods although stock was on record."""
-    refused = cancelled_by_day(cancellations, L.SYSTEM_SHOWED_AVAILABLE).withColumnRenamed(
-        "cancellation_date", "snapshot_date"
-    )
+    cancelled = cancelled_by_day(cancellations, L.SYSTEM_SHOWED_AVAILABLE)
+    refused = by_series(cancelled, "cancellation_date", "snapshot_date")
     shown = snapshots.where(F.col("recorded_closing_stock") > 0)
     cases = with_dims(join_bpd(shown, refused, "snapshot_date"), branches, products, "selling_price")
     value = X.round2(F.col("cancelled_quantity").cast(UNITS) * F.col("selling_price")).cast(MONEY)

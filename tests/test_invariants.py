@@ -19,6 +19,11 @@ def test_counts_agree(inventory, all_views):
     assert total(v["supplier_performance"], "total_orders") == inventory["supplier_orders"].count()
 
 
+def test_on_time_and_late_make_all_orders(all_views):
+    rate = "round(100D * (total_orders - late_orders) / total_orders, 2)"
+    assert all_views["supplier_performance"].where(f"on_time_delivery_rate <> {rate}").isEmpty()
+
+
 def test_lost_units_at_least_cancelled(all_views):
     assert all_views["lost_sales_estimate"].where("estimated_lost_units < cancelled_quantity").isEmpty()
 

@@ -38,7 +38,7 @@ def test_no_python_and_no_products(all_views, inventory):
 
 def test_snapshots_are_shuffled_once_by_series(cluster, inventory):
     views = analysis.views(inventory)
-    for name in ("inventory_reconciliation", "stockout_periods", "lost_sales_estimate"):
+    for name in ("inventory_reconciliation", "phantom_inventory", "stockout_periods", "lost_sales_estimate"):
         text = re.sub(r"#\d+L?", "", plan(views[name]))
         # Everything above the daily sums is laid out by branch and product alone.
         layouts = [keys for keys in exchanges(views[name]) if "_groupingexpression" not in keys]
@@ -104,7 +104,13 @@ def test_difference_filter_runs_before_names_are_joined(all_views):
 def test_bucketed_snapshots_are_not_shuffled(cluster, spark, inventory):
     stored = tables.store_snapshots(inventory["snapshots"], "plan_snapshots", 4)
     views = analysis.views({**inventory, "snapshots": stored})
-    text = re.sub(r"#\d+L?", "", plan(views["inventory_reconciliation"]))
-    window = text[text.index("Window") :]
-    before_scan = window[: window.index("FileScan")]
-    assert "Exchange" not in before_scan
+    for name in ("inventory_reconciliation", "phantom_inventory", "stockout_periods", "lost_sales_estimate"):
+        lines = re.sub(r"#\d+L?", "", plan(views[name])).splitlines()
+        (scan,) = [n for n, line in enumerate(lines) if "recorded_closing_stock] Batched" in line]
+        depth = lines[scan].index("FileScan")
+        # Walk up from the scan: every parent is further left; none of them is a shuffle.
+        for line in reversed(lines[:scan]):
+            start = len(line) - len(line.lstrip(" :+-"))
+            if start < depth:
+                depth = start
+                assert "Exchange" not in line, (name, line)
