@@ -173,7 +173,7 @@ _BODIES = {
     "Q3_missing_references": """
         SELECT 'Q3' AS rule_id, 'movements' AS table_name, movement_id::VARCHAR AS record_id,
                'reference_id is null' AS detail
-        FROM corrected WHERE movement_id % 20 = 0""",
+        FROM movements WHERE coalesce(reference_id, '') = ''""",
     "Q4_unlisted_types": """
         SELECT 'Q4' AS rule_id, 'movements' AS table_name, movement_id::VARCHAR AS record_id,
                'movement_type IN (''INITIAL_STOCK'', ''DELIVERY'', ''SALE'', ''POSITIVE_ADJUSTMENT'')' AS detail
@@ -228,7 +228,7 @@ _BODIES = {
     "J5_expected_units": """
         SELECT branch_id, product_id, stockout_date, actual_units_sold, four_weeks / 4 AS expected_units
         FROM v_expected""",
-    "J7_orders_without_movement": "SELECT * FROM supplier_orders WHERE supplier_order_id % 37 = 0",
+    "J7_orders_without_movement": "SELECT * FROM v_unbooked",
     "J8_flag_matches": """
         SELECT k.*, EXISTS (FROM v_detected d WHERE d.issue_type = k.issue_type AND d.branch_id = k.branch_id
                             AND d.product_id = k.product_id AND d.issue_date = k.issue_date)::BIGINT AS detected
