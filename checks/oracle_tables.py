@@ -1,6 +1,7 @@
 """The derived inventory tables in SQL: a WITH prefix for every comparison query.
 
-Written from the mapping in the mart's description, independently of its Spark code.
+Written from the mapping in the mart's description, independently of its Spark code. Quoted
+labels and the numbers 37, 41, 82, 100, 193 and 1009 are fixed values of that mapping.
 """
 
 TABLES_SQL = """

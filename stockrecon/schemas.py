@@ -22,6 +22,7 @@ def _struct(**columns: T.DataType) -> T.StructType:
     return T.StructType([T.StructField(name, kind, True) for name, kind in columns.items()])
 
 
+# Names and order of the columns of tables and results.
 TABLES: dict[str, T.StructType] = {
     "branches": _struct(branch_id=_LONG, branch_name=_TEXT, region=_TEXT),
     "suppliers": _struct(supplier_id=_LONG, supplier_name=_TEXT),

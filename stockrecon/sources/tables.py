@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 from stockrecon.operators.series import SERIES
 from stockrecon.schemas import KNOWN_ISSUES, RESULTS, TABLES
 
-# Text formats of dates and times in CSV files.
+# Text formats of dates and times in CSV files.
 CSV_OPTIONS = {
     "header": "true",
     "dateFormat": "yyyy-MM-dd",
