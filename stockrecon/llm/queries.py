@@ -6,16 +6,51 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stockrecon.llm import risk_rules
+from stockrecon.llm import bin_slack, chat_format, pfair, risk_rules, site_quality, superminhash, url_filter
 from stockrecon.llm.common import table
 
 
+def op2_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    return url_filter.judge(table(spark, folder, "pages"))
+
+
 def op4_risk_rules(spark: SparkSession, folder: str) -> DataFrame:
     return risk_rules.judge(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
+def op5_superminhash(spark: SparkSession, folder: str) -> DataFrame:
+    return superminhash.components_of(table(spark, folder, "documents"), size=2)
+
+
+def op6_bin_slack(spark: SparkSession, folder: str) -> DataFrame:
+    return bin_slack.pack(table(spark, folder, "documents"))
+
+
+def op7_site_quality(spark: SparkSession, folder: str) -> DataFrame:
+    return site_quality.classify(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+def op9_pfair(spark: SparkSession, folder: str) -> DataFrame:
+    return pfair.mix(table(spark, folder, "documents"))
+
+
+def op10_chat_format(spark: SparkSession, folder: str) -> DataFrame:
+    rows = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    said = "</s>[INST] ok [/INST]"
+    extra = spark.sql(f"SELECT -1L conv_id, turn, role, '{said}' text FROM VALUES (0L, 'user'), (1L, 'assistant') AS t(turn, role)")
+    records = chat_format.records_of_rows(rows.unionByName(extra))
+    formatted = chat_format.format_turns(chat_format.canonical(records).select("conv_id", "turns"))
+    return chat_format.digests(formatted)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_url_filter": op2_url_filter,
     "op4_risk_rules": op4_risk_rules,
+    "op5_superminhash": op5_superminhash,
+    "op6_bin_slack": op6_bin_slack,
+    "op7_site_quality": op7_site_quality,
+    "op9_pfair": op9_pfair,
+    "op10_chat_format": op10_chat_format,
 }
 
 ORACLES: dict[str, str] = {}
