@@ -162,7 +162,7 @@ def format_turns(turns: DataFrame) -> DataFrame:
         "turns",
         lambda x: F.concat(
             F.lit(TURN),
-            F.regexp_replace(escape(x["role"]), "\n", "\\\\\\\\\n"),
+            F.regexp_replace(escape(x["role"]), "\n", "\\\\\n"),
             F.lit("\n"),
             escape(x["text"]),
             F.lit(END),

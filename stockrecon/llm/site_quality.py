@@ -6,7 +6,7 @@ good documents of a site is the mean of its documents, labelled ones by their la
 the probability their evidence gives under the global rate. Paths shrink toward their host and
 hosts toward the global rate, as Beta priors whose strength is estimated from how much the
 rates of sites differ beyond chance (method of moments). A document's own share is taken out of
-its path before the path's posterior becomes the prior of the document.
+its host and its path before the path's posterior becomes the prior of the document.
 
 The regression is fitted on at most ``SAMPLE_ROWS`` labelled documents, those with the least
 hash of doc_id; all sums over sites cover all documents.
@@ -19,11 +19,13 @@ repeated rows each count; extra columns pass through.
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stockrecon.llm.common import count_of, durable, fresh, let, table, words  # noqa: F401
+from stockrecon.llm.common import count_of, durable, fresh, let, words
 
 SAMPLE_ROWS = 20_000
 #: Documents are kept from this probability of being good on.
@@ -76,7 +78,7 @@ def sample(light: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> tupl
     chosen = labels.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
     found = light.select("doc_id", "features").join(F.broadcast(chosen), "doc_id").orderBy("doc_id", "features")
     data = found.limit(2 * rows).select("features", "quality").collect()
-    return np.array([r[0] for r in data], float).reshape(len(data), -1), np.array([r[1] for r in data], float)
+    return np.array([r[0] for r in data], float), np.array([r[1] for r in data], float)
 
 
 def evidence(columns: Column, weights: np.ndarray, intercept: float) -> Column:
@@ -95,13 +97,13 @@ def _sigmoid(x: Column) -> Column:
     return 1 / (1 + F.exp(-x))
 
 
-def strength(sites: DataFrame, rate: str = "parent") -> float:
+def strength(sites: DataFrame) -> float:
     """Prior documents of a level: how many documents a site needs to outweigh its parent.
 
-    ``sites``: ``n``, ``good`` and the parent's rate. The spread of site means around the
+    ``sites``: ``n``, ``good`` and ``parent``, the parent's rate. The spread of site means around the
     parent, less what chance alone explains, is the variance of the Beta prior.
     """
-    mean, parent = F.col("good") / F.col("n"), F.col(rate)
+    mean, parent = F.col("good") / F.col("n"), F.col("parent")
     total = sites.where("n > 1").agg(
         F.sum(F.col("n") * (mean - parent) ** 2).alias("spread"),
         F.sum(parent * (1 - parent)).alias("chance"),
@@ -117,57 +119,70 @@ def strength(sites: DataFrame, rate: str = "parent") -> float:
     return float(np.clip(total["binomial"] / total["n"] / between - 1, WEAKEST, STRONGEST))
 
 
-def posteriors(light: DataFrame, weights: np.ndarray, intercept: float) -> tuple[DataFrame, float]:
-    """One row per path: ``host``, ``path``, ``n``, ``good``, ``host_rate``; and the path's prior strength.
+class Model(NamedTuple):
+    """``sites``: one row per path with ``host``, ``path``, ``n``, ``good``, ``host_n``, ``host_good``."""
+
+    sites: DataFrame
+    weights: np.ndarray
+    intercept: float
+    rate: float
+    host_strength: float
+    path_strength: float
+
+
+def _good(units: str) -> Column:
+    """Sums in whole millionths do not depend on the order of addition."""
+    return F.sum(F.round(F.col(units) * 1_000_000).cast("long")) / 1_000_000
+
+
+def posteriors(light: DataFrame, weights: np.ndarray, intercept: float) -> Model:
+    """Sums by path and host, the global rate and the strengths of the priors.
 
     ``light``: ``host``, ``path``, ``features`` and ``quality`` (null where there is no label).
     """
-    llr = evidence(F.col("features"), weights, intercept)
     sums = light.where("quality IS NOT NULL").agg(F.sum("quality").alias("g"), F.count("*").alias("n")).first()
-    share = ((sums["g"] or 0) + 1) / (sums["n"] + 2)
-    good = F.coalesce(F.col("quality").cast("double"), _sigmoid(llr + _logit(F.lit(float(share)))))
-    # Sums in whole millionths do not depend on the order of addition.
-    units = F.round(good * 1_000_000).cast("long")
-    paths = durable(
-        light.groupBy("host", "path").agg(F.count("*").alias("n"), (F.sum(units) / 1_000_000).alias("good")), "paths"
-    )
-    all_ = paths.agg(F.sum("n").alias("n"), F.sum(F.round(F.col("good") * 1_000_000).cast("long")).alias("g")).first()
-    rate = float(((all_["g"] or 0) / 1_000_000 + share) / ((all_["n"] or 0) + 1))
-    hosts = paths.groupBy("host").agg(
-        F.sum("n").alias("n"), (F.sum(F.round(F.col("good") * 1_000_000).cast("long")) / 1_000_000).alias("good")
-    )
-    hosts = durable(hosts.withColumn("parent", F.lit(rate)), "hosts")
-    m = strength(hosts)
-    hosts = hosts.select("host", ((F.col("good") + m * rate) / (F.col("n") + m)).alias("host_rate"))
-    tied = durable(paths.join(hosts, "host"), "sites")
-    return tied, strength(tied, "host_rate")
-
-
-def score(light: DataFrame, labels: DataFrame, keep_from: float = KEEP_FROM) -> tuple[DataFrame, np.ndarray, float, float]:
-    """Sites, weights, intercept and the strength of paths' priors, from the light columns."""
+    share = float(((sums["g"] or 0) + 1) / (sums["n"] + 2))
+    guess = _sigmoid(evidence(F.col("features"), weights, intercept) + _logit(F.lit(share)))
+    judged = light.withColumn("good", F.coalesce(F.col("quality").cast("double"), guess))
+    paths = durable(judged.groupBy("host", "path").agg(F.count("*").alias("n"), _good("good").alias("good")), "paths")
+    total = paths.agg(F.sum("n").alias("n"), _good("good").alias("good")).first()
+    rate = float(((total["good"] or 0) + share) / ((total["n"] or 0) + 1))
+    hosts = durable(paths.groupBy("host").agg(F.sum("n").alias("host_n"), _good("good").alias("host_good")), "hosts")
+    of_hosts = strength(hosts.select(F.col("host_n").alias("n"), F.col("host_good").alias("good"), F.lit(rate).alias("parent")))
+    sites = durable(paths.join(hosts, "host"), "sites")
+    host_rate = (F.col("host_good") + of_hosts * rate) / (F.col("host_n") + of_hosts)
+    return Model(sites, weights, intercept, rate, of_hosts, strength(sites.withColumn("parent", host_rate)))
+
+
+def model_of(light: DataFrame, labels: DataFrame) -> Model:
+    """Everything that is learned, from the light columns of all documents and the labels."""
     known = labels.where(F.col("quality").isNotNull() & F.col("doc_id").isNotNull())
     known = known.groupBy("doc_id").agg(F.min("quality").alias("quality"))
-    x, good = sample(light, known)
-    weights, intercept = fit(x, good)
-    sites, m = posteriors(light.join(known, "doc_id", "left"), weights, intercept)
-    return sites, weights, intercept, m
+    weights, intercept = fit(*sample(light, known))
+    return posteriors(light.join(known, "doc_id", "left"), weights, intercept)
 
 
-def decide(docs: DataFrame, columns: str, host: str, path: str, model, out: str, keep_from: float = KEEP_FROM) -> DataFrame:
+def decide(
+    docs: DataFrame, columns: str, host: str, path: str, model: Model, out: str, keep_from: float = KEEP_FROM
+) -> DataFrame:
     """``docs`` with a struct ``out``: evidence, site_rate, quality and kept."""
-    sites, weights, intercept, m = model
-    names = {c: fresh(docs, f"site_{c}") for c in sites.columns}
-    near = sites.select(*(F.col(c).alias(n) for c, n in names.items()))
-    joined = docs.join(
-        near, (F.coalesce(F.col(host), F.lit("")) == F.col(names["host"])) & (F.coalesce(F.col(path), F.lit("")) == F.col(names["path"])), "left"
-    )
-    llr = evidence(F.col(columns), weights, intercept)
-    own = _sigmoid(llr + _logit(F.col(names["host_rate"])))
-    others = F.greatest(F.col(names["n"]) - 1, F.lit(0))
-    good = F.least(F.greatest(F.col(names["good"]) - own, F.lit(0.0)), others.cast("double"))
-    rate = F.round((good + m * F.col(names["host_rate"])) / (others + m), 9)
+    names = {c: fresh(docs, f"site_{c}") for c in model.sites.columns}
+    near = model.sites.select(*(F.col(c).alias(n) for c, n in names.items()))
+    site = [F.coalesce(F.col(c), F.lit("")) == F.col(names[n]) for c, n in ((host, "host"), (path, "path"))]
+    joined = docs.join(near, site[0] & site[1], "left")
+    llr = evidence(F.col(columns), model.weights, model.intercept)
+    own = _sigmoid(llr + _logit(F.lit(model.rate)))
+
+    def others(n: str, good: str) -> tuple[Column, Column]:
+        left = F.greatest(F.col(names[n]) - 1, F.lit(0)).cast("double")
+        return left, F.least(F.greatest(F.col(names[good]) - own, F.lit(0.0)), left)
+
+    n, good = others("host_n", "host_good")
+    host_rate = (good + model.host_strength * model.rate) / (n + model.host_strength)
+    n, good = others("n", "good")
+    rate = F.round((good + model.path_strength * host_rate) / (n + model.path_strength), 9)
     quality = F.round(_sigmoid(llr + _logit(rate)), 9)
-    fitted = F.lit(bool(len(weights) and np.any(weights)))
+    fitted = F.lit(bool(len(model.weights) and np.any(model.weights)))
     return joined.select(
         *docs.columns,
         F.struct(
@@ -187,13 +202,13 @@ def _light(docs: DataFrame, host: str, path: str) -> DataFrame:
 def classify(docs: DataFrame, labels: DataFrame, host: str = "source", path: str = "lang") -> DataFrame:
     """One row per document: ``doc_id``, ``host``, ``path``, ``evidence``, ``site_rate``, ``quality``, ``kept``."""
     light = durable(_light(docs, host, path), "features")
-    judged = decide(light, "features", "host", "path", score(light, labels), "judged")
+    judged = decide(light, "features", "host", "path", model_of(light, labels), "judged")
     return judged.select("doc_id", "host", "path", "judged.*")
 
 
 def keep(docs: DataFrame, labels: DataFrame, host: str = "source", path: str = "lang") -> DataFrame:
     """The rows of ``docs`` that pass, with the columns they came with."""
-    model = score(durable(_light(docs, host, path), "features"), labels)
+    model = model_of(durable(_light(docs, host, path), "features"), labels)
     measured, judged = fresh(docs, "features"), fresh(docs, "judged")
     rows = docs.withColumn(measured, features(F.col("text")))
     return decide(rows, measured, host, path, model, judged).where(F.col(judged)["kept"]).select(*docs.columns)

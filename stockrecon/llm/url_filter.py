@@ -170,7 +170,7 @@ def threshold(scored: DataFrame) -> int | None:
     """The score from which URLs are allowed; None if nothing was learned or held out.
 
     Among the bins of held-out scores, the least that makes the rates of allowed URLs kept and
-    of blocked URLs refused add up to most.
+    of blocked URLs refused add up to most; the limit lies midway to the bin below it.
     """
     binned = F.least(F.greatest(F.floor(F.col("score") / BIN), F.lit(-WIDEST)), F.lit(WIDEST)).cast("int")
     bins = (
@@ -184,8 +184,10 @@ def threshold(scored: DataFrame) -> int | None:
     gain = F.coalesce(F.sum("block").over(below), F.lit(0)) / F.sum("block").over(everything) - F.coalesce(
         F.sum("allow").over(below), F.lit(0)
     ) / F.sum("allow").over(everything)
-    best = bins.select("bin", gain.alias("gain")).where("gain IS NOT NULL").orderBy(F.desc("gain"), "bin").first()
-    return None if best is None else best["bin"] * BIN
+    last = F.coalesce(F.lag("bin").over(Window.orderBy("bin")) + 1, F.col("bin"))
+    measured = bins.select("bin", last.alias("last"), gain.alias("gain")).where("gain IS NOT NULL")
+    best = measured.orderBy(F.desc("gain"), "bin").first()
+    return None if best is None else (best["bin"] + best["last"]) * BIN // 2
 
 
 def judge(pages: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:

@@ -1,0 +1,113 @@
+"""URL filters: parts and rules against plain Python, the models against loops."""
+
+import math
+import random
+import re
+from collections import Counter
+
+import pytest
+
+from stockrecon.llm import url_filter as U
+
+PAGES = "page_id long, url string, html string"
+URLS = [
+    None, "", "no scheme/en/", "http://WWW.Example.COM/en/x", "https://a.example.com/en/1?b=/de/#c", "http://example.com", "http://example.com/",
+    "http://example.com/de/1", "http://notexample.com/en/1", "ftp://x.net/es/a", "http://x.net/fr/", "http://x.net/frx", "http://x.org/en/",
+    "http://É.NET/es/", "a://b://c.com/", "://", "http://com/", "http://x.com?u=/", "http://net/fr/1#", "http://www.example.com/EN/1", "x\n://y.net/fr/",
+]
+
+
+def parts(url):
+    if url is None or "://" not in url:
+        return "", ""
+    rest = url.split("://", 1)[1]
+    host = re.match(r"[^/?#]*", rest)[0]
+    path = re.match(r"[^?#]*", rest[len(host) :])[0]
+    return "".join(c.lower() if "A" <= c <= "Z" else c for c in host), path
+
+
+def rule(host, path):
+    fits = [r for r in U.RULES if (host == r.host or host.endswith("." + r.host)) and path.startswith(r.path)]
+    return max(fits, key=lambda r: len(r.host + r.path), default=None)
+
+
+def symbols(text):
+    def one(c):
+        if c.isascii() and c.isalpha():
+            return ord(c.lower()) - 97
+        return 26 if c.isascii() and c.isdigit() else {"/": 27, ".": 28, "-": 29}.get(c, 30)
+
+    return [31] * 3 + [one(c) for c in text] + [31]
+
+
+def test_parts_and_rules(spark):
+    pages = spark.createDataFrame([(i, u, None) for i, u in enumerate(URLS)], PAGES)
+    for r in U.judge(pages).collect():
+        host, path = parts(URLS[r.page_id])
+        found = rule(host, path)
+        assert (r.host, r.path, r.rule) == (host, path, found and found.host + found.path), URLS[r.page_id]
+        assert r.verdict == (found.verdict if found else r.verdict) and r.verdict in ("allow", "block")
+
+
+def corpus(n=600, seed=1):
+    rng = random.Random(seed)
+    rows = []
+    for i in range(n):
+        good = rng.random() < 0.5
+        name = "".join(rng.choice(("the", "an", "on") if good else ("xx", "zq", "9-")) for _ in range(4))
+        ruled = rng.random() < 0.6
+        url = f"http://{name}.{('com' if good else 'net') if ruled else 'org'}/{('en' if good else 'fr') if ruled else 'a'}/{rng.randrange(99)}"
+        rows.append((i, url, None))
+    return rows
+
+
+def test_model_equals_loops(spark):
+    pages = spark.createDataFrame(corpus(), PAGES)
+    rows = U.judged_rows(pages).collect()
+    counts = {v: [Counter() for _ in range(U.CONTEXT + 2)] for v in ("allow", "block")}
+    for r in rows:
+        s = symbols(r.host + r.path)
+        assert r.windows == [((s[i - 3] * 32 + s[i - 2]) * 32 + s[i - 1]) * 32 + s[i] for i in range(3, len(s))]
+        if r.listed and not r.held_out:
+            for i in range(3, len(s)):
+                for k in range(U.CONTEXT + 2):
+                    counts[r.listed][k][tuple(s[i - k + 1 : i + 1]) if k else ()] += 1
+    followers = {v: [Counter() for _ in range(U.CONTEXT + 2)] for v in counts}
+    for v, levels in counts.items():
+        for k in range(1, U.CONTEXT + 2):
+            for gram, n in levels[k].items():
+                followers[v][k][gram[:-1]] += n
+
+    def p(v, gram):
+        if not gram:
+            return 1 / U.SYMBOLS
+        seen = followers[v][len(gram)][gram[:-1]]
+        if seen < U.SEEN:
+            return p(v, gram[1:])
+        return (counts[v][len(gram)][gram] + U.SMOOTHING * p(v, gram[1:])) / (seen + U.SMOOTHING)
+
+    for context in [(), (31,), (0, 13), (19, 7, 4)]:
+        assert sum(p("allow", (*context, c)) for c in range(32)) == pytest.approx(1)
+    got = {r.page_id: r.score for r in U.judge(pages).collect()}
+    for r in rows:
+        s = symbols(r.host + r.path)
+        grams = [tuple(s[i - 3 : i + 1]) for i in range(3, len(s))]
+        mean = sum(math.log(p("allow", g)) - math.log(p("block", g)) for g in grams) / len(grams)
+        assert got[r.page_id] == pytest.approx(mean, abs=3e-6)
+
+
+def test_learns_from_rules_what_rules_do_not_say(spark):
+    rows = corpus(1500, 2)
+    verdicts = {r.page_id: (r.rule, r.verdict) for r in U.judge(spark.createDataFrame(rows, PAGES)).collect()}
+    free = [(u, verdicts[i][1]) for i, u, _ in rows if verdicts[i][0] is None]
+    right = sum((v == "allow") == bool(re.match(r"http://(the|an|on)", u)) for u, v in free)
+    assert len(free) > 300 and right / len(free) > 0.95
+
+
+def test_one_sided_rules_allow(spark):
+    pages = spark.createDataFrame([(1, "http://a.com/x", ""), (2, "http://b.org/x", ""), (None, None, None)], PAGES + "").selectExpr("*", "1 AS rule", "2 AS host")
+    assert [r.verdict for r in U.judge(pages).collect()] == ["allow"] * 3
+
+
+def test_no_pages(spark):
+    assert U.judge(spark.createDataFrame([], PAGES)).count() == 0
