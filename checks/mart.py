@@ -55,6 +55,12 @@ def star(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
+def _line_id(order: Column, line: Column) -> Column:
+    """Fails where a line number is so large that ids would collide."""
+    too_large = F.raise_error(F.concat(F.lit("line number out of range: "), line.cast("string")))
+    return F.when((line < 0) | (line >= LINES_PER_ORDER), too_large).otherwise(order * LINES_PER_ORDER + line)
+
+
 def lines(spark: SparkSession, folder: str) -> DataFrame:
     """One row per order and line number, with branch and product.
 
@@ -80,7 +86,7 @@ def lines(spark: SparkSession, folder: str) -> DataFrame:
     customers = star(spark, folder, "customer").select("c_custkey", "c_nationkey")
     homes = orders.join(customers, F.col("o_custkey") == F.col("c_custkey"))
     return booked.join(homes, F.col("l_orderkey") == F.col("o_orderkey")).select(
-        (F.col("l_orderkey") * LINES_PER_ORDER + F.col("l_linenumber")).alias("line_id"),
+        _line_id(F.col("l_orderkey"), F.col("l_linenumber")).alias("line_id"),
         (F.col("c_nationkey") + 1).cast("bigint").alias("branch_id"),
         (_whole(F.col("part"), PARTS_PER_PRODUCT) + 1).alias("product_id"),
         "supplier_id",

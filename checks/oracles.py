@@ -1,9 +1,12 @@
 """One SQL statement per checked query."""
 
+from checks.broken import broken_sql
 from checks.oracle_tables import TABLES_SQL
 from checks.oracle_views import VIEWS_SQL, half_up
+from checks.summaries import summaries_sql
+from stockrecon.schemas import RESULTS, TABLES
 
-_PREFIX = f"WITH {TABLES_SQL}, {VIEWS_SQL}"
+_PREFIX = f"WITH {TABLES_SQL}, {VIEWS_SQL}, {broken_sql()}"
 
 # Money leaves as DOUBLE, counts as BIGINT.
 _SALES = "sale_id, branch_id, product_id, sale_time, quantity, revenue::DOUBLE AS revenue"
@@ -31,14 +34,10 @@ _BODIES = {
     "S1_scan_csv_snapshots": "SELECT * FROM snapshots",
     "S1_scan_csv_cancellations": "SELECT * FROM cancellations",
     "S2_scan_known_issues": "SELECT * FROM known_issues",
-    "S3_read_result": f"SELECT {_PHANTOM} FROM v_phantom",
-    "S5_load_tables": "SELECT * FROM cancellations",
     "S6_register_views": """
         SELECT region, category, COUNT(*) AS issue_count,
-               SUM(greatest(stock_difference, -stock_difference))::BIGINT AS units_affected
+               SUM(abs(stock_difference))::BIGINT AS units_affected
         FROM v_issues NATURAL JOIN branches GROUP BY ALL""",
-    "S7_export_all": f"SELECT {_LOST} FROM v_lost",
-    "S8_export_published": f"SELECT {_HEALTH} FROM v_health ORDER BY risk_rank, branch_id LIMIT 12",
     "S9_write_validation": "SELECT * FROM v_validation",
     "S10_row_counts": """
         FROM (SELECT 'branches' AS name, COUNT(*) AS rows FROM branches)
@@ -52,42 +51,42 @@ _BODIES = {
     # integrity
     "Q1_model_rules": """
         SELECT 'Q1' AS rule_id, table_name, id::VARCHAR AS record_id, key || ': ' || COUNT(*) || ' rows' AS detail
-        FROM (SELECT 'branches' AS table_name, 'branch_id' AS key, branch_id AS id FROM branches
-              UNION ALL SELECT 'suppliers', 'supplier_id', supplier_id FROM suppliers
-              UNION ALL SELECT 'products', 'product_id', product_id FROM products
-              UNION ALL SELECT 'sales', 'sale_id', sale_id FROM sales
-              UNION ALL SELECT 'supplier_orders', 'supplier_order_id', supplier_order_id FROM supplier_orders
-              UNION ALL SELECT 'movements', 'movement_id', movement_id FROM movements
-              UNION ALL SELECT 'snapshots', 'snapshot_id', snapshot_id FROM snapshots
-              UNION ALL SELECT 'cancellations', 'cancellation_id', cancellation_id FROM cancellations)
+        FROM (SELECT 'branches' AS table_name, 'branch_id' AS key, branch_id AS id FROM broken_branches
+              UNION ALL SELECT 'suppliers', 'supplier_id', supplier_id FROM broken_suppliers
+              UNION ALL SELECT 'products', 'product_id', product_id FROM broken_products
+              UNION ALL SELECT 'sales', 'sale_id', sale_id FROM broken_sales
+              UNION ALL SELECT 'supplier_orders', 'supplier_order_id', supplier_order_id FROM broken_supplier_orders
+              UNION ALL SELECT 'movements', 'movement_id', movement_id FROM broken_movements
+              UNION ALL SELECT 'snapshots', 'snapshot_id', snapshot_id FROM broken_snapshots
+              UNION ALL SELECT 'cancellations', 'cancellation_id', cancellation_id FROM broken_cancellations)
         GROUP BY table_name, key, id HAVING COUNT(*) > 1 OR id IS NULL""",
     "Q2_model_rules": """
         SELECT 'Q2' AS rule_id, table_name, id AS record_id, cols || ': ' || COUNT(*) || ' rows' AS detail
-        FROM (SELECT 'branches' AS table_name, 'branch_name' AS cols, branch_name AS id FROM branches
-              UNION ALL SELECT 'suppliers', 'supplier_name', supplier_name FROM suppliers
-              UNION ALL SELECT 'products', 'sku', sku FROM products
+        FROM (SELECT 'branches' AS table_name, 'branch_name' AS cols, branch_name AS id FROM broken_branches
+              UNION ALL SELECT 'suppliers', 'supplier_name', supplier_name FROM broken_suppliers
+              UNION ALL SELECT 'products', 'sku', sku FROM broken_products
               UNION ALL SELECT 'snapshots', 'branch_id, product_id, snapshot_date',
-                               branch_id || ', ' || product_id || ', ' || snapshot_date FROM snapshots)
+                               branch_id || ', ' || product_id || ', ' || snapshot_date FROM broken_snapshots)
         WHERE id IS NOT NULL GROUP BY table_name, cols, id HAVING COUNT(*) > 1""",
     "Q3_model_rules": """
         SELECT 'Q3' AS rule_id, table_name, id::VARCHAR AS record_id, unnest(missing) || ' is null' AS detail
         FROM (
           SELECT 'branches' AS table_name, branch_id AS id, list_filter([
               CASE WHEN branch_name IS NULL THEN 'branch_name' END,
-              CASE WHEN region IS NULL THEN 'region' END], lambda x: x IS NOT NULL) AS missing FROM branches
+              CASE WHEN region IS NULL THEN 'region' END], lambda x: x IS NOT NULL) AS missing FROM broken_branches
           UNION ALL SELECT 'suppliers', supplier_id, list_filter([
-              CASE WHEN supplier_name IS NULL THEN 'supplier_name' END], lambda x: x IS NOT NULL) FROM suppliers
+              CASE WHEN supplier_name IS NULL THEN 'supplier_name' END], lambda x: x IS NOT NULL) FROM broken_suppliers
           UNION ALL SELECT 'products', product_id, list_filter([
               CASE WHEN sku IS NULL THEN 'sku' END, CASE WHEN product_name IS NULL THEN 'product_name' END,
               CASE WHEN category IS NULL THEN 'category' END, CASE WHEN supplier_id IS NULL THEN 'supplier_id' END,
               CASE WHEN unit_cost IS NULL THEN 'unit_cost' END,
               CASE WHEN selling_price IS NULL THEN 'selling_price' END,
               CASE WHEN reorder_point IS NULL THEN 'reorder_point' END,
-              CASE WHEN target_stock IS NULL THEN 'target_stock' END], lambda x: x IS NOT NULL) FROM products
+              CASE WHEN target_stock IS NULL THEN 'target_stock' END], lambda x: x IS NOT NULL) FROM broken_products
           UNION ALL SELECT 'sales', sale_id, list_filter([
               CASE WHEN branch_id IS NULL THEN 'branch_id' END, CASE WHEN product_id IS NULL THEN 'product_id' END,
               CASE WHEN sale_time IS NULL THEN 'sale_time' END, CASE WHEN quantity IS NULL THEN 'quantity' END,
-              CASE WHEN revenue IS NULL THEN 'revenue' END], lambda x: x IS NOT NULL) FROM sales
+              CASE WHEN revenue IS NULL THEN 'revenue' END], lambda x: x IS NOT NULL) FROM broken_sales
           UNION ALL SELECT 'supplier_orders', supplier_order_id, list_filter([
               CASE WHEN branch_id IS NULL THEN 'branch_id' END, CASE WHEN product_id IS NULL THEN 'product_id' END,
               CASE WHEN supplier_id IS NULL THEN 'supplier_id' END, CASE WHEN order_date IS NULL THEN 'order_date' END,
@@ -95,72 +94,74 @@ _BODIES = {
               CASE WHEN actual_delivery_date IS NULL THEN 'actual_delivery_date' END,
               CASE WHEN ordered_quantity IS NULL THEN 'ordered_quantity' END,
               CASE WHEN received_quantity IS NULL THEN 'received_quantity' END], lambda x: x IS NOT NULL)
-            FROM supplier_orders
+            FROM broken_supplier_orders
           UNION ALL SELECT 'movements', movement_id, list_filter([
               CASE WHEN branch_id IS NULL THEN 'branch_id' END, CASE WHEN product_id IS NULL THEN 'product_id' END,
               CASE WHEN movement_time IS NULL THEN 'movement_time' END,
               CASE WHEN movement_type IS NULL THEN 'movement_type' END,
-              CASE WHEN quantity IS NULL THEN 'quantity' END], lambda x: x IS NOT NULL) FROM movements
+              CASE WHEN quantity IS NULL THEN 'quantity' END], lambda x: x IS NOT NULL) FROM broken_movements
           UNION ALL SELECT 'snapshots', snapshot_id, list_filter([
               CASE WHEN branch_id IS NULL THEN 'branch_id' END, CASE WHEN product_id IS NULL THEN 'product_id' END,
               CASE WHEN snapshot_date IS NULL THEN 'snapshot_date' END,
               CASE WHEN recorded_closing_stock IS NULL THEN 'recorded_closing_stock' END], lambda x: x IS NOT NULL)
-            FROM snapshots
+            FROM broken_snapshots
           UNION ALL SELECT 'cancellations', cancellation_id, list_filter([
               CASE WHEN branch_id IS NULL THEN 'branch_id' END, CASE WHEN product_id IS NULL THEN 'product_id' END,
               CASE WHEN cancellation_time IS NULL THEN 'cancellation_time' END,
               CASE WHEN requested_quantity IS NULL THEN 'requested_quantity' END,
-              CASE WHEN reason IS NULL THEN 'reason' END], lambda x: x IS NOT NULL) FROM cancellations)""",
+              CASE WHEN reason IS NULL THEN 'reason' END], lambda x: x IS NOT NULL) FROM broken_cancellations)""",
     "Q4_model_rules": """
-        SELECT 'Q4' AS rule_id, 'movements' AS table_name, movement_id::VARCHAR AS record_id, 'movement_type' AS detail
-        FROM movements ANTI JOIN (VALUES ('INITIAL_STOCK'), ('DELIVERY'), ('SALE'), ('WASTE'),
+        SELECT 'Q4' AS rule_id, 'movements' AS table_name, movement_id::VARCHAR AS record_id,
+               'movement_type IN (''INITIAL_STOCK'', ''DELIVERY'', ''POSITIVE_ADJUSTMENT'', ''SALE'', ''WASTE'', ''NEGATIVE_ADJUSTMENT'')' AS detail
+        FROM broken_movements ANTI JOIN (VALUES ('INITIAL_STOCK'), ('DELIVERY'), ('SALE'), ('WASTE'),
           ('POSITIVE_ADJUSTMENT'), ('NEGATIVE_ADJUSTMENT')) k(kind) ON kind = movement_type
         WHERE movement_type IS NOT NULL
         UNION ALL
-        SELECT 'Q4', 'cancellations', cancellation_id::VARCHAR, 'reason' FROM cancellations
+        SELECT 'Q4', 'cancellations', cancellation_id::VARCHAR,
+               'reason IN (''OUT_OF_STOCK'', ''SYSTEM_SHOWED_AVAILABLE'')' FROM broken_cancellations
         WHERE NOT (reason = 'OUT_OF_STOCK' OR reason = 'SYSTEM_SHOWED_AVAILABLE')""",
     "Q5_model_rules": """
         SELECT 'Q5' AS rule_id, 'products' AS table_name, product_id::VARCHAR AS record_id, 'unit_cost >= 0' AS detail
-        FROM products WHERE unit_cost < 0
-        UNION ALL SELECT 'Q5', 'products', product_id::VARCHAR, 'reorder_point >= 0' FROM products
+        FROM broken_products WHERE unit_cost < 0
+        UNION ALL SELECT 'Q5', 'products', product_id::VARCHAR, 'reorder_point >= 0' FROM broken_products
                   WHERE reorder_point < 0
-        UNION ALL SELECT 'Q5', 'sales', sale_id::VARCHAR, 'quantity > 0' FROM sales WHERE quantity <= 0
-        UNION ALL SELECT 'Q5', 'sales', sale_id::VARCHAR, 'revenue >= 0' FROM sales WHERE revenue < 0
+        UNION ALL SELECT 'Q5', 'sales', sale_id::VARCHAR, 'quantity > 0' FROM broken_sales WHERE quantity <= 0
+        UNION ALL SELECT 'Q5', 'sales', sale_id::VARCHAR, 'revenue >= 0' FROM broken_sales WHERE revenue < 0
         UNION ALL SELECT 'Q5', 'supplier_orders', supplier_order_id::VARCHAR, 'ordered_quantity > 0'
-                  FROM supplier_orders WHERE ordered_quantity <= 0
+                  FROM broken_supplier_orders WHERE ordered_quantity <= 0
         UNION ALL SELECT 'Q5', 'supplier_orders', supplier_order_id::VARCHAR, 'received_quantity > 0'
-                  FROM supplier_orders WHERE received_quantity <= 0
-        UNION ALL SELECT 'Q5', 'movements', movement_id::VARCHAR, 'quantity > 0' FROM movements WHERE quantity <= 0
+                  FROM broken_supplier_orders WHERE received_quantity <= 0
+        UNION ALL SELECT 'Q5', 'movements', movement_id::VARCHAR, 'quantity > 0' FROM broken_movements WHERE quantity <= 0
         UNION ALL SELECT 'Q5', 'cancellations', cancellation_id::VARCHAR, 'requested_quantity > 0'
-                  FROM cancellations WHERE requested_quantity <= 0""",
+                  FROM broken_cancellations WHERE requested_quantity <= 0""",
     "Q6_model_rules": """
         SELECT 'Q6' AS rule_id, 'products' AS table_name, product_id::VARCHAR AS record_id,
-               'selling_price >= unit_cost' AS detail FROM products WHERE selling_price < unit_cost
-        UNION ALL SELECT 'Q6', 'products', product_id::VARCHAR, 'target_stock >= reorder_point' FROM products
+               'selling_price >= unit_cost' AS detail FROM broken_products WHERE selling_price < unit_cost
+        UNION ALL SELECT 'Q6', 'products', product_id::VARCHAR, 'target_stock >= reorder_point' FROM broken_products
                   WHERE target_stock < reorder_point""",
     "Q7_model_rules": """
         SELECT 'Q7' AS rule_id, child AS table_name, id::VARCHAR AS record_id,
                key || ' ' || value || ' not in ' || parent AS detail
         FROM (SELECT 'products' AS child, 'suppliers' AS parent, 'supplier_id' AS key, product_id AS id,
-                     supplier_id AS value FROM products
-              UNION ALL SELECT 'sales', 'branches', 'branch_id', sale_id, branch_id FROM sales
-              UNION ALL SELECT 'sales', 'products', 'product_id', sale_id, product_id FROM sales
+                     supplier_id AS value FROM broken_products
+              UNION ALL SELECT 'sales', 'branches', 'branch_id', sale_id, branch_id FROM broken_sales
+              UNION ALL SELECT 'sales', 'products', 'product_id', sale_id, product_id FROM broken_sales
               UNION ALL SELECT 'supplier_orders', 'branches', 'branch_id', supplier_order_id, branch_id
-                        FROM supplier_orders
+                        FROM broken_supplier_orders
               UNION ALL SELECT 'supplier_orders', 'products', 'product_id', supplier_order_id, product_id
-                        FROM supplier_orders
+                        FROM broken_supplier_orders
               UNION ALL SELECT 'supplier_orders', 'suppliers', 'supplier_id', supplier_order_id, supplier_id
-                        FROM supplier_orders
-              UNION ALL SELECT 'movements', 'branches', 'branch_id', movement_id, branch_id FROM movements
-              UNION ALL SELECT 'movements', 'products', 'product_id', movement_id, product_id FROM movements
-              UNION ALL SELECT 'snapshots', 'branches', 'branch_id', snapshot_id, branch_id FROM snapshots
-              UNION ALL SELECT 'snapshots', 'products', 'product_id', snapshot_id, product_id FROM snapshots
-              UNION ALL SELECT 'cancellations', 'branches', 'branch_id', cancellation_id, branch_id FROM cancellations
+                        FROM broken_supplier_orders
+              UNION ALL SELECT 'movements', 'branches', 'branch_id', movement_id, branch_id FROM broken_movements
+              UNION ALL SELECT 'movements', 'products', 'product_id', movement_id, product_id FROM broken_movements
+              UNION ALL SELECT 'snapshots', 'branches', 'branch_id', snapshot_id, branch_id FROM broken_snapshots
+              UNION ALL SELECT 'snapshots', 'products', 'product_id', snapshot_id, product_id FROM broken_snapshots
+              UNION ALL SELECT 'cancellations', 'branches', 'branch_id', cancellation_id, branch_id FROM broken_cancellations
               UNION ALL SELECT 'cancellations', 'products', 'product_id', cancellation_id, product_id
-                        FROM cancellations)
+                        FROM broken_cancellations)
         WHERE value IS NOT NULL AND (parent, value) NOT IN (
-          SELECT ('branches', branch_id) FROM branches UNION ALL SELECT ('products', product_id) FROM products
-          UNION ALL SELECT ('suppliers', supplier_id) FROM suppliers)""",
+          SELECT ('branches', branch_id) FROM broken_branches UNION ALL SELECT ('products', product_id) FROM broken_products
+          UNION ALL SELECT ('suppliers', supplier_id) FROM broken_suppliers)""",
     "Q1_repeated_line_keys": """
         SELECT 'Q1' AS rule_id, 'lineitem' AS table_name, l_orderkey || ', ' || l_linenumber AS record_id,
                'l_orderkey, l_linenumber: ' || COUNT(*) || ' rows' AS detail
@@ -173,7 +174,7 @@ _BODIES = {
     "Q3_missing_references": """
         SELECT 'Q3' AS rule_id, 'movements' AS table_name, movement_id::VARCHAR AS record_id,
                'reference_id is null' AS detail
-        FROM movements WHERE coalesce(reference_id, '') = ''""",
+        FROM movements WHERE reference_id IS NULL""",
     "Q4_unlisted_types": """
         SELECT 'Q4' AS rule_id, 'movements' AS table_name, movement_id::VARCHAR AS record_id,
                'movement_type IN (''INITIAL_STOCK'', ''DELIVERY'', ''SALE'', ''POSITIVE_ADJUSTMENT'')' AS detail
@@ -287,7 +288,7 @@ _BODIES = {
     # reports
     "R1_issue_mix": """
         SELECT probable_issue, issue_severity, COUNT(*) AS issue_count,
-               SUM(greatest(stock_difference, -stock_difference))::BIGINT AS units_affected
+               SUM(abs(stock_difference))::BIGINT AS units_affected
         FROM v_issues GROUP BY ALL""",
     "R2_phantom_by_value": f"SELECT {_PHANTOM} FROM v_phantom",
     "R3_longest_stockouts": f"SELECT {_PERIODS} FROM v_stockout_periods",
@@ -334,6 +335,79 @@ _BODIES = {
         ORDER BY v_phantom.directly_observed_lost_revenue DESC, branch_id, product_id, snapshot_date LIMIT 20""",
 }
 
+_BODIES["O12_first_offenders"] = f"""
+    SELECT * FROM ({_BODIES["Q5_model_rules"]} UNION ALL {_BODIES["Q7_model_rules"]})
+    ORDER BY rule_id, table_name, record_id, detail LIMIT 10"""
+
+# Stored sets: their rows before they were stored.
+_SETS = {
+    "inventory_reconciliation": "FROM v_recon",
+    "reconciliation_issues": "FROM v_issues",
+    "phantom_inventory": "FROM v_phantom",
+    "stockout_periods": "FROM v_stockout_periods",
+    "lost_sales_estimate": "FROM v_lost",
+    "supplier_performance": "FROM v_suppliers",
+    "branch_inventory_health": "FROM v_health",
+    "data_quality_issues": "FROM v_quality",
+}
+
+
+def _results(*names: str) -> str:
+    return summaries_sql({name: (_SETS[name], RESULTS[name]) for name in names})
+
+
+_BODIES |= {
+    "S3_read_result": _results(
+        "reconciliation_issues", "phantom_inventory", "stockout_periods", "lost_sales_estimate",
+        "supplier_performance", "branch_inventory_health",
+    ),
+    "S5_load_tables": summaries_sql(
+        {f"{name}{kind}": (f"FROM {name}", schema) for kind in ("", " (csv)") for name, schema in TABLES.items()}
+    ),
+    "S7_export_all": _results(*_SETS),
+    "S8_export_published": summaries_sql(
+        {
+            "branch_inventory_health": (
+                "FROM v_health ORDER BY risk_rank, branch_id LIMIT 12", RESULTS["branch_inventory_health"]
+            ),
+            "supplier_performance": ("FROM v_suppliers", RESULTS["supplier_performance"]),
+            "phantom_inventory_examples": (
+                "FROM v_phantom ORDER BY directly_observed_lost_revenue DESC, branch_id, product_id, snapshot_date"
+                " LIMIT 20",
+                RESULTS["phantom_inventory"],
+            ),
+            "validation_summary": ("FROM v_validation", RESULTS["validation_summary"]),
+        }
+    ),
+}
+
+
+def _positions(rows: str, order: str, columns: str) -> str:
+    return f"""SELECT row_number() OVER (ORDER BY {order}) AS position, {columns} FROM {rows}
+        QUALIFY position <= 25"""
+
+
+_DAY = "branch_id, product_id, snapshot_date"
+_BODIES |= {
+    "O1_positions": _positions("v_issues", f"abs(stock_difference) DESC, {_DAY}", _DAY),
+    "O2_positions": _positions("v_phantom", f"directly_observed_lost_revenue DESC, {_DAY}", _DAY),
+    "O3_positions": _positions(
+        "v_stockout_periods",
+        "stockout_days DESC, cancelled_quantity DESC, branch_id, product_id, stockout_start",
+        "branch_id, product_id, stockout_start",
+    ),
+    "O4_positions": _positions(
+        "v_lost",
+        "estimated_lost_revenue DESC, branch_id, product_id, stockout_date",
+        "branch_id, product_id, stockout_date",
+    ),
+    "O5_positions": _positions("v_suppliers", "on_time_delivery_rate, fill_rate, supplier_id", "supplier_id"),
+    "O6_positions": _positions("v_health", "risk_rank, branch_id", "branch_id"),
+    "O11_positions": _positions(
+        "(SELECT probable_issue, COUNT(*) AS n FROM v_issues GROUP BY ALL)", "n DESC, probable_issue", "probable_issue"
+    ),
+}
+
 # Further common tables of single queries.
 _EXTRA = {
     "W4_risk_rank": """, rounded AS MATERIALIZED (

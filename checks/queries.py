@@ -5,15 +5,20 @@ from collections.abc import Callable, Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
+from checks.broken import broken_tables
+from checks.summaries import summaries
 from stockrecon import labels as L
 from stockrecon.functions import expressions as X
 from stockrecon.operators import availability, copies, demand, integrity, ledger, performance, reconcile
 from stockrecon.operators import reports as R
 from stockrecon.operators.series import SERIES, by_series, join_bpd, left_join_zero, with_dims
 from stockrecon.plans import analysis
+from stockrecon.schemas import RESULTS
 from stockrecon.session import new_folder
-from stockrecon.sources import exports, mart, tables
+from checks import mart
+from stockrecon.sources import exports, tables
 
 Frames = Mapping[str, DataFrame]
 Query = Callable[[SparkSession, str], DataFrame]
@@ -74,6 +79,18 @@ BASE = ["branches", "suppliers", "products", "sales", "supplier_orders", "moveme
 
 # ---- sources and sinks --------------------------------------------------------------
 
+#: Results that are read back by name for reports.
+READ_RESULTS = (
+    "reconciliation_issues",
+    "phantom_inventory",
+    "stockout_periods",
+    "lost_sales_estimate",
+    "supplier_performance",
+    "branch_inventory_health",
+)
+#: Published extracts whose columns are those of another result.
+PUBLISHED = {"phantom_inventory_examples": "phantom_inventory"}
+
 _csv: dict[tuple[str, str], str] = {}
 
 
@@ -99,14 +116,21 @@ def _(spark, folder, t, v):
 
 @source_query("S3_read_result")
 def _(spark, folder, t, v):
+    """The six results that reports read: written, then read by name."""
     target = new_folder(spark, "result")
-    exports.write(v["phantom_inventory"], target, "phantom_inventory", "parquet")
-    return tables.read_result(spark, target, "phantom_inventory")
+    for name in READ_RESULTS:
+        exports.write(v[name], target, name, "parquet")
+    return summaries({name: tables.read_result(spark, target, name) for name in READ_RESULTS})
 
 
 @source_query("S5_load_tables")
 def _(spark, folder, t, v):
-    return tables.load_tables({"cancellations": t["cancellations"]}, new_folder(spark, "load"))["cancellations"]
+    """All eight tables stored as columns and as text, and scanned back."""
+    target = new_folder(spark, "load")
+    base = {name: t[name] for name in BASE}
+    columns = tables.load_tables(base, target)
+    text = tables.load_tables(base, target, fmt="csv")
+    return summaries(columns | {f"{name} (csv)": df for name, df in text.items()})
 
 
 @source_query("S6_register_views")
@@ -124,16 +148,16 @@ def _(spark, folder, t, v):
 @source_query("S7_export_all")
 def _(spark, folder, t, v):
     target = new_folder(spark, "export")
-    exports.write(exports.ordered_exports(v)["lost_sales_estimate"], target, "lost_sales_estimate")
-    return tables.read_result(spark, target, "lost_sales_estimate", "csv")
+    written = exports.export_all(v, target)
+    return summaries({name: tables.read_result(spark, target, name, "csv") for name in written})
 
 
 @source_query("S8_export_published")
 def _(spark, folder, t, v):
     target = new_folder(spark, "published")
-    extracts = exports.published_extracts(v, v["supplier_performance"])
-    exports.write(extracts["branch_inventory_health"], target, "branch_inventory_health")
-    return tables.read_result(spark, target, "branch_inventory_health", "csv")
+    written = exports.export_published(v, analysis.validation(t, v), target)
+    schemas = {name: RESULTS[PUBLISHED.get(name, name)] for name in written}
+    return summaries({name: tables.read_file(spark, path, schemas[name], "csv") for name, path in written.items()})
 
 
 @source_query("S9_write_validation")
@@ -152,10 +176,15 @@ def _(t, v):
 
 for _family in ("Q1", "Q2", "Q3", "Q4", "Q5", "Q6", "Q7"):
     _QUERIES[f"{_family}_model_rules"] = lambda spark, folder, family=_family: integrity.violations(
-        mart.inventory(spark, folder), family
+        broken_tables(mart.inventory(spark, folder)), family
     )
 
 
+@query("O12_first_offenders")
+def _(t, v):
+    return integrity.first_offenders(integrity.violations(broken_tables(t), "Q5", "Q7"))
+
+
 @source_query("Q1_repeated_line_keys")
 def _(spark, folder, t, v):
     return integrity.pk_violations(mart.star(spark, folder, "lineitem"), ["l_orderkey", "l_linenumber"], "lineitem")
@@ -510,3 +539,30 @@ def _(t, v):
 @query("O9_top_20_phantom")
 def _(t, v):
     return R.top_phantom(v["phantom_inventory"], 20)
+
+
+#: Rows of an ordered result whose positions are compared.
+FIRST = 25
+
+
+def _positions(name: str, view: str, order: Callable[[DataFrame], DataFrame], *columns: str) -> None:
+    @query(name)
+    def positions(t, v):
+        first = order(v[view]).limit(FIRST)
+        # The limited rows are one partition in their order.
+        place = F.row_number().over(Window.orderBy(F.monotonically_increasing_id()))
+        return first.select(place.cast("bigint").alias("position"), *columns)
+
+
+_positions("O1_positions", "reconciliation_issues", R.largest_differences, *SERIES, "snapshot_date")
+_positions("O2_positions", "phantom_inventory", R.phantom_by_value, *SERIES, "snapshot_date")
+_positions("O3_positions", "stockout_periods", R.longest_stockouts, *SERIES, "stockout_start")
+_positions("O4_positions", "lost_sales_estimate", R.lost_by_value, *SERIES, "stockout_date")
+_positions("O5_positions", "supplier_performance", R.supplier_league, "supplier_id")
+_positions("O6_positions", "branch_inventory_health", R.branch_ranking, "branch_id")
+_positions(
+    "O11_positions",
+    "reconciliation_issues",
+    lambda issues: R.order_for_chart(R.cause_counts(issues), "issue_count", True, "probable_issue"),
+    "probable_issue",
+)

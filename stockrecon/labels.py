@@ -4,8 +4,6 @@ These strings and numbers are part of the results and of the input format, so th
 are stated here once, plainly, and used everywhere else by name.
 """
 
-from decimal import Decimal
-
 # Movement types, by the sign they carry in the ledger.
 INITIAL_STOCK = "INITIAL_STOCK"
 DELIVERY = "DELIVERY"
@@ -44,4 +42,3 @@ ORDER_WITHOUT_MOVEMENT = "Delivered supplier order without movement"
 
 # Expected demand is the mean of this many earlier weeks, missing days as 0.
 LOOKBACK_WEEKS = 4
-LOOKBACK_SHARE = Decimal("0.25")

@@ -48,47 +48,58 @@ def copy_groups(movements: DataFrame) -> DataFrame:
     return _keyed(movements).groupBy(*_KEY).agg(F.count(F.lit(1)).alias("copies")).where(F.col("copies") > 1)
 
 
-def duplicate_days(movements: DataFrame) -> DataFrame:
+def duplicate_days(movements: DataFrame, groups: DataFrame | None = None) -> DataFrame:
     """Surplus copies per branch, product and day.
 
-    The count needs no numbering: a group of n copies has n - 1 surplus rows.
+    The count needs no numbering: a group of n copies has n - 1 surplus rows. ``groups`` may
+    give ``copy_groups(movements)`` if they are stored.
     """
+    groups = copy_groups(movements) if groups is None else groups
     day = X.day_of(F.col("copy_key.movement_time")).alias("issue_date")
     series = [F.col(f"copy_key.{name}").alias(name) for name in SERIES]
-    return copy_groups(movements).groupBy(*series, day).agg(F.sum(F.col("copies") - 1).alias("duplicate_count"))
+    return groups.groupBy(*series, day).agg(F.sum(F.col("copies") - 1).alias("duplicate_count"))
 
 
-def duplicate_movements(movements: DataFrame, slice_bits: int = SLICE_BITS) -> DataFrame:
-    """Every copy after the first, numbered from 2 in the order of movement_id."""
-    return _numbered_copies(movements, slice_bits).where(F.col("duplicate_number") > 1)
+def duplicate_movements(
+    movements: DataFrame, slice_bits: int = SLICE_BITS, groups: DataFrame | None = None
+) -> DataFrame:
+    """Every copy after the first, numbered from 2 in the order of movement_id.
+
+    With stored ``groups`` the movements are counted once, and if the groups are few they are
+    sent to the movements instead of shuffling these again.
+    """
+    groups = copy_groups(movements) if groups is None else groups
+    return _numbered_copies(movements, groups, slice_bits).where(F.col("duplicate_number") > 1)
 
 
 def number_duplicates(movements: DataFrame, slice_bits: int = SLICE_BITS) -> DataFrame:
     """All movements with their number among equal ones; only actual copies are sorted."""
-    small, large = _split(copy_groups(movements), slice_bits)
+    groups = copy_groups(movements)
+    small, large = _split(groups, slice_bits)
     single = _keyed(movements).join(large, _KEY, "left_anti").join(small, _KEY, "left_anti")
-    return single.select(_unkeyed(F.lit(1))).unionByName(_numbered_copies(movements, slice_bits))
+    return single.select(_unkeyed(F.lit(1))).unionByName(_numbered_copies(movements, groups, slice_bits))
 
 
 def _split(groups: DataFrame, slice_bits: int) -> tuple[DataFrame, DataFrame]:
     """Groups that fit one window, and the larger ones.
 
-    At most rows / 2**slice_bits groups are large (60,000 per 10**12 movements), so they can
-    be broadcast; usually there are none, and AQE drops what is joined to them.
+    At most rows / 2**slice_bits groups are large: 60,000 per 10**12 movements at the default,
+    from which on they are broadcast; smaller slices leave the choice to Spark. Usually there
+    are none, and AQE drops what is joined to them.
     """
     size = 1 << slice_bits
     large = groups.where(F.col("copies") > size).select(*_KEY)
-    return groups.where(F.col("copies") <= size), F.broadcast(large)
+    return groups.where(F.col("copies") <= size), F.broadcast(large) if slice_bits >= SLICE_BITS else large
 
 
-def _numbered_copies(movements: DataFrame, slice_bits: int) -> DataFrame:
+def _numbered_copies(movements: DataFrame, groups: DataFrame, slice_bits: int) -> DataFrame:
     """Rows that have copies, numbered from 1 within their group.
 
     Rows of large groups leave before anything is shuffled by group, and are numbered in
     slices of their ids instead.
     """
     keyed = _keyed(movements)
-    small, large = _split(copy_groups(movements), slice_bits)
+    small, large = _split(groups, slice_bits)
     in_group = Window.partitionBy(*_KEY).orderBy("movement_id")
     few = keyed.join(large, _KEY, "left_anti").join(small, _KEY).select(_unkeyed(F.row_number().over(in_group)))
     many = _numbered_in_slices(keyed.join(large, _KEY), slice_bits).select(_unkeyed(F.col("number")))

@@ -14,14 +14,14 @@ def lookback_days(weeks: int = L.LOOKBACK_WEEKS) -> list[int]:
     return [7 * week for week in range(1, weeks + 1)]
 
 
-def demand_by_day(daily_sales: DataFrame) -> DataFrame:
+def demand_by_day(daily_sales: DataFrame, weeks: int = L.LOOKBACK_WEEKS) -> DataFrame:
     """Actual units of each day and the sum of units over its look-back days.
 
     Instead of looking back from every stockout day, each day of sales is carried forward
     to itself and to the days that will look back at it. Rows are laid out by series
     first, so the carried rows are summed where they are made.
     """
-    forward = F.explode(F.array(*[F.lit(days) for days in (0, *lookback_days())]))
+    forward = F.explode(F.array(*[F.lit(days) for days in (0, *lookback_days(weeks))]))
     sold = by_series(daily_sales.select(*SERIES, "sale_date", "units_sold"), "sale_date", "sold_on")
     today = F.col("ahead") == 0
     carried = sold.withColumn("ahead", forward)
@@ -31,21 +31,23 @@ def demand_by_day(daily_sales: DataFrame) -> DataFrame:
     )
 
 
-def expected_units(days: DataFrame, daily_sales: DataFrame) -> DataFrame:
-    """Add actual and expected units; expected is the mean of four weeks, missing days as 0."""
+def expected_units(days: DataFrame, daily_sales: DataFrame, weeks: int = L.LOOKBACK_WEEKS) -> DataFrame:
+    """Add actual and expected units; expected is the mean of the weeks, missing days as 0."""
     joined = left_join_zero(
-        days, demand_by_day(daily_sales), "stockout_date", ["actual_units_sold", "lookback_units"]
+        days, demand_by_day(daily_sales, weeks), "stockout_date", ["actual_units_sold", "lookback_units"]
     )
-    mean = F.col("lookback_units").cast("decimal(16,0)") * F.lit(L.LOOKBACK_SHARE)
+    mean = F.col("lookback_units").cast("decimal(16,0)") / F.lit(weeks).cast("decimal(4,0)")
     return joined.withColumn("expected_units", mean.cast(UNITS)).drop("lookback_units")
 
 
-def lost_sales_estimate(days: DataFrame, daily_sales: DataFrame, products: DataFrame) -> DataFrame:
+def lost_sales_estimate(
+    days: DataFrame, daily_sales: DataFrame, products: DataFrame, weeks: int = L.LOOKBACK_WEEKS
+) -> DataFrame:
     """Units, revenue and gross profit lost on each stockout day.
 
     Each amount is rounded once, from unrounded units.
     """
-    demand = expected_units(days, daily_sales)
+    demand = expected_units(days, daily_sales, weeks)
     prices = products.select("product_id", "unit_cost", "selling_price")
     lost = X.lost_units(
         F.col("cancelled_quantity").cast(UNITS), F.col("expected_units"), F.col("actual_units_sold").cast(UNITS)

@@ -1,12 +1,23 @@
 """How the views depend on tables and on each other."""
 
+import uuid
 from collections.abc import Callable, Mapping
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 
 from stockrecon.operators import availability, copies, demand, integrity, ledger, performance, reconcile, reports
 from stockrecon.sources import exports
-from stockrecon.sources.tables import load_tables, read_known_issues, read_tables, register_views, row_counts
+from stockrecon.schemas import TABLES
+from stockrecon.sources.tables import (
+    load_tables,
+    read_known_issues,
+    read_tables,
+    register_views,
+    row_counts,
+    store_snapshots,
+    unreadable,
+)
 from stockrecon.session import new_folder
 
 Keep = Callable[[str, DataFrame], DataFrame]
@@ -26,8 +37,9 @@ def views(t: Mapping[str, DataFrame], keep: Keep = lambda name, df: df) -> dict[
 
     add("daily_sales", ledger.daily_sales(t["sales"]), shared=False)
     add("daily_movements", ledger.daily_movements(t["movements"]), shared=False)
-    add("duplicate_movements", copies.duplicate_movements(t["movements"]), shared=False)
-    add("duplicate_days", copies.duplicate_days(t["movements"]))
+    groups = keep("copy_groups", copies.copy_groups(t["movements"]))
+    add("duplicate_movements", copies.duplicate_movements(t["movements"], groups=groups), shared=False)
+    add("duplicate_days", copies.duplicate_days(t["movements"], groups))
     add("orders_without_movement", integrity.orders_without_movement(t["supplier_orders"], t["movements"]))
     add(
         "inventory_reconciliation",
@@ -97,21 +109,36 @@ def run(
     source_fmt: str = "csv",
     target_fmt: str = "csv",
     known_issues: str | None = None,
+    strict: bool = True,
 ) -> DataFrame:
-    """Load, check, analyse and export; returns the row counts of the exported sets.
+    """Load, check, analyse and export; returns the row counts of loaded tables and exported sets.
 
-    Shared views are stored once in the shared folder and read from there.
+    Every rule of the model is checked before any view is computed, and what breaks one is
+    written as ``integrity_violations``, unreadable fields of text files included. If there are
+    such rows the run ends there, unless ``strict`` is off. Snapshots are laid out by series
+    once, as a table in buckets that all views read without a shuffle; groups of equal movements
+    are counted once. Shared views are stored once in the shared folder and read from there.
     """
     work = new_folder(spark, "run")
     t = read_tables(spark, source, source_fmt)
+    found = []
     if source_fmt == "csv":
         t = load_tables(t, work)
-    integrity.assert_integrity(t)
-    v = views(t, lambda name, df: load_tables({name: df}, work)[name])
+        found = [unreadable(spark, source, name) for name in t]
+    broken = reduce(DataFrame.unionByName, found, integrity.violations(t))
+    broken = load_tables({"integrity_violations": broken}, work)["integrity_violations"]
+    exports.write(broken, target, "integrity_violations", target_fmt)
+    if strict:
+        integrity.refuse(broken)
+    laid_out = f"snapshots_{uuid.uuid4().hex}"
+    stored = store_snapshots(t["snapshots"], laid_out, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    v = views(t | {"snapshots": stored}, lambda name, df: load_tables({name: df}, work)[name])
     exports.export_all(v, target, target_fmt)
     if known_issues:
         t["known_issues"] = read_known_issues(spark, known_issues, source_fmt)
         summary = load_tables({"validation_summary": validation(t, v)}, work)["validation_summary"]
         exports.write(summary, target, "validation_summary", target_fmt)
         exports.export_published(v, summary, f"{target.rstrip('/')}/published", target_fmt)
-    return row_counts({name: v[name] for name in exports.ordered_exports(v)})
+    spark.sql(f"DROP TABLE {laid_out}")  # every exported view is stored by now
+    loaded = row_counts({name: t[name] for name in TABLES})
+    return loaded.unionByName(row_counts({name: v[name] for name in exports.ordered_exports(v)}))

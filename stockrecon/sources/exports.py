@@ -5,17 +5,13 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 
 from stockrecon.operators import reports as R
-from stockrecon.sources.tables import CSV_OPTIONS
+from stockrecon.sources.tables import write_file
 
 
 def write(df: DataFrame, folder: str, name: str, fmt: str = "csv") -> str:
     """Write one result to ``<folder>/<name>.<fmt>``, replacing an older one."""
     path = f"{folder.rstrip('/')}/{name}.{fmt}"
-    writer = df.write.mode("overwrite")
-    if fmt == "csv":
-        writer.options(**CSV_OPTIONS).csv(path)
-    else:
-        writer.format(fmt).save(path)
+    write_file(df, path, fmt)
     return path
 
 

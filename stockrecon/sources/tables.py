@@ -3,25 +3,87 @@
 from collections.abc import Mapping
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stockrecon.operators.series import SERIES
 from stockrecon.schemas import KNOWN_ISSUES, RESULTS, TABLES
 
-# Text formats of dates and times in CSV files.
+# Quotes are doubled within quoted fields and white space is kept, as other tools write it.
 CSV_OPTIONS = {
     "header": "true",
-    "dateFormat": "yyyy-MM-dd",
-    "timestampNTZFormat": "yyyy-MM-dd HH:mm:ss",
+    "quote": '"',
+    "escape": '"',
+    "ignoreLeadingWhiteSpace": "false",
+    "ignoreTrailingWhiteSpace": "false",
 }
 
 
+def _text_schema(schema: T.StructType) -> T.StructType:
+    return T.StructType([T.StructField(name, T.StringType(), True) for name in schema.names])
+
+
+def _typed(field: T.StructField) -> Column:
+    """A text field in its type, NULL if it can't be read. Times may be ISO with ``T``, with a
+    fraction, or a date alone; dates may be times."""
+    column = F.col(f"`{field.name}`")
+    if isinstance(field.dataType, T.StringType):
+        return column
+    if isinstance(field.dataType, T.DateType):
+        return column.try_cast("timestamp_ntz").cast("date")
+    return column.try_cast(field.dataType)
+
+
 def read_file(spark: SparkSession, path: str, schema: T.StructType, fmt: str) -> DataFrame:
-    """Scan one table with a fixed schema; unreadable CSV fields become NULL."""
-    reader = spark.read.schema(schema)
-    return reader.options(**CSV_OPTIONS).csv(path) if fmt == "csv" else reader.format(fmt).load(path)
+    """Scan one table with a fixed schema.
+
+    In CSV an empty field is missing, and unreadable ones become NULL, see ``unreadable``.
+    """
+    if fmt != "csv":
+        return spark.read.schema(schema).format(fmt).load(path)
+    text = spark.read.schema(_text_schema(schema)).options(**CSV_OPTIONS).csv(path)
+    return text.select(*(_typed(field).alias(field.name) for field in schema))
+
+
+def unreadable(spark: SparkSession, folder: str, table: str) -> DataFrame:
+    """Fields of a CSV table that hold text their type can't be read from, one row per field."""
+    schema = TABLES[table]
+    text = spark.read.schema(_text_schema(schema)).options(**CSV_OPTIONS).csv(_path(folder, table, "csv"))
+    lost = {
+        field.name: F.col(field.name).isNotNull() & _typed(field).isNull()
+        for field in schema
+        if not isinstance(field.dataType, T.StringType)
+    }
+    details = [
+        F.when(missing, F.concat(F.lit(f"{name} unreadable: "), F.col(name))) for name, missing in lost.items()
+    ]
+    rows = text.where(reduce(lambda a, b: a | b, lost.values()))
+    return rows.select(
+        F.lit("S1").alias("rule_id"),
+        F.lit(table).alias("table_name"),
+        F.col(schema.names[0]).alias("record_id"),
+        F.explode(F.array_compact(F.array(*details))).alias("detail"),
+    )
+
+
+def write_file(df: DataFrame, path: str, fmt: str, mode: str = "overwrite") -> None:
+    """Store one table. In CSV, times keep their fraction, and text with a line break is refused,
+    since files with such fields could not be split for reading."""
+    writer = df.write.mode(mode)
+    if fmt == "csv":
+        writer = df.select(*(_plain(field).alias(field.name) for field in df.schema)).write.mode(mode)
+        writer.options(**CSV_OPTIONS).csv(path)
+    else:
+        writer.format(fmt).save(path)
+
+
+def _plain(field: T.StructField) -> Column:
+    column = F.col(f"`{field.name}`")
+    if isinstance(field.dataType, T.StringType):
+        problem = F.concat(F.lit(f"line break in {field.name}: "), column)
+        return F.when(column.rlike("[\\r\\n]"), F.raise_error(problem)).otherwise(column)
+    return column.cast("string")
 
 
 def _path(folder: str, name: str, fmt: str) -> str:
@@ -49,8 +111,7 @@ def load_tables(
     stored = {}
     for name, df in dfs.items():
         path = _path(target, name, fmt)
-        writer = df.write.mode(mode)
-        writer.options(**CSV_OPTIONS).csv(path) if fmt == "csv" else writer.format(fmt).save(path)
+        write_file(df, path, fmt, mode)
         stored[name] = read_file(df.sparkSession, path, df.schema, fmt)
     return stored
 

@@ -33,7 +33,7 @@ def spark():
 @pytest.fixture(scope="session")
 def inventory(spark):
     """Derived tables of the smallest star."""
-    from stockrecon.sources import mart
+    from checks import mart
 
     return mart.inventory(spark, f"{STAR}/sf0.001")
 

@@ -107,7 +107,7 @@ def test_assert_integrity_raises_first_ten(spark):
     tables = clean(spark)
     tables["sales"] = table(spark, "sales", [(n, 7, 1, None, 1, None) for n in range(25)])
     with pytest.raises(integrity.IntegrityError) as error:
-        integrity.assert_integrity(tables)
+        integrity.assert_integrity(tables, 10, "Q7")
     assert len(error.value.args[0]) == 10
     assert {row[3] for row in error.value.args[0]} == {"branch_id 7 not in branches"}
 

@@ -114,3 +114,43 @@ def test_bucketed_snapshots_are_not_shuffled(cluster, spark, inventory):
             if start < depth:
                 depth = start
                 assert "Exchange" not in line, (name, line)
+
+
+def test_row_rules_reach_the_scan(inventory):
+    from stockrecon.operators import integrity
+
+    missing = plan(integrity.null_violations(inventory["movements"], ["reference_id", "movement_type"], "movement_id"))
+    assert re.search(r"PushedFilters: \[Or\(IsNull\(reference_id\),IsNull\(movement_type\)\)\]", missing)
+    range_ = plan(integrity.check_violations(inventory["sales"], ["quantity > 0", "revenue >= 0"], "sale_id"))
+    assert "LessThanOrEqual(quantity,0)" in range_
+
+
+def test_references_scan_each_child_once(inventory):
+    from stockrecon.operators import integrity
+
+    text = plan(integrity.violations(inventory, "Q7"))
+    for key in ("sale_id", "supplier_order_id", "movement_id", "snapshot_id", "cancellation_id"):
+        assert text.count(f"ReadSchema: struct<{key}:") == 1, key
+
+
+def test_a_run_lays_snapshots_out_once(spark, inventory):
+    """Over the table in buckets no view shuffles snapshots again."""
+    stored = tables.store_snapshots(inventory["snapshots"], "run_layout", 4)
+    views = analysis.views({**inventory, "snapshots": stored})
+    for name in ("inventory_reconciliation", "phantom_inventory", "stockout_days", "stockout_periods"):
+        for part in re.split(r"(?=\+- Exchange )", plan(views[name]))[1:]:
+            assert "run_layout" not in part.split("\n:")[0] or "BroadcastExchange" in part, name
+
+
+def test_few_copies_do_not_shuffle_movements_again(spark, inventory):
+    stored = tables.load_tables({"groups": copies.copy_groups(inventory["movements"])}, f"{tables_folder(spark)}")["groups"]
+    found = copies.duplicate_movements(inventory["movements"], groups=stored)
+    assert "BroadcastHashJoin [copy_hash" in plan(found) and "SortMergeJoin [copy_hash" not in plan(found)
+    plain = copies.duplicate_movements(inventory["movements"])
+    assert found.exceptAll(plain).isEmpty() and plain.exceptAll(found).isEmpty()
+
+
+def tables_folder(spark) -> str:
+    from stockrecon.session import new_folder
+
+    return new_folder(spark, "groups")

@@ -1,4 +1,5 @@
 import csv
+import tempfile
 from datetime import date, datetime
 from decimal import Decimal
 from pathlib import Path
@@ -6,6 +7,7 @@ from pathlib import Path
 import pytest
 from frames import rows
 
+from stockrecon.operators.integrity import IntegrityError
 from stockrecon.plans import analysis
 from stockrecon.schemas import RESULTS, TABLES
 from stockrecon.session import new_folder
@@ -76,12 +78,15 @@ def test_full_run(spark, inventory):
     labels = exports.write(inventory["known_issues"], source, "known_issues")
     counts = {r.name: r.rows for r in analysis.run(spark, source, target, known_issues=labels).collect()}
     assert counts["inventory_reconciliation"] == inventory["snapshots"].count()
-    assert set(counts) == {
+    results = {
         "inventory_reconciliation", "reconciliation_issues", "phantom_inventory", "stockout_periods",
         "lost_sales_estimate", "supplier_performance", "branch_inventory_health", "data_quality_issues",
     }
-    for name, size in counts.items():
-        assert tables.read_result(spark, target, name, "csv").count() == size
+    assert set(counts) == results | set(BASE)
+    for name in results:
+        assert tables.read_result(spark, target, name, "csv").count() == counts[name]
+    for name in BASE:
+        assert counts[name] == inventory[name].count()
     assert tables.read_result(spark, target, "validation_summary", "csv").count() == 4
     top = tables.read_result(spark, f"{target}/published", "branch_inventory_health", "csv")
     assert [r.risk_rank for r in top.orderBy("risk_rank").collect()] == list(range(1, 13))
@@ -111,3 +116,85 @@ def test_bucketed_snapshots(spark, inventory):
         found = analysis.views({**inventory, "snapshots": stored})[name]
         plain = analysis.views(inventory)[name]
         assert found.exceptAll(plain).isEmpty() and plain.exceptAll(found).isEmpty()
+
+
+BROKEN = {
+    "sales": [(1, 1, 1, "2025-01-01T10:00:00", -3, "1.00")],
+    "movements": [(1, 1, 1, "2025-01-01 10:00:00", "BOGUS", 1, None)],
+    "snapshots": [(1, 1, 1, "2025-01-01", "abc")],
+    "cancellations": [(1, 1, 1, "soon", 1, "OUT_OF_STOCK")],
+}
+
+
+def _text_folder(spark, **changes):
+    """A small consistent source in CSV, as another tool writes it, with some tables replaced."""
+    content = {
+        "branches": [(1, "A", "N")],
+        "suppliers": [(1, "S")],
+        "products": [(1, "K1", "P", "C", 1, "1.00", "2.00", 1, 2)],
+        "sales": [(1, 1, 1, "2025-01-01T10:00:00", 3, "6.00")],
+        "supplier_orders": [(1, 1, 1, 1, "2025-01-01", "2025-01-02", "2025-01-02", 5, 5)],
+        "movements": [
+            (1, 1, 1, "2025-01-01 10:00:00.1", "SALE", 1, None),
+            (2, 1, 1, "2025-01-01 10:00:00.4", "SALE", 1, None),
+            (3, 1, 1, "2025-01-02", "DELIVERY", 5, "SUP-1"),
+        ],
+        "snapshots": [(1, 1, 1, "2025-01-01", 4), (2, 1, 1, "2025-01-02", 9)],
+        "cancellations": [(1, 1, 1, "2025-01-01 12:00:00", 1, "OUT_OF_STOCK")],
+    } | changes
+    folder = Path(tempfile.mkdtemp(prefix="source-"))
+    for name, lines in content.items():
+        with (folder / f"{name}.csv").open("w", newline="") as out:
+            writer = csv.writer(out)
+            writer.writerow(tables.TABLES[name].names)
+            writer.writerows(["" if x is None else x for x in line] for line in lines)
+    return str(folder)
+
+
+def test_text_times_of_all_kinds(spark):
+    read = tables.read_tables(spark, _text_folder(spark), "csv")
+    assert [r.sale_time for r in read["sales"].collect()] == [datetime(2025, 1, 1, 10)]
+    times = [r.movement_time for r in read["movements"].orderBy("movement_id").collect()]
+    assert times == [datetime(2025, 1, 1, 10, 0, 0, 100_000), datetime(2025, 1, 1, 10, 0, 0, 400_000), datetime(2025, 1, 2)]
+
+
+def test_text_round_trip_makes_no_duplicates(spark):
+    read = tables.read_tables(spark, _text_folder(spark), "csv")
+    again = tables.load_tables(read, new_folder(spark, "again"), fmt="csv")
+    for name, df in read.items():
+        assert df.exceptAll(again[name]).isEmpty() and again[name].exceptAll(df).isEmpty()
+    assert analysis.views(again)["duplicate_movements"].isEmpty()
+
+
+def test_text_with_quotes_and_spaces(spark):
+    lines = [(1, ' a "quoted", b ', "x\\y"), (2, "  ", None), (3, "it's", "\\")]
+    folder = new_folder(spark, "quotes")
+    stored = spark.createDataFrame(lines, tables.TABLES["branches"])
+    again = tables.load_tables({"branches": stored}, folder, fmt="csv")["branches"]
+    assert sorted(map(tuple, again.collect())) == sorted(lines)
+
+
+def test_line_breaks_are_refused_in_text(spark):
+    stored = spark.createDataFrame([(1, "a\nb", "x")], tables.TABLES["branches"])
+    with pytest.raises(Exception, match="line break in branch_name"):
+        tables.load_tables({"branches": stored}, new_folder(spark, "breaks"), fmt="csv")
+
+
+def test_run_accepts_consistent_text(spark):
+    counts = {r.name: r.rows for r in analysis.run(spark, _text_folder(spark), new_folder(spark, "fine")).collect()}
+    assert counts["sales"] == 1 and counts["movements"] == 3 and counts["inventory_reconciliation"] == 2
+
+
+@pytest.mark.parametrize("name", list(BROKEN))
+def test_run_refuses_broken_rows(spark, name):
+    folder, target = _text_folder(spark, **{name: BROKEN[name]}), new_folder(spark, "refused")
+    with pytest.raises(IntegrityError) as error:
+        analysis.run(spark, folder, target)
+    assert any(row[1] == name for row in error.value.args[0])
+    found = spark.read.csv(f"{target}/integrity_violations.csv", header=True).collect()
+    assert {r.table_name for r in found} >= {name}
+
+
+def test_run_may_go_on(spark):
+    folder, target = _text_folder(spark, sales=BROKEN["sales"]), new_folder(spark, "went-on")
+    assert analysis.run(spark, folder, target, strict=False).count() == 16
