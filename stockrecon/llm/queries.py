@@ -1,4 +1,4 @@
-"""The operators as queries over the given tables, and their SQL where it can say the same."""
+"""The operators as queries over the given tables."""
 
 from __future__ import annotations
 
@@ -84,5 +84,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_pfair": op9_pfair,
     "op10_chat_format": op10_chat_format,
 }
-
-ORACLES: dict[str, str] = {}
