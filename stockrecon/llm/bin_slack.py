@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from stockrecon.llm.common import durable
+from stockrecon.llm.common import durable, map_batches
 from stockrecon.llm.tokens import SLICE_CHARS, default_ranks, encoder
 
 LENGTH = 1024
@@ -66,7 +66,7 @@ def pieces(docs: DataFrame, length: int = LENGTH, ranks: str | None = None, with
                 first = last
 
     schema = PIECES + (", ids array<long>" if with_ids else "")
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, schema)
+    return map_batches(docs.select(F.col("doc_id").cast("long"), "text"), run, schema)
 
 
 def best_fill(counts: np.ndarray, room: int) -> dict[int, int]:
@@ -150,4 +150,4 @@ def pack(docs: DataFrame, length: int = LENGTH, ranks: str | None = None, with_i
     kept = [c for c in cut.columns if c not in ("part", "nth")]
     types = dict(cut.dtypes)
     schema = ", ".join([*(f"{c} {types[c]}" for c in kept), "sequence_id bigint", "offset bigint"])
-    return ranked.mapInArrow(run, schema)
+    return map_batches(ranked, run, schema)

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
 from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,6 +32,32 @@ def durable(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Let Python workers import this package, once per application.
+
+    A worker need not share the driver's folders or its path, so the sources go along as an
+    archive that Spark sends to every executor. A package that was itself shipped stays as it is.
+    """
+    package, context = Path(__file__).resolve().parents[1], spark.sparkContext
+    if context.applicationId in _shipped or not package.is_dir():
+        return
+    archive = Path(tempfile.mkdtemp(prefix="sources-")) / f"{package.name}-{context.applicationId}.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for source in sorted(package.rglob("*.py")):
+            out.write(source, source.relative_to(package.parent))
+    context.addPyFile(str(archive))
+    _shipped.add(context.applicationId)
+
+
+def map_batches(df: DataFrame, function: Callable, schema: str) -> DataFrame:
+    """``df.mapInArrow`` with a function that uses this package."""
+    ship(df.sparkSession)
+    return df.mapInArrow(function, schema)
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body(value)`` with ``value`` evaluated once, however often the body names it."""
     return F.get(F.transform(F.array(value), body), F.lit(0))

@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from stockrecon.llm.common import durable
+from stockrecon.llm.common import durable, map_batches
 
 #: Rows of a block of candidates and of a block of queries.
 CANDIDATES, QUERIES = 8_192, 1_024
@@ -73,7 +73,7 @@ def blocks(vectors: DataFrame, size: int) -> DataFrame:
         if ids:
             yield packed(first + made, ids, rows)
 
-    return vectors.mapInArrow(run, BLOCK)
+    return map_batches(vectors, run, BLOCK)
 
 
 def _narrow(matrix: np.ndarray) -> np.ndarray:
@@ -186,7 +186,7 @@ def search(queries: DataFrame, candidates: DataFrame, k: int = 5) -> DataFrame:
                     names=["query_id", "vec_id", "score"],
                 )
 
-    best = pairs.mapInArrow(run, "query_id long, vec_id long, score long")
+    best = map_batches(pairs, run, "query_id long, vec_id long, score long")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     ranked = best.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stockrecon.llm.common import durable, fresh
+from stockrecon.llm.common import durable, fresh, map_batches
 from stockrecon.llm.components import components
 from stockrecon.llm.hashing import GOLDEN, mix, shingle_sets
 
@@ -132,7 +132,7 @@ def sketches(docs: DataFrame, size: int) -> DataFrame:
                 yield pa.record_batch(columns, schema=pa.schema(kinds))
 
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text"), F.xxhash64("text").alias("text_hash"))
-    return rows.mapInArrow(run, schema)
+    return map_batches(rows, run, schema)
 
 
 def _connected(sets: list[np.ndarray], banded: np.ndarray, per_cent: int) -> list[int]:
@@ -200,7 +200,7 @@ def _links(candidates: DataFrame, size: int, per_cent: int) -> DataFrame:
         found += of_task(keys, texts)
         yield pa.record_batch([pa.array([f[i] for f in found], pa.binary()) for i in (0, 1)], names=["a", "b"])
 
-    return candidates.mapInArrow(run, "a binary, b binary")
+    return map_batches(candidates, run, "a binary, b binary")
 
 
 def components_of(docs: DataFrame, size: int = 5, per_cent: int = 80) -> DataFrame:
