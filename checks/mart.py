@@ -316,16 +316,24 @@ def stage(spark: SparkSession, folder: str, target: str) -> dict[str, DataFrame]
     return stored | load_tables({"known_issues": labels}, target)
 
 
-_staged: dict[tuple[str, str], dict[str, DataFrame]] = {}
+_staged: dict[tuple, dict[str, DataFrame]] = {}
+
+
+def source_key(spark: SparkSession, folder: str) -> tuple:
+    """The application and the folder as its files are now; a changed file makes another key."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    listed = path.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(path)
+    files = ((s.getPath().getName(), s.getModificationTime(), s.getLen()) for s in listed)
+    return spark.sparkContext.applicationId, folder, tuple(sorted(files))
 
 
 def inventory(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    """The eight tables and the labels, derived once per application and source folder.
+    """The eight tables and the labels, derived once per application and state of the source folder.
 
     They are stored as tables in the shared folder, so that queries start from them and
     survive the loss of executors.
     """
-    key = (spark.sparkContext.applicationId, folder)
+    key = source_key(spark, folder)
     if key not in _staged:
         tune(spark)
         _staged[key] = stage(spark, folder, new_folder(spark, "inventory"))

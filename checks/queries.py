@@ -24,7 +24,7 @@ Frames = Mapping[str, DataFrame]
 Query = Callable[[SparkSession, str], DataFrame]
 
 _QUERIES: dict[str, Query] = {}
-_views: dict[tuple[str, str], dict[str, DataFrame]] = {}
+_views: dict[tuple, dict[str, DataFrame]] = {}
 
 
 def edge(df: DataFrame) -> DataFrame:
@@ -39,7 +39,7 @@ def edge(df: DataFrame) -> DataFrame:
 
 
 def _analysis(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    key = (spark.sparkContext.applicationId, folder)
+    key = mart.source_key(spark, folder)
     if key not in _views:
         _views[key] = analysis.views(mart.inventory(spark, folder))
     return _views[key]
@@ -91,13 +91,13 @@ READ_RESULTS = (
 #: Published extracts whose columns are those of another result.
 PUBLISHED = {"phantom_inventory_examples": "phantom_inventory"}
 
-_csv: dict[tuple[str, str], str] = {}
+_csv: dict[tuple, str] = {}
 
 
 def _register_scan(name: str) -> None:
     @source_query(f"S1_scan_csv_{name}")
     def scan(spark, folder, t, v):
-        key = (spark.sparkContext.applicationId, folder)
+        key = mart.source_key(spark, folder)
         if key not in _csv:
             _csv[key] = new_folder(spark, "csv")
             tables.load_tables({table: t[table] for table in BASE}, _csv[key], fmt="csv")
