@@ -214,16 +214,20 @@ def components_of(docs: DataFrame, size: int = 5, per_cent: int = 80) -> DataFra
             F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")).alias("pick"),
             F.first("bands").alias("bands"),
             F.first("n_shingles").alias("n_shingles"),
-        ),
+        )
+        .withColumn("short", F.xxhash64("key")),
         "nodes",
     )
-    slots = nodes.select(F.explode("bands").alias("bucket"), "key")
-    leaders = slots.groupBy("bucket").agg(F.min("key").alias("leader"), F.count("*").alias("n")).where("n > 1").drop("n")
-    ties = slots.join(leaders, "bucket").where("key != leader").select("leader", "key")
-    grouped = durable(components(ties).select(F.col("node").alias("key"), F.col("root").alias("group")), "candidates")
+    # Buckets and groups of candidates name a node by half of its key, which keeps their many
+    # rows short; two nodes that shared it would only be compared once more.
+    slots = nodes.select(F.explode("bands").alias("bucket"), "short")
+    leaders = slots.groupBy("bucket").agg(F.min("short").alias("leader"), F.max("short").alias("last"))
+    leaders = leaders.where("leader != last").drop("last")
+    ties = slots.join(leaders, "bucket").where("short != leader").select("leader", "short")
+    shorts = durable(components(ties).select(F.col("node").alias("short"), F.col("root").alias("group")), "candidates")
+    grouped = durable(nodes.select("key", "short", "n_shingles", "pick").join(shorts, "short").drop("short"), "grouped")
     sizes = (
-        grouped.join(nodes.select("key", "n_shingles"), "key")
-        .groupBy("group")
+        grouped.groupBy("group")
         .agg(
             F.greatest(
                 F.ceil(F.count("*") / (2 * GROUP_NODES)), F.ceil(F.sum("n_shingles") / (2 * GROUP_SHINGLES))
@@ -235,7 +239,6 @@ def components_of(docs: DataFrame, size: int = 5, per_cent: int = 80) -> DataFra
     others = F.sequence(F.lit(0), F.col("blocks") - 1)
     wanted = (
         grouped.join(sizes, "group")
-        .join(nodes.select("key", "pick"), "key")
         .select("group", "key", "pick", "blocks", block.alias("block"), F.explode(others).alias("other"))
         .where((F.col("block") != F.col("other")) | (F.col("blocks") == 1))
         .select(
