@@ -9,7 +9,8 @@ add up to 1, and keeps every source within one block of its weight at every mome
 Weights are held as whole numbers out of ``PERIOD``. After ``PERIOD`` slots every source is
 exactly at its weight and the schedule repeats, so it is laid out for one period, as a fold
 over its slots, and every block finds its slot by its number alone. When a source has run out,
-its slots stay empty and the others keep their proportions.
+its slots stay empty and the others keep their proportions. The sources of a mixture are one row
+of the plan: they are the named parts of a corpus, some thousands at most.
 
 Defined results: a null source is the source ''; null and empty texts have size 0 and join the
 block that is open; repeated rows keep their number; sources without a target weight share what
@@ -108,33 +109,46 @@ def schedule(weights: DataFrame, period: int = PERIOD) -> DataFrame:
     )
 
 
-def blocks(docs: DataFrame, block_chars: int = BLOCK_CHARS) -> DataFrame:
-    """``doc_id``, ``source``, ``size``, ``place`` and ``block`` (from 0) of every document.
+def _place() -> Column:
+    return F.xxhash64("doc_id", "text")
 
-    ``place`` is a hash that orders a source. The running size of a source is summed in two
-    levels, within runs of about ``RUN_ROWS`` rows of neighbouring places and over the runs, so
-    a source of any size is never ordered in one task. Only sizes and ids are shuffled.
-    """
-    light = durable(
+
+def _run(place: Column, runs: int) -> Column:
+    """Places are spread evenly over the 64-bit numbers; the upper 31 bits pick the run."""
+    return F.floor((F.shiftright(place, 33) + F.lit(1 << 30)) * runs / F.lit(1 << 31)).cast("long")
+
+
+def _sizes(docs: DataFrame) -> DataFrame:
+    return durable(
         docs.select(
             "doc_id",
             F.coalesce("source", F.lit("")).alias("source"),
             F.char_length(F.coalesce("text", F.lit(""))).cast("long").alias("size"),
-            F.xxhash64("doc_id", "text").alias("place"),
+            _place().alias("place"),
         ),
         "sizes",
     )
-    runs = max(1, -(-light.count() // RUN_ROWS))
-    # Places are spread evenly over the 64-bit numbers; the upper 31 bits pick the run.
-    run = F.floor((F.shiftright("place", 33) + F.lit(1 << 30)) * runs / F.lit(1 << 31)).cast("long")
-    placed = light.withColumn("run", run)
+
+
+def _runs(light: DataFrame) -> int:
+    return max(1, -(-light.count() // RUN_ROWS))
+
+
+def blocks(light: DataFrame, runs: int, block_chars: int = BLOCK_CHARS) -> DataFrame:
+    """``doc_id``, ``source``, ``size``, ``place``, ``run`` and ``block`` (from 0) of every document.
+
+    ``place`` is a hash that orders a source. The running size of a source is summed in two
+    levels, within runs of about ``RUN_ROWS`` rows of neighbouring places and over the runs, so
+    a source of any size is never ordered in one task. Only sizes and ids are shuffled.
+    """
+    placed = light.withColumn("run", _run(F.col("place"), runs))
     inner = Window.partitionBy("source", "run").orderBy("place", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
     outer = Window.partitionBy("source").orderBy("run").rowsBetween(Window.unboundedPreceding, -1)
     starts = placed.groupBy("source", "run").agg(F.sum("size").alias("run_size"))
     starts = starts.select("source", "run", F.coalesce(F.sum("run_size").over(outer), F.lit(0)).alias("start"))
     summed = placed.withColumn("before", F.coalesce(F.sum("size").over(inner), F.lit(0))).join(starts, ["source", "run"])
     block = F.floor((F.col("start") + F.col("before")) / block_chars).cast("long")
-    return summed.select("doc_id", "source", "size", "place", block.alias("block"))
+    return summed.select("doc_id", "source", "size", "place", "run", block.alias("block"))
 
 
 def mix(docs: DataFrame, weights: DataFrame | Mapping[str, float] | None = None, block_chars: int = BLOCK_CHARS, period: int = PERIOD) -> DataFrame:
@@ -143,19 +157,23 @@ def mix(docs: DataFrame, weights: DataFrame | Mapping[str, float] | None = None,
     Documents in the order of (``slot``, ``place``) are the mix. ``weights`` default to the
     flattened shares of :func:`weights_of`.
     """
+    light = _sizes(docs)
+    laid = _timed(docs, light, _runs(light), weights, block_chars, period)
+    return laid.select("doc_id", "source", "size", "block", "slot", "place")
+
+
+def _timed(docs: DataFrame, light: DataFrame, runs: int, weights, block_chars: int, period: int) -> DataFrame:
     found = durable(weights_of(docs), "source-weights")
     if isinstance(weights, Mapping):
         weights = docs.sparkSession.createDataFrame(list(weights.items()), "source string, weight double")
     if weights is not None:
         found = _with_targets(found, weights)
     plan = durable(schedule(found, period), "schedule")
-    laid = blocks(docs, block_chars)
     shares = plan.select("source", "turns", "period").distinct()
-    turn = F.col("block") % F.col("turns")
-    timed = laid.join(shares, "source").withColumn("turn", turn).withColumn("round", F.floor(F.col("block") / F.col("turns")))
+    turn, round_ = F.col("block") % F.col("turns"), F.floor(F.col("block") / F.col("turns"))
+    timed = blocks(light, runs, block_chars).join(shares, "source").withColumn("turn", turn).withColumn("round", round_)
     joined = timed.join(plan.select("source", "turn", F.col("slot").alias("within")), ["source", "turn"])
-    slot = F.col("round") * F.col("period") + F.col("within")
-    return joined.select("doc_id", "source", "size", "block", slot.alias("slot"), "place")
+    return joined.withColumn("slot", F.col("round") * F.col("period") + F.col("within"))
 
 
 def _with_targets(found: DataFrame, targets: DataFrame) -> DataFrame:
@@ -171,14 +189,24 @@ def _with_targets(found: DataFrame, targets: DataFrame) -> DataFrame:
 
 
 def in_order(docs: DataFrame, weights: DataFrame | Mapping[str, float] | None = None) -> DataFrame:
-    """The rows of ``docs`` in the order of the mix: sorted across and within partitions."""
-    key, place = fresh(docs, "mix_id"), fresh(docs, "mix_place")
-    slot = fresh(docs, "mix_slot")
-    order = (
-        mix(docs, weights)
-        .groupBy(F.col("doc_id").alias(key), F.col("place").alias(place))
-        .agg(F.min("slot").alias(slot))
+    """The rows of ``docs`` in the order of the mix: sorted across and within partitions.
+
+    A document finds its slot from its source and place: for each run of a source there is one
+    row with the places at which its slots begin. These rows are few, about one for
+    ``RUN_ROWS`` documents, so texts are usually moved once, by the sort.
+    """
+    light = _sizes(docs)
+    runs = _runs(light)
+    timed = _timed(docs, light, runs, weights, BLOCK_CHARS, PERIOD)
+    source, run, steps = (fresh(docs, n) for n in ("mix_source", "mix_run", "mix_steps"))
+    place, slot = fresh(docs, "mix_place"), fresh(docs, "mix_slot")
+    begins = timed.groupBy("source", "run", "slot").agg(F.min("place").alias("place"))
+    rows = begins.groupBy(F.col("source").alias(source), F.col("run").alias(run)).agg(
+        F.sort_array(F.collect_list(F.struct("place", "slot"))).alias(steps)
     )
-    same = F.col("doc_id").eqNullSafe(F.col(key)) & (F.xxhash64("doc_id", "text") == F.col(place))
-    joined = docs.join(order, same)
+    rows = durable(rows, "slots")
+    placed = docs.withColumn(place, _place())
+    same = (F.coalesce(F.col("source"), F.lit("")) == F.col(source)) & (_run(F.col(place), runs) == F.col(run))
+    last = F.element_at(F.filter(steps, lambda x: x["place"] <= F.col(place)), -1)
+    joined = placed.join(rows, same).select(*docs.columns, last["slot"].alias(slot), place)
     return joined.orderBy(slot, place).select(*docs.columns)

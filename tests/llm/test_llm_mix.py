@@ -47,7 +47,8 @@ def corpus(spark):
 
 def test_blocks_follow_running_sizes(spark, monkeypatch):
     monkeypatch.setattr(P, "RUN_ROWS", 50)
-    rows = P.blocks(corpus(spark), block_chars=1000).collect()
+    light = P._sizes(corpus(spark))
+    rows = P.blocks(light, P._runs(light), block_chars=1000).collect()
     assert len(rows) == 904
     by_source = {}
     for r in sorted(rows, key=lambda r: (r.source, r.place, -1 if r.doc_id is None else r.doc_id, r.size)):
