@@ -7,6 +7,12 @@ from collections.abc import Iterator
 import numpy as np
 
 
+#: Bound of the weights from state to logits, so that a logit is within 2 * hidden of its bias.
+LARGEST = 2.0
+#: Rows of states whose probabilities are worked out together.
+RUN = 1_024
+
+
 class Layout:
     """How token ids fall into classes: ``of_class[id]``, and for ids with a softmax their place in it.
 
@@ -69,57 +75,75 @@ class Network:
         for t, live in enumerate(lanes):
             before = h[:live]
             given = self.x[ids[t, :live]]
-            gates = _sigmoid(given[:, : 2 * H] + before @ self.u)
+            gates = before @ self.u
+            gates += given[:, : 2 * H]
+            _sigmoid(gates)
             z, r = gates[:, :H], gates[:, H:]
             reset = r * before
-            new = np.tanh(given[:, 2 * H :] + reset @ self.v)
-            after = before + z * (new - before)
+            new = reset @ self.v
+            new += given[:, 2 * H :]
+            np.tanh(new, out=new)
             kept.append((before, z, r, reset, new))
-            h = h.copy()
-            h[:live] = after
-            states[t, :live] = after
+            h = states[t]
+            np.subtract(new, before, out=h[:live])
+            h[:live] *= z
+            h[:live] += before
         return states, kept
 
+    def states(self, ids: np.ndarray, h: np.ndarray, lanes: np.ndarray) -> np.ndarray:
+        """The states of :meth:`run` alone, in memory that is used again from step to step."""
+        H, n = self.hidden, h.shape[0]
+        result = np.zeros((len(ids), n, H), np.float32)
+        gates, new = np.empty((n, 2 * H), np.float32), np.empty((n, H), np.float32)
+        for t, live in enumerate(lanes):
+            before, after, g, m = h[:live], result[t, :live], gates[:live], new[:live]
+            given = self.x[ids[t, :live]]
+            np.matmul(before, self.u, out=g)
+            g += given[:, : 2 * H]
+            _sigmoid(g)
+            np.multiply(g[:, H:], before, out=after)
+            np.matmul(after, self.v, out=m)
+            m += given[:, 2 * H :]
+            np.tanh(m, out=m)
+            np.subtract(m, before, out=after)
+            after *= g[:, :H]
+            after += before
+            h = result[t]
+        return result
+
     def log_probabilities(self, states: np.ndarray, targets: np.ndarray, grow: Network | None = None) -> tuple[np.ndarray, np.ndarray | None]:
         """ln P of each target after its state; with ``grow`` also the gradient by the states.
 
         ``states`` (n, hidden), ``targets`` (n). P is the class's probability, times the word's
-        within its class if the class has a softmax. Words are taken class by class.
+        within its class if the class has a softmax. Words are taken class by class, all in
+        runs that stay in the processor's cache.
         """
         n = self.layout
         classes = n.of_class[targets]
-        logits = states @ self.c + self.d
-        logits -= logits.max(axis=1, keepdims=True)
-        share = np.exp(logits)
-        total = share.sum(axis=1, keepdims=True)
-        rows = np.arange(len(targets))
-        result = logits[rows, classes] - np.log(total[:, 0])
-        back = None
-        if grow is not None:
-            share /= total
-            share[rows, classes] -= 1
-            back = share @ self.c.T
-            grow.c += states.T @ share
-            grow.d += share.sum(axis=0)
+        result = np.empty(len(targets), np.float32)
+        back = None if grow is None else np.empty_like(states)
+        for a in range(0, len(targets), RUN):
+            part = slice(a, a + RUN)
+            logits = states[part] @ self.c
+            result[part] = _softmax(logits, self.d, classes[part], grow is not None)
+            if grow is not None:
+                share = logits
+                back[part] = share @ self.c.T
+                grow.c += states[part].T @ share
+                grow.d += share.sum(axis=0)
         order = np.argsort(classes, kind="stable")
-        bounds = np.searchsorted(classes[order], np.arange(n.closed + 1))
+        bounds = np.searchsorted(classes[order], np.arange(n.closed + 1)).tolist()
         for k in range(n.closed):
-            chosen = order[bounds[k] : bounds[k + 1]]
-            if not len(chosen):
-                continue
-            inside, place = states[chosen], targets[chosen] - k * n.per_class
-            logits = inside @ self.w[k] + self.e[k]
-            logits -= logits.max(axis=1, keepdims=True)
-            share = np.exp(logits)
-            total = share.sum(axis=1, keepdims=True)
-            at = np.arange(len(chosen))
-            result[chosen] += logits[at, place] - np.log(total[:, 0])
-            if grow is not None:
-                share /= total
-                share[at, place] -= 1
-                back[chosen] += share @ self.w[k].T
-                grow.w[k] += inside.T @ share
-                grow.e[k] += share.sum(axis=0)
+            for a in range(bounds[k], bounds[k + 1], RUN):
+                chosen = order[a : min(a + RUN, bounds[k + 1])]
+                inside = states[chosen]
+                logits = inside @ self.w[k]
+                result[chosen] += _softmax(logits, self.e[k], targets[chosen] - k * n.per_class, grow is not None)
+                if grow is not None:
+                    share = logits
+                    back[chosen] += share @ self.w[k].T
+                    grow.w[k] += inside.T @ share
+                    grow.e[k] += share.sum(axis=0)
         return result, back
 
     def gradient(self, kept: list[tuple], ids: np.ndarray, lanes: np.ndarray, back: np.ndarray, grow: Network) -> None:
@@ -142,8 +166,27 @@ class Network:
             later[:live] = d * (1 - z) + d_reset * r + d_gates @ self.u.T
 
 
-def _sigmoid(x: np.ndarray) -> np.ndarray:
-    return 0.5 + 0.5 * np.tanh(0.5 * x)
+def _softmax(logits: np.ndarray, bias: np.ndarray, targets: np.ndarray, back: bool) -> np.ndarray:
+    """ln P of the targets; with ``back`` the logits become the gradient of -ln P by the logits."""
+    rows = np.arange(len(targets))
+    logits += bias
+    # LARGEST keeps exp from overflowing, and normalised biases keep the sum above 0.
+    found = logits[rows, targets]
+    np.exp(logits, out=logits)
+    total = logits.sum(axis=1)
+    found -= np.log(total)
+    if back:
+        logits /= total[:, None]
+        logits[rows, targets] -= 1
+    return found
+
+
+def _sigmoid(x: np.ndarray) -> None:
+    """In place."""
+    x *= 0.5
+    np.tanh(x, out=x)
+    x += 1
+    x *= 0.5
 
 
 def _add_rows(table: np.ndarray, rows: np.ndarray, values: np.ndarray) -> None:
@@ -194,6 +237,8 @@ class Adam:
             v += 0.001 * (g * g - v)
             getattr(network, name)[...] -= rate * m / (np.sqrt(v) + 1e-6)
             g[...] = 0
+        for weights in (network.c, network.w):
+            np.clip(weights, -LARGEST, LARGEST, out=weights)
 
 
 def train(network: Network, texts: list[np.ndarray], lanes: int, steps: int, rate: float) -> None:
@@ -232,7 +277,7 @@ def score(network: Network, texts: list[np.ndarray], lanes: int, steps: int) ->
         h = np.zeros((len(group), network.hidden), np.float32)
         for inputs, targets, live, _ in windows(group, steps, network.layout.ids):
             n = inputs.shape[1]
-            states, _ = network.run(inputs, h[:n], live)
+            states = network.states(inputs, h[:n], live)
             used = np.arange(n)[None, :] < live[:, None]
             found, _ = network.log_probabilities(states[used], targets[used])
             table = np.zeros(used.shape)

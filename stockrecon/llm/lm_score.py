@@ -30,15 +30,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stockrecon.llm import gru
-from stockrecon.llm.common import durable
+from stockrecon.llm.common import durable, map_batches
 
 #: Words with a place in the network, words per class, open classes, state size.
-CLOSED, PER_CLASS, OPEN, HIDDEN = 4_096, 64, 64, 32
+CLOSED, PER_CLASS, OPEN, HIDDEN = 2_048, 64, 64, 32
 #: Most frequent words whose counts every task holds.
 KNOWN = 200_000
 #: Tokens of a training document that are trained on; documents of a shard; passes of averaging.
-WINDOW, SHARD, ROUNDS = 96, 8_192, 2
-TRAIN_LANES, LANES, STEPS, RATE = 128, 512, 32, 0.02
+WINDOW, SHARD, ROUNDS = 64, 8_192, 2
+TRAIN_LANES, TRAIN_STEPS, LANES, STEPS, RATE = 128, 32, 256, 64, 0.02
 #: Additive smoothing of counts; every tenth document (by hash) is held out.
 SMOOTH, FOLDS = 0.1, 10
 #: Distinct words a counting task holds before it passes them on.
@@ -75,7 +75,7 @@ def counts(docs: DataFrame) -> DataFrame:
     def of(seen: Counter[bytes]) -> pa.RecordBatch:
         return pa.record_batch([pa.array(seen.keys(), pa.binary()).cast(pa.string()), pa.array(seen.values(), pa.int64())], names=["word", "n"])
 
-    return docs.select("text").mapInArrow(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    return map_batches(docs.select("text"), run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
 def open_class(word: Column) -> Column:
@@ -127,8 +127,10 @@ class Vocabulary:
         flat = np.zeros(self.layout.closed * PER_CLASS)
         flat[:n] = self.counts[:n] + SMOOTH
         table = flat.reshape(-1, PER_CLASS)
-        network.e[...] = np.where(table > 0, np.log(np.maximum(table, 1e-9)), -1e9)
-        network.d[...] = np.log(np.concatenate([table.sum(axis=1), self.tokens + SMOOTH]))
+        sums = table.sum(axis=1)
+        network.e[...] = np.where(table > 0, np.log(np.maximum(table, 1e-9) / np.maximum(sums, 1e-9)[:, None]), -1e9)
+        classes = np.concatenate([sums, self.tokens + SMOOTH])
+        network.d[...] = np.log(classes / classes.sum())
         return network
 
 
@@ -157,7 +159,7 @@ def train_windows(docs: DataFrame, shared) -> DataFrame:
                 place.append(drawn // 7 % ROUNDS)
             yield pa.record_batch([pa.array(place, pa.int32()), pa.array(found, pa.list_(pa.int32()))], names=["round", "ids"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "round int, ids array<int>")
+    return map_batches(docs.select("doc_id", "text"), run, "round int, ids array<int>")
 
 
 def _trained(windows: DataFrame, shards: int, shared, weights) -> DataFrame:
@@ -167,12 +169,12 @@ def _trained(windows: DataFrame, shards: int, shared, weights) -> DataFrame:
         texts = [ids for batch in batches for ids in (row.values.to_numpy() for row in batch.column("ids"))]
         if texts:
             network = shared.value.network().load(weights.value)
-            gru.train(network, texts, TRAIN_LANES, STEPS, RATE)
+            gru.train(network, texts, TRAIN_LANES, TRAIN_STEPS, RATE)
             n = sum(map(len, texts))
             vector = network.vector().astype(np.float64) * n
             yield pa.record_batch([pa.array([vector.tobytes()], pa.binary()), pa.array([n], pa.int64())], names=["weights", "n"])
 
-    return windows.select("ids").coalesce(shards).mapInArrow(run, "weights binary, n long")
+    return map_batches(windows.select("ids").coalesce(shards), run, "weights binary, n long")
 
 
 def _added(rows: DataFrame, parts: int) -> DataFrame:
@@ -185,7 +187,7 @@ def _added(rows: DataFrame, parts: int) -> DataFrame:
         if total is not None:
             yield pa.record_batch([pa.array([total.tobytes()], pa.binary()), pa.array([n], pa.int64())], names=["weights", "n"])
 
-    return rows.repartition(parts).mapInArrow(run, "weights binary, n long")
+    return map_batches(rows.repartition(parts), run, "weights binary, n long")
 
 
 def trained_weights(docs: DataFrame, shared) -> np.ndarray:
@@ -246,7 +248,7 @@ def _scored(docs: DataFrame, shared, weights) -> DataFrame:
         held_out(F.col("doc_id")).alias("held_out"),
         "text",
     )
-    return rows.mapInArrow(run, fields)
+    return map_batches(rows, run, fields)
 
 
 def score(docs: DataFrame) -> DataFrame:
