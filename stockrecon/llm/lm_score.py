@@ -134,9 +134,27 @@ class Vocabulary:
         return network
 
 
+def _most_frequent(counted: DataFrame) -> list[tuple[str, int]]:
+    """Words by falling count, as many whole levels of equal counts as fit into ``KNOWN``.
+
+    Levels are far fewer than words, so no task sends more than it has of the result.
+    """
+    levels = counted.groupBy("n").agg(F.count("*").alias("words")).orderBy(F.desc("n")).limit(KNOWN).collect()
+    least, words = None, 0
+    for level in levels:
+        words += level["words"]
+        if words > KNOWN:
+            break
+        least = level["n"]
+    if least is None:
+        return []
+    rows = counted.where(F.col("n") >= least).collect()
+    return sorted(((r["word"], r["n"]) for r in rows), key=lambda row: (-row[1], row[0]))
+
+
 def vocabulary(counted: DataFrame) -> Vocabulary:
     sums = counted.agg(F.sum("n").alias("n"), F.count("*").alias("v")).first()
-    known = [(r["word"], r["n"]) for r in counted.orderBy(F.desc("n"), "word").limit(KNOWN).collect()]
+    known = _most_frequent(counted)
     closed = counted.sparkSession.createDataFrame([(w,) for w, _ in known[:CLOSED]], "word string")
     rest = counted.join(F.broadcast(closed), "word", "left_anti").groupBy(open_class(F.col("word")).alias("c"))
     of_class = {r["c"]: (r["n"], r["v"]) for r in rest.agg(F.sum("n").alias("n"), F.count("*").alias("v")).collect()}
