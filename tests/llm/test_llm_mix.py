@@ -93,3 +93,52 @@ def test_in_order_follows_the_mix(spark):
 def test_no_documents(spark):
     empty = spark.createDataFrame([], DOCS)
     assert P.mix(empty).count() == 0 and P.in_order(empty).count() == 0
+
+
+def laid(spark, rows):
+    frame = spark.createDataFrame(rows, "source string, target double, weight double, blocks long")
+    found = sorted((r.step, r.slot, r.source, r.block) for r in P.timetable(frame).collect())
+    assert [r[0] for r in found] == list(range(sum(r[3] for r in rows)))
+    return found
+
+
+@pytest.mark.parametrize("n,blocks", [(1, 500), (20, 3_000), (100, 1_500), (500, 1_200)])
+def test_turns_stay_within_one_block_of_the_targets_themselves(spark, monkeypatch, n, blocks):
+    monkeypatch.setattr(P, "FOLD_BLOCKS", 300)
+    monkeypatch.setattr(P, "ROW_BLOCKS", 900)
+    rest = 0.5 / (n - 1) if n > 1 else None
+    shares = {"s0": 0.5} | {f"s{i}": rest for i in range(1, n)}
+    rows = [(s, 0.5 if s == "s0" else None, 1.0, blocks // 2 if s == "s0" else blocks // 2 // (n - 1) + 1) for s in shares]
+    done = dict.fromkeys(shares, 0)
+    for step, slot, source, block in laid(spark, rows)[: blocks // 2]:
+        assert block == done[source] and (n == 1 or slot == step)
+        done[source] += 1
+        for s in {"s0", source, f"s{step % n}"} if n > 1 else ():
+            assert abs(done[s] - (slot + 1) * shares[s]) < 1 + 1e-9
+
+
+def test_turns_keep_proportions_when_a_source_has_run_out(spark):
+    rows = laid(spark, [("a", 0.5, 1.0, 10), ("b", 0.3, 1.0, 200), ("c", 0.2, 1.0, 3)])
+    assert len({slot for _, slot, _, _ in rows}) == 213
+    for _, slot, source, k in rows:
+        w = {"a": 0.5, "b": 0.3, "c": 0.2}[source]
+        assert k / w - 1 < slot < (k + 1) / w + 1
+
+
+def test_prefixes_of_a_mix_follow_the_targets(spark):
+    rows = [(i, "x" * 100, f"s{i % 20}") for i in range(12_000)]
+    weights = {"s0": 0.5}
+    slots = {(r.source, r.block): r.slot for r in P.mix(spark.createDataFrame(rows, DOCS), weights, block_chars=100).collect()}
+    order = sorted((slot, source) for (source, _), slot in slots.items())
+    done = 0
+    for slot, source in order[:1_100]:
+        done += source == "s0"
+        assert abs(done - 0.5 * (slot + 1)) < 1
+    assert [s for s, _ in order[:1_100]] == list(range(1_100))
+
+
+def test_sources_without_a_share_come_last(spark):
+    rows = [(i, "x" * 100, f"s{i % 3}") for i in range(90)]
+    slots = {(r.source, r.block): r.slot for r in P.mix(spark.createDataFrame(rows, DOCS), {"s0": 0.9, "s1": 0.1}, block_chars=100).collect()}
+    assert len(slots) == len(set(slots.values())) == 90
+    assert min(s for (x, _), s in slots.items() if x == "s2") > max(s for (x, _), s in slots.items() if x != "s2")
