@@ -232,11 +232,11 @@ def timetable(sources: DataFrame) -> DataFrame:
     return result
 
 
-def _place() -> Column:
+def place_of() -> Column:
     return F.xxhash64("doc_id", "text")
 
 
-def _run(place: Column, runs: int) -> Column:
+def run_of(place: Column, runs: int) -> Column:
     """Places are spread evenly over the 64-bit numbers; the upper 31 bits pick the run."""
     return F.floor((F.shiftright(place, 33) + F.lit(1 << 30)) * runs / F.lit(1 << 31)).cast("long")
 
@@ -247,7 +247,7 @@ def _sizes(docs: DataFrame) -> DataFrame:
             "doc_id",
             F.coalesce("source", F.lit("")).alias("source"),
             F.char_length(F.coalesce("text", F.lit(""))).cast("long").alias("size"),
-            _place().alias("place"),
+            place_of().alias("place"),
         ),
         "sizes",
     )
@@ -264,7 +264,7 @@ def blocks(light: DataFrame, runs: int, block_chars: int = BLOCK_CHARS) -> DataF
     levels, within runs of about ``RUN_ROWS`` rows of neighbouring places and over the runs, so
     a source of any size is never ordered in one task. Only sizes and ids are shuffled.
     """
-    placed = light.withColumn("run", _run(F.col("place"), runs))
+    placed = light.withColumn("run", run_of(F.col("place"), runs))
     inner = Window.partitionBy("source", "run").orderBy("place", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
     outer = Window.partitionBy("source").orderBy("run").rowsBetween(Window.unboundedPreceding, -1)
     starts = placed.groupBy("source", "run").agg(F.sum("size").alias("run_size"))
@@ -339,8 +339,8 @@ def in_order(docs: DataFrame, weights: DataFrame | Mapping[str, float] | None =
     source, run, steps = (fresh(docs, n) for n in ("mix_source", "mix_run", "mix_steps"))
     place, slot = fresh(docs, "mix_place"), fresh(docs, "mix_slot")
     rows = rows.select(F.col("source").alias(source), F.col("run").alias(run), F.col("steps").alias(steps))
-    placed = docs.withColumn(place, _place())
-    same = (F.coalesce(F.col("source"), F.lit("")) == F.col(source)) & (_run(F.col(place), runs) == F.col(run))
+    placed = docs.withColumn(place, place_of())
+    same = (F.coalesce(F.col("source"), F.lit("")) == F.col(source)) & (run_of(F.col(place), runs) == F.col(run))
     last = F.element_at(F.filter(steps, lambda x: x["place"] <= F.col(place)), -1)
     joined = placed.join(rows, same).select(*docs.columns, last["slot"].alias(slot), place)
     return joined.orderBy(slot, place).select(*docs.columns)

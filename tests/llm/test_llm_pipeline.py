@@ -11,6 +11,7 @@ import pytest
 from tokenizers import Tokenizer
 
 import corpus_pipeline
+from stockrecon.llm import bin_slack, pfair
 from stockrecon.llm.common import durable
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
@@ -86,6 +87,41 @@ def test_run_packs_exactly_the_kept_documents(spark, folder):
         assert at == len(ids)
 
 
+def test_prefixes_of_the_sequences_have_the_target_shares(spark, monkeypatch):
+    monkeypatch.setattr(pfair, "BLOCK_CHARS", 3_000)
+    monkeypatch.setattr(bin_slack, "RANGE_BLOCKS", 4)
+    rng = random.Random(3)
+    rows = []
+    for i in range(1_500):
+        source = "hot" if i % 10 < 8 else "ab"[i % 2]
+        words = rng.randrange(1_500, 3_000) if i % 40 == 0 else rng.randrange(5, 200)
+        rows.append((i, " ".join(rng.choice(("thing", "of", "little")) for _ in range(words)), "en", source, 0))
+    docs = spark.createDataFrame(rows, DOCS)
+    sizes = {r.source: r.weight for r in corpus_pipeline.target_weights(docs).collect()}
+    target = {s: w / sum(sizes.values()) for s, w in sizes.items()}
+    left = {s: sum(len(r[1]) for r in rows if r[3] == s) for s in target}
+    assert left["hot"] / sum(left.values()) > target["hot"] + 0.15
+    stored = durable(corpus_pipeline.mixture(spark, docs, "").repartition(7), "shuffled")
+    source = {r[0]: r[3] for r in rows}
+    by_sequence = defaultdict(lambda: defaultdict(int))
+    for r in corpus_pipeline.packing(spark, stored, "").collect():
+        by_sequence[r.sequence_id][source[r.doc_id]] += r.length
+    whole = {s: sum(x[s] for x in by_sequence.values()) for s in target}
+    done, total, checked = dict.fromkeys(target, 0), 0, 0
+    for number in range(len(by_sequence)):
+        for s, n in by_sequence[number].items():
+            done[s] += n
+        total = sum(done.values())
+        if any(done[s] > 0.9 * whole[s] for s in target):
+            break
+        # One block and the longest document beside it, and a range that is not finished.
+        if total > 30_000:
+            checked += 1
+            for s in target:
+                assert abs(done[s] / total - target[s]) < 0.1, (number, s)
+    assert set(by_sequence) == set(range(len(by_sequence))) and checked > 10
+
+
 def test_no_documents(spark):
     path = tempfile.mkdtemp(prefix="corpus-")
     spark.createDataFrame([], DOCS).write.parquet(f"{path}/documents.parquet")
