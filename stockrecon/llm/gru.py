@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from itertools import islice
 
 import numpy as np
 
@@ -241,24 +242,49 @@ class Adam:
             np.clip(weights, -LARGEST, LARGEST, out=weights)
 
 
-def train(network: Network, texts: list[np.ndarray], lanes: int, steps: int, rate: float) -> None:
-    """One pass over the texts by truncated backpropagation through time."""
+def train(network: Network, texts: Iterable[np.ndarray], lanes: int, steps: int, rate: float) -> None:
+    """One pass over all of the texts by backpropagation through time, truncated to windows.
+
+    A lane reads a text window by window to its end, carrying the state, and then takes the next
+    text. Weights move once a third of what all lanes hold has been read since they last moved, so
+    that a long text that is left alone doesn't pull them at every window.
+    """
+    enough, pending = lanes * steps // 3, 0
     grow = Network(network.layout, network.hidden)
     grow.load(np.zeros(len(network.vector()), np.float32))
     adam = Adam(network, rate)
-    for first in range(0, len(texts), lanes):
-        group = sorted(texts[first : first + lanes], key=len, reverse=True)
-        h = np.zeros((len(group), network.hidden), np.float32)
-        for inputs, targets, live, _ in windows(group, steps, network.layout.ids):
-            h = h[: inputs.shape[1]]
-            states, kept = network.run(inputs, h, live)
-            used = np.arange(inputs.shape[1])[None, :] < live[:, None]
-            _, back = network.log_probabilities(states[used], targets[used], grow)
-            spread = np.zeros(states.shape, np.float32)
-            spread[used] = back
-            network.gradient(kept, inputs, live, spread, grow)
-            adam.step(network, grow, 1.0 / max(1, int(used.sum())) * 32)
-            h = states[-1] if live[-1] == len(h) else _last(states, live, h)
+    source = (t for t in texts if len(t))
+    reading: list[tuple[np.ndarray, int, np.ndarray]] = []  # text, tokens read, state
+    while True:
+        for text in islice(source, lanes - len(reading)):
+            reading.append((text, 0, np.zeros(network.hidden, np.float32)))
+        if not reading:
+            break
+        reading.sort(key=lambda lane: min(steps, len(lane[0]) - lane[1]), reverse=True)
+        sizes = np.array([min(steps, len(text) - at) for text, at, _ in reading])
+        targets = np.zeros((int(sizes[0]), len(reading)), np.int64)
+        inputs = np.zeros_like(targets)
+        for i, ((text, at, _), n) in enumerate(zip(reading, sizes.tolist())):
+            targets[:n, i] = text[at : at + n]
+            inputs[1:n, i] = text[at : at + n - 1]
+            inputs[0, i] = text[at - 1] if at else network.layout.ids
+        h = np.stack([state for *_, state in reading])
+        live = np.array([(sizes > t).sum() for t in range(len(targets))])
+        states, kept = network.run(inputs, h, live)
+        used = np.arange(len(reading))[None, :] < live[:, None]
+        _, back = network.log_probabilities(states[used], targets[used], grow)
+        spread = np.zeros(states.shape, np.float32)
+        spread[used] = back
+        network.gradient(kept, inputs, live, spread, grow)
+        pending += int(used.sum())
+        if pending >= enough:
+            adam.step(network, grow, 32.0 / pending)
+            pending = 0
+        after = _last(states, live, h)
+        moved = [(text, at + n, state.copy()) for (text, at, _), n, state in zip(reading, sizes.tolist(), after)]
+        reading = [lane for lane in moved if lane[1] < len(lane[0])]
+    if pending:
+        adam.step(network, grow, 32.0 / max(1, enough))
 
 
 def _last(states: np.ndarray, live: np.ndarray, h: np.ndarray) -> np.ndarray:

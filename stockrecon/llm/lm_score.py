@@ -5,10 +5,10 @@ their own; every other word falls into an open class by its ending, and its shar
 is its smoothed count there, so every word, unknown ones included, has a probability. The
 network predicts the class from the state, and the word within closed classes.
 
-Training is data-parallel: one window of each training document (at a place drawn by hash, up to
-``WINDOW`` tokens) goes to a shard, each shard runs truncated backpropagation through time from
-the same weights, and the weights are averaged, pairwise in groups on the executors. Scoring
-reads whole documents and carries the state from window to window to the end.
+Training is data-parallel: the training documents are dealt to rounds by hash and to shards, each
+shard runs truncated backpropagation through time over successive windows of ``WINDOW`` tokens of
+every whole document, from the same weights, and the weights are averaged, pairwise in groups on
+the executors. Training and scoring both carry the state from window to window to the end.
 
 Counts of the ``KNOWN`` most frequent words go along with the network; counts of rarer words are
 joined, one row per document and word, so the vocabulary may grow without bound.
@@ -33,12 +33,12 @@ from stockrecon.llm import gru
 from stockrecon.llm.common import durable, map_batches
 
 #: Words with a place in the network, words per class, open classes, state size.
-CLOSED, PER_CLASS, OPEN, HIDDEN = 2_048, 64, 64, 32
+CLOSED, PER_CLASS, OPEN, HIDDEN = 4_096, 64, 64, 32
 #: Most frequent words whose counts every task holds.
 KNOWN = 200_000
-#: Tokens of a training document that are trained on; documents of a shard; passes of averaging.
-WINDOW, SHARD, ROUNDS = 64, 8_192, 2
-TRAIN_LANES, TRAIN_STEPS, LANES, STEPS, RATE = 128, 32, 256, 64, 0.02
+#: Tokens that are trained on before a step; documents of a shard; rounds of averaging, one pass in all.
+WINDOW, SHARD, ROUNDS = 96, 8_192, 2
+TRAIN_LANES, LANES, STEPS, RATE = 128, 256, 64, 0.02
 #: Additive smoothing of counts; every tenth document (by hash) is held out.
 SMOOTH, FOLDS = 0.1, 10
 #: Distinct words a counting task holds before it passes them on.
@@ -161,8 +161,8 @@ def vocabulary(counted: DataFrame) -> Vocabulary:
     return Vocabulary(known, sums["n"] or 0, sums["v"], of_class)
 
 
-def train_windows(docs: DataFrame, shared) -> DataFrame:
-    """``half`` (which round) and ``ids``, one window of network ids of each document."""
+def train_texts(docs: DataFrame, shared) -> DataFrame:
+    """``round`` and ``ids``, the network ids of each whole document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = shared.value
@@ -171,8 +171,6 @@ def train_windows(docs: DataFrame, shared) -> DataFrame:
             for name, text in zip(batch.column("doc_id").to_pylist(), batch.column("text")):
                 said = words_of(text.as_py())
                 drawn = zlib.crc32(f"{name}/{len(said)}".encode())
-                first = drawn % max(1, len(said) - WINDOW + 1)
-                said = said[first : first + WINDOW]
                 found.append(known.ids(said, np.array(known.ranks(said))).astype(np.int32))
                 place.append(drawn // 7 % ROUNDS)
             yield pa.record_batch([pa.array(place, pa.int32()), pa.array(found, pa.list_(pa.int32()))], names=["round", "ids"])
@@ -180,19 +178,27 @@ def train_windows(docs: DataFrame, shared) -> DataFrame:
     return map_batches(docs.select("doc_id", "text"), run, "round int, ids array<int>")
 
 
-def _trained(windows: DataFrame, shards: int, shared, weights) -> DataFrame:
+def _trained(texts: DataFrame, shards: int, shared, weights) -> DataFrame:
     """``weights`` and ``n``: what each shard makes of the weights, times its tokens."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        texts = [ids for batch in batches for ids in (row.values.to_numpy() for row in batch.column("ids"))]
-        if texts:
-            network = shared.value.network().load(weights.value)
-            gru.train(network, texts, TRAIN_LANES, TRAIN_STEPS, RATE)
-            n = sum(map(len, texts))
+        n = 0
+
+        def read() -> Iterator[np.ndarray]:
+            nonlocal n
+            for batch in batches:
+                for row in batch.column("ids"):
+                    ids = row.values.to_numpy()
+                    n += len(ids)
+                    yield ids
+
+        network = shared.value.network().load(weights.value)
+        gru.train(network, read(), TRAIN_LANES, WINDOW, RATE)
+        if n:
             vector = network.vector().astype(np.float64) * n
             yield pa.record_batch([pa.array([vector.tobytes()], pa.binary()), pa.array([n], pa.int64())], names=["weights", "n"])
 
-    return map_batches(windows.select("ids").coalesce(shards), run, "weights binary, n long")
+    return map_batches(texts.select("ids").coalesce(shards), run, "weights binary, n long")
 
 
 def _added(rows: DataFrame, parts: int) -> DataFrame:
@@ -211,9 +217,9 @@ def _added(rows: DataFrame, parts: int) -> DataFrame:
 def trained_weights(docs: DataFrame, shared) -> np.ndarray:
     spark = docs.sparkSession
     weights = shared.value.network().vector()
-    windows = durable(train_windows(docs, shared), "train-windows")
+    texts = durable(train_texts(docs, shared), "train-texts")
     for number in range(ROUNDS):
-        mine = windows.where(F.col("round") == number)
+        mine = texts.where(F.col("round") == number)
         shards = -(-mine.count() // SHARD)
         if not shards:
             continue

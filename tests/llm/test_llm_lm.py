@@ -81,6 +81,26 @@ def test_training_learns_order():
     assert gru.score(network, texts[:1], 1, 8)[0] > 0.2 * before
 
 
+def test_training_reads_every_token_and_carries_the_state(monkeypatch):
+    rng = np.random.default_rng(5)
+    texts = [rng.integers(0, 13, n) for n in (400, 3, 97, 1, 96, 250, 0)]
+    network = gru.Network(gru.Layout(10, 4, 3), 5)
+    seen, starts, ran, learnt = [], [], network.run, network.log_probabilities
+    monkeypatch.setattr(network, "run", lambda ids, h, live: starts.append(np.abs(h).sum(axis=1) > 0) or ran(ids, h, live))
+    monkeypatch.setattr(network, "log_probabilities", lambda s, t, grow: seen.extend(t.tolist()) or learnt(s, t, grow))
+    gru.train(network, texts, 2, 96, 0.02)
+    assert Counter(seen) == Counter(np.concatenate(texts).tolist())
+    # A window starts from zero once for each text and from a carried state otherwise.
+    assert sum((~s).sum() for s in starts) == 6 and sum(s.sum() for s in starts) == 4 + 1 + 2
+
+
+def test_training_takes_whole_texts(spark):
+    docs = spark.createDataFrame([(i, "a b c " * 700) for i in range(5)], DOCS)
+    known = L.vocabulary(L.counts(docs))
+    rows = L.train_texts(docs, spark.sparkContext.broadcast(known)).collect()
+    assert [len(r.ids) for r in rows] == [2_101] * 5
+
+
 def corpus(n=400, seed=1):
     rng = random.Random(seed)
     tongues = [[f"{a}{b}" for b in "abcdefghij"] for a in ("the", "un", "der", "zz")]
