@@ -10,10 +10,13 @@ from pyspark.sql import functions as F
 from stockrecon.llm import (
     bin_slack,
     chat_format,
+    lexical,
+    licenses,
     lm_score,
     nra,
     page_diff,
     pfair,
+    phrases,
     risk_rules,
     site_quality,
     superminhash,
@@ -72,6 +75,18 @@ def op10_chat_format(spark: SparkSession, folder: str) -> DataFrame:
     return chat_format.digests(formatted)
 
 
+def op11_misra_gries(spark: SparkSession, folder: str) -> DataFrame:
+    return phrases.collocations(table(spark, folder, "documents"))
+
+
+def op12_bag_search(spark: SparkSession, folder: str) -> DataFrame:
+    return lexical.search(table(spark, folder, "benchmark"), table(spark, folder, "documents"))
+
+
+def op13_suffix_licenses(spark: SparkSession, folder: str) -> DataFrame:
+    return licenses.digests(licenses.scan(table(spark, folder, "documents")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_nra": op1_nra,
     "op2_url_filter": op2_url_filter,
@@ -83,4 +98,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_page_diff": op8_page_diff,
     "op9_pfair": op9_pfair,
     "op10_chat_format": op10_chat_format,
+    "op11_misra_gries": op11_misra_gries,
+    "op12_bag_search": op12_bag_search,
+    "op13_suffix_licenses": op13_suffix_licenses,
 }
