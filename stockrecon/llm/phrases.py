@@ -31,6 +31,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -47,74 +48,92 @@ PART_BYTES = 1 << 23
 #: 2**27 bits, 16 MB, tell which n-grams survived.
 BITS = 27
 #: Distinct words and n-grams a task holds before it passes its counts on.
-KEPT_WORDS, KEPT_GRAMS = 1 << 20, 3 << 20
+KEPT_WORDS, KEPT_GRAMS = 1 << 20, 6 << 20
 #: Keys by which the ranking is cut for the first time, so that no task sorts a whole language.
 SALTS = 256
 #: A word's number takes 21 bits of a key; 0 stands for the end of a piece.
 _WIDTH = 21
 _MASK = np.int64((1 << _WIDTH) - 1)
+_SHIFTS = [np.int64(_WIDTH * k) for k in range(LONGEST - 1, -1, -1)]
+#: Keys whose hashes are made at a time.
+_STEP = 1 << 18
 _TOKEN = re.compile(rb"[^\x20\x09.,;:!?\x0A-\x0D]+|[.,;:!?\x0A-\x0D]")
 _END = re.compile(rb"[.,;:!?\x0A-\x0D]")
 _ENDS = [bytes([c]) for c in b".,;:!?\n\x0b\x0c\r"]
 
 
+class _Numbers(dict):
+    """Numbers of the words of one language; an unknown word gets the next one."""
+
+    def __init__(self, lang: str, words: list[tuple[str, bytes]]):
+        super().__init__(dict.fromkeys(_ENDS, 0))
+        self._lang, self._words = lang, words
+
+    def __missing__(self, word: bytes) -> int:
+        self[word] = number = len(self._words)
+        self._words.append((self._lang, word))
+        return number
+
+
 class Counts:
     """Exact counts of the n-grams of some texts. A key holds the numbers of up to three words."""
 
     def __init__(self) -> None:
         self.words: list[tuple[str, bytes]] = [("", b"")]
-        self._numbers: dict[str, dict[bytes, int]] = {}
-        self._keys, self._counts = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
-        self._held = self._settled = 0
+        self._numbers: dict[str, _Numbers] = {}
+        self._keys: list[np.ndarray] = []
+        self._held = 0
 
     @property
     def full(self) -> bool:
-        return len(self.words) > KEPT_WORDS or self._settled > KEPT_GRAMS
+        return len(self.words) > KEPT_WORDS or self._held > KEPT_GRAMS
 
     def add(self, lang: str, part: bytes) -> None:
-        """Count the n-grams of a lower-cased text, or of a part that ends where a piece ends."""
-        numbers = self._numbers.setdefault(lang, dict.fromkeys(_ENDS, 0))
+        """Count the n-grams of lower-cased text that ends where a piece ends."""
+        if lang not in self._numbers:
+            self._numbers[lang] = _Numbers(lang, self.words)
         tokens = _TOKEN.findall(part)
-        for token in set(tokens).difference(numbers):
-            numbers[token] = len(self.words)
-            self.words.append((lang, token))
-        ids = np.fromiter(map(numbers.__getitem__, tokens), np.int64, len(tokens))
-        for size in range(1, LONGEST + 1):
-            key = np.zeros(max(0, len(ids) - size + 1), np.int64)
-            whole = np.ones(len(key), bool)
-            for k in range(size):
-                word = ids[k : k + len(key)]
-                key = key << _WIDTH | word
-                whole &= word > 0
+        ids = np.fromiter(map(self._numbers[lang].__getitem__, tokens), np.int64, len(tokens))
+        key, whole = ids, ids > 0
+        self._keys.append(key[whole])
+        for size in range(2, LONGEST + 1):
+            word = ids[size - 1 :]
+            key = key[: len(word)] << _WIDTH | word
+            whole = whole[: len(word)] & (word > 0)
             self._keys.append(key[whole])
-            self._counts.append(np.ones(int(whole.sum()), np.int64))
-            self._held += len(self._keys[-1])
-        if self._held > 2 * KEPT_GRAMS:
-            self._settle()
-
-    def _settle(self) -> None:
-        keys, counts = np.concatenate(self._keys), np.concatenate(self._counts)
-        keys, counts = summed(keys, counts)
-        self._keys, self._counts, self._held, self._settled = [keys], [counts], len(keys), len(keys)
+        self._held += sum(map(len, self._keys[-LONGEST:]))
 
     def take(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Keys, counts and hashes of the distinct n-grams."""
-        self._settle()
-        keys, counts = self._keys[0], self._counts[0]
-        named = {lang: zlib.crc32(lang.encode()) for lang in self._numbers}
-        word = [zlib.crc32(token, named.get(lang, 0)) << 32 | zlib.adler32(token) for lang, token in self.words]
-        hashes = mix(np.array(word, np.uint64))
+        """Keys, counts and hashes of the distinct n-grams; done once."""
+        keys = np.concatenate([np.empty(0, np.int64), *self._keys])
+        self._keys = []
+        keys.sort()
+        starts = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]]) if len(keys) else np.empty(0, np.int64)
+        counts = np.diff(starts, append=len(keys)).astype(np.uint32)
+        keys = keys[starts]
+        seeds = {lang: zlib.crc32(lang.encode()) for lang in self._numbers}
+        named = (zlib.crc32(word, seeds.get(lang, 0)) << 32 | zlib.adler32(word) for lang, word in self.words)
+        hashes = mix(np.fromiter(named, np.uint64, len(self.words)))
         name = np.zeros(len(keys), np.uint64)
-        for shift in range((LONGEST - 1) * _WIDTH, -1, -_WIDTH):
-            part = keys >> np.int64(shift) & _MASK
-            name = np.where(part > 0, mix(name ^ hashes[part]), name)
+        for first in range(0, len(keys), _STEP):
+            some, own = keys[first : first + _STEP], name[first : first + _STEP]
+            for shift in _SHIFTS:
+                part = some >> shift & _MASK
+                own[:] = np.where(part > 0, mix(own ^ hashes[part]), own)
         return keys, counts, name
 
-    def phrase(self, key: int) -> tuple[str, str, int]:
-        """Language, text and number of words of an n-gram."""
-        parts = [key >> shift & int(_MASK) for shift in range((LONGEST - 1) * _WIDTH, -1, -_WIDTH)]
-        parts = [part for part in parts if part]
-        return self.words[parts[0]][0], b" ".join(self.words[part][1] for part in parts).decode(), len(parts)
+    def phrases(self, keys: np.ndarray) -> tuple[pa.Array, pa.Array, pa.Array]:
+        """Languages, texts and numbers of words of n-grams whose keys are in order."""
+        langs, words = (pa.array(column, pa.binary()) for column in zip(*((l.encode(), w) for l, w in self.words)))
+        bounds = np.searchsorted(keys, [1 << _WIDTH * size for size in range(LONGEST + 1)])
+        made = []
+        for size, first, last in zip(range(1, LONGEST + 1), bounds[:-1], bounds[1:]):
+            parts = [keys[first:last] >> shift & _MASK for shift in _SHIFTS[LONGEST - size :]]
+            taken = [words.take(pa.array(part)) for part in parts]
+            text = pc.binary_join_element_wise(*taken, b" ") if size > 1 else taken[0]
+            made.append((langs.take(pa.array(parts[0])), text, pa.array(np.full(last - first, size, np.int32))))
+        lang, text, size = (pa.concat_arrays(column) for column in zip(*made))
+        return lang.cast(pa.string()), text.cast(pa.string()), size
 
 
 def summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -131,9 +150,14 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[Counts]:
     """The n-grams of a task's rows, in portions of bounded size."""
     counts = Counts()
     for batch in batches:
-        for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text")):
-            # The added end keeps texts apart.
-            for part in slices((text.as_py() or "").encode().lower() + b"\n", _END):
+        by_lang: dict[str, list[int]] = {}
+        for row, lang in enumerate(batch.column("lang").to_pylist()):
+            by_lang.setdefault(lang, []).append(row)
+        for lang, rows in by_lang.items():
+            texts = batch.column("text").take(pa.array(rows))
+            # A line end keeps texts apart.
+            data = b"".join((text.as_py() or "").encode().lower() + b"\n" for text in texts)
+            for part in slices(data, _END):
                 counts.add(lang, part)
                 if counts.full:
                     yield counts
@@ -191,9 +215,8 @@ def summaries(texts: DataFrame, parts: int) -> DataFrame:
             for p in np.flatnonzero(np.diff(bounds)).tolist():
                 here = order[bounds[p] : bounds[p + 1]]
                 few = counts[here]
-                short = few.astype("<u4") if few.max() < 1 << 32 else few
                 rows.append((p, 0, int(few.sum()), None, None))
-                rows.append((p, 1, 0, names[here].astype("<u4").tobytes(), short.tobytes()))
+                rows.append((p, 1, 0, names[here].astype("<u4").tobytes(), few.astype("<u4").tobytes()))
             columns = [pa.array([row[i] for row in rows], kind) for i, kind in enumerate(kinds)]
             yield pa.record_batch(columns, names=["part", "kind", "mass", "names", "counts"])
 
@@ -219,9 +242,7 @@ def survivors(summarised: DataFrame, threshold: int) -> DataFrame:
                     mass += row["mass"]
                     summary = MisraGries(mass // threshold + 1)
                 else:
-                    names = np.frombuffer(row["names"], "<u4")
-                    wide = len(row["counts"]) == 8 * len(names)
-                    summary.merge(names, np.frombuffer(row["counts"], "<i8" if wide else "<u4"))
+                    summary.merge(np.frombuffer(row["names"], "<u4"), np.frombuffer(row["counts"], "<u4"))
         if part is not None:
             yield left()
 
@@ -235,7 +256,7 @@ def counted(texts: DataFrame, members: bytes, bits: int) -> DataFrame:
     The rows of size 0 hold the number of all words of a language.
     """
     schema = "lang string, phrase string, size int, f long"
-    kinds = [pa.string(), pa.string(), pa.int32(), pa.int64()]
+    kinds, names = [pa.string(), pa.string(), pa.int32(), pa.int64()], ["lang", "phrase", "size", "f"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = np.frombuffer(members, np.uint8)
@@ -246,11 +267,11 @@ def counted(texts: DataFrame, members: bytes, bits: int) -> DataFrame:
             for key, count in zip(keys[single].tolist(), counts[single].tolist()):
                 lang = portion.words[key][0]
                 words[lang] = words.get(lang, 0) + count
+            totals = [pa.array(words, kinds[0]), pa.nulls(len(words), kinds[1]).fill_null("")]
+            totals += [pa.array([0] * len(words), kinds[2]), pa.array(words.values(), kinds[3])]
+            yield pa.record_batch(totals, names=names)
             chosen = holds(table, bits, hashes.astype(np.uint32))
-            rows = [(*portion.phrase(key), n) for key, n in zip(keys[chosen].tolist(), counts[chosen].tolist())]
-            rows += [(lang, "", 0, n) for lang, n in words.items()]
-            columns = [pa.array([row[i] for row in rows], kind) for i, kind in enumerate(kinds)]
-            yield pa.record_batch(columns, names=["lang", "phrase", "size", "f"])
+            yield pa.record_batch([*portion.phrases(keys[chosen]), pa.array(counts[chosen].astype(np.int64))], names=names)
 
     return map_batches(texts, run, schema).groupBy("lang", "phrase", "size").agg(F.sum("f").alias("f"))
 
