@@ -59,11 +59,11 @@ class Members:
         return answer
 
 
-def slices(data: bytes, separator: re.Pattern) -> Iterator[bytes]:
-    """A text in parts of about ``SLICE_BYTES`` that end after a separator, so no word is cut."""
+def slices(data: bytes, separator: re.Pattern, size: int = SLICE_BYTES) -> Iterator[bytes]:
+    """A text in parts of about ``size`` bytes that end after a separator, so no word is cut."""
     first = 0
-    while len(data) - first > SLICE_BYTES:
-        cut = separator.search(data, first + SLICE_BYTES)
+    while len(data) - first > size:
+        cut = separator.search(data, first + size)
         if cut is None:
             break
         yield data[first : cut.end()]

@@ -27,7 +27,7 @@ from __future__ import annotations
 
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -47,8 +47,10 @@ COVERED = 50
 PART_BYTES = 1 << 23
 #: 2**27 bits, 16 MB, tell which n-grams survived.
 BITS = 27
-#: Distinct words and n-grams a task holds before it passes its counts on.
-KEPT_WORDS, KEPT_GRAMS = 1 << 20, 6 << 20
+#: Distinct words and occurrences of n-grams a task holds before it passes its counts on.
+KEPT_WORDS, KEPT_GRAMS = 1 << 18, 4 << 20
+#: Bytes of short texts that are counted together.
+JOINED_BYTES = 1 << 20
 #: Keys by which the ranking is cut for the first time, so that no task sorts a whole language.
 SALTS = 256
 #: A word's number takes 21 bits of a key; 0 stands for the end of a piece.
@@ -65,13 +67,14 @@ _ENDS = [bytes([c]) for c in b".,;:!?\n\x0b\x0c\r"]
 class _Numbers(dict):
     """Numbers of the words of one language; an unknown word gets the next one."""
 
-    def __init__(self, lang: str, words: list[tuple[str, bytes]]):
+    def __init__(self, lang: str, words: list[bytes], langs: list[str]):
         super().__init__(dict.fromkeys(_ENDS, 0))
-        self._lang, self._words = lang, words
+        self._lang, self._words, self._langs = lang, words, langs
 
     def __missing__(self, word: bytes) -> int:
         self[word] = number = len(self._words)
-        self._words.append((self._lang, word))
+        self._words.append(word)
+        self._langs.append(self._lang)
         return number
 
 
@@ -79,7 +82,11 @@ class Counts:
     """Exact counts of the n-grams of some texts. A key holds the numbers of up to three words."""
 
     def __init__(self) -> None:
-        self.words: list[tuple[str, bytes]] = [("", b"")]
+        self.clear()
+
+    def clear(self) -> None:
+        self.words: list[bytes] = [b""]
+        self.langs: list[str] = [""]
         self._numbers: dict[str, _Numbers] = {}
         self._keys: list[np.ndarray] = []
         self._held = 0
@@ -91,7 +98,7 @@ class Counts:
     def add(self, lang: str, part: bytes) -> None:
         """Count the n-grams of lower-cased text that ends where a piece ends."""
         if lang not in self._numbers:
-            self._numbers[lang] = _Numbers(lang, self.words)
+            self._numbers[lang] = _Numbers(lang, self.words, self.langs)
         tokens = _TOKEN.findall(part)
         ids = np.fromiter(map(self._numbers[lang].__getitem__, tokens), np.int64, len(tokens))
         key, whole = ids, ids > 0
@@ -111,8 +118,8 @@ class Counts:
         starts = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]]) if len(keys) else np.empty(0, np.int64)
         counts = np.diff(starts, append=len(keys)).astype(np.uint32)
         keys = keys[starts]
-        seeds = {lang: zlib.crc32(lang.encode()) for lang in self._numbers}
-        named = (zlib.crc32(word, seeds.get(lang, 0)) << 32 | zlib.adler32(word) for lang, word in self.words)
+        seeds = {lang: zlib.crc32(lang.encode()) for lang in ("", *self._numbers)}
+        named = (zlib.crc32(word, seeds[lang]) << 32 | zlib.adler32(word) for lang, word in zip(self.langs, self.words))
         hashes = mix(np.fromiter(named, np.uint64, len(self.words)))
         name = np.zeros(len(keys), np.uint64)
         for first in range(0, len(keys), _STEP):
@@ -122,18 +129,17 @@ class Counts:
                 own[:] = np.where(part > 0, mix(own ^ hashes[part]), own)
         return keys, counts, name
 
-    def phrases(self, keys: np.ndarray) -> tuple[pa.Array, pa.Array, pa.Array]:
-        """Languages, texts and numbers of words of n-grams whose keys are in order."""
-        langs, words = (pa.array(column, pa.binary()) for column in zip(*((l.encode(), w) for l, w in self.words)))
+    def phrases(self, keys: np.ndarray) -> Iterator[tuple[pa.Array, pa.Array, pa.Array]]:
+        """Languages, texts and numbers of words of n-grams whose keys are in order, some at a time."""
+        langs, words = pa.array(self.langs, pa.string()), pa.array(self.words, pa.binary())
         bounds = np.searchsorted(keys, [1 << _WIDTH * size for size in range(LONGEST + 1)])
-        made = []
-        for size, first, last in zip(range(1, LONGEST + 1), bounds[:-1], bounds[1:]):
-            parts = [keys[first:last] >> shift & _MASK for shift in _SHIFTS[LONGEST - size :]]
-            taken = [words.take(pa.array(part)) for part in parts]
-            text = pc.binary_join_element_wise(*taken, b" ") if size > 1 else taken[0]
-            made.append((langs.take(pa.array(parts[0])), text, pa.array(np.full(last - first, size, np.int32))))
-        lang, text, size = (pa.concat_arrays(column) for column in zip(*made))
-        return lang.cast(pa.string()), text.cast(pa.string()), size
+        for size, first, last in zip(range(1, LONGEST + 1), bounds[:-1].tolist(), bounds[1:].tolist()):
+            for at in range(first, last, _STEP):
+                some = keys[at : min(at + _STEP, last)]
+                parts = [pa.array(some >> shift & _MASK) for shift in _SHIFTS[LONGEST - size :]]
+                taken = [words.take(part) for part in parts]
+                text = pc.binary_join_element_wise(*taken, b" ") if size > 1 else taken[0]
+                yield langs.take(parts[0]), text.cast(pa.string()), pa.array(np.full(len(some), size, np.int32))
 
 
 def summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -146,23 +152,36 @@ def summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return keys[starts], np.add.reduceat(counts[order], starts)
 
 
-def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[Counts]:
-    """The n-grams of a task's rows, in portions of bounded size."""
+def _joined(texts: pa.Array, rows: list[int]) -> Iterator[bytes]:
+    """Lower-cased texts of some rows, about ``JOINED_BYTES`` at a time; a line end keeps them apart."""
+    joined, size = [], 0
+    for row in rows:
+        joined.append((texts[row].as_py() or "").encode().lower())
+        size += len(joined[-1])
+        if size >= JOINED_BYTES:
+            yield b"\n".join([*joined, b""])
+            joined, size = [], 0
+    yield b"\n".join([*joined, b""])
+
+
+Made = Callable[[Counts], Iterator[pa.RecordBatch]]
+
+
+def _by_portions(batches: Iterator[pa.RecordBatch], made: Made) -> Iterator[pa.RecordBatch]:
+    """What ``made`` makes of the n-grams of a task's rows, in portions of bounded size."""
     counts = Counts()
     for batch in batches:
         by_lang: dict[str, list[int]] = {}
         for row, lang in enumerate(batch.column("lang").to_pylist()):
             by_lang.setdefault(lang, []).append(row)
         for lang, rows in by_lang.items():
-            texts = batch.column("text").take(pa.array(rows))
-            # A line end keeps texts apart.
-            data = b"".join((text.as_py() or "").encode().lower() + b"\n" for text in texts)
-            for part in slices(data, _END):
-                counts.add(lang, part)
-                if counts.full:
-                    yield counts
-                    counts = Counts()
-    yield counts
+            for data in _joined(batch.column("text"), rows):
+                for part in slices(data, _END, JOINED_BYTES):
+                    counts.add(lang, part)
+                    if counts.full:
+                        yield from made(counts)
+                        counts.clear()
+    yield from made(counts)
 
 
 class MisraGries:
@@ -204,23 +223,21 @@ def summaries(texts: DataFrame, parts: int) -> DataFrame:
     schema = "part int, kind int, mass long, names binary, counts binary"
     kinds = [pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.binary()]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for portion in _counted(batches):
-            _, counts, hashes = portion.take()
-            part = ((hashes >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
-            names = hashes.astype(np.uint32)
-            order = np.lexsort((names, part))
-            bounds = np.searchsorted(part[order], np.arange(parts + 1))
-            rows = []
-            for p in np.flatnonzero(np.diff(bounds)).tolist():
-                here = order[bounds[p] : bounds[p + 1]]
-                few = counts[here]
-                rows.append((p, 0, int(few.sum()), None, None))
-                rows.append((p, 1, 0, names[here].astype("<u4").tobytes(), few.astype("<u4").tobytes()))
-            columns = [pa.array([row[i] for row in rows], kind) for i, kind in enumerate(kinds)]
-            yield pa.record_batch(columns, names=["part", "kind", "mass", "names", "counts"])
-
-    return map_batches(texts, run, schema)
+    def made(portion: Counts) -> Iterator[pa.RecordBatch]:
+        _, counts, hashes = portion.take()
+        part = ((hashes >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int32)
+        order = np.argsort(part, kind="stable")
+        bounds = np.searchsorted(part[order], np.arange(parts + 1))
+        names, counts = hashes.astype("<u4")[order], counts.astype("<u4")[order]
+        rows = []
+        for p in np.flatnonzero(np.diff(bounds)).tolist():
+            here = slice(bounds[p], bounds[p + 1])
+            rows.append((p, 0, int(counts[here].sum(dtype=np.int64)), None, None))
+            rows.append((p, 1, 0, names[here].tobytes(), counts[here].tobytes()))
+        columns = [pa.array([row[i] for row in rows], kind) for i, kind in enumerate(kinds)]
+        yield pa.record_batch(columns, names=["part", "kind", "mass", "names", "counts"])
+
+    return map_batches(texts, lambda batches: _by_portions(batches, made), schema)
 
 
 def survivors(summarised: DataFrame, threshold: int) -> DataFrame:
@@ -258,22 +275,22 @@ def counted(texts: DataFrame, members: bytes, bits: int) -> DataFrame:
     schema = "lang string, phrase string, size int, f long"
     kinds, names = [pa.string(), pa.string(), pa.int32(), pa.int64()], ["lang", "phrase", "size", "f"]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = np.frombuffer(members, np.uint8)
-        for portion in _counted(batches):
-            keys, counts, hashes = portion.take()
-            single = keys <= _MASK
-            words: dict[str, int] = {}
-            for key, count in zip(keys[single].tolist(), counts[single].tolist()):
-                lang = portion.words[key][0]
-                words[lang] = words.get(lang, 0) + count
-            totals = [pa.array(words, kinds[0]), pa.nulls(len(words), kinds[1]).fill_null("")]
-            totals += [pa.array([0] * len(words), kinds[2]), pa.array(words.values(), kinds[3])]
-            yield pa.record_batch(totals, names=names)
-            chosen = holds(table, bits, hashes.astype(np.uint32))
-            yield pa.record_batch([*portion.phrases(keys[chosen]), pa.array(counts[chosen].astype(np.int64))], names=names)
-
-    return map_batches(texts, run, schema).groupBy("lang", "phrase", "size").agg(F.sum("f").alias("f"))
+    def made(portion: Counts) -> Iterator[pa.RecordBatch]:
+        keys, counts, hashes = portion.take()
+        chosen = holds(np.frombuffer(members, np.uint8), bits, hashes.astype(np.uint32))
+        single = np.searchsorted(keys, 1 << _WIDTH)
+        words: dict[str, int] = {}
+        for key, count in zip(keys[:single].tolist(), counts[:single].tolist()):
+            words[portion.langs[key]] = words.get(portion.langs[key], 0) + count
+        rows = [(lang, "", 0, count) for lang, count in words.items()]
+        yield pa.record_batch([pa.array([row[i] for row in rows], kind) for i, kind in enumerate(kinds)], names=names)
+        keys, counts, at = keys[chosen], counts[chosen].astype(np.int64), 0
+        for columns in portion.phrases(keys):
+            yield pa.record_batch([*columns, pa.array(counts[at : at + len(columns[0])])], names=names)
+            at += len(columns[0])
+
+    grams = map_batches(texts, lambda batches: _by_portions(batches, made), schema)
+    return grams.groupBy("lang", "phrase", "size").agg(F.sum("f").alias("f"))
 
 
 def frequent(docs: DataFrame, threshold: int = THRESHOLD, part_bytes: int = PART_BYTES, bits: int = BITS) -> DataFrame:
