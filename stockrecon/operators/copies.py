@@ -1,15 +1,18 @@
 """Repeated stock movements: which rows are copies, and which copy is which.
 
 Copies agree in branch, product, time, type, quantity and reference (no reference equals
-no reference). A group of copies may be arbitrarily large, so nothing here gathers a whole
-group: groups are counted with partial sums, and the copies of a large group are numbered
-in slices of the id range, whose sizes the primary key bounds.
+no reference). Nearly all movements are single, so they are first counted by hash, and only
+rows whose hash occurs more than once are compared by all columns. A group of copies may be
+arbitrarily large, so nothing here gathers a whole group: groups are counted with partial sums,
+and the copies of a large group are numbered in slices of the id range, whose sizes the primary
+key bounds.
 """
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stockrecon.functions import expressions as X
+from stockrecon.operators.prefilter import hash_set, may_be_in, repeated_hashes
 from stockrecon.operators.series import SERIES
 
 # A window sees at most 2**SLICE_BITS ids of one group.
@@ -43,9 +46,23 @@ def _unkeyed(number: Column) -> list[Column]:
     return [F.col("movement_id"), *shared, reference, number.cast("bigint").alias("duplicate_number")]
 
 
+def _suspects(movements: DataFrame, groups: DataFrame | None = None) -> DataFrame:
+    """Hashes of movements that may have copies, as a set of bounded size.
+
+    Only hashes and counts are shuffled for it; stored ``groups`` give it without that.
+    """
+    if groups is not None:
+        return hash_set(groups, F.col("copy_hash"))
+    return hash_set(repeated_hashes(_keyed(movements), F.col("copy_hash")), F.col("hashed"))
+
+
 def copy_groups(movements: DataFrame) -> DataFrame:
     """Groups of equal movements with more than one row, as ``copy_hash, copy_key, copies``."""
-    return _keyed(movements).groupBy(*_KEY).agg(F.count(F.lit(1)).alias("copies")).where(F.col("copies") > 1)
+    return _groups(may_be_in(_keyed(movements), _suspects(movements), F.col("copy_hash")))
+
+
+def _groups(keyed: DataFrame) -> DataFrame:
+    return keyed.groupBy(*_KEY).agg(F.count(F.lit(1)).alias("copies")).where(F.col("copies") > 1)
 
 
 def duplicate_days(movements: DataFrame, groups: DataFrame | None = None) -> DataFrame:
@@ -65,19 +82,24 @@ def duplicate_movements(
 ) -> DataFrame:
     """Every copy after the first, numbered from 2 in the order of movement_id.
 
-    With stored ``groups`` the movements are counted once, and if the groups are few they are
-    sent to the movements instead of shuffling these again.
+    Movements are read with a filter that single ones seldom pass; what passes it is shuffled by
+    all columns. With stored ``groups`` the movements need not be counted again.
     """
-    groups = copy_groups(movements) if groups is None else groups
-    return _numbered_copies(movements, groups, slice_bits).where(F.col("duplicate_number") > 1)
+    suspects = may_be_in(_keyed(movements), _suspects(movements, groups), F.col("copy_hash"))
+    groups = _groups(suspects) if groups is None else groups
+    return _numbered_copies(suspects, groups, slice_bits).where(F.col("duplicate_number") > 1)
 
 
 def number_duplicates(movements: DataFrame, slice_bits: int = SLICE_BITS) -> DataFrame:
-    """All movements with their number among equal ones; only actual copies are sorted."""
-    groups = copy_groups(movements)
+    """All movements with their number among equal ones; only possible copies are shuffled."""
+    keyed, found = _keyed(movements), _suspects(movements)
+    suspects = may_be_in(keyed, found, F.col("copy_hash"))
+    groups = _groups(suspects)
     small, large = _split(groups, slice_bits)
-    single = _keyed(movements).join(large, _KEY, "left_anti").join(small, _KEY, "left_anti")
-    return single.select(_unkeyed(F.lit(1))).unionByName(_numbered_copies(movements, groups, slice_bits))
+    single = may_be_in(keyed, found, F.col("copy_hash"), how="left_anti")
+    alone = suspects.join(large, _KEY, "left_anti").join(small, _KEY, "left_anti")
+    numbered = _numbered_copies(suspects, groups, slice_bits)
+    return single.unionByName(alone).select(_unkeyed(F.lit(1))).unionByName(numbered)
 
 
 def _split(groups: DataFrame, slice_bits: int) -> tuple[DataFrame, DataFrame]:
@@ -92,13 +114,12 @@ def _split(groups: DataFrame, slice_bits: int) -> tuple[DataFrame, DataFrame]:
     return groups.where(F.col("copies") <= size), F.broadcast(large) if slice_bits >= SLICE_BITS else large
 
 
-def _numbered_copies(movements: DataFrame, groups: DataFrame, slice_bits: int) -> DataFrame:
-    """Rows that have copies, numbered from 1 within their group.
+def _numbered_copies(keyed: DataFrame, groups: DataFrame, slice_bits: int) -> DataFrame:
+    """Those of the keyed rows that have copies, numbered from 1 within their group.
 
     Rows of large groups leave before anything is shuffled by group, and are numbered in
     slices of their ids instead.
     """
-    keyed = _keyed(movements)
     small, large = _split(groups, slice_bits)
     in_group = Window.partitionBy(*_KEY).orderBy("movement_id")
     few = keyed.join(large, _KEY, "left_anti").join(small, _KEY).select(_unkeyed(F.row_number().over(in_group)))

@@ -19,6 +19,24 @@ def exchanges(df) -> list[str]:
     return re.findall(r"Exchange hashpartitioning\(([^)]*), \d+\)", re.sub(r"#\d+L?", "", plan(df)))
 
 
+def shuffled(df) -> int:
+    """Rows that a run of ``df`` writes for shuffles."""
+    df.collect()
+    todo, rows = [df._jdf.queryExecution().executedPlan()], 0
+    while todo:
+        node = todo.pop()
+        name = node.nodeName()
+        if name == "AdaptiveSparkPlan":
+            todo.append(node.executedPlan())
+        elif name.endswith("QueryStage"):
+            todo.append(node.plan())
+        children = node.children()
+        todo += [children.apply(i) for i in range(children.size())]
+        if name == "Exchange":
+            rows += node.metrics().apply("shuffleRecordsWritten").value()
+    return rows
+
+
 @pytest.fixture()
 def cluster(spark):
     """As on a cluster with large tables: only the dimensions are small enough to broadcast."""
@@ -154,3 +172,41 @@ def tables_folder(spark) -> str:
     from stockrecon.session import new_folder
 
     return new_folder(spark, "groups")
+
+
+def test_keys_are_checked_without_shuffling_them(spark, inventory):
+    """Ids go 64 to a word; only keys of suspicious words are shuffled themselves."""
+    from stockrecon.operators import integrity
+
+    ids = spark.range(-5000, 45_000, numPartitions=8).withColumnRenamed("id", "movement_id")
+    moved = tables.load_tables({"ids": ids}, tables_folder(spark))["ids"]
+    assert shuffled(integrity.pk_violations(moved, "movement_id", prefilter=False)) >= 50_000
+    assert shuffled(integrity.pk_violations(moved, "movement_id")) < 50_000 / 10
+    twice = moved.union(spark.createDataFrame([(7,), (7,), (44_999,)], moved.schema))
+    found = integrity.pk_violations(twice, "movement_id")
+    assert shuffled(found) < 50_000 / 10
+    assert sorted(tuple(r)[2:] for r in found.collect()) == [("44999", "movement_id: 2 rows"), ("7", "movement_id: 3 rows")]
+    series = inventory["snapshots"].select("branch_id", "product_id", "snapshot_date")
+    assert shuffled(integrity.unique_violations(series, series.columns)) < series.count() / 2
+
+
+def test_single_movements_are_not_shuffled_by_all_columns(inventory):
+    moved = inventory["movements"]
+    copies_ = copies.copy_groups(moved).selectExpr("coalesce(sum(copies), 0)").first()[0]
+    layouts = re.sub(r"#\d+L?", "", plan(copies.duplicate_movements(moved)))
+    # Hashes are counted once; what is shuffled by all columns has passed the filter.
+    assert "hashpartitioning(_groupingexpression" in layouts or "hashpartitioning(hashed" in layouts
+    assert copies_ < moved.count() / 10
+    for part in re.split(r"Exchange hashpartitioning\(copy_hash, copy_key", layouts)[1:]:
+        assert "LeftSemi" in part
+
+
+def test_booked_references_are_shuffled_as_words(inventory):
+    from stockrecon.operators import integrity
+
+    found = integrity.orders_without_movement(inventory["supplier_orders"], inventory["movements"])
+    text = re.sub(r"#\d+L?", "", plan(found))
+    assert not [keys for keys in exchanges(found) if "reference_id" in keys or "_booked" in keys]
+    assert "partial_bit_or" in text and "LeftAnti" in text
+    booked = inventory["movements"].where("movement_type = 'DELIVERY'").count()
+    assert shuffled(found) < booked
