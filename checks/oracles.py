@@ -408,6 +408,13 @@ _BODIES |= {
     ),
 }
 
+# Loads of new days and refreshed tables end in the rows of a single load.
+for _entry in ("V4", "V5", "V6", "V7", "V8", "V9", "V11"):
+    (_whole,) = (name for name in _BODIES if name.startswith(f"{_entry}_"))
+    _BODIES[f"{_entry}_in_two_loads"] = _BODIES[_whole]
+_BODIES["S5_refresh_that_breaks_off"] = summaries_sql({name: (f"FROM {name}", schema) for name, schema in TABLES.items()})
+_BODIES["S10_rows_counted_while_written"] = _BODIES["S10_row_counts"]
+
 # Further common tables of single queries.
 _EXTRA = {
     "W4_risk_rank": """, rounded AS MATERIALIZED (

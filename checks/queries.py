@@ -14,11 +14,11 @@ from stockrecon.functions import expressions as X
 from stockrecon.operators import availability, copies, demand, integrity, ledger, performance, reconcile
 from stockrecon.operators import reports as R
 from stockrecon.operators.series import SERIES, by_series, join_bpd, left_join_zero, with_dims
-from stockrecon.plans import analysis
+from stockrecon.plans import analysis, increments
 from stockrecon.schemas import RESULTS
 from stockrecon.session import new_folder
 from checks import mart
-from stockrecon.sources import exports, tables
+from stockrecon.sources import exports, refresh, tables
 
 Frames = Mapping[str, DataFrame]
 Query = Callable[[SparkSession, str], DataFrame]
@@ -133,6 +133,23 @@ def _(spark, folder, t, v):
     return summaries(columns | {f"{name} (csv)": df for name, df in text.items()})
 
 
+@source_query("S5_refresh_that_breaks_off")
+def _(spark, folder, t, v):
+    """All tables are refreshed together; a second refresh breaks off in its last table."""
+    target = new_folder(spark, "refresh")
+    base = {name: t[name] for name in BASE}
+    refresh.refresh_tables(spark, base, target)
+    broken = F.raise_error(F.lit("source broke off")).cast("bigint")
+    half = {name: df.limit(1) for name, df in base.items()}
+    half["cancellations"] = base["cancellations"].withColumn("requested_quantity", broken)
+    try:
+        refresh.refresh_tables(spark, half, target)
+    except Exception as error:  # the refresh is meant to fail, in this way only
+        if "source broke off" not in str(error):
+            raise
+    return summaries(refresh.current(spark, target))
+
+
 @source_query("S6_register_views")
 def _(spark, folder, t, v):
     analysis.register(spark, {name: t[name] for name in BASE})
@@ -172,6 +189,13 @@ def _(t, v):
     return tables.row_counts({name: t[name] for name in BASE})
 
 
+@source_query("S10_rows_counted_while_written")
+def _(spark, folder, t, v):
+    target = new_folder(spark, "counted")
+    refresh.refresh_tables(spark, {name: t[name] for name in BASE}, target)
+    return refresh.row_counts(spark, target)
+
+
 # ---- integrity ----------------------------------------------------------------------
 
 for _family in ("Q1", "Q2", "Q3", "Q4", "Q5", "Q6", "Q7"):
@@ -418,6 +442,42 @@ for _number, _name in enumerate(analysis.VIEWS, 1):
     _register_view(_number, _name)
 
 
+#: Views over two loads, the second of which reads the later days and the carried state.
+IN_TWO_LOADS = {
+    "inventory_reconciliation": "V4_in_two_loads",
+    "reconciliation_issues": "V5_in_two_loads",
+    "phantom_inventory": "V6_in_two_loads",
+    "stockout_days": "V7_in_two_loads",
+    "stockout_periods": "V8_in_two_loads",
+    "lost_sales_estimate": "V9_in_two_loads",
+    "branch_inventory_health": "V11_in_two_loads",
+}
+_loads: dict[tuple, str] = {}
+
+
+def _in_two_loads(spark: SparkSession, folder: str, t: Frames) -> str:
+    """Folder of two loads, cut in the middle of the snapshots."""
+    key = mart.source_key(spark, folder)
+    if key not in _loads:
+        low, high = t["snapshots"].agg(F.min("snapshot_date"), F.max("snapshot_date")).first()
+        days = [t[name].agg(F.max(F.col(day).cast("date"))).first()[0] for name, day in increments.DAYS.items()]
+        target = new_folder(spark, "loads")
+        increments.advance(spark, t, target, low + (high - low) // 2)
+        increments.advance(spark, t, target, max(day for day in days if day is not None))
+        _loads[key] = target
+    return _loads[key]
+
+
+def _register_loads(name: str, entry: str) -> None:
+    @source_query(entry)
+    def view(spark, folder, t, v):
+        return increments.views(spark, t, _in_two_loads(spark, folder, t))[name]
+
+
+for _name, _entry in IN_TWO_LOADS.items():
+    _register_loads(_name, _entry)
+
+
 # ---- reports ------------------------------------------------------------------------
 
 

@@ -60,3 +60,29 @@ def stockout_periods(days: DataFrame) -> DataFrame:
         )
         .drop("island")
     )
+
+
+def continued_periods(days: DataFrame, open_runs: DataFrame | None = None) -> DataFrame:
+    """Runs of consecutive stockout days that may carry on a run of earlier days.
+
+    ``open_runs`` are periods that end before ``days`` begin, at most one per series. One of them
+    joins the run of the day after its end; if there is none, it stands as it is.
+    """
+    found = stockout_periods(days)
+    if open_runs is None:
+        return found
+    names = [name for name in found.columns if not name.startswith("stockout_") and name != "cancelled_quantity"]
+    series = Window.partitionBy(*SERIES).orderBy("stockout_start")
+    follows = F.datediff("stockout_start", F.lag("stockout_end").over(series)) == 1
+    rows = found.unionByName(open_runs).withColumn("begins", (~F.coalesce(follows, F.lit(False))).cast("int"))
+    numbered = rows.withColumn("run", F.sum("begins").over(series.rowsBetween(Window.unboundedPreceding, 0)))
+    return (
+        numbered.groupBy(*names, "run")
+        .agg(
+            F.min("stockout_start").alias("stockout_start"),
+            F.max("stockout_end").alias("stockout_end"),
+            F.sum("stockout_days").alias("stockout_days"),
+            F.sum("cancelled_quantity").alias("cancelled_quantity"),
+        )
+        .select(*found.columns)
+    )

@@ -45,27 +45,45 @@ def branch_lost(lost: DataFrame) -> DataFrame:
     )
 
 
+def branch_sums(recon: DataFrame, phantom: DataFrame, lost: DataFrame) -> DataFrame:
+    """All per-branch sums in one row per branch that has any; sums of sums are sums again."""
+    return (
+        branch_reconciliation(recon)
+        .join(branch_phantom(phantom), "branch_id", "full")
+        .join(branch_lost(lost), "branch_id", "full")
+    )
+
+
 def assemble_branch(branches: DataFrame, recon: DataFrame, phantom: DataFrame, lost: DataFrame) -> DataFrame:
     """Join the per-branch sums; a branch needs snapshots but neither phantom nor lost rows."""
-    money = "decimal(28,2)"
-    return (
+    return _assembled(
         branches.select("branch_id", "branch_name", "region")
         .join(branch_reconciliation(recon), "branch_id")
         .join(branch_phantom(phantom), "branch_id", "left")
         .join(branch_lost(lost), "branch_id", "left")
-        .withColumns(
-            {
-                "reconciliation_issue_rate": X.round2(X.pct(F.col("issue_count"), F.col("snapshots"))),
-                "phantom_incidents": X.or_zero(F.col("phantom_incidents")),
-                "estimated_lost_revenue": F.coalesce("estimated_lost_revenue", F.lit(0).cast(money)).cast(money),
-                "estimated_lost_gross_profit": F.coalesce(
-                    "estimated_lost_gross_profit", F.lit(0).cast(money)
-                ).cast(money),
-            }
-        )
     )
 
 
+def _assembled(summed: DataFrame) -> DataFrame:
+    money = "decimal(28,2)"
+    return summed.withColumns(
+        {
+            "reconciliation_issue_rate": X.round2(X.pct(F.col("issue_count"), F.col("snapshots"))),
+            "phantom_incidents": X.or_zero(F.col("phantom_incidents")),
+            "estimated_lost_revenue": F.coalesce("estimated_lost_revenue", F.lit(0).cast(money)).cast(money),
+            "estimated_lost_gross_profit": F.coalesce("estimated_lost_gross_profit", F.lit(0).cast(money)).cast(money),
+        }
+    )
+
+
+def health_of_sums(branches: DataFrame, parts: DataFrame) -> DataFrame:
+    """Branch health from stored ``branch_sums`` of any number of loads; views are not read again."""
+    measures = [name for name in parts.columns if name != "branch_id"]
+    summed = parts.groupBy("branch_id").agg(*(F.sum(name).alias(name) for name in measures))
+    known = branches.select("branch_id", "branch_name", "region").join(summed.where("snapshots > 0"), "branch_id")
+    return risk_rank(_assembled(known)).select(*RESULTS["branch_inventory_health"].names)
+
+
 def risk_rank(health: DataFrame) -> DataFrame:
     """Rank branches by lost revenue, then by number of issues; ties share a rank.
 

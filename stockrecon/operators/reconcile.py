@@ -11,27 +11,46 @@ from stockrecon.schemas import RESULTS
 _LEDGER_MEASURES = ["inflow_quantity", "outflow_quantity", "net_movement"]
 
 
-def previous_stock(snapshots: DataFrame) -> DataFrame:
+def previous_stock(snapshots: DataFrame, carried: DataFrame | None = None) -> DataFrame:
     """Add the recorded stock of the previous snapshot of the series, whatever its date.
 
     A series has one snapshot per day, so a window holds no more rows than there are days.
+    ``carried`` may hold the ``last_stock`` before these snapshots; its rows are not returned.
     """
     earlier = Window.partitionBy(*SERIES).orderBy("snapshot_date")
-    return snapshots.withColumn("previous_recorded_stock", F.lag("recorded_closing_stock").over(earlier))
+    before = F.lag("recorded_closing_stock").over(earlier)
+    if carried is None:
+        return snapshots.withColumn("previous_recorded_stock", before)
+    rows = snapshots.withColumn("is_new", F.lit(True)).unionByName(
+        carried.withColumn("is_new", F.lit(False)), allowMissingColumns=True
+    )
+    return rows.withColumn("previous_recorded_stock", before).where("is_new").drop("is_new")
+
+
+def last_stock(snapshots: DataFrame, carried: DataFrame | None = None) -> DataFrame:
+    """Day and stock of the last snapshot of each series, with partial maxima."""
+    rows = snapshots.select(*SERIES, "snapshot_date", "recorded_closing_stock")
+    rows = rows if carried is None else rows.unionByName(carried)
+    last = F.max(F.struct("snapshot_date", "recorded_closing_stock")).alias("last")
+    return rows.groupBy(*SERIES).agg(last).select(*SERIES, "last.*")
 
 
 def inventory_reconciliation(
-    snapshots: DataFrame, branches: DataFrame, products: DataFrame, daily_movements: DataFrame
+    snapshots: DataFrame,
+    branches: DataFrame,
+    products: DataFrame,
+    daily_movements: DataFrame,
+    carried: DataFrame | None = None,
 ) -> DataFrame:
     """One row per snapshot: expected stock, difference and status.
 
     Expected stock is the previously *recorded* stock plus the day's net movement, so an
     error shows on the day it happens and is not carried on. Names are joined last, so that
-    a filter on the difference runs before them.
+    a filter on the difference runs before them. ``carried`` is the last stock before these days.
     """
     ledger = by_series(daily_movements, "movement_date", "snapshot_date")
     compared = (
-        left_join_zero(previous_stock(snapshots), ledger, "snapshot_date", _LEDGER_MEASURES)
+        left_join_zero(previous_stock(snapshots, carried), ledger, "snapshot_date", _LEDGER_MEASURES)
         .withColumn(
             "expected_closing_stock", X.expected_stock(F.col("previous_recorded_stock"), F.col("net_movement"))
         )

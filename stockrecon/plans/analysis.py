@@ -7,10 +7,13 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 
 from stockrecon.operators import availability, copies, demand, integrity, ledger, performance, reconcile, reports
-from stockrecon.sources import exports
 from stockrecon.schemas import TABLES
+from stockrecon.sources import exports
+from stockrecon.sources.refresh import write_counted
 from stockrecon.sources.tables import (
+    bucket_count,
     load_tables,
+    read_file,
     read_known_issues,
     read_tables,
     register_views,
@@ -117,13 +120,25 @@ def run(
     written as ``integrity_violations``, unreadable fields of text files included. If there are
     such rows the run ends there, unless ``strict`` is off. Snapshots are laid out by series
     once, as a table in buckets that all views read without a shuffle; groups of equal movements
-    are counted once. Shared views are stored once in the shared folder and read from there.
+    are counted once. Shared views are stored once in the shared folder and read from there;
+    those that are exported as Parquet are stored where they are exported, in their order. Rows
+    are counted while they are written.
     """
-    work = new_folder(spark, "run")
+    work, target = new_folder(spark, "run"), target.rstrip("/")
+    counts: dict[str, int] = {}
+
+    def store(name: str, df: DataFrame) -> DataFrame:
+        path = f"{work}/{name}.parquet"
+        ordered = df
+        if target_fmt == "parquet" and name in exports.ORDERS:
+            path, ordered = f"{target}/{name}.parquet", exports.ORDERS[name](df)
+        counts[name] = write_counted(ordered, path, "parquet")
+        return read_file(spark, path, df.schema, "parquet")
+
     t = read_tables(spark, source, source_fmt)
     found = []
     if source_fmt == "csv":
-        t = load_tables(t, work)
+        t = {name: store(name, df) for name, df in t.items()}
         found = [unreadable(spark, source, name) for name in t]
     broken = reduce(DataFrame.unionByName, found, integrity.violations(t))
     broken = load_tables({"integrity_violations": broken}, work)["integrity_violations"]
@@ -131,14 +146,18 @@ def run(
     if strict:
         integrity.refuse(broken)
     laid_out = f"snapshots_{uuid.uuid4().hex}"
-    stored = store_snapshots(t["snapshots"], laid_out, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    v = views(t | {"snapshots": stored}, lambda name, df: load_tables({name: df}, work)[name])
-    exports.export_all(v, target, target_fmt)
-    if known_issues:
-        t["known_issues"] = read_known_issues(spark, known_issues, source_fmt)
-        summary = load_tables({"validation_summary": validation(t, v)}, work)["validation_summary"]
-        exports.write(summary, target, "validation_summary", target_fmt)
-        exports.export_published(v, summary, f"{target.rstrip('/')}/published", target_fmt)
-    spark.sql(f"DROP TABLE {laid_out}")  # every exported view is stored by now
-    loaded = row_counts({name: t[name] for name in TABLES})
-    return loaded.unionByName(row_counts({name: v[name] for name in exports.ordered_exports(v)}))
+    try:
+        stored = store_snapshots(t["snapshots"], laid_out, bucket_count(t["snapshots"]))
+        v = views(t | {"snapshots": stored}, store)
+        if target_fmt != "parquet":
+            exports.export_all(v, target, target_fmt)
+        if known_issues:
+            t["known_issues"] = read_known_issues(spark, known_issues, source_fmt)
+            summary = load_tables({"validation_summary": validation(t, v)}, work)["validation_summary"]
+            exports.write(summary, target, "validation_summary", target_fmt)
+            exports.export_published(v, summary, f"{target}/published", target_fmt)
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {laid_out}")  # every exported view is stored by now
+    unread = {name: t[name] for name in TABLES if name not in counts}
+    listed = spark.createDataFrame([(n, counts[n]) for n in (*TABLES, *exports.ORDERS) if n in counts], "name string, rows bigint")
+    return row_counts(unread).unionByName(listed) if unread else listed

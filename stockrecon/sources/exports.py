@@ -15,18 +15,22 @@ def write(df: DataFrame, folder: str, name: str, fmt: str = "csv") -> str:
     return path
 
 
+#: The eight exported result sets and their reading orders.
+ORDERS = {
+    "inventory_reconciliation": lambda df: df,
+    "reconciliation_issues": R.largest_differences,
+    "phantom_inventory": R.phantom_by_value,
+    "stockout_periods": R.longest_stockouts,
+    "lost_sales_estimate": R.lost_by_value,
+    "supplier_performance": R.supplier_league,
+    "branch_inventory_health": R.branch_ranking,
+    "data_quality_issues": lambda df: df,
+}
+
+
 def ordered_exports(views: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
     """The eight exported result sets, each in its reading order."""
-    return {
-        "inventory_reconciliation": views["inventory_reconciliation"],
-        "reconciliation_issues": R.largest_differences(views["reconciliation_issues"]),
-        "phantom_inventory": R.phantom_by_value(views["phantom_inventory"]),
-        "stockout_periods": R.longest_stockouts(views["stockout_periods"]),
-        "lost_sales_estimate": R.lost_by_value(views["lost_sales_estimate"]),
-        "supplier_performance": R.supplier_league(views["supplier_performance"]),
-        "branch_inventory_health": R.branch_ranking(views["branch_inventory_health"]),
-        "data_quality_issues": views["data_quality_issues"],
-    }
+    return {name: order(views[name]) for name, order in ORDERS.items()}
 
 
 def published_extracts(views: Mapping[str, DataFrame], validation: DataFrame) -> dict[str, DataFrame]:

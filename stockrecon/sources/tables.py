@@ -116,6 +116,12 @@ def load_tables(
     return stored
 
 
+def bucket_count(df: DataFrame, bytes_per_bucket: int = 1 << 30) -> int:
+    """Buckets for a stored table: by its estimated bytes, and enough to keep all cores busy."""
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    return max(df.sparkSession.sparkContext.defaultParallelism, -(-size // bytes_per_bucket))
+
+
 def store_snapshots(snapshots: DataFrame, table: str, buckets: int, mode: str = "overwrite") -> DataFrame:
     """Store the snapshots as a catalog table in buckets by series, one file per bucket.
 

@@ -3,8 +3,10 @@
 import pytest
 from conftest import STAR
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
 from checks.compare import compare, star_connection
+from checks.oracles import all_oracles
+from checks.queries import all_queries
 
 FOLDER = f"{STAR}/sf0.001"
 
@@ -15,10 +17,10 @@ def connection():
 
 
 def test_every_query_has_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(all_queries()) == set(all_oracles())
 
 
-@pytest.mark.parametrize("name", list(queries()))
+@pytest.mark.parametrize("name", list(all_queries()))
 def test_engines_agree(spark, connection, name):
     assert compare(spark, connection, FOLDER, name) in ("", "agree, but empty")
 
