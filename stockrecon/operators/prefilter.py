@@ -55,7 +55,7 @@ def may_be_in(df: DataFrame, hashes: DataFrame, hashed: Column, bits: int = BITS
     """Rows whose hash may be among ``hashes``, a ``hash_set``; with ``left_anti`` those surely not in it."""
     small = F.broadcast(hashes.select(F.col("word").alias("_word"), F.col("mask").alias("_mask")))
     at = _position(hashed, bits)
-    return df.join(small, (word_of(at) == F.col("_word")) & contains(F.col("_mask"), at), how)
+    return df.join(small, (word_of(at) == small["_word"]) & contains(small["_mask"], at), how)
 
 
 def repeated_hashes(df: DataFrame, hashed: Column) -> DataFrame:
