@@ -11,7 +11,8 @@ after each backslash restores the text. Loss is borne by the texts of assistant
 per turn.
 
 Defined results: null roles and texts are empty; null, unreadable or unknown records have no
-turns, a null layout and an empty text; records without turns have an empty text; repeated
+turns, a null layout and an empty text, and only unknown ones have a fingerprint; texts of any length
+are read whole; records without turns have an empty text; repeated
 records are formatted each; extra columns pass through. A formatted record is one string, so a
 single conversation must fit into a row.
 """
@@ -31,6 +32,8 @@ TURN, END = "<|turn|>", "<|end|>"
 CONTROLS = ("<|", "<s>", "</s>", "<<SYS>>", "<</SYS>>", "[INST]", "[/INST]")
 _MARKED = r"\\|<(?=\||/?s>|</?SYS>>)|\[(?=/?INST\])"
 ASSISTANT = "assistant"
+#: Without it texts of more than 20 million characters would not be read.
+_ANY_LENGTH = {"maxStringLen": str(2**31 - 1)}
 SAME_ROLE = {"human": "user", "gpt": "assistant", "bot": "assistant", "model": "assistant"}
 
 
@@ -135,7 +138,7 @@ def canonical(records: DataFrame, column: str = "record", layouts: tuple[Fixed |
     """``records`` with ``fingerprint``, ``layout`` and ``turns`` (array of role and text) appended."""
     parsed, keys = fresh(records, "parsed"), fresh(records, "parsed_keys")
     read = records.select(
-        "*", F.from_json(column, _schema(layouts)).alias(parsed), F.json_object_keys(column).alias(keys)
+        "*", F.from_json(column, _schema(layouts), _ANY_LENGTH).alias(parsed), F.json_object_keys(column).alias(keys)
     )
     known = _known(layouts)
     mark = F.xxhash64(F.array_join(_present(F.col(parsed), F.col(keys), layouts), "\n"))

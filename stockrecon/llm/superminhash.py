@@ -15,9 +15,15 @@ with a probability of 1.3e-7; more similar ones less often.
 Copies with equal shingle sets are one node throughout. A group of candidates beyond
 ``GROUP_NODES`` is compared block against block, each pair of blocks a task of its own.
 
+Texts of candidates are fetched, and rows that go are found, behind a bitmap of fixed size over
+the names of the wanted rows, so the other texts are never shuffled.
+
 Defined results: null, empty and blank texts have no shingles and are linked with nothing;
 repeated rows are copies of each other; a component without any doc_id has a null component_id,
-and documents without doc_id are kept only there; extra columns do not matter.
+and documents without doc_id are kept only there; extra columns do not matter. ``keep_one`` judges
+rows, not ids: different texts under one doc_id or none are judged each, the row of the least
+doc_id (no id last) stays, rows without shingles stay all, and of rows that repeat doc_id and text
+one stays.
 """
 
 from __future__ import annotations
@@ -26,12 +32,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stockrecon.llm.common import durable, fresh, map_batches
 from stockrecon.llm.components import components
 from stockrecon.llm.hashing import GOLDEN, mix, shingle_sets
+from stockrecon.operators.prefilter import hash_set, may_be_in
 
 BANDS, ROWS = 40, 5
 POSITIONS = BANDS * ROWS
@@ -203,14 +210,21 @@ def _links(candidates: DataFrame, size: int, per_cent: int) -> DataFrame:
     return map_batches(candidates, run, "a binary, b binary")
 
 
-def components_of(docs: DataFrame, size: int = 5, per_cent: int = 80) -> DataFrame:
-    """One row per row of ``docs``: ``doc_id``, ``n_shingles``, ``component_id`` and ``kept``."""
+def _row_name(doc_id: str | Column = "doc_id", text_hash: str | Column = "text_hash") -> Column:
+    return F.xxhash64(doc_id, text_hash)
+
+
+def _judged(docs: DataFrame, size: int, per_cent: int) -> DataFrame:
+    """Every row as ``doc_id``, ``text_hash``, ``n_shingles``, ``key``, ``component`` (its least doc_id) and ``pick``.
+
+    The pick names the row that stays for the component: ``none`` (no id), ``doc_id`` and
+    ``text_hash``. Rows without shingles have neither key nor pick.
+    """
     sketched = durable(sketches(docs, size), "sketches")
     nodes = durable(
         sketched.where(F.col("key").isNotNull())
         .groupBy("key")
         .agg(
-            F.min("doc_id").alias("least"),
             F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")).alias("pick"),
             F.first("bands").alias("bands"),
             F.first("n_shingles").alias("n_shingles"),
@@ -249,18 +263,26 @@ def components_of(docs: DataFrame, size: int = 5, per_cent: int = 80) -> DataFra
         )
     )
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("text_hash"))
+    texts = may_be_in(texts, hash_set(grouped, _row_name("pick.doc_id", "pick.text_hash")), _row_name())
     same = F.col("doc_id").eqNullSafe(F.col("pick_id")) & (F.col("text_hash") == F.col("pick_hash"))
     fetched = wanted.join(texts, same).select(F.to_json("task").alias("task"), "key", "text")
     found = durable(
         _links(fetched.repartition("task").sortWithinPartitions("task"), size, per_cent), "links"
     )
     labels = components(found).select(F.col("node").alias("key"), "root")
-    rooted = nodes.select("key", "least").join(labels, "key", "left").withColumn("root", F.coalesce("root", "key"))
+    rooted = nodes.select("key", "pick").join(labels, "key", "left").withColumn("root", F.coalesce("root", "key"))
     rooted = durable(rooted, "rooted")
-    named = rooted.join(rooted.groupBy("root").agg(F.min("least").alias("component")), "root").select("key", "component")
+    named = rooted.join(rooted.groupBy("root").agg(F.min("pick").alias("least")), "root").select("key", "least")
+    return sketched.select("doc_id", "text_hash", "n_shingles", "key").join(named, "key", "left").select(
+        "doc_id", "text_hash", "n_shingles", "key", F.col("least.doc_id").alias("component"), F.col("least").alias("pick")
+    )
+
+
+def components_of(docs: DataFrame, size: int = 5, per_cent: int = 80) -> DataFrame:
+    """One row per row of ``docs``: ``doc_id``, ``n_shingles``, ``component_id`` and ``kept``."""
     own = F.col("doc_id")
     component = F.when(F.col("key").isNull(), own).otherwise(F.col("component"))
-    return sketched.select("doc_id", "n_shingles", "key").join(named, "key", "left").select(
+    return _judged(docs, size, per_cent).select(
         "doc_id", "n_shingles", component.alias("component_id"), own.eqNullSafe(component).alias("kept")
     )
 
@@ -268,14 +290,24 @@ def components_of(docs: DataFrame, size: int = 5, per_cent: int = 80) -> DataFra
 def keep_one(docs: DataFrame, size: int = 5, per_cent: int = 80) -> DataFrame:
     """The rows of ``docs`` that stay, one per component, with the columns they came with.
 
-    A row that repeats the doc_id of another stays once.
+    Rows that go, and rows that stay but are repeated, are named by doc_id and a hash of the text.
+    A bitmap of their names lets all other rows pass as they are read.
     """
-    judged = durable(components_of(docs, size, per_cent).select("doc_id", "kept"), "kept")
-    key = fresh(docs, "kept_id")
-    once = judged.where("kept").groupBy(F.col("doc_id").alias(key)).agg(F.count("*").alias("n"))
-    stays = docs.join(once, F.col("doc_id").eqNullSafe(F.col(key)), "left_semi")
-    repeated = once.where("n > 1").where(F.col(key).isNotNull()).select(key)
-    if repeated.isEmpty():
-        return stays
-    several = stays.join(repeated, F.col("doc_id") == F.col(key), "left_semi").dropDuplicates(["doc_id"])
-    return stays.join(repeated, F.col("doc_id") == F.col(key), "left_anti").unionByName(several)
+    judged = durable(
+        _judged(docs, size, per_cent).where(F.col("key").isNotNull()).select("doc_id", "text_hash", "pick"), "judged"
+    )
+    stays = F.col("doc_id").eqNullSafe(F.col("pick.doc_id")) & (F.col("text_hash") == F.col("pick.text_hash"))
+    named = judged.groupBy("doc_id", "text_hash").agg(F.count("*").alias("n"), F.first(stays).alias("stays"))
+    named = durable(named.where("n > 1 OR NOT stays"), "named")
+    id_, hash_, n = fresh(docs, "named_id"), fresh(docs, "named_hash"), fresh(docs, "named_rows")
+    text_hash, whole_id = F.xxhash64("text"), F.col("doc_id").cast("long")
+    row = _row_name(whole_id, text_hash)
+    names = hash_set(named, _row_name())
+    listed = named.select(
+        F.col("doc_id").alias(id_), F.col("text_hash").alias(hash_), F.when(F.col("stays"), F.col("n")).alias(n)
+    )
+    same = whole_id.eqNullSafe(F.col(id_)) & (text_hash == F.col(hash_))
+    suspects = may_be_in(docs, names, row)
+    unnamed = suspects.join(listed, same, "left_anti")
+    repeated = suspects.join(listed.where(F.col(n).isNotNull()), same).dropDuplicates([id_, hash_]).select(*docs.columns)
+    return may_be_in(docs, names, row, how="left_anti").unionByName(unnamed).unionByName(repeated)

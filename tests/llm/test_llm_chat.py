@@ -101,3 +101,19 @@ def test_empty_and_long(spark, n):
 def test_no_rows(spark):
     empty = spark.createDataFrame([], "conv_id long, turn long, role string, text string")
     assert C.digests(C.format_turns(C.canonical(C.records_of_rows(empty)).select("conv_id", "turns"))).count() == 0
+
+
+def test_a_very_long_turn_is_kept_whole(spark):
+    text = "x" * 24_999_990 + " </s> end "
+    rows = spark.createDataFrame([(1, 0, "user", text), (1, 1, "assistant", text), (2, 0, "user", "")], "conv_id long, turn long, role string, text string")
+    found = C.digests(C.format_turns(C.canonical(C.records_of_rows(rows)).select("conv_id", "turns"))).collect()
+    whole, empty = sorted(found, key=lambda r: r.conv_id)
+    assert (whole.n_turns, whole.loss_chars) == (2, 25_000_000)
+    assert whole.loss_sha256 == hashlib.sha256(text.encode()).hexdigest()
+    assert (empty.n_turns, empty.loss_chars) == (1, 0)
+
+
+def test_an_unreadable_record_differs_from_an_empty_one(spark):
+    records = spark.createDataFrame([("{}",), ("{broken",), (None,), ('{"messages": []}',)], "record string")
+    unread = [(r.fingerprint is None, r.layout, len(r.turns)) for r in C.canonical(records).collect()]
+    assert unread == [(False, None, 0), (True, None, 0), (True, None, 0), (False, "messages", 0)]

@@ -142,3 +142,43 @@ def test_keep_one_of_each_group(spark):
 
 def test_no_documents(spark):
     assert S.components_of(spark.createDataFrame([], DOCS)).count() == 0
+
+
+def long_text(seed, n=30):
+    rng = random.Random(seed)
+    return " ".join(f"w{rng.randrange(10**6)}" for _ in range(n))
+
+
+def test_rows_are_kept_by_text_not_by_id(spark):
+    """Different texts under one doc_id, or under none, are judged each; only repeats fold."""
+    a, b, c, d = map(long_text, range(4))
+    rows = [(1, a, "x"), (1, b, "y"), (2, c, "z"), (None, a + " more", "p"), (None, d, "q"), (None, "", "r"), (None, None, "s"),
+            (5, d, "t"), (3, b, "u"), (3, "", "v"), (3, "", "w"), (6, c, "6"), (2, c, "z")]
+    docs = spark.createDataFrame(rows, DOCS + ", _word string").repartition(3)
+    kept = sorted((r.doc_id is None, r.doc_id or 0, r.text or "", r._word) for r in S.keep_one(docs).collect())
+    assert kept == sorted(
+        (i is None, i or 0, t or "", w)
+        for i, t, w in [(1, a, "x"), (1, b, "y"), (2, c, "z"), (5, d, "t"), (None, "", "r"), (None, None, "s"), (3, "", "v"), (3, "", "w")]
+    )
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_keep_one_equals_all_pairs(spark, seed):
+    rng = random.Random(seed)
+    texts = [t for _, t in corpus(seed + 20)]
+    rows = [(rng.choice([None, *range(60)]), t) for t in texts + rng.sample(texts, 12)]
+    unique = list(dict.fromkeys(rows))
+    found = brute(list(enumerate(t for _, t in unique)), 5)
+    groups = {}
+    for i, (doc, text) in enumerate(unique):
+        groups.setdefault(found[i][1], []).append((doc is None, doc or 0, text))
+    # Of each group of texts with shingles a row of the least doc_id stays; of blank rows all do.
+    kept = [(r.doc_id is None, r.doc_id or 0, r.text) for r in S.keep_one(spark.createDataFrame(rows, DOCS)).collect()]
+    blank = [r for r in kept if not (r[2] or "").strip()]
+    assert len(blank) == sum(not (t or "").strip() for _, t in rows)
+    full = [r for r in kept if (r[2] or "").strip()]
+    wanted = [g for g in groups.values() if (g[0][2] or "").strip()]
+    assert len(full) == len(wanted)
+    for group in wanted:
+        (stays,) = [r for r in full if r in group]
+        assert stays[:2] == min(group, key=lambda g: g[:2])[:2]
