@@ -6,13 +6,16 @@ good. The other half, the holdout, certifies it: with ``n`` good holdout documen
 that rejects ``k`` of them is certified if ``P(Binomial(n, alpha) <= k) <= delta``, that is, if
 the exact (Clopper-Pearson) upper bound of its false rejection rate is at most ``alpha``. The
 proposed cutoff is loosened until it is certified, which is a fixed sequence of tests from
-loose to strict; ``alpha`` is split over the rules and ``delta`` over all strata and rules
-(Bonferroni). So with probability ``1 - delta`` no stratum loses more than ``alpha`` of its
-good documents to the rules. A stratum with too few labels gets no cutoff and loses nothing.
-
-Defined results: null texts count as empty; a null stratum is the stratum ''; null labels and
-labels of unknown documents are ignored; a repeated label row counts as often as it occurs;
-with no labels nothing is rejected but by the base rule; extra columns pass through.
+loose to strict; ``alpha`` is split over the rules of a stratum that have a proposal and ``delta``
+over all proposals (Bonferroni); the holdout has no part in what is proposed. So with probability
+``1 - delta`` no stratum loses more than ``alpha`` of its good documents to the rules. A stratum with
+too few labels gets no cutoff and loses nothing.
+
+Defined results: null texts count as empty; a null stratum is the stratum ''; null labels, labels
+without doc_id and labels of unknown documents are ignored. The bound needs independent labels, so a
+document counts once, however often its label or its row is repeated: as good if all its labels
+are, and with the least of its strata and rates. With no labels nothing is rejected but by the base
+rule; extra columns pass through.
 """
 
 from __future__ import annotations
@@ -22,6 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from stockrecon.llm.common import NO_SPACE, count_of, durable, fresh, let, words
+from stockrecon.operators.prefilter import hash_set, may_be_in
 
 RULES = ("symbols", "repeated_lines", "repeated_words", "capitals")
 SYMBOLS = "[#*$%&|<>]"
@@ -85,40 +89,47 @@ def _per_mille(part: Column, whole: Column) -> Column:
     return F.least(F.floor(1000 * part / F.greatest(whole, F.lit(1))).cast("int"), F.lit(1000))
 
 
-def measure(docs: DataFrame, name: str, text: str = "text", stratum: str = "lang") -> DataFrame:
-    """``docs`` with a struct column ``name``: the counts, the base rule, the stratum and the rates."""
-    raw = fresh(docs, name + "_raw")
-    m, w, line = F.col(raw), F.col(raw)["w"], F.col(raw)["l"]
-    rates = F.array(
-        _per_mille(m["n_symbols"], w["word_chars"]),
-        _per_mille(line["n_dup_lines"], line["n_lines"]),
-        _per_mille(w["n_repeat_words"], w["n_words"]),
-        _per_mille(m["n_capitals"], w["word_chars"]),
-    )
-    failed = (w["n_words"] < MIN_WORDS) | (100 * w["n_repeat_words"] > 50 * w["n_words"])
-    result = F.struct(
-        w["n_words"].alias("n_words"),
-        w["word_chars"].alias("word_chars"),
-        m["n_symbols"].alias("n_symbols"),
-        line["n_dup_lines"].alias("n_dup_lines"),
-        w["n_repeat_words"].alias("n_repeat_words"),
-        failed.alias("base_failed"),
-        F.coalesce(F.col(stratum), F.lit("")).alias("stratum"),
-        rates.alias("rates"),
-    )
-    return docs.select("*", _measures(F.col(text)).alias(raw)).select(*docs.columns, result.alias(name))
+def measured(text: Column, stratum: Column) -> Column:
+    """A struct of the counts, the base rule, the stratum and the rates; the text is read once."""
+
+    def of(m: Column) -> Column:
+        w, line = m["w"], m["l"]
+        rates = F.array(
+            _per_mille(m["n_symbols"], w["word_chars"]),
+            _per_mille(line["n_dup_lines"], line["n_lines"]),
+            _per_mille(w["n_repeat_words"], w["n_words"]),
+            _per_mille(m["n_capitals"], w["word_chars"]),
+        )
+        failed = (w["n_words"] < MIN_WORDS) | (100 * w["n_repeat_words"] > 50 * w["n_words"])
+        return F.struct(
+            w["n_words"].alias("n_words"),
+            w["word_chars"].alias("word_chars"),
+            m["n_symbols"].alias("n_symbols"),
+            line["n_dup_lines"].alias("n_dup_lines"),
+            w["n_repeat_words"].alias("n_repeat_words"),
+            failed.alias("base_failed"),
+            _stratum(stratum).alias("stratum"),
+            rates.alias("rates"),
+        )
+
+    return let(_measures(text), of)
+
 
+def _stratum(stratum: Column) -> Column:
+    return F.coalesce(stratum, F.lit(""))
 
-def allowed_rejections(n: Column, alpha: float, delta: float | Column) -> Column:
+
+def allowed_rejections(n: Column, alpha: float | Column, delta: float | Column) -> Column:
     """The largest k with P(Binomial(n, alpha) <= k) <= delta; -1 if there is none.
 
     Terms of the distribution are summed from 0 on, each from the one before, as logarithms.
     The sum passes any delta below one half before n * alpha + 1.
     """
-    odds = F.log(F.lit(alpha / (1 - alpha)))
+    alpha = alpha if isinstance(alpha, Column) else F.lit(alpha)
+    odds = F.log(alpha / (1 - alpha))
     limit = delta if isinstance(delta, Column) else F.lit(delta)
     start = F.struct(
-        (n * F.log(F.lit(1 - alpha))).cast("double").alias("term"),
+        (n * F.log(1 - alpha)).cast("double").alias("term"),
         F.lit(0.0).alias("sum"),
         F.lit(-1).cast("long").alias("k"),
     )
@@ -136,19 +147,26 @@ def allowed_rejections(n: Column, alpha: float, delta: float | Column) -> Column
     return F.aggregate(F.sequence(F.lit(0).cast("long"), last), start, step, lambda state: state["k"])
 
 
-def cutoffs(measured: DataFrame, labels: DataFrame, alpha: float = ALPHA, delta: float = DELTA) -> DataFrame:
+def cutoffs(measures: DataFrame, labels: DataFrame, alpha: float = ALPHA, delta: float = DELTA) -> DataFrame:
     """One row per stratum: ``stratum`` and ``limits``, the certified cutoff of each rule or null.
 
-    ``measured`` has ``doc_id``, ``stratum`` and ``rates``. Labels shrink to counts per rate
+    ``measures`` has ``doc_id``, ``stratum`` and ``rates``. Labels shrink to counts per rate
     (at most 1001 for each stratum and rule) before anything is ordered.
     """
-    judged = labels.where(F.col("quality").isNotNull()).select(
-        "doc_id", (F.col("quality") == 1).alias("good"), (F.pmod(F.xxhash64("doc_id"), F.lit(2)) == 0).alias("holdout")
+    judged = (
+        labels.where(F.col("quality").isNotNull() & F.col("doc_id").isNotNull())
+        .groupBy("doc_id")
+        .agg(F.min(F.col("quality") == 1).alias("good"))
     )
-    bins = (
-        measured.select("doc_id", "stratum", "rates")
+    once = (
+        measures.select("doc_id", "stratum", "rates")
         .join(judged, "doc_id")
-        .select("stratum", "good", "holdout", F.posexplode("rates").alias("rule", "rate"))
+        .groupBy("doc_id", "good")
+        .agg(F.min(F.struct("stratum", "rates")).alias("m"))
+        .select("m.*", "good", (F.pmod(F.xxhash64("doc_id"), F.lit(2)) == 0).alias("holdout"))
+    )
+    bins = (
+        once.select("stratum", "good", "holdout", F.posexplode("rates").alias("rule", "rate"))
         .groupBy("stratum", "rule", "rate")
         .agg(
             F.count_if(F.col("good") & F.col("holdout")).alias("holdout_good"),
@@ -157,7 +175,6 @@ def cutoffs(measured: DataFrame, labels: DataFrame, alpha: float = ALPHA, delta:
         )
     )
     bins = durable(bins, "rule-rates")
-    tests = max(1, bins.select("stratum", "rule").distinct().count())
     group = Window.partitionBy("stratum", "rule")
     above = group.orderBy(F.col("rate").desc()).rowsBetween(Window.unboundedPreceding, -1)
     # A cutoff at this rate rejects what lies above it.
@@ -169,22 +186,24 @@ def cutoffs(measured: DataFrame, labels: DataFrame, alpha: float = ALPHA, delta:
         *(F.sum(c).over(group).alias(f"{c}_all") for c in ("holdout_good", "good", "bad")),
     )
     gain = F.col("bad_above") / F.greatest("bad_all", F.lit(1)) - F.col("good_above") / F.greatest("good_all", F.lit(1))
-    certified = F.col("holdout_good_above") <= F.col("allowed")
-    sizes = (
-        counted.groupBy("stratum", "rule")
-        .agg(F.max("holdout_good_all").alias("n"))
-        .select("stratum", "rule", allowed_rejections(F.col("n"), alpha / len(RULES), delta / tests).alias("allowed"))
+    # What the other half proposes; the holdout only says how many good documents there are to test with.
+    proposed = durable(
+        counted.where(gain > 0)
+        .groupBy("stratum", "rule")
+        .agg(F.max_by("rate", F.struct(gain, "rate")).alias("proposed"), F.max("holdout_good_all").alias("n")),
+        "rule-proposals",
     )
+    tests = max(1, proposed.count())
+    share = F.lit(float(alpha)) / F.count("*").over(Window.partitionBy("stratum"))
+    allowed = proposed.withColumn("share", share).select(
+        "stratum", "rule", "proposed", allowed_rejections(F.col("n"), F.col("share"), delta / tests).alias("allowed")
+    )
+    certified = F.col("holdout_good_above") <= F.col("allowed")
     chosen = (
-        counted.join(sizes, ["stratum", "rule"])
-        .groupBy("stratum", "rule")
-        .agg(
-            F.max_by("rate", F.struct(F.when(gain > 0, gain), "rate")).alias("proposed"),
-            F.max(gain).alias("gain"),
-            F.min(F.when(certified, F.col("rate"))).alias("strictest"),
-            F.max("allowed").alias("allowed"),
-        )
-        .where((F.col("gain") > 0) & (F.col("allowed") >= 0) & F.col("strictest").isNotNull())
+        counted.join(allowed.where(F.col("allowed") >= 0), ["stratum", "rule"])
+        .where(certified)
+        .groupBy("stratum", "rule", "proposed")
+        .agg(F.min("rate").alias("strictest"))
     )
     limit = F.greatest("proposed", "strictest")
     return chosen.groupBy("stratum").agg(
@@ -192,34 +211,33 @@ def cutoffs(measured: DataFrame, labels: DataFrame, alpha: float = ALPHA, delta:
     )
 
 
-def verdicts(measured: DataFrame, limits: DataFrame, name: str, kept: str) -> DataFrame:
-    """``measured`` with a boolean column ``kept``; the cutoffs are one row per stratum."""
-    found = fresh(measured, "limits")
-    key = fresh(measured, "stratum_of_limits")
-    small = limits.select(F.col("stratum").alias(key), F.col("limits").alias(found))
-    rates, base = F.col(name)["rates"], F.col(name)["base_failed"]
-    over = F.exists(
-        F.zip_with(rates, F.col(found), lambda rate, limit: F.coalesce(rate > limit, F.lit(False))), lambda x: x
-    )
-    joined = measured.join(small, F.col(name)["stratum"] == F.col(key), "left")
-    return joined.select(*measured.columns, (~base & ~F.coalesce(over, F.lit(False))).alias(kept))
+def _passes(m: Column, limits: Column) -> Column:
+    """Whether measures meet the base rule and the cutoffs of their stratum, if it has any."""
+    beyond = F.zip_with(m["rates"], limits, lambda rate, limit: F.coalesce(rate > limit, F.lit(False)))
+    return ~m["base_failed"] & ~F.coalesce(F.exists(beyond, lambda x: x), F.lit(False))
 
 
 def judge(docs: DataFrame, labels: DataFrame, alpha: float = ALPHA, delta: float = DELTA) -> DataFrame:
     """One row per document: ``doc_id``, the counts, ``base_failed`` and ``kept``."""
-    measured = durable(
-        measure(docs.select("doc_id", "text", "lang"), "m").select("doc_id", "m"), "rule-measures"
-    )
-    limits = durable(cutoffs(measured.select("doc_id", "m.*"), labels, alpha, delta), "rule-cutoffs")
+    m = durable(docs.select("doc_id", measured(F.col("text"), F.col("lang")).alias("m")).select("doc_id", "m.*"), "rule-measures")
+    limits = durable(cutoffs(m, labels, alpha, delta), "rule-cutoffs")
     counts = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")
-    return verdicts(measured, limits, "m", "kept").select("doc_id", *(F.col("m")[c].alias(c) for c in counts), "kept")
+    kept = _passes(F.struct("base_failed", "rates"), F.col("limits"))
+    return m.join(limits, "stratum", "left").select("doc_id", *counts, kept.alias("kept"))
 
 
 def keep(docs: DataFrame, labels: DataFrame, alpha: float = ALPHA, delta: float = DELTA) -> DataFrame:
-    """The rows of ``docs`` that pass, with the columns they came with."""
-    m = fresh(docs, "measures")
-    kept = fresh(docs, "kept")
-    measured = measure(docs, m)
-    light = durable(measured.select("doc_id", F.col(m).alias("m")), "rule-measures")
-    limits = durable(cutoffs(light.select("doc_id", "m.*"), labels, alpha, delta), "rule-cutoffs")
-    return verdicts(measured, limits, m, kept).where(F.col(kept)).select(*docs.columns)
+    """The rows of ``docs`` that pass, with the columns they came with.
+
+    Cutoffs need only the measures of labelled documents, which a bitmap of their ids finds.
+    """
+    id_ = F.xxhash64(F.col("doc_id").cast("long"))
+    labelled = may_be_in(docs, hash_set(labels.where(F.col("quality").isNotNull()), id_), id_)
+    rows = labelled.select("doc_id", measured(F.col("text"), F.col("lang")).alias("m"))
+    light = durable(rows.select("doc_id", "m.stratum", "m.rates"), "rule-measures")
+    found, key = fresh(docs, "limits"), fresh(docs, "stratum_of_limits")
+    limits = durable(cutoffs(light, labels, alpha, delta), "rule-cutoffs")
+    limits = limits.select(F.col("stratum").alias(key), F.col("limits").alias(found))
+    joined = docs.join(limits, _stratum(F.col("lang")) == F.col(key), "left")
+    passes = let(measured(F.col("text"), F.col("lang")), lambda m: _passes(m, F.col(found)))
+    return joined.where(passes).select(*docs.columns)

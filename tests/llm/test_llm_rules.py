@@ -88,7 +88,9 @@ def test_cutoff_parts_bad_from_good_and_is_certified(spark):
 
 
 def test_false_rejections_stay_below_the_bound(spark):
-    """Where good and bad overlap, the certified cutoff loses at most alpha of the good."""
+    """Where good and bad overlap, the certified cutoff loses at most alpha of the good.
+
+    Only one rule has a proposal, so it may spend the whole of alpha."""
     rng = random.Random(6)
     rows, labels = [], []
     for i in range(12_000):
@@ -98,7 +100,7 @@ def test_false_rejections_stay_below_the_bound(spark):
         labels.append((i, int(good), 0))
     limit = R.cutoffs(_measured(spark, rows), spark.createDataFrame(labels, LABELS), alpha=0.04).first().limits[0]
     fresh = [rng.gauss(100, 50) for _ in range(200_000)]
-    assert limit is not None and sum(x > limit for x in fresh) / len(fresh) <= 0.01
+    assert limit is not None and 0.01 < sum(x > limit for x in fresh) / len(fresh) <= 0.04
 
 
 def test_few_labels_give_no_cutoff(spark):
@@ -107,6 +109,42 @@ def test_few_labels_give_no_cutoff(spark):
     assert R.cutoffs(_measured(spark, rows), spark.createDataFrame(labels, LABELS)).count() == 0
 
 
+def test_repeated_labels_and_rows_certify_nothing_more(spark):
+    """The bound counts documents, not rows."""
+    rows = [(i, "en", [rate, 0, 0, 0]) for i in range(400) for rate in [(i * 7) % 50 + 400 * (i % 4 == 0)]]
+    labels = [(i, int(i % 4 != 0), 0) for i in range(400)]
+    once = R.cutoffs(_measured(spark, rows), spark.createDataFrame(labels, LABELS), alpha=0.02, delta=0.01).collect()
+    often = R.cutoffs(_measured(spark, rows * 5), spark.createDataFrame(labels * 60, LABELS), alpha=0.02, delta=0.01).collect()
+    assert once == often == []
+    loose = [R.cutoffs(_measured(spark, r), spark.createDataFrame(x, LABELS), alpha=0.2, delta=0.05).collect()
+             for r, x in ((rows, labels), (rows * 5, labels * 60))]
+    assert loose[0] == loose[1] != []
+
+
+def test_contradicting_labels_count_as_bad(spark):
+    rows = [(i, "en", [i % 2 * 500, 0, 0, 0]) for i in range(4000)]
+    good = [(i, 1, 0) for i in range(4000)]
+    found = R.cutoffs(_measured(spark, rows), spark.createDataFrame(good + [(i, 0, 0) for i in range(1, 4000, 2)], LABELS))
+    assert [r.limits[0] for r in found.collect()] == [0]
+
+
+def test_keep_and_judge_agree(spark):
+    rng = random.Random(8)
+    rows, labels = [], []
+    for i in range(1500):
+        good = i % 3 != 0
+        words = [f"w{rng.randrange(10**6)}" + ("#" * rng.randrange(4, 9) if not good else "") for _ in range(55)]
+        rows.append((i, " ".join(words[: rng.choice([40, 55, 55, 55])]), rng.choice(["en", None])))
+        if i % 5:
+            labels.append((i, int(good), 0))
+    docs, marks = spark.createDataFrame(rows, DOCS), spark.createDataFrame(labels, LABELS)
+    judged = {r.doc_id: r for r in R.judge(docs, marks, alpha=0.1).collect()}
+    kept = {r.doc_id for r in R.keep(docs, marks, alpha=0.1).collect()}
+    assert kept == {i for i, r in judged.items() if r.kept}
+    assert any(not r.base_failed and not r.kept for r in judged.values())
+    assert all(r.kept for i, r in judged.items() if i % 3 and not r.base_failed)
+
+
 def test_nulls_ties_and_clashing_columns(spark):
     text = " ".join(f"w{i}" for i in range(60))
     docs = spark.createDataFrame(
