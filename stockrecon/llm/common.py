@@ -5,11 +5,13 @@ from __future__ import annotations
 import tempfile
 import zipfile
 from collections.abc import Callable
+from functools import reduce
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stockrecon.operators.prefilter import hash_set, may_be_in
 from stockrecon.session import new_folder
 
 #: Separators of words: space and U+0009 to U+000D, as characters and as a pattern.
@@ -71,6 +73,21 @@ def fresh(df: DataFrame, name: str) -> str:
     return name
 
 
+def leave_out(docs: DataFrame, gone: DataFrame, name: dict[str, Column]) -> DataFrame:
+    """The rows of ``docs`` whose name is not among ``gone``; nulls equal each other.
+
+    ``name`` gives each column of ``gone`` as an expression over ``docs``, of the same type. A
+    bitmap of the names lets most rows pass as they are read; only the others are joined.
+    """
+    hashed = F.xxhash64(*name.values())
+    hashes = hash_set(gone, F.xxhash64(*name))
+    aliases = {column: fresh(docs, f"gone_{column}") for column in name}
+    same = [value.eqNullSafe(F.col(aliases[column])) for column, value in name.items()]
+    listed = gone.select(*(F.col(column).alias(alias) for column, alias in aliases.items()))
+    suspects = may_be_in(docs, hashes, hashed).join(listed, reduce(lambda a, b: a & b, same), "left_anti")
+    return may_be_in(docs, hashes, hashed, how="left_anti").unionByName(suspects)
+
+
 def words(text: Column) -> Column:
     """Words of a text as an array; null and blank texts have none."""
 

@@ -5,8 +5,9 @@ log likelihood ratio of good against bad. Sites are a host and a path below it.
 good documents of a site is the mean of its documents, labelled ones by their label, others by
 the probability their evidence gives under the global rate. Paths shrink toward their host and
 hosts toward the global rate, as Beta priors whose strength is estimated from how much the
-rates of sites differ beyond chance (method of moments). A document's own share is taken out of
-its host and its path before the path's posterior becomes the prior of the document.
+rates of sites differ beyond chance (method of moments). A document's own share, its label or the
+probability that stood for it, is taken out of its host and its path before the path's posterior
+becomes the prior of the document.
 
 The regression is fitted on at most ``SAMPLE_ROWS`` labelled documents, those with the least
 hash of doc_id; all sums over sites cover all documents.
@@ -25,7 +26,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stockrecon.llm.common import count_of, durable, fresh, let, words
+from stockrecon.llm.common import count_of, durable, leave_out, let, words
 
 SAMPLE_ROWS = 20_000
 #: Documents are kept from this probability of being good on.
@@ -126,6 +127,7 @@ class Model(NamedTuple):
     weights: np.ndarray
     intercept: float
     rate: float
+    share: float
     host_strength: float
     path_strength: float
 
@@ -135,6 +137,12 @@ def _good(units: str) -> Column:
     return F.sum(F.round(F.col(units) * 1_000_000).cast("long")) / 1_000_000
 
 
+def _share_of(weights: np.ndarray, intercept: float, share: float) -> Column:
+    """What a document adds to the good ones of its site: its label, else its probability, in whole millionths."""
+    guess = _sigmoid(evidence(F.col("features"), weights, intercept) + _logit(F.lit(share)))
+    return F.round(F.coalesce(F.col("quality").cast("double"), guess) * 1_000_000) / 1_000_000
+
+
 def posteriors(light: DataFrame, weights: np.ndarray, intercept: float) -> Model:
     """Sums by path and host, the global rate and the strengths of the priors.
 
@@ -142,8 +150,7 @@ def posteriors(light: DataFrame, weights: np.ndarray, intercept: float) -> Model
     """
     sums = light.where("quality IS NOT NULL").agg(F.sum("quality").alias("g"), F.count("*").alias("n")).first()
     share = float(((sums["g"] or 0) + 1) / (sums["n"] + 2))
-    guess = _sigmoid(evidence(F.col("features"), weights, intercept) + _logit(F.lit(share)))
-    judged = light.withColumn("good", F.coalesce(F.col("quality").cast("double"), guess))
+    judged = light.withColumn("good", _share_of(weights, intercept, share))
     paths = durable(judged.groupBy("host", "path").agg(F.count("*").alias("n"), _good("good").alias("good")), "paths")
     total = paths.agg(F.sum("n").alias("n"), _good("good").alias("good")).first()
     rate = float(((total["good"] or 0) + share) / ((total["n"] or 0) + 1))
@@ -151,64 +158,72 @@ def posteriors(light: DataFrame, weights: np.ndarray, intercept: float) -> Model
     of_hosts = strength(hosts.select(F.col("host_n").alias("n"), F.col("host_good").alias("good"), F.lit(rate).alias("parent")))
     sites = durable(paths.join(hosts, "host"), "sites")
     host_rate = (F.col("host_good") + of_hosts * rate) / (F.col("host_n") + of_hosts)
-    return Model(sites, weights, intercept, rate, of_hosts, strength(sites.withColumn("parent", host_rate)))
+    return Model(sites, weights, intercept, rate, share, of_hosts, strength(sites.withColumn("parent", host_rate)))
 
 
-def model_of(light: DataFrame, labels: DataFrame) -> Model:
-    """Everything that is learned, from the light columns of all documents and the labels."""
+def labelled(light: DataFrame, labels: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``light`` with ``quality``, null where there is no label, and the labels, one per document."""
     known = labels.where(F.col("quality").isNotNull() & F.col("doc_id").isNotNull())
-    known = known.groupBy("doc_id").agg(F.min("quality").alias("quality"))
-    weights, intercept = fit(*sample(light, known))
-    return posteriors(light.join(known, "doc_id", "left"), weights, intercept)
-
-
-def decide(
-    docs: DataFrame, columns: str, host: str, path: str, model: Model, out: str, keep_from: float = KEEP_FROM
-) -> DataFrame:
-    """``docs`` with a struct ``out``: evidence, site_rate, quality and kept."""
-    names = {c: fresh(docs, f"site_{c}") for c in model.sites.columns}
-    near = model.sites.select(*(F.col(c).alias(n) for c, n in names.items()))
-    site = [F.coalesce(F.col(c), F.lit("")) == F.col(names[n]) for c, n in ((host, "host"), (path, "path"))]
-    joined = docs.join(near, site[0] & site[1], "left")
-    llr = evidence(F.col(columns), model.weights, model.intercept)
-    own = _sigmoid(llr + _logit(F.lit(model.rate)))
+    known = durable(known.groupBy("doc_id").agg(F.min("quality").alias("quality")), "labels")
+    return durable(light.join(known, "doc_id", "left"), "labelled"), known
+
+
+def model_of(light: DataFrame, known: DataFrame) -> Model:
+    """Everything that is learned, from all documents as ``labelled`` gives them and the labels."""
+    return posteriors(light, *fit(*sample(light.drop("quality"), known)))
+
+
+def decide(light: DataFrame, model: Model, keep_from: float = KEEP_FROM) -> DataFrame:
+    """``light`` with ``evidence``, ``site_rate``, ``quality`` (in place of the label) and ``kept``."""
+    rows = light.join(model.sites.withColumnsRenamed({"good": "path_good", "n": "path_n"}), ["host", "path"], "left")
+    llr = evidence(F.col("features"), model.weights, model.intercept)
+    own = _share_of(model.weights, model.intercept, model.share)
 
     def others(n: str, good: str) -> tuple[Column, Column]:
-        left = F.greatest(F.col(names[n]) - 1, F.lit(0)).cast("double")
-        return left, F.least(F.greatest(F.col(names[good]) - own, F.lit(0.0)), left)
+        left = F.greatest(F.col(n) - 1, F.lit(0)).cast("double")
+        return left, F.least(F.greatest(F.col(good) - own, F.lit(0.0)), left)
 
     n, good = others("host_n", "host_good")
     host_rate = (good + model.host_strength * model.rate) / (n + model.host_strength)
-    n, good = others("n", "good")
+    n, good = others("path_n", "path_good")
     rate = F.round((good + model.path_strength * host_rate) / (n + model.path_strength), 9)
     quality = F.round(_sigmoid(llr + _logit(rate)), 9)
     fitted = F.lit(bool(len(model.weights) and np.any(model.weights)))
-    return joined.select(
-        *docs.columns,
-        F.struct(
-            llr.alias("evidence"),
-            rate.alias("site_rate"),
-            quality.alias("quality"),
-            (~fitted | (quality >= keep_from)).alias("kept"),
-        ).alias(out),
+    return rows.select(
+        *(c for c in light.columns if c != "quality"),
+        llr.alias("evidence"),
+        rate.alias("site_rate"),
+        quality.alias("quality"),
+        (~fitted | (quality >= keep_from)).alias("kept"),
     )
 
 
+def _site(host: str, path: str) -> dict[str, Column]:
+    return {n: F.coalesce(F.col(c), F.lit("")) for c, n in ((host, "host"), (path, "path"))}
+
+
 def _light(docs: DataFrame, host: str, path: str) -> DataFrame:
-    site = (F.coalesce(F.col(c), F.lit("")).alias(n) for c, n in ((host, "host"), (path, "path")))
-    return docs.select("doc_id", *site, features(F.col("text")).alias("features"))
+    site = (column.alias(n) for n, column in _site(host, path).items())
+    doc_id = F.col("doc_id").cast("long").alias("doc_id")
+    return docs.select(doc_id, *site, F.xxhash64("text").alias("text_hash"), features(F.col("text")).alias("features"))
+
+
+def _decided(docs: DataFrame, labels: DataFrame, host: str, path: str) -> DataFrame:
+    rows, known = labelled(durable(_light(docs, host, path), "features"), labels)
+    return decide(rows, model_of(rows, known))
 
 
 def classify(docs: DataFrame, labels: DataFrame, host: str = "source", path: str = "lang") -> DataFrame:
     """One row per document: ``doc_id``, ``host``, ``path``, ``evidence``, ``site_rate``, ``quality``, ``kept``."""
-    light = durable(_light(docs, host, path), "features")
-    judged = decide(light, "features", "host", "path", model_of(light, labels), "judged")
-    return judged.select("doc_id", "host", "path", "judged.*")
+    return _decided(docs, labels, host, path).drop("text_hash", "features")
 
 
 def keep(docs: DataFrame, labels: DataFrame, host: str = "source", path: str = "lang") -> DataFrame:
-    """The rows of ``docs`` that pass, with the columns they came with."""
-    model = model_of(durable(_light(docs, host, path), "features"), labels)
-    measured, judged = fresh(docs, "features"), fresh(docs, "judged")
-    rows = docs.withColumn(measured, features(F.col("text")))
-    return decide(rows, measured, host, path, model, judged).where(F.col(judged)["kept"]).select(*docs.columns)
+    """The rows of ``docs`` that pass, with the columns they came with.
+
+    Decisions are made on the measures; the texts are read once for these and once to leave out
+    what was rejected.
+    """
+    name = {"doc_id": F.col("doc_id").cast("long"), **_site(host, path), "text_hash": F.xxhash64("text")}
+    rejected = _decided(docs, labels, host, path).where(~F.col("kept")).select(*name).distinct()
+    return leave_out(docs, durable(rejected, "rejected"), name)

@@ -88,6 +88,65 @@ def test_nulls_repeats_and_clashing_columns(spark):
     assert judged.count() == 302 and kept.count() == judged.where("kept").count()
 
 
+def sigmoid(x):
+    return 1 / (1 + np.exp(-x))
+
+
+def logit(p):
+    p = min(max(p, 1e-6), 1 - 1e-6)
+    return np.log(p / (1 - p))
+
+
+def test_rates_and_verdicts_equal_plain_loops(spark):
+    """Every document against the sums over the others of its path and host."""
+    rng = random.Random(4)
+    rows, labels, _ = corpus(400, 3)
+    rows += [(i, rows[i][1], "fr", f"src{i % 10}") for i in rng.sample(range(400), 40)]  # repeated ids at other sites
+    rows += [(None, "no id $$$", None, None), (None, None, None, "src1")]
+    labels = labels + [(3, 0, 0), (3, 1, 0)]
+    docs, told = spark.createDataFrame(rows, DOCS).repartition(5), spark.createDataFrame(labels, LABELS)
+    light = Q._light(docs, "source", "lang")
+    marked, known = Q.labelled(light, told)
+    model = Q.model_of(marked, known)
+    got = [r.asDict() for r in Q.decide(marked.withColumn("label", marked["quality"]), model).collect()]
+    assert len(got) == len(rows)
+    for r in got:
+        llr = model.intercept + sum(w * x for w, x in zip(model.weights, r["features"]))
+        r["llr"] = min(max(llr, -30), 30)
+        r["own"] = float(r["label"]) if r["label"] is not None else round(sigmoid(r["llr"] + logit(model.share)), 6)
+    for r in got:
+        host = [o for o in got if o is not r and o["host"] == r["host"]]
+        path = [o for o in host if o["path"] == r["path"]]
+        host_rate = (sum(o["own"] for o in host) + model.host_strength * model.rate) / (len(host) + model.host_strength)
+        rate = (sum(o["own"] for o in path) + model.path_strength * host_rate) / (len(path) + model.path_strength)
+        assert abs(r["site_rate"] - rate) < 1e-7
+        quality = sigmoid(r["llr"] + logit(rate))
+        assert abs(r["quality"] - quality) < 1e-6
+        assert r["kept"] == (r["quality"] >= Q.KEEP_FROM)
+    stays = sorted((r["doc_id"] is None, r["doc_id"] or 0, r["host"], r["path"]) for r in got if r["kept"])
+    kept = Q.keep(docs, told).collect()
+    assert stays == sorted((r.doc_id is None, r.doc_id or 0, r.source or "", r.lang or "") for r in kept)
+
+
+def test_own_label_does_not_bear_on_the_own_prior(spark):
+    """Two equal texts on a site, one labelled: its label may not move its own rate."""
+    text = " ".join(f"w{i}" for i in range(60))
+    rows, labels, _ = corpus(400, 3)
+    rows += [(9001, text, "en", "x"), (9002, text, "en", "x"), (9003, text, "en", "y"), (9004, text, "en", "y")]
+    told = spark.createDataFrame(labels + [(9001, 1, 0), (9003, 0, 0)], LABELS)
+    got = {r.doc_id: r.site_rate for r in Q.classify(spark.createDataFrame(rows, DOCS), told).collect()}
+    assert abs(got[9001] - got[9003]) < 1e-9 and got[9002] > got[9004]
+
+
+def test_real_hosts_and_paths_may_be_named(spark):
+    rows, labels, _ = corpus(300)
+    docs = spark.createDataFrame([(i, t, f"www.{s}.org", f"/{p}/") for i, t, p, s in rows], "doc_id long, text string, site string, folder string")
+    told = spark.createDataFrame(labels, LABELS)
+    one = {r.doc_id: r.quality for r in Q.classify(docs, told, "site", "folder").collect()}
+    two = {r.doc_id: r.quality for r in Q.classify(spark.createDataFrame(rows, DOCS), told).collect()}
+    assert one == two
+
+
 def test_no_documents(spark):
     empty, none = spark.createDataFrame([], DOCS), spark.createDataFrame([], LABELS)
     assert Q.classify(empty, none).count() == 0 and Q.keep(empty, none).count() == 0
