@@ -11,7 +11,7 @@ GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 _BASE = 0xD6E8FEB86659FD93  # odd, so that it has an inverse modulo 2**64
 _INVERSE = pow(_BASE, -1, 1 << 64)
 #: Bytes of text hashed at a time; a longer text makes a slice of its own.
-SLICE_BYTES = 2_000_000
+SLICE_BYTES = 500_000
 
 
 def mix(x: np.ndarray) -> np.ndarray:

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import base64
 import re
+from array import array
 
 import numpy as np
 
@@ -43,13 +44,13 @@ class Encoder:
 
     def _reset(self) -> None:
         self._index: dict[str, int] = {}
-        self._starts, self._lengths = [0], [1]
-        self._ids = [0]  # entry 0: the end of a text
+        self._starts, self._lengths = array("q", [0]), array("q", [1])
+        self._ids = array("I", [0])  # entry 0: the end of a text
 
     def _add(self, ids: list[int]) -> int:
         self._starts.append(len(self._ids))
         self._lengths.append(len(ids))
-        self._ids += ids
+        self._ids.extend(ids)
         return len(self._starts) - 1
 
     def _entries(self, text: str) -> list[int]:
@@ -80,10 +81,10 @@ class Encoder:
             entries += self._entries(text)
             ends.append(len(entries))
         chosen = np.array(entries, np.int64)
-        starts, lengths = np.array(self._starts, np.int64)[chosen], np.array(self._lengths, np.int64)[chosen]
+        starts, lengths = (np.frombuffer(kept, np.int64)[chosen] for kept in (self._starts, self._lengths))
         after = np.concatenate([[0], np.cumsum(lengths)])
         place = np.arange(after[-1]) + np.repeat(starts - after[:-1], lengths)
-        return np.array(self._ids, "<u4")[place], after[ends]
+        return np.frombuffer(self._ids, np.uint32)[place].astype("<u4", copy=False), after[ends]
 
 
 _encoders: dict[str, Encoder] = {}
