@@ -118,7 +118,7 @@ def load_tables(
 
 def bucket_count(df: DataFrame, bytes_per_bucket: int = 1 << 30) -> int:
     """Buckets for a stored table: by its estimated bytes, and enough to keep all cores busy."""
-    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     return max(df.sparkSession.sparkContext.defaultParallelism, -(-size // bytes_per_bucket))
 
 
