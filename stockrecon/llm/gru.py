@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable
 from itertools import islice
 
 import numpy as np
@@ -67,29 +67,30 @@ class Network:
             at += old.size
         return self
 
-    def run(self, ids: np.ndarray, h: np.ndarray, lanes: np.ndarray) -> tuple[np.ndarray, list[tuple]]:
+    def run(self, ids: np.ndarray, h: np.ndarray, lanes: np.ndarray) -> tuple[np.ndarray, tuple]:
         """States before each of the steps' targets are read, and what the way back needs.
 
         ``ids``: (steps, lanes) inputs; ``lanes``: how many lanes, from the first, live in each step.
+        What the way back needs is 0 in lanes that no longer live.
         """
-        states, kept, H = np.zeros((len(ids), *h.shape), np.float32), [], self.hidden
+        H, shape, kind = self.hidden, (len(ids), len(h)), self.x.dtype
+        states, reset, new = (np.zeros((*shape, H), kind) for _ in range(3))
+        gates, first = np.zeros((*shape, 2 * H), kind), h
         for t, live in enumerate(lanes):
-            before = h[:live]
+            before, after, g, s, m = h[:live], states[t, :live], gates[t, :live], reset[t, :live], new[t, :live]
             given = self.x[ids[t, :live]]
-            gates = before @ self.u
-            gates += given[:, : 2 * H]
-            _sigmoid(gates)
-            z, r = gates[:, :H], gates[:, H:]
-            reset = r * before
-            new = reset @ self.v
-            new += given[:, 2 * H :]
-            np.tanh(new, out=new)
-            kept.append((before, z, r, reset, new))
+            np.matmul(before, self.u, out=g)
+            g += given[:, : 2 * H]
+            _sigmoid(g)
+            np.multiply(g[:, H:], before, out=s)
+            np.matmul(s, self.v, out=m)
+            m += given[:, 2 * H :]
+            _tanh(m)
+            np.subtract(m, before, out=after)
+            after *= g[:, :H]
+            after += before
             h = states[t]
-            np.subtract(new, before, out=h[:live])
-            h[:live] *= z
-            h[:live] += before
-        return states, kept
+        return states, (np.concatenate([first[None].astype(kind), states[:-1]]), gates, reset, new)
 
     def states(self, ids: np.ndarray, h: np.ndarray, lanes: np.ndarray) -> np.ndarray:
         """The states of :meth:`run` alone, in memory that is used again from step to step."""
@@ -105,7 +106,7 @@ class Network:
             np.multiply(g[:, H:], before, out=after)
             np.matmul(after, self.v, out=m)
             m += given[:, 2 * H :]
-            np.tanh(m, out=m)
+            _tanh(m)
             np.subtract(m, before, out=after)
             after *= g[:, :H]
             after += before
@@ -120,51 +121,65 @@ class Network:
         runs that stay in the processor's cache.
         """
         n = self.layout
+        order = np.argsort(n.of_class[targets], kind="stable")
+        states, targets = states[order], targets[order]
         classes = n.of_class[targets]
-        result = np.empty(len(targets), np.float32)
+        found = np.empty(len(targets), np.float32)
         back = None if grow is None else np.empty_like(states)
         for a in range(0, len(targets), RUN):
             part = slice(a, a + RUN)
             logits = states[part] @ self.c
-            result[part] = _softmax(logits, self.d, classes[part], grow is not None)
+            found[part] = _softmax(logits, self.d, classes[part], grow is not None)
             if grow is not None:
                 share = logits
-                back[part] = share @ self.c.T
+                np.matmul(share, self.c.T, out=back[part])
                 grow.c += states[part].T @ share
-                grow.d += share.sum(axis=0)
-        order = np.argsort(classes, kind="stable")
-        bounds = np.searchsorted(classes[order], np.arange(n.closed + 1)).tolist()
+                grow.d += np.ones(len(share), share.dtype) @ share
+        bounds = np.searchsorted(classes, np.arange(n.closed + 1)).tolist()
         for k in range(n.closed):
             for a in range(bounds[k], bounds[k + 1], RUN):
-                chosen = order[a : min(a + RUN, bounds[k + 1])]
-                inside = states[chosen]
-                logits = inside @ self.w[k]
-                result[chosen] += _softmax(logits, self.e[k], targets[chosen] - k * n.per_class, grow is not None)
+                part = slice(a, min(a + RUN, bounds[k + 1]))
+                logits = states[part] @ self.w[k]
+                found[part] += _softmax(logits, self.e[k], targets[part] - k * n.per_class, grow is not None)
                 if grow is not None:
                     share = logits
-                    back[chosen] += share @ self.w[k].T
-                    grow.w[k] += inside.T @ share
-                    grow.e[k] += share.sum(axis=0)
+                    back[part] += share @ self.w[k].T
+                    grow.w[k] += states[part].T @ share
+                    grow.e[k] += np.ones(len(share), share.dtype) @ share
+        result = np.empty_like(found)
+        result[order] = found
+        if grow is not None:
+            found, back = back, np.empty_like(back)
+            back[order] = found
         return result, back
 
-    def gradient(self, kept: list[tuple], ids: np.ndarray, lanes: np.ndarray, back: np.ndarray, grow: Network) -> None:
+    def gradient(self, kept: tuple, ids: np.ndarray, lanes: np.ndarray, back: np.ndarray, grow: Network) -> None:
         """Adds to ``grow`` what the window's steps pass back; truncated where the window begins."""
         H = self.hidden
-        later = np.zeros((back.shape[1], H), np.float32)
+        before, gates, reset, new = kept
+        z, r = gates[..., :H], gates[..., H:]
+        # What the loop multiplies by, for all steps at once.
+        to_new, to_z, to_r, stays = z * (1 - new * new), (new - before) * z * (1 - z), before * r * (1 - r), 1 - z
+        passed = np.zeros((*ids.shape, 3 * H), self.x.dtype)
+        later = np.zeros((ids.shape[1], H), self.x.dtype)
+        to_gates, to_reset = self.u.T.copy(), self.v.T.copy()
         for t in range(len(lanes) - 1, -1, -1):
             live = lanes[t]
-            before, z, r, reset, new = kept[t]
-            d = later[:live] + back[t, :live]
-            d_new = d * z * (1 - new * new)
-            d_reset = d_new @ self.v.T
-            d_z = d * (new - before) * z * (1 - z)
-            d_r = d_reset * before * r * (1 - r)
-            d_gates = np.concatenate([d_z, d_r], axis=1)
-            grow.v += reset.T @ d_new
-            grow.u += before.T @ d_gates
-            _add_rows(grow.x, ids[t, :live], np.concatenate([d_gates, d_new], axis=1))
-            later = later.copy()
-            later[:live] = d * (1 - z) + d_reset * r + d_gates @ self.u.T
+            d, p = later[:live], passed[t, :live]
+            d += back[t, :live]
+            np.multiply(d, to_new[t, :live], out=p[:, 2 * H :])
+            d_reset = p[:, 2 * H :] @ to_reset
+            np.multiply(d, to_z[t, :live], out=p[:, :H])
+            np.multiply(d_reset, to_r[t, :live], out=p[:, H : 2 * H])
+            d *= stays[t, :live]
+            d_reset *= r[t, :live]
+            d += d_reset
+            d += p[:, : 2 * H] @ to_gates
+        flat = passed.reshape(-1, 3 * H)
+        grow.u += before.reshape(-1, H).T @ flat[:, : 2 * H]
+        grow.v += reset.reshape(-1, H).T @ flat[:, 2 * H :]
+        used = np.arange(ids.shape[1])[None, :] < lanes[:, None]
+        _add_rows(grow.x, ids[used], passed[used])
 
 
 def _softmax(logits: np.ndarray, bias: np.ndarray, targets: np.ndarray, back: bool) -> np.ndarray:
@@ -174,20 +189,29 @@ def _softmax(logits: np.ndarray, bias: np.ndarray, targets: np.ndarray, back: bo
     # LARGEST keeps exp from overflowing, and normalised biases keep the sum above 0.
     found = logits[rows, targets]
     np.exp(logits, out=logits)
-    total = logits.sum(axis=1)
+    total = logits @ np.ones(logits.shape[1], logits.dtype)
     found -= np.log(total)
     if back:
-        logits /= total[:, None]
+        logits *= (1 / total)[:, None]
         logits[rows, targets] -= 1
     return found
 
 
 def _sigmoid(x: np.ndarray) -> None:
-    """In place."""
-    x *= 0.5
-    np.tanh(x, out=x)
+    """In place; by exp, which numpy works out in half the time of tanh. Bounds keep it finite."""
+    np.clip(x, -30, 30, out=x)
+    np.negative(x, out=x)
+    np.exp(x, out=x)
     x += 1
-    x *= 0.5
+    np.reciprocal(x, out=x)
+
+
+def _tanh(x: np.ndarray) -> None:
+    """In place."""
+    x *= 2
+    _sigmoid(x)
+    x *= 2
+    x -= 1
 
 
 def _add_rows(table: np.ndarray, rows: np.ndarray, values: np.ndarray) -> None:
@@ -198,28 +222,51 @@ def _add_rows(table: np.ndarray, rows: np.ndarray, values: np.ndarray) -> None:
     table[ordered[first]] += np.add.reduceat(values[order], first, axis=0)
 
 
-def windows(texts: list[np.ndarray], steps: int, start: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, bool]]:
-    """Inputs, targets and live lanes of successive windows over texts of falling length.
+class Lanes:
+    """Texts read side by side: a lane reads one window by window to its end, carrying the state,
+    and then takes the next text."""
 
-    The input of a step is the id before its target, ``start`` at first. The flag tells whether
-    a window is the first one, where states are zero; later ones carry the states on.
-    """
-    sizes = np.array([len(t) for t in texts])
-    for a in range(0, int(sizes.max(initial=0)), steps):
-        live = int((sizes > a).sum())
-        b = min(a + steps, int(sizes.max()))
-        targets = np.zeros((b - a, live), np.int64)
-        inputs = np.zeros((b - a, live), np.int64)
-        for lane in range(live):
-            part = texts[lane][a:b]
-            targets[: len(part), lane] = part
-            inputs[1 : len(part), lane] = part[:-1]
-            inputs[0, lane] = texts[lane][a - 1] if a else start
-        yield inputs, targets, np.array([(sizes > t).sum() for t in range(a, b)]), a == 0
+    def __init__(self, texts: Iterable[np.ndarray], lanes: int, steps: int, network: Network):
+        self.lanes, self.steps, self.start, self.hidden = lanes, steps, network.layout.ids, network.hidden
+        self.source = ((number, text) for number, text in enumerate(texts) if len(text))
+        #: Number of the text, text, tokens read, state.
+        self.reading: list[tuple[int, np.ndarray, int, np.ndarray]] = []
+
+    def window(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray] | None:
+        """Inputs, targets, live lanes of each step and states; None after the last text.
+
+        The input of a step is the id before its target, ``start`` at first.
+        """
+        for number, text in islice(self.source, self.lanes - len(self.reading)):
+            self.reading.append((number, text, 0, np.zeros(self.hidden, np.float32)))
+        if not self.reading:
+            return None
+        self.reading.sort(key=lambda lane: min(self.steps, len(lane[1]) - lane[2]), reverse=True)
+        sizes = self._sizes()
+        targets = np.zeros((int(sizes[0]), len(sizes)), np.int64)
+        inputs = np.zeros_like(targets)
+        for i, ((_, text, at, _), n) in enumerate(zip(self.reading, sizes.tolist())):
+            targets[:n, i] = text[at : at + n]
+            inputs[1:n, i] = text[at : at + n - 1]
+            inputs[0, i] = text[at - 1] if at else self.start
+        live = np.array([(sizes > t).sum() for t in range(len(targets))])
+        return inputs, targets, live, np.stack([state for *_, state in self.reading])
+
+    def move(self, states: np.ndarray) -> None:
+        """Goes on behind the window; ``states`` are those after each of its steps."""
+        sizes = self._sizes().tolist()
+        moved = [(k, text, at + n, states[n - 1, i].copy()) for i, ((k, text, at, _), n) in enumerate(zip(self.reading, sizes))]
+        self.reading = [lane for lane in moved if lane[2] < len(lane[1])]
+
+    def _sizes(self) -> np.ndarray:
+        return np.array([min(self.steps, len(text) - at) for _, text, at, _ in self.reading])
 
 
 class Adam:
-    """Steps of falling size along the running mean of gradients, scaled by their running size."""
+    """Steps of falling size along the running mean of gradients, scaled by their running size.
+
+    Input rows that a step has no gradient for are left alone, means included.
+    """
 
     def __init__(self, network: Network, rate: float):
         self.rate, self.t = rate, 0
@@ -230,14 +277,20 @@ class Adam:
         self.t += 1
         rate = self.rate * np.sqrt(1 - 0.999**self.t) / (1 - 0.9**self.t)
         for name in network.NAMES:
-            g = getattr(grow, name)
-            g *= scale
-            np.clip(g, -1, 1, out=g)
-            m, v = self.first[name], self.second[name]
-            m += 0.1 * (g - m)
-            v += 0.001 * (g * g - v)
-            getattr(network, name)[...] -= rate * m / (np.sqrt(v) + 1e-6)
-            g[...] = 0
+            weights, g, first, second = getattr(network, name), getattr(grow, name), self.first[name], self.second[name]
+            rows = np.flatnonzero(g.any(axis=1)) if name == "x" else slice(None)
+            change, m, v = g[rows] * scale, first[rows], second[rows]
+            np.clip(change, -1, 1, out=change)
+            m += 0.1 * (change - m)
+            change *= change
+            v += 0.001 * (change - v)
+            np.sqrt(v, out=change)
+            change += 1e-6
+            np.divide(m, change, out=change)
+            change *= rate
+            weights[rows] -= change
+            first[rows], second[rows] = m, v
+            g[rows] = 0
         for weights in (network.c, network.w):
             np.clip(weights, -LARGEST, LARGEST, out=weights)
 
@@ -245,33 +298,17 @@ class Adam:
 def train(network: Network, texts: Iterable[np.ndarray], lanes: int, steps: int, rate: float) -> None:
     """One pass over all of the texts by backpropagation through time, truncated to windows.
 
-    A lane reads a text window by window to its end, carrying the state, and then takes the next
-    text. Weights move once a third of what all lanes hold has been read since they last moved, so
+    Weights move once a third of what all lanes hold has been read since they last moved, so
     that a long text that is left alone doesn't pull them at every window.
     """
     enough, pending = lanes * steps // 3, 0
     grow = Network(network.layout, network.hidden)
     grow.load(np.zeros(len(network.vector()), np.float32))
-    adam = Adam(network, rate)
-    source = (t for t in texts if len(t))
-    reading: list[tuple[np.ndarray, int, np.ndarray]] = []  # text, tokens read, state
-    while True:
-        for text in islice(source, lanes - len(reading)):
-            reading.append((text, 0, np.zeros(network.hidden, np.float32)))
-        if not reading:
-            break
-        reading.sort(key=lambda lane: min(steps, len(lane[0]) - lane[1]), reverse=True)
-        sizes = np.array([min(steps, len(text) - at) for text, at, _ in reading])
-        targets = np.zeros((int(sizes[0]), len(reading)), np.int64)
-        inputs = np.zeros_like(targets)
-        for i, ((text, at, _), n) in enumerate(zip(reading, sizes.tolist())):
-            targets[:n, i] = text[at : at + n]
-            inputs[1:n, i] = text[at : at + n - 1]
-            inputs[0, i] = text[at - 1] if at else network.layout.ids
-        h = np.stack([state for *_, state in reading])
-        live = np.array([(sizes > t).sum() for t in range(len(targets))])
+    adam, reading = Adam(network, rate), Lanes(texts, lanes, steps, network)
+    while (window := reading.window()) is not None:
+        inputs, targets, live, h = window
         states, kept = network.run(inputs, h, live)
-        used = np.arange(len(reading))[None, :] < live[:, None]
+        used = np.arange(len(h))[None, :] < live[:, None]
         _, back = network.log_probabilities(states[used], targets[used], grow)
         spread = np.zeros(states.shape, np.float32)
         spread[used] = back
@@ -280,34 +317,26 @@ def train(network: Network, texts: Iterable[np.ndarray], lanes: int, steps: int,
         if pending >= enough:
             adam.step(network, grow, 32.0 / pending)
             pending = 0
-        after = _last(states, live, h)
-        moved = [(text, at + n, state.copy()) for (text, at, _), n, state in zip(reading, sizes.tolist(), after)]
-        reading = [lane for lane in moved if lane[1] < len(lane[0])]
+        reading.move(states)
     if pending:
         adam.step(network, grow, 32.0 / max(1, enough))
 
 
-def _last(states: np.ndarray, live: np.ndarray, h: np.ndarray) -> np.ndarray:
-    """The state of each lane after its last live step."""
-    steps = (np.arange(len(h))[:, None] < live[None, :]).sum(axis=1)
-    return states[np.maximum(steps, 1) - 1, np.arange(len(h))]
-
-
 def score(network: Network, texts: list[np.ndarray], lanes: int, steps: int) -> np.ndarray:
-    """ln P of each whole text, in double precision sums, with states carried across windows."""
+    """ln P of each whole text, in double precision sums, with states carried across windows.
+
+    The longest texts begin, so that others are read beside them.
+    """
     result = np.zeros(len(texts))
-    order = sorted(range(len(texts)), key=lambda i: -len(texts[i]))
-    for first in range(0, len(order), lanes):
-        chosen = order[first : first + lanes]
-        group = [texts[i] for i in chosen]
-        h = np.zeros((len(group), network.hidden), np.float32)
-        for inputs, targets, live, _ in windows(group, steps, network.layout.ids):
-            n = inputs.shape[1]
-            states = network.states(inputs, h[:n], live)
-            used = np.arange(n)[None, :] < live[:, None]
-            found, _ = network.log_probabilities(states[used], targets[used])
-            table = np.zeros(used.shape)
-            table[used] = found
-            result[chosen[:n]] += table.sum(axis=0)
-            h = _last(states, live, h[:n])
+    order = np.array(sorted(range(len(texts)), key=lambda i: -len(texts[i])), int)
+    reading = Lanes((texts[i] for i in order.tolist()), lanes, steps, network)
+    while (window := reading.window()) is not None:
+        inputs, targets, live, h = window
+        states = network.states(inputs, h, live)
+        used = np.arange(len(h))[None, :] < live[:, None]
+        found, _ = network.log_probabilities(states[used], targets[used])
+        table = np.zeros(used.shape)
+        table[used] = found
+        result[order[[number for number, *_ in reading.reading]]] += table.sum(axis=0)
+        reading.move(states)
     return result

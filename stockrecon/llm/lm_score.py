@@ -36,8 +36,8 @@ from stockrecon.llm.common import durable, map_batches
 CLOSED, PER_CLASS, OPEN, HIDDEN = 4_096, 64, 64, 32
 #: Most frequent words whose counts every task holds.
 KNOWN = 200_000
-#: Tokens that are trained on before a step; documents of a shard; rounds of averaging, one pass in all.
-WINDOW, SHARD, ROUNDS = 96, 8_192, 2
+#: Tokens of a window; tokens of a shard; rounds of averaging, one pass in all.
+WINDOW, SHARD, ROUNDS = 96, 3_000_000, 2
 TRAIN_LANES, LANES, STEPS, RATE = 128, 256, 64, 0.02
 #: Additive smoothing of counts; every tenth document (by hash) is held out.
 SMOOTH, FOLDS = 0.1, 10
@@ -161,21 +161,42 @@ def vocabulary(counted: DataFrame) -> Vocabulary:
     return Vocabulary(known, sums["n"] or 0, sums["v"], of_class)
 
 
-def train_texts(docs: DataFrame, shared) -> DataFrame:
-    """``round`` and ``ids``, the network ids of each whole document."""
+def read_texts(docs: DataFrame, shared) -> DataFrame:
+    """Per document what the known words give, its rarer words, and ``ids``, the network ids of the
+    whole text, from which both training and scoring go on."""
+    names = ["row", "doc_id", "held_out", "round", "n_tokens", "n_known", "base", "model", "rare", "times", "ids"]
+    types = ["long", "long", "boolean", "int", "long", "long", "double", "double", "array<string>", "array<long>", "array<int>"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = shared.value
+        n = known.layout.n_words
         for batch in batches:
-            found, place = [], []
+            made = []
             for name, text in zip(batch.column("doc_id").to_pylist(), batch.column("text")):
                 said = words_of(text.as_py())
-                drawn = zlib.crc32(f"{name}/{len(said)}".encode())
-                found.append(known.ids(said, np.array(known.ranks(said))).astype(np.int32))
-                place.append(drawn // 7 % ROUNDS)
-            yield pa.record_batch([pa.array(place, pa.int32()), pa.array(found, pa.list_(pa.int32()))], names=["round", "ids"])
+                ranks = np.array(known.ranks(said))
+                ids = known.ids(said, ranks).astype(np.int32)
+                found = ranks[ranks >= 0]
+                rare = Counter(said[i] for i in np.flatnonzero(ranks < 0).tolist())
+                open_ = ids >= n
+                inside = known.log10[ranks[open_ & (ranks >= 0)]].sum() if len(found) else 0.0
+                base = float(known.log10[found].sum() - len(said) * known.base_log10)
+                model = float(inside - known.open_log[ids[open_] - n].sum() / np.log(10))
+                drawn = zlib.crc32(f"{name}/{len(said)}".encode()) // 7 % ROUNDS
+                made.append((drawn, len(said), len(found), base, model, list(rare), list(rare.values()), ids))
+            columns = list(zip(*made)) or [()] * 8
+            kinds = (pa.int32(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.list_(pa.binary()), pa.list_(pa.int64()), pa.list_(pa.int32()))
+            arrays = [pa.array(c, t) for c, t in zip(columns, kinds)]
+            arrays[5] = arrays[5].cast(pa.list_(pa.string()))
+            yield pa.record_batch([*(batch.column(c) for c in names[:3]), *arrays], names=names)
 
-    return map_batches(docs.select("doc_id", "text"), run, "round int, ids array<int>")
+    rows = docs.select(
+        F.monotonically_increasing_id().alias("row"),
+        F.col("doc_id").cast("long").alias("doc_id"),
+        held_out(F.col("doc_id")).alias("held_out"),
+        "text",
+    )
+    return map_batches(rows, run, ", ".join(f"{n} {t}" for n, t in zip(names, types)))
 
 
 def _trained(texts: DataFrame, shards: int, shared, weights) -> DataFrame:
@@ -214,13 +235,13 @@ def _added(rows: DataFrame, parts: int) -> DataFrame:
     return map_batches(rows.repartition(parts), run, "weights binary, n long")
 
 
-def trained_weights(docs: DataFrame, shared) -> np.ndarray:
-    spark = docs.sparkSession
+def trained_weights(texts: DataFrame, shared) -> np.ndarray:
+    """Weights after all rounds over ``texts``, stored rows of :func:`read_texts`."""
+    spark = texts.sparkSession
     weights = shared.value.network().vector()
-    texts = durable(train_texts(docs, shared), "train-texts")
     for number in range(ROUNDS):
-        mine = texts.where(F.col("round") == number)
-        shards = -(-mine.count() // SHARD)
+        mine = texts.where(~F.col("held_out") & (F.col("round") == number))
+        shards = -(-(mine.agg(F.sum("n_tokens")).first()[0] or 0) // SHARD)
         if not shards:
             continue
         rows = durable(_trained(mine, shards, shared, spark.sparkContext.broadcast(weights)), "shard-weights")
@@ -232,47 +253,20 @@ def trained_weights(docs: DataFrame, shared) -> np.ndarray:
     return weights
 
 
-def _scored(docs: DataFrame, shared, weights) -> DataFrame:
-    """Per document what the network and the known words give, and its rarer words."""
-    fields = "row long, doc_id long, held_out boolean, n_tokens long, n_known long, base double, model double, rare array<string>, times array<long>"
-    names = ["row", "doc_id", "held_out", "n_tokens", "n_known", "base", "model", "rare", "times"]
+def _scored(texts: DataFrame, shared, weights) -> DataFrame:
+    """The numbers of :func:`read_texts`, with what the network gives added to ``model``."""
+    fields = "row long, doc_id long, held_out boolean, n_tokens long, n_known long, base double, model double"
+    names = [field.split()[0] for field in fields.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = shared.value
-        network, n = known.network().load(weights.value), known.layout.n_words
+        network = shared.value.network().load(weights.value)
         for batch in batches:
-            ids, made = [], []
-            for text in batch.column("text"):
-                said = words_of(text.as_py())
-                ranks = np.array(known.ranks(said))
-                ids.append(known.ids(said, ranks).astype(np.int32))
-                found = ranks[ranks >= 0]
-                rare = Counter(said[i] for i in np.flatnonzero(ranks < 0).tolist())
-                logs = known.log10[found]
-                open_ = ids[-1] >= n
-                inside = known.log10[ranks[open_ & (ranks >= 0)]].sum() if len(found) else 0.0
-                model = inside - known.open_log[ids[-1][open_] - n].sum() / np.log(10)
-                made.append((len(said), len(found), logs.sum() - len(said) * known.base_log10, model, list(rare), list(rare.values())))
-            net = gru.score(network, ids, LANES, STEPS) / np.log(10) if ids else []
-            columns = list(zip(*made)) or [()] * 6
-            yield pa.record_batch(
-                [
-                    *(batch.column(c) for c in names[:3]),
-                    *(pa.array(c, t) for c, t in zip(columns[:3], (pa.int64(), pa.int64(), pa.float64()))),
-                    pa.array([float(a + b) for a, b in zip(columns[3], net)], pa.float64()),
-                    pa.array(columns[4], pa.list_(pa.binary())).cast(pa.list_(pa.string())),
-                    pa.array(columns[5], pa.list_(pa.int64())),
-                ],
-                names=names,
-            )
+            ids = [row.values.to_numpy() for row in batch.column("ids")]
+            net = gru.score(network, ids, LANES, STEPS) / np.log(10)
+            model = pa.array(batch.column("model").to_numpy() + net, pa.float64())
+            yield pa.record_batch([*(batch.column(c) for c in names[:-1]), model], names=names)
 
-    rows = docs.select(
-        F.monotonically_increasing_id().alias("row"),
-        F.col("doc_id").cast("long").alias("doc_id"),
-        held_out(F.col("doc_id")).alias("held_out"),
-        "text",
-    )
-    return map_batches(rows, run, fields)
+    return map_batches(texts.select(*names, "ids"), run, fields)
 
 
 def score(docs: DataFrame) -> DataFrame:
@@ -283,9 +277,10 @@ def score(docs: DataFrame) -> DataFrame:
     counted = durable(counts(training), "word-counts")
     known = vocabulary(counted)
     shared = context.broadcast(known)
-    weights = context.broadcast(trained_weights(training, shared))
-    scored = durable(_scored(docs, shared, weights), "network-scores")
-    rare = scored.select("row", F.explode(F.arrays_zip("rare", "times")).alias("w")).select(
+    texts = durable(read_texts(docs, shared), "texts")
+    weights = context.broadcast(trained_weights(texts, shared))
+    scored = _scored(texts, shared, weights)
+    rare = texts.select("row", F.explode(F.arrays_zip("rare", "times")).alias("w")).select(
         "row", F.col("w.rare").alias("word"), F.col("w.times").alias("times")
     )
     n = F.coalesce("n", F.lit(0))
@@ -298,7 +293,7 @@ def score(docs: DataFrame) -> DataFrame:
     )
     log = F.coalesce("log", F.lit(0)) / 1e9
     unknown = F.col("n_tokens") - F.col("n_known")
-    return scored.drop("rare", "times").join(added, "row", "left").select(
+    return scored.join(added, "row", "left").select(
         "doc_id",
         "held_out",
         "n_tokens",

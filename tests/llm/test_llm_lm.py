@@ -40,9 +40,11 @@ def test_gradients_equal_differences():
     grow = small().load(np.zeros(len(network.vector())))
     for name in grow.NAMES:
         setattr(grow, name, getattr(grow, name).astype(np.float64))
-    (inputs, targets, live, _), *rest = gru.windows(texts, 7, network.layout.ids)
-    assert not rest
-    states, kept = network.run(inputs, np.zeros((3, 5)), live)
+    reading = gru.Lanes(texts, 3, 7, network)
+    inputs, targets, live, h = reading.window()
+    states, kept = network.run(inputs, h, live)
+    reading.move(states)
+    assert reading.window() is None
     used = np.arange(3)[None, :] < live[:, None]
     _, back = network.log_probabilities(states[used].astype(float), targets[used], grow)
     spread = np.zeros(states.shape)
@@ -97,7 +99,7 @@ def test_training_reads_every_token_and_carries_the_state(monkeypatch):
 def test_training_takes_whole_texts(spark):
     docs = spark.createDataFrame([(i, "a b c " * 700) for i in range(5)], DOCS)
     known = L.vocabulary(L.counts(docs))
-    rows = L.train_texts(docs, spark.sparkContext.broadcast(known)).collect()
+    rows = L.read_texts(docs, spark.sparkContext.broadcast(known)).collect()
     assert [len(r.ids) for r in rows] == [2_101] * 5
 
 
@@ -130,6 +132,56 @@ def test_base_scores_are_exact_and_the_network_beats_them(spark, monkeypatch):
     assert sum(r.score for r in unseen) > sum(r.base_score for r in unseen)
 
 
+def log10_by_loops(words, known, network, counts, total, distinct):
+    """The score of one text, token by token from the formulas of a gated recurrent network."""
+    h, n = np.zeros(network.hidden), network.layout
+    size, result, last = network.hidden, 0.0, n.ids
+    rank = {w: i for i, w in enumerate(known.words)}
+    in_class = Counter(zlib.crc32(w[-2:]) % L.OPEN for w in (c.encode() for c in counts) if rank.get(w, n.n_words) >= n.n_words)
+    tokens = Counter()
+    for word, times in counts.items():
+        if rank.get(word.encode(), n.n_words) >= n.n_words:
+            tokens[zlib.crc32(word.encode()[-2:]) % L.OPEN] += times
+    for word in (w.encode() for w in words):
+        x = network.x[last].astype(float)
+        gates = 1 / (1 + np.exp(-(h @ network.u + x[: 2 * size])))
+        z, r = gates[:size], gates[size:]
+        h = (1 - z) * h + z * np.tanh((r * h) @ network.v + x[2 * size :])
+        closed = rank.get(word, n.n_words) < n.n_words
+        ending = zlib.crc32(word[-2:]) % L.OPEN
+        k = rank[word] // n.per_class if closed else n.closed + ending
+        logits = np.exp(h @ network.c + network.d)
+        p = logits[k] / logits.sum()
+        if closed:
+            inside = np.exp(h @ network.w[k] + network.e[k])
+            p *= inside[rank[word] % n.per_class] / inside.sum()
+            last = rank[word]
+        else:
+            p *= (counts[word.decode()] + L.SMOOTH) / (tokens[ending] + L.SMOOTH * (in_class[ending] + 1))
+            last = n.n_words + ending
+        result += log10(p)
+    return result
+
+
+def test_scores_equal_plain_loops(spark, monkeypatch):
+    for name, value in (("KNOWN", 60), ("CLOSED", 30)):
+        monkeypatch.setattr(L, name, value)
+    rows, kept, learn, count = corpus(), {}, L.trained_weights, L.vocabulary
+    monkeypatch.setattr(L, "trained_weights", lambda *a: kept.setdefault("weights", learn(*a)))
+    monkeypatch.setattr(L, "vocabulary", lambda *a: kept.setdefault("known", count(*a)))
+    got = L.score(spark.createDataFrame(rows, DOCS)).collect()
+    network = kept["known"].network().load(kept["weights"])
+    words = [[*(t or "").lower().split(), ""] for _, t in rows]
+    counts = Counter(w for (i, _), ws in zip(rows, words) if i is not None and zlib.crc32(str(i).encode()) % 10 for w in ws)
+    total, distinct = sum(counts.values()), len(counts)
+    by_hand = sorted((str(i), len(ws), log10_by_loops(ws, kept["known"], network, counts, total, distinct)) for (i, _), ws in zip(rows, words))
+    found = sorted((str(r.doc_id), r.n_tokens, r.score) for r in got)
+    assert [f[:2] for f in found] == [b[:2] for b in by_hand]
+    assert [f[2] for f in found] == pytest.approx([b[2] for b in by_hand], rel=1e-4)
+    moved = np.abs(kept["weights"] - kept["known"].network().vector())
+    assert moved.max() > 0.01
+
+
 def test_no_training_documents(spark):
     first = next(i for i in range(100) if zlib.crc32(str(i).encode()) % 10 == 0)
     rows = L.score(spark.createDataFrame([(first, "a b")], DOCS)).collect()
