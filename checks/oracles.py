@@ -408,6 +408,23 @@ _BODIES |= {
     ),
 }
 
+# A page of each order, and the dashboard from stored tables.
+for _number in (1, 2, 3, 4):
+    _whole = _BODIES[f"O{_number}_positions"]
+    _BODIES[f"O{_number}_page"] = f"""SELECT * REPLACE (position - 1 AS position)
+        FROM ({_whole.replace('QUALIFY position <= 25', 'QUALIFY position BETWEEN 101 AND 160')})"""
+_BODIES |= {
+    "R1_from_stored": _BODIES["R1_issue_mix"],
+    "R9_from_stored": _BODIES["R9_cause_counts"],
+    "R12_from_stored": _BODIES["R12_dashboard_kpis"],
+    "R13_mix_of_branches": """
+        SELECT probable_issue, issue_severity, COUNT(*) AS issue_count,
+               SUM(abs(stock_difference))::BIGINT AS units_affected
+        FROM v_issues WHERE branch_id - 1 IN (1, 7, 20) GROUP BY ALL""",
+    "R14_from_stored": _BODIES["R14_severity_mix"],
+    "R17_from_stored": _BODIES["R17_branch_risk_table"],
+}
+
 # Loads of new days and refreshed tables end in the rows of a single load.
 for _entry in ("V4", "V5", "V6", "V7", "V8", "V9", "V11"):
     (_whole,) = (name for name in _BODIES if name.startswith(f"{_entry}_"))

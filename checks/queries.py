@@ -14,11 +14,11 @@ from stockrecon.functions import expressions as X
 from stockrecon.operators import availability, copies, demand, integrity, ledger, performance, reconcile
 from stockrecon.operators import reports as R
 from stockrecon.operators.series import SERIES, by_series, join_bpd, left_join_zero, with_dims
-from stockrecon.plans import analysis, increments
+from stockrecon.plans import analysis, dashboard, increments
 from stockrecon.schemas import RESULTS
 from stockrecon.session import new_folder
 from checks import mart
-from stockrecon.sources import exports, refresh, tables
+from stockrecon.sources import exports, ranged, refresh, tables
 
 Frames = Mapping[str, DataFrame]
 Query = Callable[[SparkSession, str], DataFrame]
@@ -626,3 +626,49 @@ _positions(
     lambda issues: R.order_for_chart(R.cause_counts(issues), "issue_count", True, "probable_issue"),
     "probable_issue",
 )
+
+
+# ---- stored for readers -------------------------------------------------------------
+
+_dashboards: dict[tuple, str] = {}
+
+
+def _dashboard(spark: SparkSession, folder: str, t: Frames, v: Frames) -> dict[str, DataFrame]:
+    """What a dashboard shows, stored once and read again."""
+    key = mart.source_key(spark, folder)
+    if key not in _dashboards:
+        target = new_folder(spark, "dashboard")
+        dashboard.store(spark, v, analysis.validation(t, v), target)
+        _dashboards[key] = target
+    return dashboard.read(spark, _dashboards[key])
+
+
+def _register_stored(name: str, build: Callable[[Frames], DataFrame]) -> None:
+    @source_query(name)
+    def stored(spark, folder, t, v):
+        return build(_dashboard(spark, folder, t, v))
+
+
+_register_stored("R1_from_stored", dashboard.issue_mix)
+_register_stored("R9_from_stored", dashboard.cause_counts)
+_register_stored("R12_from_stored", lambda stored: dashboard.kpis(stored, ["Critical", "High"]))
+_register_stored("R13_mix_of_branches", lambda stored: dashboard.issue_mix(stored, branch_name=["NATION_1", "NATION_7", "NATION_20"]))
+_register_stored("R14_from_stored", lambda stored: dashboard.severity_mix(stored, issue_severity=["Critical", "High", "Medium"]))
+_register_stored("R17_from_stored", dashboard.branch_risk)
+
+#: The part of an order that is read from a stored result.
+PAGE = (100, 160)
+
+
+def _register_page(name: str, view: str, *columns: str) -> None:
+    @source_query(name)
+    def page(spark, folder, t, v):
+        path = f"{new_folder(spark, 'ordered')}/{view}.parquet"
+        ranged.write_ordered(v[view], exports.ORDERS[view], path, 500)
+        return ranged.read_positions(spark, path, v[view].schema, *PAGE).select("position", *columns)
+
+
+_register_page("O1_page", "reconciliation_issues", *SERIES, "snapshot_date")
+_register_page("O2_page", "phantom_inventory", *SERIES, "snapshot_date")
+_register_page("O3_page", "stockout_periods", *SERIES, "stockout_start")
+_register_page("O4_page", "lost_sales_estimate", *SERIES, "stockout_date")

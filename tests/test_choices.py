@@ -1,0 +1,73 @@
+"""Every choice of filters, answered from one small table, against the issues themselves."""
+
+from itertools import product
+
+import pytest
+
+from stockrecon.operators import choices
+from stockrecon.operators import reports as R
+from stockrecon.plans import analysis, dashboard
+from stockrecon.session import new_folder
+from test_plans import plan
+
+ISSUE = "branch_name string, probable_issue string, issue_severity string, stock_difference bigint"
+ROWS = [(b, c, s, (-1) ** i * (i + 1)) for i, (b, c, s) in enumerate(product(("a", "b", None), ("x", "y"), ("Low", "High", None)))] * 2
+
+
+def expected(by, chosen):
+    names = [field.split()[0] for field in ISSUE.split(", ")]
+    groups = {} if by else {(): [0, 0]}
+    for row in (dict(zip(names, r)) for r in ROWS):
+        if all(row[name] in values for name, values in chosen.items() if values):
+            sums = groups.setdefault(tuple(row[name] for name in by), [0, 0])
+            sums[0] += 1
+            sums[1] += abs(row["stock_difference"])
+    return sorted(map(str, ((*key, *sums) for key, sums in groups.items())))
+
+
+@pytest.mark.parametrize("by", [(), ("issue_severity",), ("probable_issue", "issue_severity"), ("branch_name",)])
+def test_choices_equal_plain_loops(spark, by):
+    summary = choices.issue_summary(spark.createDataFrame(ROWS, ISSUE))
+    for chosen in ({}, {"branch_name": ["a"]}, {"branch_name": ["a", "b"], "issue_severity": ["High"]}, {"probable_issue": ["none"]}, {"issue_severity": []}):
+        found = choices.choose(summary, by, **chosen).collect()
+        assert sorted(str(tuple(r)) for r in found) == expected(by, chosen), chosen
+
+
+def test_size_does_not_follow_the_issues(spark):
+    issues = spark.createDataFrame(ROWS * 20, ISSUE)
+    assert choices.issue_summary(issues).count() == choices.issue_summary(issues.dropDuplicates()).count() <= 4 * 3 * 4
+
+
+def test_issues_are_grouped_before_sets_are_made(spark):
+    text = plan(choices.issue_summary(spark.createDataFrame(ROWS, ISSUE)))
+    assert text.count("Expand") >= 1 and text.rindex("HashAggregate") > text.rindex("Expand")
+
+
+def test_no_issues_and_unknown_dimensions(spark):
+    summary = choices.issue_summary(spark.createDataFrame([], ISSUE))
+    assert [tuple(r) for r in choices.choose(summary).collect()] == [(0, 0)]
+    assert choices.choose(summary, ["branch_name"]).count() == 0
+    with pytest.raises(ValueError, match="city"):
+        choices.choose(summary, city=["x"])
+    full = choices.issue_summary(spark.createDataFrame(ROWS, ISSUE))
+    assert [r[0] for r in choices.options(full, "issue_severity").collect()] == ["High", "Low"]
+
+
+def test_stored_dashboard_equals_views(spark, inventory, all_views):
+    target = new_folder(spark, "dashboard")
+    validation = analysis.validation(inventory, all_views)
+    dashboard.store(spark, all_views, validation, target)
+    stored, issues = dashboard.read(spark, target), all_views["reconciliation_issues"]
+    for severities in (None, ["Critical", "High"]):
+        whole = R.dashboard_kpis(
+            issues, all_views["phantom_inventory"], all_views["lost_sales_estimate"], validation, all_views["supplier_performance"], severities
+        )
+        found = dashboard.kpis(stored, severities)
+        assert found.columns == whole.columns and found.first() == whole.first()
+    chosen = R.filter_in(issues, "branch_name", ["NATION_1", "NATION_7"])
+    assert dashboard.severity_mix(stored, branch_name=["NATION_1", "NATION_7"]).collect() == R.severity_mix(chosen).collect()
+    assert dashboard.issue_mix(stored).collect() == R.issue_mix(issues).collect()
+    assert dashboard.cause_counts(stored).collect() == R.cause_counts(issues).collect()
+    mix = dashboard.severity_mix(stored, branch_name=["NATION_1"])
+    assert "EqualTo(level,2)" in plan(mix) and plan(mix).count("FileScan") == 1
+    assert len(mix.inputFiles()) == 1 and "issue_summary-" in mix.inputFiles()[0]

@@ -1,0 +1,52 @@
+"""Results stored in their order: positions, pages, files opened."""
+
+from pyspark.sql import functions as F
+
+from stockrecon.operators import reports as R
+from stockrecon.session import new_folder
+from stockrecon.sources import ranged
+
+SCHEMA = "k bigint, v string"
+
+
+def by_key(df):
+    return df.orderBy(F.desc("k"), "v")
+
+
+def stored(spark, n, file_rows=40):
+    df = spark.range(n).select((F.col("id") * 7919 % 1009).alias("k"), F.col("id").cast("string").alias("v")).repartition(5)
+    path = new_folder(spark, "ranged") + "/t.parquet"
+    assert ranged.write_ordered(df, by_key, path, file_rows) == n
+    rows = sorted(((i * 7919 % 1009, str(i)) for i in range(n)), key=lambda r: (-r[0], r[1]))
+    return df, path, rows
+
+
+def test_positions_are_those_of_the_order(spark):
+    df, path, rows = stored(spark, 1_500)
+    placed = ranged.read_positions(spark, path, df.schema).collect()
+    assert sorted((r.position, r.k, r.v) for r in placed) == [(i, *row) for i, row in enumerate(rows)]
+    for start, stop in ((0, 20), (35, 90), (1_490, 1_700), (5, 5), (1_500, 1_600)):
+        page = ranged.read_positions(spark, path, df.schema, start, stop)
+        assert sorted((r.position, r.k, r.v) for r in page.collect()) == [(i, *rows[i]) for i in range(start, min(stop, 1_500))]
+    assert [tuple(r) for r in ranged.first_rows(spark, path, df.schema, 7).collect()] == rows[:7]
+
+
+def test_first_rows_open_one_file(spark):
+    df, path, _ = stored(spark, 1_500)
+    assert spark.read.parquet(path).select(F.col("_metadata.file_name")).distinct().count() > 30
+    assert len(ranged.first_rows(spark, path, df.schema, 20).inputFiles()) == 1
+    assert len(ranged.read_positions(spark, path, df.schema, 40, 41).inputFiles()) == 1
+
+
+def test_replaced_and_empty(spark):
+    df, path, _ = stored(spark, 50)
+    assert ranged.write_ordered(df.where("k < 0"), by_key, path) == 0
+    assert ranged.first_rows(spark, path, df.schema, 5).count() == 0
+    assert ranged.write_ordered(df, by_key, path) == 50
+    assert ranged.read_positions(spark, path, df.schema).count() == 50
+
+
+def test_view_in_reading_order(spark, all_views):
+    view, path = all_views["reconciliation_issues"], new_folder(spark, "ranged") + "/issues.parquet"
+    ranged.write_ordered(view, R.largest_differences, path, 200)
+    assert ranged.first_rows(spark, path, view.schema, 20).collect() == R.largest_differences(view).limit(20).collect()
