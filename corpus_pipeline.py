@@ -36,17 +36,23 @@ def target_weights(docs: DataFrame) -> DataFrame:
 
 
 def mixture(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """The documents in the order in which blocks of the sources take turns."""
-    return pfair.in_order(docs, target_weights(docs))
+    """The documents in the order in which blocks of the sources take turns.
+
+    The weights of the mix go along with the rows; packing follows them.
+    """
+    weights = {r["source"]: r["weight"] for r in target_weights(docs).collect()}
+    return pfair.with_weights(pfair.in_order(docs, weights), weights)
 
 
 def packing(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Pieces of at most 1024 token ids and their place in training sequences.
 
-    The slot of a document follows from its source, id and text, so sequences keep to the mix
-    whatever the order in which stored rows are read again.
+    The mix is the one that the stage before laid down: its weights come with the documents, and
+    documents that were not mixed are refused. The slot of a document follows from these weights,
+    its source, id and text, so sequences keep to the mix whatever the order in which stored rows
+    are read again.
     """
-    return bin_slack.pack_in_order(docs, target_weights(docs))
+    return bin_slack.pack_in_order(docs, pfair.weights_with(docs))
 
 
 STAGES: list[tuple[str, Stage]] = [

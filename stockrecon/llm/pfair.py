@@ -52,6 +52,24 @@ def weights_of(docs: DataFrame, power: float = 0.5) -> DataFrame:
     return sums.select("source", F.pow(F.col("size").cast("double"), F.lit(power)).alias("weight"))
 
 
+#: Key of the weights of a mix in the metadata of the column ``source``.
+MIX = "mix"
+
+
+def with_weights(docs: DataFrame, weights: Mapping[str, float]) -> DataFrame:
+    """``docs`` with the weights of their mix, which stay with the column ``source`` when rows are stored."""
+    known = dict(docs.schema["source"].metadata or {})
+    return docs.withMetadata("source", known | {MIX: {"sources": list(weights), "weights": [float(w) for w in weights.values()]}})
+
+
+def weights_with(docs: DataFrame) -> dict[str, float]:
+    """The weights that :func:`with_weights` put to the documents; an error if there are none."""
+    mix = (docs.schema["source"].metadata or {}).get(MIX)
+    if mix is None:
+        raise ValueError("these documents were not mixed: no weights in the metadata of their source")
+    return dict(zip(mix["sources"], mix["weights"], strict=True))
+
+
 def schedule(weights: DataFrame, period: int = PERIOD) -> DataFrame:
     """``source``, ``turn`` (from 0 within a period), ``slot`` (within a period), ``turns``, ``period``.
 

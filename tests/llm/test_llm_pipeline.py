@@ -122,6 +122,35 @@ def test_prefixes_of_the_sequences_have_the_target_shares(spark, monkeypatch):
     assert set(by_sequence) == set(range(len(by_sequence))) and checked > 10
 
 
+def test_packing_follows_the_mix_of_the_stage_before(spark, monkeypatch):
+    monkeypatch.setattr(pfair, "BLOCK_CHARS", 500)
+    monkeypatch.setattr(bin_slack, "RANGE_BLOCKS", 1)
+    rows = [(i, f"thing {i} " * 30, "en", None if i % 7 == 0 else "ab"[i % 2], 0) for i in range(200)]
+    docs = spark.createDataFrame(rows, DOCS)
+
+    def first_half(mixed):
+        packed = corpus_pipeline.packing(spark, durable(mixed.repartition(3), "mixed"), "").collect()
+        middle = max(r.sequence_id for r in packed) // 2
+        return sum(rows[r.doc_id][3] == "a" for r in packed if r.sequence_id < middle)
+
+    # Another mix gives other sequences, and without one there are none.
+    much, little = (first_half(pfair.with_weights(docs, {"a": a, "b": 1 - a, "": 0.01})) for a in (0.9, 0.1))
+    assert much > 1.5 * little
+    monkeypatch.setattr(corpus_pipeline, "target_weights", lambda docs: spark.createDataFrame([("a", 0.9), ("b", 0.1), ("", 0.01)], "source string, weight double"))
+    assert first_half(corpus_pipeline.mixture(spark, docs, "")) == much
+    with pytest.raises(ValueError, match="not mixed"):
+        corpus_pipeline.packing(spark, docs, "")
+
+
+def test_weights_stay_with_stored_documents(spark, tmp_path):
+    docs = spark.createDataFrame([(1, "x", "en", 'a "b"', 1), (2, "y", "en", None, 1)], DOCS)
+    weights = {'a "b"': 0.1 + 0.2, "": 3.0}
+    pfair.with_weights(docs, weights).write.parquet(f"{tmp_path}/docs")
+    stored = spark.read.parquet(f"{tmp_path}/docs")
+    assert pfair.weights_with(stored) == weights and stored.columns == docs.columns
+    assert pfair.weights_with(pfair.with_weights(docs, {})) == {}
+
+
 def test_no_documents(spark):
     path = tempfile.mkdtemp(prefix="corpus-")
     spark.createDataFrame([], DOCS).write.parquet(f"{path}/documents.parquet")
