@@ -91,17 +91,21 @@ READ_RESULTS = (
 #: Published extracts whose columns are those of another result.
 PUBLISHED = {"phantom_inventory_examples": "phantom_inventory"}
 
+#: Whole tables and results as text are several times their size as columns, so these are packed.
+PACKED = "gzip"
+
 _csv: dict[tuple, str] = {}
 
 
 def _register_scan(name: str) -> None:
     @source_query(f"S1_scan_csv_{name}")
     def scan(spark, folder, t, v):
-        key = mart.source_key(spark, folder)
+        key = (name, *mart.source_key(spark, folder))
         if key not in _csv:
-            _csv[key] = new_folder(spark, "csv")
-            tables.load_tables({table: t[table] for table in BASE}, _csv[key], fmt="csv")
-        return tables.read_tables(spark, _csv[key], "csv")[name]
+            target = new_folder(spark, "csv")
+            tables.load_tables({name: t[name]}, target, fmt="csv", compression=PACKED)
+            _csv[key] = target
+        return tables.read_table(spark, _csv[key], name, "csv")
 
 
 for _name in BASE:
@@ -129,7 +133,7 @@ def _(spark, folder, t, v):
     target = new_folder(spark, "load")
     base = {name: t[name] for name in BASE}
     columns = tables.load_tables(base, target)
-    text = tables.load_tables(base, target, fmt="csv")
+    text = tables.load_tables(base, target, fmt="csv", compression=PACKED)
     return summaries(columns | {f"{name} (csv)": df for name, df in text.items()})
 
 
@@ -165,7 +169,7 @@ def _(spark, folder, t, v):
 @source_query("S7_export_all")
 def _(spark, folder, t, v):
     target = new_folder(spark, "export")
-    written = exports.export_all(v, target)
+    written = exports.export_all(v, target, compression=PACKED)
     return summaries({name: tables.read_result(spark, target, name, "csv") for name in written})
 
 

@@ -17,14 +17,14 @@ BRANCH_COLUMNS = ["branch_id", "branch_name"]
 PRODUCT_COLUMNS = ["product_id", "sku", "product_name", "category"]
 
 
-def by_series(daily: DataFrame, day: str, as_day: str) -> DataFrame:
-    """Lay a daily aggregate out by series and name its day for a join.
+def by_series(daily: DataFrame, day: str, as_day: str, parts: int | None = None) -> DataFrame:
+    """Lay a daily aggregate out by series, in ``parts`` if given, and name its day for a join.
 
     The renaming comes last on purpose: a join prefers the layout of a side that does not
     end in a shuffle of its own, so the other side is shuffled by series as well (or not at
     all if it is stored that way), and later windows and groupings reuse that layout.
     """
-    laid_out = daily.repartition(*SERIES)
+    laid_out = daily.repartition(*SERIES) if parts is None else daily.repartition(parts, *SERIES)
     return laid_out.select(*[F.col(name).alias(as_day if name == day else name) for name in daily.columns])
 
 

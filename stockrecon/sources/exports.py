@@ -8,10 +8,10 @@ from stockrecon.operators import reports as R
 from stockrecon.sources.tables import write_file
 
 
-def write(df: DataFrame, folder: str, name: str, fmt: str = "csv") -> str:
+def write(df: DataFrame, folder: str, name: str, fmt: str = "csv", compression: str | None = None) -> str:
     """Write one result to ``<folder>/<name>.<fmt>``, replacing an older one."""
     path = f"{folder.rstrip('/')}/{name}.{fmt}"
-    write_file(df, path, fmt)
+    write_file(df, path, fmt, compression=compression)
     return path
 
 
@@ -43,8 +43,10 @@ def published_extracts(views: Mapping[str, DataFrame], validation: DataFrame) ->
     }
 
 
-def export_all(views: Mapping[str, DataFrame], folder: str, fmt: str = "csv") -> dict[str, str]:
-    return {name: write(df, folder, name, fmt) for name, df in ordered_exports(views).items()}
+def export_all(
+    views: Mapping[str, DataFrame], folder: str, fmt: str = "csv", compression: str | None = None
+) -> dict[str, str]:
+    return {name: write(df, folder, name, fmt, compression) for name, df in ordered_exports(views).items()}
 
 
 def export_published(
