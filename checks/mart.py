@@ -11,15 +11,17 @@ tables. It uses every line item, and every table grows with the star:
 * some deliveries are booked twice or thrice, some never, and some days lose six units.
 """
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from stockrecon import labels as L
 from stockrecon.functions import expressions as X
-from stockrecon.operators.series import SERIES
+from stockrecon.operators.series import SERIES, by_series, daily
 from stockrecon.schemas import KNOWN_ISSUES, MONEY, TABLES
-from stockrecon.session import new_folder, tune
-from stockrecon.sources.tables import load_tables
+from stockrecon.session import new_folder, shuffle_parts, tune
+from stockrecon.sources.tables import load_tables, store_snapshots
 
 # Fixed values of the mapping.
 PARTS_PER_PRODUCT = 100
@@ -29,6 +31,8 @@ NEVER_BOOKED = 37
 BOOKED_TWICE = 41
 BOOKED_THRICE = 82
 COUNTED_DAYS = 7
+#: Snapshots of a stored bucket, at most on average.
+BUCKET_ROWS = 1_000_000
 SHRINK_UNITS = 6
 SHRINK_CYCLE = 193
 
@@ -244,11 +248,12 @@ def movements(booked: DataFrame) -> DataFrame:
     )
 
 
-def snapshots(booked: DataFrame) -> DataFrame:
+def snapshots(booked: DataFrame, buckets: int | None = None) -> DataFrame:
     """Recorded closing stock: the running true stock less the running loss, never negative.
 
     A change of stock counts on its own day; it and a cancelled sale make their day and the
-    next six counted days.
+    next six counted days. Changes are summed by day and laid out by series, in ``buckets``
+    parts if given, before a day becomes seven: the counted days are never shuffled.
     """
     moved, quantity = F.col("movement_type"), F.col("quantity")
     changes = (
@@ -261,9 +266,10 @@ def snapshots(booked: DataFrame) -> DataFrame:
         )
     )
     ahead = F.explode(F.array(*[F.lit(days) for days in range(COUNTED_DAYS)]))
+    changed = by_series(daily(changes, F.col("day"), "day", F.sum("net").alias("net")), "day", "changed_on", buckets)
     counted = (
-        changes.withColumn("ahead", ahead)
-        .groupBy(*SERIES, F.date_add("day", F.col("ahead")).alias("snapshot_date"))
+        changed.withColumn("ahead", ahead)
+        .groupBy(*SERIES, F.date_add("changed_on", F.col("ahead")).alias("snapshot_date"))
         .agg(F.sum(F.when(F.col("ahead") == 0, F.col("net")).otherwise(0)).alias("net"))
     )
     number = F.datediff("snapshot_date", F.lit("1970-01-01").cast("date")).cast("bigint")
@@ -301,9 +307,14 @@ def known_issues(tables: dict[str, DataFrame], counted: DataFrame) -> DataFrame:
 
 
 def stage(spark: SparkSession, folder: str, target: str) -> dict[str, DataFrame]:
-    """Derive all tables from the star in ``folder`` and store them below ``target``."""
+    """Derive all tables from the star in ``folder`` and store them below ``target``.
+
+    The snapshots, by far the largest table, lie in buckets by series.
+    """
     booked = load_tables({"lines": lines(spark, folder)}, target)["lines"]
-    counted = load_tables({"counted": snapshots(booked)}, target)["counted"]
+    # Counted from the footers of the files; a line makes seven snapshots at most.
+    buckets = max(shuffle_parts(spark), -(-COUNTED_DAYS * booked.count() // BUCKET_ROWS))
+    counted = store_snapshots(snapshots(booked, buckets), f"counted_{uuid.uuid4().hex}", buckets, path=f"{target}/counted.parquet")
     tables = dimensions(spark, folder) | {
         "sales": sales(booked),
         "supplier_orders": supplier_orders(booked),
