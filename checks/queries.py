@@ -634,6 +634,8 @@ _positions(
 
 # ---- stored for readers -------------------------------------------------------------
 
+#: Columns of the issues that a dashboard is made from.
+DASHBOARD_ISSUES = (*SERIES, "snapshot_date", "branch_name", "stock_difference", "issue_severity", "probable_issue")
 _dashboards: dict[tuple, str] = {}
 
 
@@ -642,7 +644,10 @@ def _dashboard(spark: SparkSession, folder: str, t: Frames, v: Frames) -> dict[s
     key = mart.source_key(spark, folder)
     if key not in _dashboards:
         target = new_folder(spark, "dashboard")
-        dashboard.store(spark, v, analysis.validation(t, v), target)
+        # The summary and the validation both read the issues, and no more of them than this.
+        issues = v["reconciliation_issues"].select(*DASHBOARD_ISSUES)
+        shared = dict(v) | tables.load_tables({"reconciliation_issues": issues}, new_folder(spark, "shared"))
+        dashboard.store(spark, shared, analysis.validation(t, shared), target)
         _dashboards[key] = target
     return dashboard.read(spark, _dashboards[key])
 

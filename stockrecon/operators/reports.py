@@ -235,3 +235,19 @@ def dashboard_kpis(
         average_detection=(validation, F.coalesce(F.avg("detection_rate"), F.lit(0.0))),
         average_on_time=(performance, F.coalesce(F.avg("on_time_delivery_rate"), F.lit(0.0))),
     )
+
+
+def stored_kpis(counted: DataFrame, health: DataFrame, validation: DataFrame, performance: DataFrame) -> DataFrame:
+    """``dashboard_kpis`` without a choice, from counted issues and branch health.
+
+    Health sums up phantom cases and lost revenue per branch; a branch that is listed more than
+    once has the same sums in each row.
+    """
+    branches = health.dropDuplicates(["branch_id"])
+    return one_row(
+        issue_count=(counted, F.max("issue_count")),
+        phantom_cases=(branches, F.coalesce(F.sum("phantom_incidents"), X.zero())),
+        lost_revenue=(branches, _revenue().cast("decimal(29,2)")),
+        average_detection=(validation, F.coalesce(F.avg("detection_rate"), F.lit(0.0))),
+        average_on_time=(performance, F.coalesce(F.avg("on_time_delivery_rate"), F.lit(0.0))),
+    )

@@ -15,16 +15,13 @@ _VIEWS = ("branch_inventory_health", "supplier_performance")
 def store(spark: SparkSession, v: Mapping[str, DataFrame], validation: DataFrame, target: str) -> int:
     """Store what the dashboard shows; all of it appears together. Returns the version.
 
-    ``key_figures`` are those that follow no choice. Views that other results share should be stored ones.
+    ``key_figures`` are those that follow no choice. They are taken from what is stored beside them, so
+    no view is computed again for them. Views that other results share should be stored ones.
     """
     load = refresh.Load(spark, target)
-    load.write("issue_summary", choices.issue_summary(v["reconciliation_issues"]).coalesce(1))
-    figures = reports.dashboard_kpis(
-        v["reconciliation_issues"], v["phantom_inventory"], v["lost_sales_estimate"], validation, v["supplier_performance"]
-    )
-    load.write("key_figures", figures)
-    for name in _VIEWS:
-        load.write(name, v[name])
+    summary = load.write("issue_summary", choices.issue_summary(v["reconciliation_issues"]).coalesce(1))
+    health, performance = (load.write(name, v[name]) for name in _VIEWS)
+    load.write("key_figures", reports.stored_kpis(choices.choose(summary), health, validation, performance))
     return load.commit()
 
 

@@ -1,9 +1,13 @@
 """Every choice of filters, answered from one small table, against the issues themselves."""
 
+from decimal import Decimal
 from itertools import product
 
 import pytest
+from conftest import STAR
+from pyspark.sql import functions as F
 
+from checks import queries
 from stockrecon.operators import choices
 from stockrecon.operators import reports as R
 from stockrecon.plans import analysis, dashboard
@@ -71,3 +75,41 @@ def test_stored_dashboard_equals_views(spark, inventory, all_views):
     mix = dashboard.severity_mix(stored, branch_name=["NATION_1"])
     assert "EqualTo(level,2)" in plan(mix) and plan(mix).count("FileScan") == 1
     assert len(mix.inputFiles()) == 1 and "issue_summary-" in mix.inputFiles()[0]
+
+
+def test_key_figures_compute_no_view_again(spark, inventory, all_views):
+    """They come from the stored sums; views that only feed those sums are not read for them."""
+    unread = F.raise_error(F.lit("read again"))
+    views = {name: all_views[name] for name in ("reconciliation_issues", "branch_inventory_health", "supplier_performance")}
+    views |= {name: all_views[name].where(unread.cast("boolean")) for name in ("phantom_inventory", "lost_sales_estimate")}
+    target = new_folder(spark, "dashboard")
+    dashboard.store(spark, views, analysis.validation(inventory, all_views), target)
+    assert dashboard.read(spark, target)["key_figures"].first().issue_count == all_views["reconciliation_issues"].count()
+
+
+def test_stored_key_figures_equal_those_of_the_views(spark):
+    """With a branch that is listed twice, and without any branch."""
+    health = "branch_id bigint, branch_name string, phantom_incidents bigint, estimated_lost_revenue decimal(28,2)"
+    twice = [(1, "a", 2, Decimal("1.25")), (1, "b", 2, Decimal("1.25")), (2, "c", 0, Decimal("0.50"))]
+    rates = spark.createDataFrame([(80.0, 50.0), (None, 100.0)], "detection_rate double, on_time_delivery_rate double")
+    issues, phantom = spark.createDataFrame(ROWS, ISSUE), spark.range(2)
+    lost = spark.createDataFrame([(Decimal("1.25"),), (Decimal("0.50"),), (None,)], "estimated_lost_revenue decimal(18,2)")
+    for n, rows in ((1, twice), (0, [])):
+        whole = R.dashboard_kpis(issues.limit(n * len(ROWS)), phantom.limit(2 * n), lost.limit(3 * n), rates, rates)
+        counted = choices.choose(choices.issue_summary(issues.limit(n * len(ROWS))))
+        found = R.stored_kpis(counted, spark.createDataFrame(rows, health), rates, rates)
+        assert found.first() == whole.first() and found.dtypes == whole.dtypes
+
+
+def test_a_stored_dashboard_computes_the_issues_once(spark, inventory, all_views, monkeypatch):
+    """The summary and the validation read stored issues."""
+    read = []
+    monkeypatch.setattr(queries, "_dashboards", {})
+    monkeypatch.setattr(dashboard, "store", lambda spark, v, validation, target: read.append((v, validation)))
+    monkeypatch.setattr(dashboard, "read", lambda spark, target: {})
+    queries._dashboard(spark, f"{STAR}/sf0.001", inventory, all_views)
+    ((v, validation),) = read
+    assert "Window" not in plan(v["reconciliation_issues"]) and "Window" not in plan(validation)
+    stored = v["reconciliation_issues"]
+    assert stored.exceptAll(all_views["reconciliation_issues"].select(*stored.columns)).isEmpty()
+    assert stored.count() == all_views["reconciliation_issues"].count() > 0
