@@ -15,16 +15,22 @@ def previous_stock(snapshots: DataFrame, carried: DataFrame | None = None) -> Da
     """Add the recorded stock of the previous snapshot of the series, whatever its date.
 
     A series has one snapshot per day, so a window holds no more rows than there are days.
-    ``carried`` may hold the ``last_stock`` before these snapshots; its rows are not returned.
+    ``carried`` may hold the ``last_stock`` before these snapshots, one row per series. It is joined
+    to the first new snapshot of its series, so stored snapshots keep their layout; rows without
+    a branch or product, which no result keeps, find none.
     """
     earlier = Window.partitionBy(*SERIES).orderBy("snapshot_date")
     before = F.lag("recorded_closing_stock").over(earlier)
     if carried is None:
         return snapshots.withColumn("previous_recorded_stock", before)
-    rows = snapshots.withColumn("is_new", F.lit(True)).unionByName(
-        carried.withColumn("is_new", F.lit(False)), allowMissingColumns=True
+    numbered = snapshots.withColumns({"previous_recorded_stock": before, "_number": F.row_number().over(earlier)})
+    last = carried.select(*SERIES, F.col("recorded_closing_stock").alias("_carried"))
+    first = F.when(F.col("_number") == 1, F.col("_carried")).otherwise(F.col("previous_recorded_stock"))
+    return (
+        numbered.join(last, SERIES, "left")
+        .withColumn("previous_recorded_stock", first)
+        .select(*snapshots.columns, "previous_recorded_stock")
     )
-    return rows.withColumn("previous_recorded_stock", before).where("is_new").drop("is_new")
 
 
 def last_stock(snapshots: DataFrame, carried: DataFrame | None = None) -> DataFrame:

@@ -1,12 +1,14 @@
 """How the checked tables are derived and stored."""
 
 import re
+from datetime import date
 from pathlib import Path
 
 import pytest
 from conftest import STAR
 
 from checks import mart, queries
+from stockrecon.operators import reconcile
 from stockrecon.plans import analysis
 from stockrecon.schemas import TABLES
 from stockrecon.session import new_folder
@@ -53,6 +55,16 @@ def test_snapshots_are_read_without_a_shuffle(no_broadcast, spark, inventory):
                 assert "Exchange" not in line, (name, line)
 
 
+def test_a_later_load_reads_snapshots_without_a_shuffle(no_broadcast, spark, inventory):
+    """The stock carried over is brought to the stored snapshots, which stay where they are."""
+    carried = spark.createDataFrame([(1, 1, date(1990, 1, 1), 5)], "branch_id long, product_id long, snapshot_date date, recorded_closing_stock long")
+    lines = plan(reconcile.previous_stock(inventory["snapshots"], carried)).splitlines()
+    (scan,) = [n for n, line in enumerate(lines) if "FileScan" in line]
+    (join,) = [n for n, line in enumerate(lines) if "Join" in line]
+    assert "Bucketed: true" in lines[scan] and join < scan
+    assert not any("Exchange" in line for line in lines[join:scan]) and any("Exchange" in line for line in lines[scan:])
+
+
 def test_a_scan_of_text_writes_its_own_table_only(spark, monkeypatch):
     folder = new_folder(spark, "only")
     monkeypatch.setattr(queries, "new_folder", lambda spark, label: folder)

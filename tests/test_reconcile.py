@@ -63,3 +63,17 @@ def test_duplicate_with_surplus_stock_is_no_duplicate_issue(spark):
     assert rows(issues, "stock_difference", "duplicate_movement_count", "probable_issue") == [
         (4, 1, "Possible unrecorded inflow or count error")
     ]
+
+
+def test_carried_stock_comes_before_the_first_new_snapshot_only(spark):
+    old = snapshots(spark, (1, 1, "2025-01-01", 9), (1, 1, "2025-01-02", 7), (1, 2, "2025-01-02", None), (2, 2, "2025-01-01", 3))
+    new = snapshots(spark, (1, 1, "2025-01-05", None), (1, 1, "2025-01-06", 4), (1, 2, "2025-01-05", 1), (2, 1, "2025-01-05", 6), (2, 1, "2025-01-07", 5))
+    found = reconcile.previous_stock(new, reconcile.last_stock(old))
+    assert found.columns == [*new.columns, "previous_recorded_stock"]
+    assert rows(found, "branch_id", "product_id", "snapshot_date", "recorded_closing_stock", "previous_recorded_stock") == [
+        (1, 1, day("2025-01-05"), None, 7),
+        (1, 1, day("2025-01-06"), 4, None),
+        (1, 2, day("2025-01-05"), 1, None),
+        (2, 1, day("2025-01-05"), 6, None),
+        (2, 1, day("2025-01-07"), 5, 6),
+    ]
