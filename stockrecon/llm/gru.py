@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 from itertools import islice
+from math import prod
 
 import numpy as np
 
@@ -39,6 +40,7 @@ class Network:
 
     def __init__(self, layout: Layout, hidden: int):
         self.layout, self.hidden = layout, hidden
+        self._rooms: dict[tuple, np.ndarray] = {}
         rng = np.random.default_rng(7)
 
         def start(*shape: int, scale: float) -> np.ndarray:
@@ -67,50 +69,75 @@ class Network:
             at += old.size
         return self
 
+    def room(self, name: str, *shape: int, kind: np.dtype | None = None) -> np.ndarray:
+        """Memory that is used again from window to window, whose pages would cost as much as the
+        steps themselves; finite numbers are left in it."""
+        kind, size = self.x.dtype if kind is None else kind, prod(shape)
+        if (name, kind) not in self._rooms or self._rooms[name, kind].size < size:
+            self._rooms[name, kind] = np.zeros(size, kind)
+        return self._rooms[name, kind][:size].reshape(shape)
+
+    def _by_gate(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """``x`` (3, ids, hidden), ``u`` (2, hidden, hidden) and ``v`` times -1, -1 and -2, as exp takes them in :meth:`_step`."""
+        H, factors = self.hidden, np.array([-1, -1, -2], self.x.dtype)[:, None, None]
+        x = np.multiply(self.x.reshape(-1, 3, H).swapaxes(0, 1), factors, order="C")
+        return x, np.negative(self.u.reshape(H, 2, H).swapaxes(0, 1), order="C"), -2 * self.v
+
+    @staticmethod
+    def _step(weights: tuple, given: np.ndarray, before: np.ndarray, after: np.ndarray, g: np.ndarray, s: np.ndarray, m: np.ndarray) -> None:
+        """One step from ``before`` to ``after``; leaves both gates in ``g``, the reset state in ``s`` and the new one in ``m``.
+
+        exp may run over to infinity, which gives a gate of 0 and a new state of -1.
+        """
+        _, u, v = weights
+        np.matmul(before, u, out=g)
+        g += given[:2]
+        np.exp(g, out=g)
+        g += 1
+        np.reciprocal(g, out=g)
+        np.multiply(g[1], before, out=s)
+        np.matmul(s, v, out=m)
+        m += given[2]
+        np.exp(m, out=m)
+        m += 1
+        np.divide(2, m, out=m)
+        m -= 1
+        np.subtract(m, before, out=after)
+        after *= g[0]
+        after += before
+
+    @np.errstate(over="ignore")
     def run(self, ids: np.ndarray, h: np.ndarray, lanes: np.ndarray) -> tuple[np.ndarray, tuple]:
         """States before each of the steps' targets are read, and what the way back needs.
 
         ``ids``: (steps, lanes) inputs; ``lanes``: how many lanes, from the first, live in each step.
-        What the way back needs is 0 in lanes that no longer live.
+        Both hold until the next run; they mean nothing in lanes that no longer live.
         """
-        H, shape, kind = self.hidden, (len(ids), len(h)), self.x.dtype
-        states, reset, new = (np.zeros((*shape, H), kind) for _ in range(3))
-        gates, first = np.zeros((*shape, 2 * H), kind), h
-        for t, live in enumerate(lanes):
-            before, after, g, s, m = h[:live], states[t, :live], gates[t, :live], reset[t, :live], new[t, :live]
-            given = self.x[ids[t, :live]]
-            np.matmul(before, self.u, out=g)
-            g += given[:, : 2 * H]
-            _sigmoid(g)
-            np.multiply(g[:, H:], before, out=s)
-            np.matmul(s, self.v, out=m)
-            m += given[:, 2 * H :]
-            _tanh(m)
-            np.subtract(m, before, out=after)
-            after *= g[:, :H]
-            after += before
-            h = states[t]
-        return states, (np.concatenate([first[None].astype(kind), states[:-1]]), gates, reset, new)
-
+        H, (steps, n) = self.hidden, ids.shape
+        # One more in front: the states that the window begins with.
+        states = self.room("states", steps + 1, n, H)
+        states[0] = h
+        reset, new, gates = self.room("reset", steps, n, H), self.room("new", steps, n, H), self.room("gates", steps, 2, n, H)
+        weights = self._by_gate()
+        for t, live in enumerate(lanes.tolist()):
+            given = self.room("given", 3, live, H)
+            weights[0].take(ids[t, :live], axis=1, out=given, mode="clip")
+            self._step(weights, given, states[t, :live], states[t + 1, :live], gates[t, :, :live], reset[t, :live], new[t, :live])
+        return states[1:], (states[:-1], gates, reset, new)
+
+    @np.errstate(over="ignore")
     def states(self, ids: np.ndarray, h: np.ndarray, lanes: np.ndarray) -> np.ndarray:
         """The states of :meth:`run` alone, in memory that is used again from step to step."""
-        H, n = self.hidden, h.shape[0]
-        result = np.zeros((len(ids), n, H), np.float32)
-        gates, new = np.empty((n, 2 * H), np.float32), np.empty((n, H), np.float32)
-        for t, live in enumerate(lanes):
-            before, after, g, m = h[:live], result[t, :live], gates[:live], new[:live]
-            given = self.x[ids[t, :live]]
-            np.matmul(before, self.u, out=g)
-            g += given[:, : 2 * H]
-            _sigmoid(g)
-            np.multiply(g[:, H:], before, out=after)
-            np.matmul(after, self.v, out=m)
-            m += given[:, 2 * H :]
-            _tanh(m)
-            np.subtract(m, before, out=after)
-            after *= g[:, :H]
-            after += before
-            h = result[t]
+        H, (steps, n) = self.hidden, ids.shape
+        result = self.room("states", steps, n, H)
+        weights, before = self._by_gate(), h.astype(self.x.dtype)
+        for t, live in enumerate(lanes.tolist()):
+            given, g, m = self.room("given", 3, live, H), self.room("gates", 2, live, H), self.room("new", live, H)
+            weights[0].take(ids[t, :live], axis=1, out=given, mode="clip")
+            # The reset state may stand where the states after it will.
+            after = result[t, :live]
+            self._step(weights, given, before[:live], after, g, after, m)
+            before = result[t]
         return result
 
     def log_probabilities(self, states: np.ndarray, targets: np.ndarray, grow: Network | None = None) -> tuple[np.ndarray, np.ndarray | None]:
@@ -120,31 +147,34 @@ class Network:
         within its class if the class has a softmax. Words are taken class by class, all in
         runs that stay in the processor's cache.
         """
-        n = self.layout
-        order = np.argsort(n.of_class[targets], kind="stable")
-        states, targets = states[order], targets[order]
+        n, H = self.layout, self.hidden
+        order = _by_size(n.of_class[targets], n.classes)
+        targets = targets[order]
         classes = n.of_class[targets]
+        # A last component of 1 meets the bias.
+        ahead = self.room("ahead", len(targets), H + 1, kind=states.dtype)
+        ahead[:, :H] = states[order]
+        ahead[:, H] = 1
+        c, w = np.vstack([self.c, self.d]), np.concatenate([self.w, self.e[:, None]], axis=1)
         found = np.empty(len(targets), np.float32)
-        back = None if grow is None else np.empty_like(states)
+        back = None if grow is None else self.room("back", len(targets), H, kind=states.dtype)
         for a in range(0, len(targets), RUN):
             part = slice(a, a + RUN)
-            logits = states[part] @ self.c
-            found[part] = _softmax(logits, self.d, classes[part], grow is not None)
+            share = ahead[part] @ c
+            found[part] = _softmax(share, classes[part], grow is not None)
             if grow is not None:
-                share = logits
                 np.matmul(share, self.c.T, out=back[part])
-                grow.c += states[part].T @ share
+                grow.c += ahead[part, :H].T @ share
                 grow.d += np.ones(len(share), share.dtype) @ share
         bounds = np.searchsorted(classes, np.arange(n.closed + 1)).tolist()
         for k in range(n.closed):
             for a in range(bounds[k], bounds[k + 1], RUN):
                 part = slice(a, min(a + RUN, bounds[k + 1]))
-                logits = states[part] @ self.w[k]
-                found[part] += _softmax(logits, self.e[k], targets[part] - k * n.per_class, grow is not None)
+                share = ahead[part] @ w[k]
+                found[part] += _softmax(share, targets[part] - k * n.per_class, grow is not None)
                 if grow is not None:
-                    share = logits
                     back[part] += share @ self.w[k].T
-                    grow.w[k] += states[part].T @ share
+                    grow.w[k] += ahead[part, :H].T @ share
                     grow.e[k] += np.ones(len(share), share.dtype) @ share
         result = np.empty_like(found)
         result[order] = found
@@ -154,18 +184,33 @@ class Network:
         return result, back
 
     def gradient(self, kept: tuple, ids: np.ndarray, lanes: np.ndarray, back: np.ndarray, grow: Network) -> None:
-        """Adds to ``grow`` what the window's steps pass back; truncated where the window begins."""
+        """Adds to ``grow`` what the window's steps pass back; truncated where the window begins.
+
+        ``kept`` is of :meth:`run`; ``back`` is read where lanes live.
+        """
         H = self.hidden
         before, gates, reset, new = kept
-        z, r = gates[..., :H], gates[..., H:]
+        z, r = gates[:, 0], gates[:, 1]
+        z, r = gates[:, 0], gates[:, 1]
         # What the loop multiplies by, for all steps at once.
-        to_new, to_z, to_r, stays = z * (1 - new * new), (new - before) * z * (1 - z), before * r * (1 - r), 1 - z
-        passed = np.zeros((*ids.shape, 3 * H), self.x.dtype)
+        stays, to_new, to_z, to_r, rest = (self.room(name, *z.shape) for name in ("stays", "to_new", "to_z", "to_r", "rest"))
+        np.subtract(1, z, out=stays)
+        np.multiply(new, new, out=to_new)
+        np.subtract(1, to_new, out=to_new)
+        to_new *= z
+        np.subtract(new, before, out=to_z)
+        to_z *= z
+        to_z *= stays
+        np.multiply(before, r, out=to_r)
+        np.subtract(1, r, out=rest)
+        to_r *= rest
+        passed = self.room("passed", *ids.shape, 3 * H)
         later = np.zeros((ids.shape[1], H), self.x.dtype)
         to_gates, to_reset = self.u.T.copy(), self.v.T.copy()
         for t in range(len(lanes) - 1, -1, -1):
             live = lanes[t]
             d, p = later[:live], passed[t, :live]
+            passed[t, live:] = 0
             d += back[t, :live]
             np.multiply(d, to_new[t, :live], out=p[:, 2 * H :])
             d_reset = p[:, 2 * H :] @ to_reset
@@ -178,48 +223,53 @@ class Network:
         flat = passed.reshape(-1, 3 * H)
         grow.u += before.reshape(-1, H).T @ flat[:, : 2 * H]
         grow.v += reset.reshape(-1, H).T @ flat[:, 2 * H :]
-        used = np.arange(ids.shape[1])[None, :] < lanes[:, None]
-        _add_rows(grow.x, ids[used], passed[used])
+        used = np.flatnonzero(np.arange(ids.shape[1])[None, :] < lanes[:, None])
+        _add_rows(grow.x, ids.reshape(-1)[used], flat, used)
 
 
-def _softmax(logits: np.ndarray, bias: np.ndarray, targets: np.ndarray, back: bool) -> np.ndarray:
-    """ln P of the targets; with ``back`` the logits become the gradient of -ln P by the logits."""
-    rows = np.arange(len(targets))
-    logits += bias
+def _by_size(numbers: np.ndarray, end: int) -> np.ndarray:
+    """Places of ``numbers`` (0 to ``end - 1``) by size; numpy sorts short ones by their digits."""
+    return np.argsort(numbers.astype(np.uint16) if end <= 1 << 16 else numbers, kind="stable")
+
+
+def _softmax(logits: np.ndarray, targets: np.ndarray, back: bool) -> np.ndarray:
+    """ln P of the targets; ``logits`` are used up, with ``back`` as the gradient of -ln P by them."""
+    places = np.arange(len(targets)) * logits.shape[1] + targets
+    flat = logits.reshape(-1)
     # LARGEST keeps exp from overflowing, and normalised biases keep the sum above 0.
-    found = logits[rows, targets]
+    found = flat.take(places)
     np.exp(logits, out=logits)
     total = logits @ np.ones(logits.shape[1], logits.dtype)
     found -= np.log(total)
     if back:
         logits *= (1 / total)[:, None]
-        logits[rows, targets] -= 1
+        flat[places] -= 1
     return found
 
 
-def _sigmoid(x: np.ndarray) -> None:
-    """In place; by exp, which numpy works out in half the time of tanh. Bounds keep it finite."""
-    np.clip(x, -30, 30, out=x)
-    np.negative(x, out=x)
-    np.exp(x, out=x)
-    x += 1
-    np.reciprocal(x, out=x)
-
-
-def _tanh(x: np.ndarray) -> None:
-    """In place."""
-    x *= 2
-    _sigmoid(x)
-    x *= 2
-    x -= 1
+#: Rows of one id that are added up in turn, beside those of other ids.
+FEW = 8
 
 
-def _add_rows(table: np.ndarray, rows: np.ndarray, values: np.ndarray) -> None:
-    """table[rows] += values, rows that occur again included."""
-    order = np.argsort(rows, kind="stable")
-    ordered = rows[order]
-    first = np.flatnonzero(np.r_[True, ordered[1:] != ordered[:-1]])
-    table[ordered[first]] += np.add.reduceat(values[order], first, axis=0)
+def _add_rows(table: np.ndarray, ids: np.ndarray, values: np.ndarray, at: np.ndarray) -> None:
+    """table[ids] += values[at], ids that occur again included."""
+    order = _by_size(ids, len(table))
+    ids, values = ids[order], values.take(at[order], axis=0)
+    first = np.flatnonzero(np.r_[True, ids[1:] != ids[:-1]])
+    count = np.diff(np.r_[first, len(ids)])
+    sums = np.empty((len(first), values.shape[1]), values.dtype)
+    # The order of additions is that of numpy's sums: the first row meets the sum of the others.
+    few = np.flatnonzero(count <= FEW)
+    more = few[count[few] > 1]
+    others = values[first[more] + 1]
+    for turn in range(2, FEW):
+        which = np.flatnonzero(count[more] > turn)
+        others[which] += values[first[more[which]] + turn]
+    sums[few] = values[first[few]]
+    sums[more] += others
+    for i in np.flatnonzero(count > FEW).tolist():
+        sums[i] = np.add.reduceat(values[first[i] : first[i] + count[i]], [0], axis=0)[0]
+    table[ids[first]] += sums
 
 
 class Lanes:
@@ -310,7 +360,7 @@ def train(network: Network, texts: Iterable[np.ndarray], lanes: int, steps: int,
         states, kept = network.run(inputs, h, live)
         used = np.arange(len(h))[None, :] < live[:, None]
         _, back = network.log_probabilities(states[used], targets[used], grow)
-        spread = np.zeros(states.shape, np.float32)
+        spread = network.room("spread", *states.shape)
         spread[used] = back
         network.gradient(kept, inputs, live, spread, grow)
         pending += int(used.sum())

@@ -74,6 +74,52 @@ def test_state_is_carried_across_windows():
         assert np.allclose(gru.score(network, texts, lanes, steps), whole, rtol=1e-4)
 
 
+def test_windows_share_memory_and_leave_nothing_behind():
+    rng = np.random.default_rng(4)
+    used = gru.Network(gru.Layout(10, 4, 3), 5)
+    kept_states = []
+    for lengths, steps in (([9, 6, 2], 7), ([3, 1], 7), ([8, 8, 1], 5)):
+        fresh = gru.Network(gru.Layout(10, 4, 3), 5)
+        texts, found = [rng.integers(0, 13, n) for n in lengths], []
+        for network in (used, fresh):
+            grow = gru.Network(network.layout, 5).load(np.zeros(len(network.vector())))
+            inputs, targets, live, h = gru.Lanes(texts, len(texts), steps, network).window()
+            states, kept = network.run(inputs, h, live)
+            lives = np.arange(len(h))[None, :] < live[:, None]
+            logs, back = network.log_probabilities(states[lives], targets[lives], grow)
+            spread = np.full(states.shape, np.nan, np.float32)
+            spread[lives] = back
+            network.gradient(kept, inputs, live, spread, grow)
+            found.append((states[lives], logs, grow.vector(), kept[0]))
+        for ours, theirs in zip(found[0][:3], found[1][:3]):
+            assert np.array_equal(ours, theirs)
+        kept_states.append(found[0][3])
+        assert np.array_equal(used.states(inputs, h, live)[lives], fresh.states(inputs, h, live)[lives])
+    # The largest window came first; the others lie where it lay.
+    assert all(np.shares_memory(kept_states[0], other) for other in kept_states[1:])
+
+
+def test_large_sums_leave_the_gates_finite():
+    network = gru.Network(gru.Layout(10, 4, 3), 5)
+    network.x *= 1e4
+    window = np.arange(13)[:, None], np.zeros((1, 5), np.float32), np.ones(13, int)
+    states, kept = network.run(*window)
+    assert all(np.isfinite(a).all() for a in (states, *kept)) and np.abs(states).max() <= 1
+    states = states.copy()
+    assert np.array_equal(network.states(*window), states)
+
+
+@pytest.mark.parametrize("ids", [5, 70_000])
+def test_rows_of_repeated_ids_add_up(ids):
+    rng = np.random.default_rng(6)
+    values, at = rng.standard_normal((400, 3)), rng.permutation(400)[:300]
+    rows = np.minimum(rng.geometric(0.1, 300) - 1, ids - 1)
+    table, expected = np.zeros((ids, 3)), np.zeros((ids, 3))
+    gru._add_rows(table, rows, values, at)
+    np.add.at(expected, rows, values[at])
+    assert np.allclose(table, expected)
+
+
 def test_training_learns_order():
     layout = gru.Layout(6, 3, 2)
     network = gru.Network(layout, 16)
