@@ -94,6 +94,31 @@ def test_marked_articles_keep_lines_that_neighbours_quote(spark):
     assert got == {i: f"quoted own {i} and {i} more {i}" for i in range(3)}
 
 
+def test_marked_pages_are_differenced_too(spark):
+    """Site text within a marked article goes, paragraphs that neighbours quote stay."""
+    body = "<main><div>Share this page</div><h1>News</h1><p>own {0}<ul><li>quoted</ul><div>more {0}<br>and {0}</div><p>q<br>r</p>Print</main><div>by {0}</div>"
+    rows = [(i, f"http://h.com/{i}", body.format(i)) for i in range(3)]
+    rows += [(10, "http://s.com/1", "<main><div>alone</div><p>text</main>")]
+    got = {r.page_id: r.text for r in D.extract(spark.createDataFrame(rows, PAGES)).collect()}
+    assert got == {i: f"News own {i} quoted more {i} and {i} q r" for i in range(3)} | {10: "alone text"}
+
+
+def test_lines_beside_a_marked_article_count_in_its_neighbour(spark):
+    rows = [
+        (1, "http://h.com/a", "<div>Head</div><article><p>one<p>two<p>three</article><div>Foot</div>"),
+        (2, "http://h.com/b", page("Head", "a story", "goes on", "Foot")),
+    ]
+    got = {r.page_id: r.text for r in D.extract(spark.createDataFrame(rows, PAGES)).collect()}
+    assert got == {1: "one two three", 2: "a story goes on"}
+
+
+def test_every_page_with_lines_meets_its_neighbour(spark):
+    """Positions shared with the nearest page are found for marked and unmarked pages alike."""
+    rows = [(i, f"http://h.com/{i}", f"<article><p>quoted<p>own {i}<p>more {i}</article>") for i in range(4)]
+    parsed = D.page_lines(spark.createDataFrame(rows, PAGES).coalesce(1))
+    assert [r.deleted for r in D.site_lines(parsed).collect()] == [[0]] * 4
+
+
 def test_copies_lose_nothing(spark):
     body = page("a", "b", "c")
     rows = [(i, f"http://h.com/{i}", body) for i in range(4)] + [(3, "http://h.com/3", body)]
