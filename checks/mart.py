@@ -253,7 +253,8 @@ def snapshots(booked: DataFrame, buckets: int | None = None) -> DataFrame:
 
     A change of stock counts on its own day; it and a cancelled sale make their day and the
     next six counted days. Changes are summed by day and laid out by series, in ``buckets``
-    parts if given, before a day becomes seven: the counted days are never shuffled.
+    parts if given, and sorted and added up there, before a day becomes up to seven: a change
+    makes the days until the next one, so counted days are neither shuffled nor sorted nor summed.
     """
     moved, quantity = F.col("movement_type"), F.col("quantity")
     changes = (
@@ -265,23 +266,39 @@ def snapshots(booked: DataFrame, buckets: int | None = None) -> DataFrame:
             )
         )
     )
-    ahead = F.explode(F.array(*[F.lit(days) for days in range(COUNTED_DAYS)]))
     changed = by_series(daily(changes, F.col("day"), "day", F.sum("net").alias("net")), "day", "changed_on", buckets)
-    counted = (
-        changed.withColumn("ahead", ahead)
-        .groupBy(*SERIES, F.date_add("changed_on", F.col("ahead")).alias("snapshot_date"))
-        .agg(F.sum(F.when(F.col("ahead") == 0, F.col("net")).otherwise(0)).alias("net"))
+    in_order = Window.partitionBy(*SERIES).orderBy("changed_on")
+    before = F.datediff("changed_on", F.lag("changed_on").over(in_order))
+    after = F.datediff(F.lead("changed_on").over(in_order), "changed_on")
+    first = F.datediff("changed_on", F.lit("1970-01-01").cast("date")).cast("bigint")
+    cycle = 31 * F.col("branch_id") + 17 * F.col("product_id")
+    # An unknown change is none where an earlier one still counts; else its day has no change at all, nor a loss.
+    overlapped = F.col("changed_on").isNull() | (before < COUNTED_DAYS)
+    runs = changed.select(
+        *SERIES,
+        "changed_on",
+        F.when(overlapped, F.coalesce("net", X.zero())).otherwise(F.col("net")).alias("net"),
+        # Changes without a day make one snapshot without a day.
+        F.when(F.col("changed_on").isNull(), 1).otherwise(F.least(F.lit(COUNTED_DAYS), after)).alias("days"),
+        F.pmod(-(cycle + first), F.lit(SHRINK_CYCLE)).alias("loses_after"),
     )
-    number = F.datediff("snapshot_date", F.lit("1970-01-01").cast("date")).cast("bigint")
-    loses = (31 * F.col("branch_id") + 17 * F.col("product_id") + number) % SHRINK_CYCLE == 0
-    change = F.col("net") - F.when(loses, SHRINK_UNITS).otherwise(0)
-    so_far = Window.partitionBy(*SERIES).orderBy("snapshot_date").rowsBetween(Window.unboundedPreceding, 0)
+    lost = F.when((F.col("loses_after") == 0) & F.col("net").isNull(), 0).otherwise(SHRINK_UNITS)
+
+    def loss_until(day: Column) -> Column:
+        return F.when(F.col("loses_after") <= day, lost).otherwise(0)
+
+    known = F.coalesce("net", X.zero())
+    earlier = in_order.rowsBetween(Window.unboundedPreceding, -1)
+    so_far = X.or_zero(F.sum(known - loss_until(F.col("days") - 1)).over(earlier))
+    counted = runs.withColumn("stock", so_far + known).withColumn("ahead", F.explode(F.sequence(F.lit(0), F.col("days") - 1)))
+    day = F.date_add("changed_on", F.col("ahead"))
+    number = F.datediff(day, F.lit("1970-01-01").cast("date")).cast("bigint")
     return counted.select(
         ((F.col("product_id") * 1000 + F.col("branch_id")) * 100000 + number).alias("snapshot_id"),
         *SERIES,
-        "snapshot_date",
-        F.greatest(F.lit(0), F.sum(change).over(so_far)).cast("bigint").alias("recorded_closing_stock"),
-        loses.alias("loses"),
+        day.alias("snapshot_date"),
+        F.greatest(F.lit(0), F.col("stock") - loss_until(F.col("ahead"))).cast("bigint").alias("recorded_closing_stock"),
+        ((cycle + number) % SHRINK_CYCLE == 0).alias("loses"),
     )
 
 

@@ -10,6 +10,18 @@ from stockrecon.operators.series import SERIES, by_series, join_bpd, left_join_z
 from stockrecon.schemas import MONEY, RESULTS, UNITS
 
 
+def touched(snapshots: DataFrame, cancellations: DataFrame) -> DataFrame:
+    """Snapshots without stock or with a cancelled sale on their day.
+
+    ``phantom_inventory`` and ``stockout_days`` keep none but these. Stored, they are found in one pass
+    over the snapshots instead of two.
+    """
+    cancelled = by_series(cancelled_by_day(cancellations), "cancellation_date", "snapshot_date")
+    days = cancelled.select(*SERIES, "snapshot_date", F.lit(True).alias("_cancelled"))
+    found = (F.col("recorded_closing_stock") == 0) | F.col("_cancelled")
+    return join_bpd(snapshots, days, "snapshot_date", "left").where(found).select(*snapshots.columns)
+
+
 def phantom_inventory(
     snapshots: DataFrame, cancellations: DataFrame, branches: DataFrame, products: DataFrame
 ) -> DataFrame:

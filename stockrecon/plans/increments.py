@@ -22,7 +22,9 @@ from pyspark.sql import functions as F
 
 from stockrecon.operators import availability, copies, demand, ledger, performance, reconcile
 from stockrecon.operators.series import SERIES
+from stockrecon.session import new_folder
 from stockrecon.sources import refresh
+from stockrecon.sources.tables import load_tables
 
 # The column that says to which day a fact belongs.
 DAYS = {
@@ -83,10 +85,10 @@ def advance(spark: SparkSession, t: Mapping[str, DataFrame], target: str, until:
     load.write("last_stock", reconcile.last_stock(new["snapshots"], last))
     surplus = copies.duplicate_days(new["movements"])
     load.write("reconciliation_issues", reconcile.reconciliation_issues(recon, surplus, new["supplier_orders"]))
-    phantom = load.write(
-        "phantom_inventory", availability.phantom_inventory(new["snapshots"], new["cancellations"], *dims)
-    )
-    days = load.write("stockout_days", availability.stockout_days(new["snapshots"], new["cancellations"], *dims))
+    touched = availability.touched(new["snapshots"], new["cancellations"])
+    touched = load_tables({"touched": touched}, new_folder(spark, "load"))["touched"]
+    phantom = load.write("phantom_inventory", availability.phantom_inventory(touched, new["cancellations"], *dims))
+    days = load.write("stockout_days", availability.stockout_days(touched, new["cancellations"], *dims))
     runs = load.write("runs", availability.continued_periods(days, state.get("open_runs")))
     open_ = F.col("stockout_end") == F.lit(until)
     load.write("stockout_periods", runs.where(~open_))

@@ -64,3 +64,22 @@ def test_period_over_month_and_year(spark):
     assert periods(spark, (1, 1, "2024-12-31", 0), (1, 1, "2025-01-01", 0)) == [
         (1, day("2024-12-31"), day("2025-01-01"), 2, 0)
     ]
+
+
+def test_both_views_keep_touched_snapshots_only(spark):
+    days = [f"2025-01-0{n}" for n in range(1, 8)]
+    stock = snapshots(spark, *[(b, p, d, 0 if (b, d) == (1, days[0]) else 4) for b in (1, 2) for p in (1, 2) for d in days])
+    stock = stock.union(stock.where(f"snapshot_date < '{days[2]}'")).unionByName(snapshots(spark, (None, 1, days[0], 0), (1, 1, None, 3)))
+    refused = cancellations(
+        spark,
+        *[(1, 1, f"{d} 09:00:00", n, SHOWN) for n, d in enumerate(days[:3])],
+        (2, 2, f"{days[5]} 09:00:00", 2, OUT),
+        (2, 2, f"{days[6]} 09:00:00", 0, SHOWN),
+        (None, 1, f"{days[0]} 09:00:00", 1, SHOWN),
+    )
+    found = availability.touched(stock, refused)
+    assert found.columns == stock.columns and found.count() == 10 < stock.count()
+    dims = (branches(spark), products(spark))
+    for view in (availability.phantom_inventory, availability.stockout_days):
+        of_all, of_few = view(stock, refused, *dims), view(found, refused, *dims)
+        assert sorted(map(str, of_few.collect())) == sorted(map(str, of_all.collect())) != []
