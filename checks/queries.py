@@ -169,7 +169,8 @@ def _(spark, folder, t, v):
 @source_query("S7_export_all")
 def _(spark, folder, t, v):
     target = new_folder(spark, "export")
-    written = exports.export_all(v, target, compression=PACKED)
+    stored = analysis.stored_views(t, new_folder(spark, "views"))
+    written = exports.export_all(stored, target, compression=PACKED)
     return summaries({name: tables.read_result(spark, target, name, "csv") for name in written})
 
 

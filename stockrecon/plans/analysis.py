@@ -26,13 +26,17 @@ from stockrecon.session import new_folder
 Keep = Callable[[str, DataFrame], DataFrame]
 
 
-def views(t: Mapping[str, DataFrame], keep: Keep = lambda name, df: df) -> dict[str, DataFrame]:
+def views(
+    t: Mapping[str, DataFrame], keep: Keep = lambda name, df: df, touched: DataFrame | None = None
+) -> dict[str, DataFrame]:
     """The twelve views over the eight tables, and two lists several of them read.
 
     ``keep`` may store a frame that others read or that is exported, so that it is computed
-    once. Without it every view is one lazy plan over the tables.
+    once. Without it every view is one lazy plan over the tables. ``touched`` may give
+    ``availability.touched`` of the snapshots if it is stored.
     """
     dims = (t["branches"], t["products"])
+    touched = t["snapshots"] if touched is None else touched
     v: dict[str, DataFrame] = {}
 
     def add(name: str, df: DataFrame, shared: bool = True) -> None:
@@ -52,8 +56,8 @@ def views(t: Mapping[str, DataFrame], keep: Keep = lambda name, df: df) -> dict[
         "reconciliation_issues",
         reconcile.reconciliation_issues(v["inventory_reconciliation"], v["duplicate_days"], t["supplier_orders"]),
     )
-    add("phantom_inventory", availability.phantom_inventory(t["snapshots"], t["cancellations"], *dims))
-    add("stockout_days", availability.stockout_days(t["snapshots"], t["cancellations"], *dims))
+    add("phantom_inventory", availability.phantom_inventory(touched, t["cancellations"], *dims))
+    add("stockout_days", availability.stockout_days(touched, t["cancellations"], *dims))
     add("stockout_periods", availability.stockout_periods(v["stockout_days"]))
     add(
         "lost_sales_estimate",
@@ -73,6 +77,20 @@ def views(t: Mapping[str, DataFrame], keep: Keep = lambda name, df: df) -> dict[
     return v
 
 
+def stored_views(t: Mapping[str, DataFrame], folder: str) -> dict[str, DataFrame]:
+    """The views, with those that others read or that are sorted for an export stored below ``folder``.
+
+    Each of these is computed once. The reconciliation is not stored: its rows are all snapshots with
+    names, and computing it again from snapshots in buckets takes less than writing and reading them.
+    """
+
+    def store(name: str, df: DataFrame) -> DataFrame:
+        return df if name == "inventory_reconciliation" else load_tables({name: df}, folder)[name]
+
+    touched = store("touched", availability.touched(t["snapshots"], t["cancellations"]))
+    return views(t, store, touched)
+
+
 def validation(t: Mapping[str, DataFrame], v: Mapping[str, DataFrame]) -> DataFrame:
     return reports.validation_summary(
         t["known_issues"],

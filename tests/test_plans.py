@@ -4,10 +4,10 @@ import re
 
 import pytest
 
-from stockrecon.operators import copies
+from stockrecon.operators import copies, reconcile
 from stockrecon.plans import analysis
 from stockrecon.session import tune
-from stockrecon.sources import tables
+from stockrecon.sources import exports, tables
 
 
 def plan(df) -> str:
@@ -210,3 +210,35 @@ def test_booked_references_are_shuffled_as_words(inventory):
     assert "partial_bit_or" in text and "LeftAnti" in text
     booked = inventory["movements"].where("movement_type = 'DELIVERY'").count()
     assert shuffled(found) < booked
+
+
+def test_stored_snapshots_are_not_sorted_again(cluster, spark, inventory):
+    """One file per bucket is read in its order, so looking one snapshot back needs no sort."""
+    stored = tables.store_snapshots(inventory["snapshots"], "sorted_snapshots", 4)
+    found = reconcile.previous_stock(stored)
+    assert "Window" in plan(found) and "Sort" not in plan(found)
+    plain = reconcile.previous_stock(inventory["snapshots"].repartition(3))
+    assert "Sort" in plan(plain) and found.exceptAll(plain).isEmpty() and plain.exceptAll(found).isEmpty()
+    more = tables.store_snapshots(inventory["snapshots"].limit(9), "sorted_snapshots", 4, mode="append")
+    assert "Sort" in plan(reconcile.previous_stock(more))
+
+
+def test_stored_views_are_computed_once(spark, inventory, all_views):
+    """What others read, or an export sorts, is stored; the reconciliation, which holds all snapshots, is not."""
+    found = analysis.stored_views(inventory, tables_folder(spark))
+    assert "Join" in plan(found["inventory_reconciliation"])
+    for name in set(exports.ORDERS) - {"inventory_reconciliation"}:
+        text = plan(exports.ordered_exports(found)[name])
+        assert "FileScan" in text and not re.search("Join|Aggregate|Window", text), name
+    for name, df in found.items():
+        assert df.exceptAll(all_views[name]).isEmpty() and all_views[name].exceptAll(df).isEmpty(), name
+
+
+def test_exports_all_from_stored_views(spark, inventory, monkeypatch):
+    from conftest import STAR
+
+    from checks import queries
+
+    seen = []
+    monkeypatch.setattr(analysis, "stored_views", lambda t, folder, of=analysis.stored_views: seen.append(folder) or of(t, folder))
+    assert queries.all_queries()["S7_export_all"](spark, f"{STAR}/sf0.001").count() == 8 and len(seen) == 1

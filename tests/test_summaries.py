@@ -28,3 +28,10 @@ def test_small_sums_are_plain_and_the_types_stay(spark):
     assert dict(sums.dtypes)["numbers"] == "bigint"
     assert [tuple(r) for r in sums.collect()] == [("set", 2, 1223, 3, 0, 0, 2)]
     assert [tuple(r) for r in summaries({"set": df.limit(0)}).collect()] == [("set", 0, 0, 0, 0, 0, 0)]
+
+
+def test_numbers_are_added_up_as_longs(spark):
+    """Decimals as wide as the sum of ids are slow to add, so they come in once at the end."""
+    sums = summaries({"set": spark.createDataFrame([(1, 2)], "id long, n int")})
+    text = sums._jdf.queryExecution().executedPlan().toString()
+    assert "partial_sum(shiftright" in text and "partial_sum(cast(id" not in text
